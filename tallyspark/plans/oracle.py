@@ -64,3 +64,189 @@ def _script():
            sum(mn) AS mn_chars, sum(la) AS latin_chars,
            count_if(la > mn * 0.35) AS n_mostly_en_v2, count_if(la > mn * 0.25) AS n_mostly_en_v3
     FROM d GROUP BY 1, 2"""
+
+
+# --- generators and credit ------------------------------------------------------
+
+from ..functions import credit as CR  # noqa: E402
+from ..functions.templating import pick_sql, render_sql  # noqa: E402
+from ..operators import templates_v1 as T1  # noqa: E402
+from ..operators import templates_v2 as T2  # noqa: E402
+from ..operators import templates_v3 as T3  # noqa: E402
+
+
+def D(x) -> str:
+    return f"CAST({x!r} AS DOUBLE)"
+
+
+def fixed_sql(v: str, d: int) -> str:
+    return f"printf('%.{d}f', {v})"
+
+
+def money_sql(v: str, prefix: str = "") -> str:
+    return (f"concat({q(prefix)}, CASE WHEN abs(({v}) - round({v})) < {D(0.01)} "
+            f"THEN CAST(CAST(round({v}) AS BIGINT) AS VARCHAR) ELSE {fixed_sql(v, 1)} END, ' сая')")
+
+
+def percent_sql(v: str, none_text: str | None = CR.NOT_COMPUTABLE) -> str:
+    txt = f"concat({fixed_sql(f'({v}) * 100', 1)}, '%')"
+    return f"coalesce({txt}, {q(none_text)})" if none_text is not None else txt
+
+
+def case_sql(key: str, branches: dict) -> str:
+    return "CASE " + " ".join(f"WHEN {key} = {q(k)} THEN {v}" for k, v in branches.items()) + " END"
+
+
+def v1_sql(index_source: str = "SELECT o_orderkey AS idx FROM orders") -> str:
+    users, assistants = {}, {}
+    for d in T1.DOMAINS:
+        fields = {slot: pick_sql(T1.VOCABS[v], f"idx * {mul} + {off}") for slot, (v, mul, off) in T1.SLOTS[d].items()}
+        u_t, a_t = T1.TEMPLATES[d]
+        users[d], assistants[d] = render_sql(u_t, fields), render_sql(a_t, fields)
+    return f"""
+    SELECT idx, printf('lendex-sft-%04d', idx + 1) AS id, domain, {q(T1.SYSTEM)} AS system,
+      {case_sql('domain', users)} AS "user", {case_sql('domain', assistants)} AS assistant,
+      {q(T1.SOURCE)} AS source, {q(T1.LICENSE_STATUS)} AS license_status,
+      {q(T1.ALLOWED_USAGE)} AS allowed_usage, false AS contains_pii
+    FROM (SELECT idx, {pick_sql(T1.DOMAINS, 'idx')} AS domain FROM ({index_source}))"""
+
+
+def v2_metrics_sql(index_source: str = "SELECT o_orderkey AS idx FROM orders") -> str:
+    names = [n for n, _ in T2.COLLATERALS]
+    values = [v for _, v in T2.COLLATERALS]
+    return f"""
+    WITH s AS (
+      SELECT idx, 80 + (idx % 11) * 18 AS revenue,
+        CAST(trunc(CAST(80 + (idx % 11) * 18 AS DOUBLE) * ({D(0.52)} + CAST(idx % 5 AS DOUBLE) * {D(0.05)})) AS BIGINT) AS expense,
+        20 + (idx % 9) * 12 AS debt, 6 + (idx % 8) * 5 AS cash, 15 + (idx % 10) * 8 AS loan_amount,
+        {pick_sql(T2.TERM_CHOICES, 'idx')} AS term_months, {pick_sql(names, 'idx')} AS collateral,
+        {pick_sql(values, 'idx')} AS collateral_value, {pick_sql(T2.SECTORS, 'idx')} AS sector,
+        {pick_sql(T2.MISSING_DOCS, 'idx')} AS missing_doc
+      FROM ({index_source})),
+    r AS (
+      SELECT *, revenue - expense AS profit,
+        (revenue - expense) / revenue AS profit_margin, expense / revenue AS expense_ratio,
+        debt / revenue AS debt_to_revenue, cash / debt AS cash_to_debt,
+        loan_amount / term_months AS monthly_repayment, collateral_value / loan_amount AS collateral_coverage
+      FROM s),
+    t AS (
+      SELECT *,
+        CASE WHEN profit_margin >= {D(0.28)} AND debt_to_revenue <= {D(0.45)} AND cash_to_debt >= {D(0.25)} THEN {q(CR.LOW)}
+             WHEN profit_margin >= {D(0.15)} AND debt_to_revenue <= {D(0.8)} THEN {q(CR.MEDIUM)} ELSE {q(CR.HIGH)} END AS risk_tier,
+        CASE WHEN collateral_coverage >= {D(2.0)} THEN {q(CR.LOW)} WHEN collateral_coverage >= {D(1.2)} THEN {q(CR.MEDIUM)} ELSE {q(CR.HIGH)} END AS collateral_tier,
+        CASE WHEN monthly_repayment <> 0 THEN profit / monthly_repayment ELSE {D(0.0)} END AS repayment_coverage,
+        profit - monthly_repayment AS net_after_debt,
+        list_filter([CASE WHEN debt_to_revenue > {D(0.7)} THEN {q(CR.RED_FLAGS[0])} END,
+                     CASE WHEN cash_to_debt < {D(0.2)} THEN {q(CR.RED_FLAGS[1])} END,
+                     CASE WHEN expense_ratio > {D(0.72)} THEN {q(CR.RED_FLAGS[2])} END,
+                     CASE WHEN collateral_coverage < {D(1.3)} THEN {q(CR.RED_FLAGS[3])} END], lambda x: x IS NOT NULL) AS flags0
+      FROM r)
+    SELECT *,
+      CASE WHEN repayment_coverage >= 4 THEN {q(CR.LOW)} WHEN repayment_coverage >= 2 THEN {q(CR.MEDIUM)} ELSE {q(CR.HIGH)} END AS repayment_tier,
+      CASE WHEN net_after_debt > loan_amount * {D(0.15)} THEN {q(CR.LOW)} WHEN net_after_debt > 0 THEN {q(CR.MEDIUM)} ELSE {q(CR.HIGH)} END AS cashflow_tier,
+      CASE WHEN len(flags0) = 0 THEN [{q(CR.RED_FLAG_NONE)}] ELSE flags0 END AS red_flags
+    FROM t"""
+
+
+def v2_sql(index_source: str = "SELECT o_orderkey AS idx FROM orders") -> str:
+    fields = {
+        "level": "risk_tier", "profit_m": money_sql("profit"), "margin_p": percent_sql("profit_margin", None),
+        "debt_p": percent_sql("debt_to_revenue", None), "cash_p": percent_sql("cash_to_debt", None),
+        "expense_p": percent_sql("expense_ratio", None), "repay_m": money_sql("monthly_repayment"),
+        "coverage2": fixed_sql("collateral_coverage", 2), "sector": "sector", "missing_doc": "missing_doc",
+        "recommendation": "CASE " + " ".join(f"WHEN risk_tier = {q(k)} THEN {q(v)}" for k, v in CR.V2_RECOMMENDATION.items()) + " END",
+        "loan_m": money_sql("loan_amount"), "term_months": "CAST(term_months AS VARCHAR)",
+        "revenue_m": money_sql("revenue"), "expense_m": money_sql("expense"), "collateral": "collateral",
+        "collateral_value_m": money_sql("collateral_value"), "collateral_level": "collateral_tier",
+        "repay_cov2": fixed_sql("repayment_coverage", 2), "repay_level": "repayment_tier",
+        "flags": "array_to_string(red_flags, ', ')", "debt_m": money_sql("debt"), "cash_m": money_sql("cash"),
+        "net_m": money_sql("net_after_debt"), "cashflow_level": "cashflow_tier",
+    }
+    base = render_sql(T2.BASE_INPUT, {k: f"CAST({k} AS VARCHAR)" for k in
+                                      ("sector", "revenue", "expense", "debt", "cash", "loan_amount",
+                                       "term_months", "collateral", "collateral_value")})
+    users = {t: f"concat({q(T2.USER_PREFIX[t])}, {base})" for t in T2.TASKS}
+    assistants = {t: render_sql(T2.ASSISTANT[t], fields) for t in T2.TASKS}
+    return f"""
+    WITH m AS ({v2_metrics_sql(index_source)}),
+    k AS (SELECT *, {pick_sql(T2.TASKS, 'idx')} AS task FROM m)
+    SELECT idx, printf('lendex-v2-%05d', idx + 1) AS id, task AS domain, {q(T2.SYSTEM)} AS system,
+      {case_sql('task', users)} AS "user", {case_sql('task', assistants)} AS assistant,
+      {q(T2.SOURCE)} AS source, 'synthetic' AS license_status, 'training_allowed' AS allowed_usage,
+      false AS contains_pii, true AS numeric_example, true AS metrics_expected
+    FROM k"""
+
+
+def v3_domain_sql(g: str) -> str:
+    pos = f"(({g}) - 1) % {T3.CYCLE}"
+    parts, start = [], 0
+    for d, qn in T3.DOMAIN_QUOTAS:
+        parts.append(f"WHEN {pos} < {start + qn} THEN {q(d)}")
+        start += qn
+    return "CASE " + " ".join(parts) + " END"
+
+
+def v3_metrics_sql(index_source: str = "SELECT o_orderkey + 1 AS gidx FROM orders") -> str:
+    docs = "[" + ", ".join("[" + ", ".join(q(x) for x in ds) + "]" for ds in T3.DOC_SETS) + "]"
+    return f"""
+    WITH s AS (
+      SELECT gidx, {pick_sql(T3.SECTORS, 'gidx')} AS sector, 60 + (gidx % 15) * 12 AS revenue,
+        CAST(round_even(CAST(60 + (gidx % 15) * 12 AS DOUBLE) * {pick_sql([D(r) for r in T3.EXPENSE_RATES], 'gidx').replace("'", "")}, 0) AS BIGINT) AS expense,
+        10 + (gidx % 12) * 9 AS debt, 4 + (gidx % 10) * 4 AS cash, 12 + (gidx % 13) * 6 AS loan_amount,
+        {pick_sql(T3.TERM_CHOICES, 'gidx')} AS term_months, {docs}[gidx % {len(T3.DOC_SETS)} + 1] AS docs
+      FROM ({index_source})),
+    r AS (
+      SELECT *, revenue - expense AS profit,
+        CASE WHEN revenue <> 0 THEN (revenue - expense) / revenue END AS profit_margin,
+        CASE WHEN revenue <> 0 THEN expense / revenue END AS expense_ratio,
+        CASE WHEN revenue <> 0 THEN debt / revenue END AS debt_to_revenue,
+        CASE WHEN debt <> 0 THEN cash / debt END AS cash_to_debt,
+        CASE WHEN term_months <> 0 THEN loan_amount / term_months END AS monthly_repayment
+      FROM s),
+    d AS (
+      SELECT *, CASE WHEN profit_margin IS NULL OR profit_margin = 0 THEN {D(0.0)} ELSE profit_margin END AS m_,
+        CASE WHEN debt_to_revenue IS NULL OR debt_to_revenue = 0 THEN {D(99.0)} ELSE debt_to_revenue END AS d_,
+        CASE WHEN cash_to_debt IS NULL OR cash_to_debt = 0 THEN {D(0.0)} ELSE cash_to_debt END AS c_
+      FROM r),
+    t AS (
+      SELECT *, CASE WHEN m_ >= {D(0.30)} AND d_ <= {D(0.45)} AND c_ >= {D(0.30)} THEN {q(CR.LOW)}
+                     WHEN m_ >= {D(0.15)} AND d_ <= {D(0.85)} AND c_ >= {D(0.12)} THEN {q(CR.MEDIUM)} ELSE {q(CR.HIGH)} END AS risk_tier
+      FROM d)
+    SELECT * EXCLUDE (m_, d_, c_),
+      CASE WHEN risk_tier = {q(CR.LOW)} THEN {q(CR.V3_RECOMMENDATION_LOW)}
+           WHEN risk_tier = {q(CR.MEDIUM)} AND m_ >= {D(0.20)} THEN {q(CR.V3_RECOMMENDATION_DOCS)}
+           WHEN d_ > {D(0.9)} THEN {q(CR.V3_RECOMMENDATION_REDUCE)} ELSE {q(CR.V3_RECOMMENDATION_DECLINE)} END AS recommendation
+    FROM t"""
+
+
+def v3_sql(index_source: str = "SELECT o_orderkey + 1 AS gidx FROM orders") -> str:
+    fields = {
+        "level": "risk_tier", "revenue_m": money_sql("revenue", "₮"), "expense_m": money_sql("expense", "₮"),
+        "profit_m": money_sql("profit", "₮"), "margin_p": percent_sql("profit_margin"),
+        "expense_p": percent_sql("expense_ratio"), "debt_p": percent_sql("debt_to_revenue"),
+        "cash_p": percent_sql("cash_to_debt"),
+        "repayment_line": f"coalesce({render_sql(T3.REPAYMENT_LINE, {'repay_m': money_sql('monthly_repayment', '₮')})}, '')",
+        "advice": "recommendation",
+        "docs_block": "array_to_string(list_transform(docs, lambda x: concat('- ', x)), chr(10))",
+        "docs_inline": "array_to_string(docs, ', ')",
+    }
+    answers = {}
+    for d, _ in T3.DOMAIN_QUOTAS:
+        answers[d] = render_sql(T3.ANSWER_TEMPLATE[d], dict(fields, focus=q(T3.FOCUS.get(d, ""))))
+    task = case_sql("domain", {d: q(T3.TASK_NAMES[d]) for d, _ in T3.DOMAIN_QUOTAS})
+    prompt = render_sql(T3.PROMPT, dict({k: f"CAST({k} AS VARCHAR)" for k in
+                                         ("sector", "revenue", "expense", "debt", "cash", "loan_amount", "term_months")},
+                                        task=task))
+    return f"""
+    WITH m AS ({v3_metrics_sql(index_source)}),
+    k AS (SELECT *, {v3_domain_sql('gidx')} AS domain FROM m)
+    SELECT gidx, concat('lendex-v3-', domain, '-', printf('%05d', gidx)) AS id, domain, {q(T3.SYSTEM)} AS system,
+      {prompt} AS "user", {case_sql('domain', answers)} AS assistant, {q(T3.SOURCE)} AS source,
+      'synthetic' AS license_status, 'training_allowed' AS allowed_usage, false AS contains_pii,
+      domain <> 'missing_documents_request' AS numeric_example
+    FROM k"""
+
+
+ORACLE["sft_v1_generate"] = v1_sql()
+ORACLE["sft_v2_generate"] = v2_sql()
+ORACLE["sft_v3_generate"] = v3_sql()

@@ -48,3 +48,35 @@ def q_clean_text_share(spark, sf_dir):
 @query("script_profile")
 def q_script_profile(spark, sf_dir):
     return corpus.script_profile(table(spark, sf_dir, "documents"))
+
+
+# --- generators (indexed by orders.o_orderkey, so they grow with the table) ------
+
+from ..operators import generate as G  # noqa: E402
+
+
+def v1_corpus(spark, sf_dir):
+    return G.sft_v1(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("idx")))
+
+
+def v2_corpus(spark, sf_dir):
+    return G.sft_v2(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("idx")))
+
+
+def v3_corpus(spark, sf_dir):
+    return G.sft_v3(table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).alias("gidx")))
+
+
+@query("sft_v1_generate")
+def q_sft_v1(spark, sf_dir):
+    return v1_corpus(spark, sf_dir)
+
+
+@query("sft_v2_generate")
+def q_sft_v2(spark, sf_dir):
+    return v2_corpus(spark, sf_dir)
+
+
+@query("sft_v3_generate")
+def q_sft_v3(spark, sf_dir):
+    return v3_corpus(spark, sf_dir)
