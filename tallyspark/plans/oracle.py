@@ -250,3 +250,283 @@ def v3_sql(index_source: str = "SELECT o_orderkey + 1 AS gidx FROM orders") -> s
 ORACLE["sft_v1_generate"] = v1_sql()
 ORACLE["sft_v2_generate"] = v2_sql()
 ORACLE["sft_v3_generate"] = v3_sql()
+
+
+# --- lending rules ----------------------------------------------------------------------
+
+from ..functions import vocab as V  # noqa: E402
+from ..operators import quality as QL  # noqa: E402
+
+V1 = v1_sql()
+V1_CTE = f"v AS ({V1})"
+NOT_NULL = "lambda x: x IS NOT NULL"
+
+
+def py_strip_sql(x: str) -> str:
+    return f"regexp_replace({x}, {q('^[' + P.WS + ']+|[' + P.WS + ']+$')}, '', 'g')"
+
+
+def lst(items) -> str:
+    return f"list_filter([{', '.join(items)}], {NOT_NULL})"
+
+
+def lex_hits(low: str):
+    return [(f"contains({low}, {q(r[2].lower())})", r) for r in V.lexicon_rows()]
+
+
+def redact_sql(x: str) -> str:
+    """Approximate redaction (RE2 has no lookaround): context characters are
+    consumed and put back; two passes catch matches whose left context was
+    consumed by the previous match."""
+    out = x
+    steps = [(P.PHONE_RE2_FIRST, P.TOKEN_PHONE, 1, 5),
+             (f"(^|[^{P.RE2_WORD}])([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}})($|[^{P.RE2_WORD}])", P.TOKEN_EMAIL, 1, 3),
+             (f"(^|[^{P.RE2_WORD}])([{P.REGISTER_LETTERS}]{{2}}\\p{{Nd}}{{8}})($|[^{P.RE2_WORD}])", P.TOKEN_REGISTER, 1, 3),
+             ("(^|\\P{Nd})(\\p{Nd}{10,16})($|\\P{Nd})", P.TOKEN_NUMBER, 1, 3)]
+    for pat, tok, g1, g2 in steps:
+        for _ in range(2):
+            out = f"regexp_replace({out}, {q(pat)}, {q(chr(92) + str(g1) + tok + chr(92) + str(g2))}, 'g')"
+    return out
+
+
+def parse_number_sql(num: str, unit: str) -> str:
+    cleaned = f"regexp_replace({num}, '[^0-9.]', '', 'g')"
+    return (f"CASE WHEN length({cleaned}) > 0 THEN TRY_CAST(trunc(TRY_CAST({cleaned} AS DOUBLE) * "
+            f"CASE WHEN coalesce(length({unit}), 0) > 0 THEN {D(1000000.0)} ELSE {D(1.0)} END) AS BIGINT) END")
+
+
+def extraction_sql(src: str, key: str, text: str) -> str:
+    t = text
+    ctx, money, term, inc = P.loan_context_re2(), P.money_re2(), P.term_re2(), P.income_re2()
+    find = lambda terms: "CASE " + " ".join(f"WHEN contains(lower({t}), {q(k.lower())}) THEN {q(v)}" for k, v in terms) + " END"
+    years = ", ".join(q(y) for y in P.YEAR_UNITS)
+    return f"""
+    SELECT {key}, {t} AS _text,
+      CASE WHEN regexp_extract({t}, {q(ctx)}, 1) <> '' THEN {parse_number_sql(f"regexp_extract({t}, {q(ctx)}, 1)", f"regexp_extract({t}, {q(ctx)}, 2)")}
+           ELSE list_filter(list_transform(list_zip(regexp_extract_all({t}, {q(money)}, 1), regexp_extract_all({t}, {q(money)}, 2)),
+                  lambda z: {parse_number_sql('z[1]', 'z[2]')}), lambda a: a >= 100000)[1] END AS loan_amount,
+      CASE WHEN regexp_extract({t}, {q(term)}, 1) <> '' THEN
+        CASE WHEN lower(regexp_extract({t}, {q(term)}, 2)) IN ({years}) THEN TRY_CAST(regexp_extract({t}, {q(term)}, 1) AS BIGINT) * 12
+             ELSE TRY_CAST(regexp_extract({t}, {q(term)}, 1) AS BIGINT) END END AS loan_term_months,
+      CASE WHEN regexp_extract({t}, {q(inc)}, 1) <> '' THEN {parse_number_sql(f"regexp_extract({t}, {q(inc)}, 1)", f"regexp_extract({t}, {q(inc)}, 2)")} END AS monthly_income,
+      {find(V.EMPLOYMENT_TERMS)} AS employment_status,
+      {find(V.COLLATERAL_TERMS)} AS collateral,
+      {find(V.LOAN_TYPE_TERMS)} AS loan_type,
+      CASE WHEN regexp_extract({t}, {q(P.PHONE_RE2_FIRST)}, 2) <> '' THEN right(regexp_replace(regexp_extract({t}, {q(P.PHONE_RE2_FIRST)}, 2), '[^0-9]', '', 'g'), 8) END AS phone_number
+    FROM ({src})"""
+
+
+def with_missing(ext: str) -> str:
+    items = [f"CASE WHEN {f} IS NULL THEN {q(f)} END" for f in V.EXTRACTION_FIELDS]
+    return f"SELECT *, {lst(items)} AS _missing FROM ({ext})"
+
+
+def confidence_sql(text: str, n: str) -> str:
+    short = f"CASE WHEN length({py_strip_sql(text)}) < {V.CONFIDENCE_SHORT_LEN} THEN {D(V.CONFIDENCE_SHORT_PENALTY)} ELSE {D(0.0)} END"
+    warn = f"CASE WHEN ({n}) > 0 THEN least({D(V.CONFIDENCE_WARNING_CAP)}, {D(V.CONFIDENCE_WARNING_STEP)} * ({n})) ELSE {D(0.0)} END"
+    return f"greatest({D(V.CONFIDENCE_MIN)}, least({D(V.CONFIDENCE_MAX)}, round({D(V.CONFIDENCE_BASE)} - {short} - {warn}, 2)))"
+
+
+def issues_cte(src: str, key_cols: str, text: str) -> str:
+    low = f"lower({text})"
+    hits = lex_hits(low)
+    cats = lst([f"CASE WHEN {h} THEN {q(r[1])} END" for h, r in hits])
+    phrases = lst([f"CASE WHEN {h} THEN {q(r[2])} END" for h, r in hits])
+    sev = lst([f"CASE WHEN {h} THEN {q(r[3])} END" for h, r in hits])
+    alts = lst([f"CASE WHEN {h} THEN {q(r[4])} END" for h, r in hits])
+    safer = text
+    for h, r in hits:
+        safer = f"replace({safer}, {q(r[2])}, CASE WHEN {h} THEN {q(r[4])} ELSE {q(r[2])} END)"
+    return (f"SELECT {key_cols}, {cats} AS cats, {phrases} AS phrases, {sev} AS sevs, {alts} AS alts, "
+            f"CASE WHEN len({cats}) > 0 THEN {safer} END AS safer FROM ({src})")
+
+
+ORACLE["compliance_issues"] = f"""
+WITH {V1_CTE}, i AS ({issues_cte('SELECT * FROM v', 'idx', '"user"')})
+SELECT idx, CAST(len(cats) AS INTEGER) AS n_issues, array_to_string(cats, '|') AS categories,
+  array_to_string(phrases, '|') AS phrases, len(cats) = 0 AS is_safe,
+  CASE WHEN list_contains(sevs, 'high') THEN 'block' WHEN len(cats) > 0 THEN 'review' ELSE 'pass' END AS decision
+FROM i"""
+
+ORACLE["compliance_safer_text"] = f"""
+WITH {V1_CTE}, i AS ({issues_cte('SELECT * FROM v', 'idx', '"user"')})
+SELECT idx, safer AS safer_text, array_to_string(alts, '|') AS alternatives FROM i"""
+
+ORACLE["compliance_report"] = f"""
+WITH {V1_CTE}, b AS (SELECT domain, "user" AS text FROM v UNION ALL SELECT domain, assistant AS text FROM v),
+i AS ({issues_cte('SELECT * FROM b', 'domain', 'text')}),
+e AS (SELECT domain, unnest(list_zip(cats, sevs)) AS z FROM i)
+SELECT domain, z[1] AS category, z[2] AS severity, count(*) AS n_issues FROM e GROUP BY 1, 2, 3"""
+
+
+def glossary_sql(text: str, glossary_id: str | None):
+    low = f"lower({text})"
+    used, warns = [], []
+    for s, p in V.merged_glossary(glossary_id):
+        sh, ph = f"contains({low}, {q(s.lower())})", f"contains({low}, {q(p.lower())})"
+        used.append(f"CASE WHEN {sh} OR {ph} THEN {q(p)} END")
+        warns.append(f"CASE WHEN {sh} AND NOT {ph} THEN {q(V.GLOSSARY_WARNING.format(preferred=p, source=s))} END")
+    return f"list_sort(list_distinct({lst(used)}))", lst(warns)
+
+
+_gt, _gw = glossary_sql('"user"', "lendex_finance")
+ORACLE["glossary_check"] = f"""
+WITH {V1_CTE}
+SELECT idx, array_to_string({_gt}, '|') AS terms_used, array_to_string({_gw}, '|') AS glossary_warnings,
+  CAST(len({_gw}) AS INTEGER) AS n_warnings FROM v"""
+
+
+def extraction_out(key: str, src: str, text: str) -> str:
+    return f"""
+    SELECT {key}, loan_amount, loan_term_months, monthly_income, employment_status, collateral, loan_type, phone_number,
+      array_to_string(_missing, ',') AS missing_fields, CAST(len(_missing) AS INTEGER) AS n_missing
+    FROM ({with_missing(extraction_sql(src, key, text))})"""
+
+
+ORACLE["loan_extraction"] = extraction_out("doc_id", "SELECT doc_id, text FROM documents", "text")
+ORACLE["loan_extraction_sft"] = f"WITH {V1_CTE} " + extraction_out("idx", "SELECT idx, \"user\" FROM v", '"user"')
+ORACLE["missing_fields_report"] = f"""
+SELECT source, count(*) AS n_rows, {', '.join(f'count({f}) AS n_{f}' for f in V.EXTRACTION_FIELDS)},
+  count_if(len(_missing) = 0) AS n_complete
+FROM ({with_missing(extraction_sql('SELECT doc_id, source, text FROM documents', 'doc_id, source', 'text'))})
+GROUP BY source"""
+ORACLE["confidence_scores"] = f"""
+WITH {V1_CTE}, x AS ({with_missing(extraction_sql('SELECT idx, domain, "user" FROM v', 'idx, domain', '"user"'))})
+SELECT idx, domain, {confidence_sql(redact_sql('_text'), 'len(_missing)')} AS confidence FROM x"""
+
+_rt, _rw = glossary_sql('"user"', "lendex_finance")
+ORACLE["review_routing"] = f"""
+WITH {V1_CTE}, f AS (SELECT * FROM v WHERE domain = 'finance_translation'),
+i AS ({issues_cte('SELECT * FROM f', 'idx, assistant, "user"', '"user"')}),
+g AS (SELECT idx, len(cats) AS n_issues, CAST(len({_rw}) AS INTEGER) AS n_glossary_warnings,
+             array_to_string({_rt}, '|') AS terms_used,
+             {confidence_sql('assistant', f'len({_rw}) + len(cats)')} AS confidence FROM i)
+SELECT idx, confidence, (n_issues > 0 OR confidence < {D(V.REVIEW_THRESHOLD)}) AS requires_human_review,
+  CASE WHEN n_issues > 0 OR confidence < {D(V.REVIEW_THRESHOLD)} THEN {q(V.REVIEW_REASON)} END AS reason,
+  n_glossary_warnings, terms_used FROM g"""
+
+_think_block = f"(?is)<think([^{P.RE2_WORD}>][^>]*)?>.*?</think>"
+_think_tag = f"(?i)</?think($|[^{P.RE2_WORD}])"
+ORACLE["strip_reasoning"] = f"""
+WITH s AS (SELECT role, text AS t, {py_strip_sql(f"regexp_replace(text, {q(_think_block)}, '', 'g')")} AS s FROM conversations)
+SELECT role, count(*) AS n_docs,
+  count_if(contains(lower(t), '<think') OR contains(lower(t), '</think>')) AS n_tag_substring,
+  count_if(regexp_matches(t, {q(_think_tag)})) AS n_tag_regex,
+  count_if(contains(lower(s), '<think') OR contains(lower(s), '</think>')) AS n_tag_after_strip,
+  sum(length(t) - length(s)) AS chars_removed
+FROM s GROUP BY role"""
+
+
+# --- conversations ------------------------------------------------------------------------
+
+ORACLE["conversation_messages"] = """
+SELECT conv_id, CAST(count(*) AS INTEGER) AS n_messages, string_agg(role, ',' ORDER BY turn) AS role_sequence,
+  sum(length(text)) AS total_chars
+FROM conversations GROUP BY conv_id"""
+
+ORACLE["latest_user_turn"] = """
+SELECT conv_id, coalesce(arg_max(text, turn) FILTER (WHERE role = 'user'), '') AS latest_user
+FROM conversations GROUP BY conv_id"""
+
+ORACLE["message_validation"] = f"""
+SELECT conv_id,
+  CASE WHEN count(*) < 2 THEN 'messages must contain at least user and assistant entries'
+       WHEN NOT (bool_or(role = 'user') AND bool_or(role = 'assistant')) THEN 'messages must include user and assistant roles'
+       WHEN bool_or(role IS NULL OR role NOT IN ('system', 'user', 'assistant')) THEN 'invalid role'
+       WHEN bool_or(text IS NULL OR length({py_strip_sql('text')}) = 0) THEN 'empty message content' END AS error
+FROM conversations GROUP BY conv_id"""
+
+
+def _context_missing(src_alias: str) -> str:
+    ctx = {"loan_amount": "CAST(loan_amount AS VARCHAR)", "term": "CAST(loan_term_months AS VARCHAR)",
+           "income": "CAST(monthly_income AS VARCHAR)", "employment": "employment_status",
+           "collateral": "collateral", "loan_type": "loan_type", "phone_number": "phone_number"}
+    aliases = {"loan_amount": ["loan_amount"], "loan_term_months": ["term"], "monthly_income": ["income"],
+               "employment_status": ["employment"], "collateral": ["collateral"], "loan_type": ["loan_type"],
+               "phone_number": ["phone_number"]}
+    falsy = "('', '0', '0.0', 'false', '[]', '{}')"
+    items = []
+    for f in V.EXTRACTION_FIELDS:
+        present = " OR ".join(f"coalesce({ctx[k]} NOT IN {falsy}, false)" for k in aliases[f])
+        items.append(f"CASE WHEN NOT ({present}) THEN {q(f)} END")
+    return lst(items)
+
+
+ORACLE["context_missing_fields"] = f"""
+WITH u AS (SELECT conv_id, coalesce(string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE role = 'user'), '') AS user_text
+           FROM conversations GROUP BY conv_id),
+x AS ({extraction_sql('SELECT conv_id, user_text FROM u', 'conv_id', 'user_text')})
+SELECT conv_id, array_to_string({_context_missing('x')}, ',') AS missing_application_fields FROM x"""
+
+
+# --- credit ------------------------------------------------------------------------------
+
+V2M = f"m AS ({v2_metrics_sql()})"
+V3M = f"m AS ({v3_metrics_sql()})"
+ORACLE["credit_ratios_v2"] = f"""WITH {V2M} SELECT idx, profit, profit_margin, expense_ratio, debt_to_revenue,
+  cash_to_debt, monthly_repayment, collateral_coverage FROM m"""
+ORACLE["credit_ratios_v3"] = f"""WITH {V3M} SELECT gidx, profit, profit_margin, expense_ratio, debt_to_revenue,
+  cash_to_debt, monthly_repayment FROM m"""
+ORACLE["risk_tiers"] = f"""
+WITH a AS (SELECT 'v2' AS version, risk_tier, CAST(NULL AS VARCHAR) AS recommendation FROM ({v2_metrics_sql()})
+           UNION ALL SELECT 'v3', risk_tier, recommendation FROM ({v3_metrics_sql()}))
+SELECT version, risk_tier, recommendation, count(*) AS n FROM a GROUP BY 1, 2, 3"""
+ORACLE["red_flags"] = f"WITH {V2M} SELECT idx, array_to_string(red_flags, ', ') AS flags, CAST(len(red_flags) AS INTEGER) AS n_flags FROM m"
+ORACLE["red_flag_frequency"] = f"WITH {V2M}, e AS (SELECT unnest(red_flags) AS flag FROM m) SELECT flag, count(*) AS n FROM e GROUP BY flag"
+ORACLE["collateral_tiers"] = f"WITH {V2M} SELECT idx, collateral_coverage, collateral_tier FROM m"
+ORACLE["repayment_tiers"] = f"WITH {V2M} SELECT idx, repayment_coverage, repayment_tier FROM m"
+ORACLE["cashflow_tiers"] = f"WITH {V2M} SELECT idx, net_after_debt, cashflow_tier FROM m"
+
+CUSTOMER_FACTS = """
+  li AS (SELECT l_orderkey, sum(CAST(round((l_extendedprice * (1 - l_discount)) * 100) AS BIGINT)) AS e FROM lineitem GROUP BY 1),
+  o AS (SELECT o_custkey, CAST(round(o_totalprice * 100) AS BIGINT) AS price, o_orderstatus, e
+        FROM orders LEFT JOIN li ON o_orderkey = l_orderkey),
+  pc AS (SELECT o_custkey, sum(price) AS revenue, sum(CASE WHEN o_orderstatus IN ('O', 'P') THEN price ELSE 0 END) AS debt,
+                sum(coalesce(e, 0)) AS expense FROM o GROUP BY 1),
+  f AS (SELECT c_custkey, c_mktsegment, coalesce(revenue, 0) AS revenue, coalesce(expense, 0) AS expense,
+               coalesce(debt, 0) AS debt, greatest(CAST(round(c_acctbal * 100) AS BIGINT), 0) AS cash
+        FROM customer LEFT JOIN pc ON c_custkey = o_custkey),
+  r AS (SELECT *, revenue - expense AS profit,
+          CASE WHEN revenue <> 0 THEN (revenue - expense) / revenue END AS profit_margin,
+          CASE WHEN revenue <> 0 THEN debt / revenue END AS debt_to_revenue,
+          CASE WHEN debt <> 0 THEN cash / debt END AS cash_to_debt FROM f),
+  d AS (SELECT *, CASE WHEN profit_margin IS NULL OR profit_margin = 0 THEN 0.0::DOUBLE ELSE profit_margin END AS m_,
+          CASE WHEN debt_to_revenue IS NULL OR debt_to_revenue = 0 THEN 99.0::DOUBLE ELSE debt_to_revenue END AS d_,
+          CASE WHEN cash_to_debt IS NULL OR cash_to_debt = 0 THEN 0.0::DOUBLE ELSE cash_to_debt END AS c_ FROM r),
+  t AS (SELECT *, CASE WHEN m_ >= 0.30::DOUBLE AND d_ <= 0.45::DOUBLE AND c_ >= 0.30::DOUBLE THEN 'LOW'
+                       WHEN m_ >= 0.15::DOUBLE AND d_ <= 0.85::DOUBLE AND c_ >= 0.12::DOUBLE THEN 'MEDIUM' ELSE 'HIGH' END AS tier0 FROM d),
+  k AS (SELECT *, CASE tier0 WHEN 'LOW' THEN 'LOWT' WHEN 'MEDIUM' THEN 'MEDT' ELSE 'HIGHT' END AS risk_tier,
+          CASE WHEN tier0 = 'LOW' THEN 'REC_LOW' WHEN tier0 = 'MEDIUM' AND m_ >= 0.20::DOUBLE THEN 'REC_DOCS'
+               WHEN d_ > 0.9::DOUBLE THEN 'REC_REDUCE' ELSE 'REC_DECLINE' END AS recommendation FROM t)"""
+CUSTOMER_FACTS = (CUSTOMER_FACTS.replace("'LOWT'", q(CR.LOW)).replace("'MEDT'", q(CR.MEDIUM)).replace("'HIGHT'", q(CR.HIGH))
+                  .replace("'REC_LOW'", q(CR.V3_RECOMMENDATION_LOW)).replace("'REC_DOCS'", q(CR.V3_RECOMMENDATION_DOCS))
+                  .replace("'REC_REDUCE'", q(CR.V3_RECOMMENDATION_REDUCE))
+                  .replace("'REC_DECLINE'", q(CR.V3_RECOMMENDATION_DECLINE)))
+ORACLE["customer_credit_facts"] = f"""WITH {CUSTOMER_FACTS}
+SELECT c_custkey, revenue, expense, debt, cash, profit, profit_margin, debt_to_revenue, cash_to_debt, risk_tier, recommendation FROM k"""
+ORACLE["customer_risk_rollup"] = f"""WITH {CUSTOMER_FACTS}
+SELECT c_mktsegment, risk_tier, recommendation, count(*) AS n_customers, sum(revenue) AS revenue_cents,
+  count_if(debt = 0) AS n_zero_debt FROM k GROUP BY 1, 2, 3"""
+
+
+# --- splits -----------------------------------------------------------------------------------
+
+ORACLE["seeded_split"] = """
+WITH n AS (SELECT count(*) AS n FROM documents),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id) AS rn FROM documents)
+SELECT doc_id, CASE WHEN rn <= (CASE WHEN n > 1 THEN greatest(1, CAST(floor(n * 0.1::DOUBLE) AS BIGINT)) ELSE 0 END)
+  THEN CASE WHEN n > 1 AND greatest(1, CAST(floor(n * 0.1::DOUBLE) AS BIGINT)) >= n THEN 'both' ELSE 'val' END
+  ELSE 'train' END AS split
+FROM r, n"""
+ORACLE["prefix_split"] = f"""
+WITH v AS ({v2_sql()}), n AS (SELECT count(*) AS n FROM v),
+r AS (SELECT idx, row_number() OVER (ORDER BY idx) AS rn FROM v)
+SELECT idx, CASE WHEN rn <= CAST(floor(n * 0.9::DOUBLE) AS BIGINT) THEN 'train' ELSE 'val' END AS split FROM r, n"""
+ORACLE["sft_v3_stratified_split"] = f"""
+WITH v AS ({v3_sql()}),
+r AS (SELECT gidx, domain, row_number() OVER (PARTITION BY domain ORDER BY gidx) AS group_rank,
+             count(*) OVER (PARTITION BY domain) AS cnt FROM v)
+SELECT gidx, domain, group_rank, CASE WHEN group_rank <= floor(cnt * 0.9::DOUBLE) THEN 'train' ELSE 'val' END AS split FROM r"""
+ORACLE["dedup_by_hash"] = """
+SELECT source, count(*) AS n_docs, count(DISTINCT sha256(text)) AS n_distinct_payloads,
+  count(*) - count(DISTINCT sha256(text)) AS n_cache_hits FROM documents GROUP BY source"""

@@ -80,3 +80,340 @@ def q_sft_v2(spark, sf_dir):
 @query("sft_v3_generate")
 def q_sft_v3(spark, sf_dir):
     return v3_corpus(spark, sf_dir)
+
+
+# --- lending-language rules over the generated v1 corpus and the documents --------
+
+from ..functions import lending as L  # noqa: E402
+from ..functions import text as TX  # noqa: E402
+from ..operators import conversation as CV  # noqa: E402
+from ..operators import credit_jobs as CJ  # noqa: E402
+from ..operators import evaluate as EV  # noqa: E402
+from ..operators import lending_jobs as LJ  # noqa: E402
+from ..operators import quality as Q  # noqa: E402
+from ..operators import split as SP  # noqa: E402
+from ..operators import templates_v2 as T2  # noqa: E402
+
+
+def _join(col, sep="|"):
+    return F.array_join(col, sep)
+
+
+@query("compliance_issues")
+def q_compliance_issues(spark, sf_dir):
+    s = LJ.compliance_scan(v1_corpus(spark, sf_dir), "user")
+    return s.select("idx", F.size("issues").alias("n_issues"),
+                    _join(F.col("compliance_warnings")).alias("categories"),
+                    _join(F.transform("issues", lambda i: i["phrase"])).alias("phrases"),
+                    "is_safe", "decision")
+
+
+@query("compliance_safer_text")
+def q_compliance_safer(spark, sf_dir):
+    s = LJ.compliance_scan(v1_corpus(spark, sf_dir), "user")
+    return s.select("idx", "safer_text", _join(F.col("safer_alternatives")).alias("alternatives"))
+
+
+@query("compliance_report")
+def q_compliance_report(spark, sf_dir):
+    corpus_ = v1_corpus(spark, sf_dir)
+    both = corpus_.select("domain", F.col("user").alias("text")).unionByName(
+        corpus_.select("domain", F.col("assistant").alias("text")))
+    return LJ.compliance_report(LJ.compliance_scan(both, "text"), keys=("domain",))
+
+
+@query("glossary_check")
+def q_glossary_check(spark, sf_dir):
+    g = LJ.glossary_job(v1_corpus(spark, sf_dir), "user", "lendex_finance")
+    return g.select("idx", _join(F.col("terms_used")).alias("terms_used"),
+                    _join(F.col("glossary_warnings")).alias("glossary_warnings"),
+                    F.size("glossary_warnings").alias("n_warnings"))
+
+
+def _extraction_cols(df, key):
+    return df.select(key, "loan_amount", "loan_term_months", "monthly_income", "employment_status",
+                     "collateral", "loan_type", "phone_number",
+                     _join(F.col("missing_fields"), ",").alias("missing_fields"),
+                     F.size("missing_fields").alias("n_missing"))
+
+
+@query("loan_extraction")
+def q_loan_extraction(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _extraction_cols(LJ.extraction_job(docs, "text"), "doc_id")
+
+
+@query("loan_extraction_sft")
+def q_loan_extraction_sft(spark, sf_dir):
+    return _extraction_cols(LJ.extraction_job(v1_corpus(spark, sf_dir), "user"), "idx")
+
+
+@query("missing_fields_report")
+def q_missing_fields_report(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("source", "text")
+    return LJ.completeness_report(LJ.extraction_job(docs, "text"), keys=("source",))
+
+
+@query("confidence_scores")
+def q_confidence_scores(spark, sf_dir):
+    e = LJ.extraction_job(v1_corpus(spark, sf_dir), "user")
+    return e.select("idx", "domain", "confidence")
+
+
+@query("review_routing")
+def q_review_routing(spark, sf_dir):
+    v1 = v1_corpus(spark, sf_dir).filter(F.col("domain") == "finance_translation")
+    r = LJ.review_job(v1, "assistant", "user", glossary_id="lendex_finance")
+    return r.select("idx", "confidence", "requires_human_review", "reason",
+                    F.size("glossary_warnings").alias("n_glossary_warnings"),
+                    _join(F.col("terms_used")).alias("terms_used"))
+
+
+@query("strip_reasoning")
+def q_strip_reasoning(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("role", "text")
+    return corpus.reasoning_report(turns, keys=("role",))
+
+
+# --- conversations ---------------------------------------------------------------------
+
+@query("conversation_messages")
+def q_conversation_messages(spark, sf_dir):
+    m = CV.to_messages(table(spark, sf_dir, "conversations"))
+    return m.select("conv_id", F.size("messages").alias("n_messages"),
+                    F.array_join(F.transform("messages", lambda x: x["role"]), ",").alias("role_sequence"),
+                    F.aggregate("messages", F.lit(0).cast("bigint"),
+                                lambda acc, x: acc + F.length(x["content"])).alias("total_chars"))
+
+
+@query("latest_user_turn")
+def q_latest_user_turn(spark, sf_dir):
+    return CV.latest_user_turn(table(spark, sf_dir, "conversations"))
+
+
+@query("message_validation")
+def q_message_validation(spark, sf_dir):
+    return CV.message_validation(table(spark, sf_dir, "conversations")).select("conv_id", "error")
+
+
+@query("chat_audit")
+def q_chat_audit(spark, sf_dir):
+    a = CV.chat_audit(table(spark, sf_dir, "conversations"))
+    return a.select("conv_id", "language", "confidence", F.size("issues").alias("n_issues"),
+                    F.array_join("missing_application_fields", ",").alias("missing_application_fields"))
+
+
+@query("context_missing_fields")
+def q_context_missing(spark, sf_dir):
+    a = CV.chat_audit(table(spark, sf_dir, "conversations"))
+    return a.select("conv_id", F.array_join("missing_application_fields", ",").alias("missing_application_fields"))
+
+
+# --- credit ---------------------------------------------------------------------------------
+
+def v2_metrics(spark, sf_dir):
+    return G.metrics_v2(G.scenario_v2(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("idx"))))
+
+
+def v3_metrics(spark, sf_dir):
+    return G.metrics_v3(G.scenario_v3(table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).alias("gidx"))))
+
+
+@query("credit_ratios_v2")
+def q_credit_ratios_v2(spark, sf_dir):
+    return v2_metrics(spark, sf_dir).select("idx", "profit", "profit_margin", "expense_ratio", "debt_to_revenue",
+                                            "cash_to_debt", "monthly_repayment", "collateral_coverage")
+
+
+@query("credit_ratios_v3")
+def q_credit_ratios_v3(spark, sf_dir):
+    return v3_metrics(spark, sf_dir).select("gidx", "profit", "profit_margin", "expense_ratio", "debt_to_revenue",
+                                            "cash_to_debt", "monthly_repayment")
+
+
+@query("risk_tiers")
+def q_risk_tiers(spark, sf_dir):
+    v2 = v2_metrics(spark, sf_dir).select(F.lit("v2").alias("version"), F.col("risk_tier"),
+                                          F.lit(None).cast("string").alias("recommendation"))
+    v3 = v3_metrics(spark, sf_dir).select(F.lit("v3").alias("version"), "risk_tier", "recommendation")
+    return v2.unionByName(v3).groupBy("version", "risk_tier", "recommendation").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("red_flags")
+def q_red_flags(spark, sf_dir):
+    m = v2_metrics(spark, sf_dir)
+    return m.select("idx", F.array_join("red_flags", ", ").alias("flags"), F.size("red_flags").alias("n_flags"))
+
+
+@query("red_flag_frequency")
+def q_red_flag_frequency(spark, sf_dir):
+    return CJ.red_flag_frequency(v2_metrics(spark, sf_dir))
+
+
+@query("collateral_tiers")
+def q_collateral_tiers(spark, sf_dir):
+    return v2_metrics(spark, sf_dir).select("idx", "collateral_coverage", "collateral_tier")
+
+
+@query("repayment_tiers")
+def q_repayment_tiers(spark, sf_dir):
+    return v2_metrics(spark, sf_dir).select("idx", "repayment_coverage", "repayment_tier")
+
+
+@query("cashflow_tiers")
+def q_cashflow_tiers(spark, sf_dir):
+    return v2_metrics(spark, sf_dir).select("idx", "net_after_debt", "cashflow_tier")
+
+
+def customer_risk_table(spark, sf_dir):
+    facts = CJ.customer_facts(table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders"),
+                              table(spark, sf_dir, "lineitem"))
+    return CJ.customer_risk(facts)
+
+
+@query("customer_risk_rollup")
+def q_customer_risk_rollup(spark, sf_dir):
+    return CJ.risk_rollup(customer_risk_table(spark, sf_dir), keys=("c_mktsegment",))
+
+
+@query("customer_credit_facts")
+def q_customer_credit_facts(spark, sf_dir):
+    return customer_risk_table(spark, sf_dir).select(
+        "c_custkey", "revenue", "expense", "debt", "cash", "profit", "profit_margin", "debt_to_revenue",
+        "cash_to_debt", "risk_tier", "recommendation")
+
+
+# --- splits and memoisation -----------------------------------------------------------------
+
+@query("seeded_split")
+def q_seeded_split(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    return SP.seeded_split(docs, "doc_id", seed=42, val_ratio=0.1).select("doc_id", "split")
+
+
+@query("prefix_split")
+def q_prefix_split(spark, sf_dir):
+    return SP.prefix_split(v2_corpus(spark, sf_dir).select("idx", "domain"), "idx", 0.9).select("idx", "split")
+
+
+@query("sft_v3_stratified_split")
+def q_v3_split(spark, sf_dir):
+    v3 = v3_corpus(spark, sf_dir).select("gidx", "domain")
+    return SP.stratified_prefix_split(v3, "domain", "gidx", 0.9).select("gidx", "domain", "group_rank", "split")
+
+
+@query("dedup_by_hash")
+def q_dedup_by_hash(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    once = SP.compute_once(docs, SP.content_key("doc", F.col("text")), "text",
+                           lambda t: L.heuristic_confidence(TX.redact_pii(t), F.lit(0)), "confidence")
+    return once.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"),
+                                      F.count_distinct("cache_key").alias("n_distinct_payloads"),
+                                      (F.count(F.lit(1)) - F.count_distinct("cache_key")).alias("n_cache_hits"))
+
+
+# --- quality gates -----------------------------------------------------------------------
+
+@query("quality_v2")
+def q_quality_v2(spark, sf_dir):
+    checked = Q.v2_violations(v2_corpus(spark, sf_dir))
+    return checked.select("idx", "domain", "mn_chars", "metric_terms", "first_violation",
+                          F.size("violations").alias("n_violations"))
+
+
+@query("quality_v3")
+def q_quality_v3(spark, sf_dir):
+    checked = Q.v3_violations(v3_corpus(spark, sf_dir))
+    return checked.select("gidx", "domain", "mn_chars", "metric_matches", "first_violation",
+                          F.size("violations").alias("n_violations"))
+
+
+@query("quality_v3_verdict")
+def q_quality_v3_verdict(spark, sf_dir):
+    return Q.verdict(Q.v3_violations(v3_corpus(spark, sf_dir)), "gidx")
+
+
+@query("prompt_figures_roundtrip")
+def q_figures_roundtrip(spark, sf_dir):
+    v3 = v3_corpus(spark, sf_dir).join(
+        G.scenario_v3(table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).alias("gidx"))), "gidx")
+    return Q.figures_roundtrip(v3)
+
+
+@query("domain_coverage")
+def q_domain_coverage(spark, sf_dir):
+    return Q.domain_coverage(v2_corpus(spark, sf_dir), T2.TASKS)
+
+
+@query("domain_quota")
+def q_domain_quota(spark, sf_dir):
+    v3 = v3_corpus(spark, sf_dir)
+    n = v3.count()
+    exp = Q.cycle_expected_counts(n)
+    expected = spark.createDataFrame(list(exp.items()), "domain string, expected bigint")
+    actual = v3.groupBy("domain").agg(F.count(F.lit(1)).alias("actual"))
+    return (expected.join(actual, "domain", "full_outer")
+                    .withColumn("matches", F.col("expected").eqNullSafe(F.col("actual"))))
+
+
+@query("dataset_invariants")
+def q_dataset_invariants(spark, sf_dir):
+    v1 = v1_corpus(spark, sf_dir)
+    all_text = F.concat_ws("\n", "id", "system", "user", "assistant", "domain", "source")
+    counts = v1.groupBy("domain").count()
+    per_domain = counts.agg(F.min("count").alias("min_domain_rows"), F.max("count").alias("max_domain_rows"),
+                            F.count(F.lit(1)).alias("n_domains"))
+    unsafe = ["заавал батална", "баталгаатай зөвшөөрнө", "guaranteed approval", "final approval is confirmed"]
+    low = F.lower("assistant")
+    inv = v1.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.bool_and((F.col("source") == "synthetic_lendex_datagate_v1") & (F.col("license_status") == "synthetic")
+                   & (F.col("allowed_usage") == "training_allowed") & F.col("contains_pii").eqNullSafe(False))
+         .alias("metadata_ok"),
+        F.count_if(TX.has_phone(all_text) | TX.has_email(all_text) | TX.has_register(all_text)).alias("n_pii_rows"),
+        F.count_if(~F.col("assistant").contains("Та")).alias("n_impolite"),
+        F.count_if(~low.contains("эцсийн")).alias("n_no_final_review"),
+        F.count_if(F.greatest(*[low.contains(p) for p in unsafe])).alias("n_unsafe"),
+        F.count_if(TX.is_blank("system") | TX.is_blank("user") | TX.is_blank("assistant")).alias("n_blank_messages"),
+    )
+    return _one_row_join(inv, per_domain)
+
+
+def _one_row_join(a, b):
+    """Join two one-row aggregates (equi-join on a constant key, both sides one row)."""
+    return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")
+
+
+# --- evaluation ------------------------------------------------------------------------------
+
+@query("eval_scores")
+def q_eval_scores(spark, sf_dir):
+    b = table(spark, sf_dir, "benchmark")
+    return b.select(F.col("item_id"), EV.offline_score("text").alias("offline_score"),
+                    EV.service_score("text").alias("service_score"))
+
+
+@query("eval_summary")
+def q_eval_summary(spark, sf_dir):
+    scores = EV.score_items(table(spark, sf_dir, "benchmark"), "item_id", "text", "offline")
+    return EV.summary(scores).drop("mean_score_raw")
+
+
+@query("score_regression")
+def q_score_regression(spark, sf_dir):
+    b = table(spark, sf_dir, "benchmark")
+    cand = EV.score_items(b, "item_id", "text", "offline")
+    prod = EV.score_items(b, "item_id", "text", "service")
+    r = EV.regression(cand, prod)
+    return r.agg(F.count(F.lit(1)).alias("n_items"), F.count_if("regressed").alias("n_regressed"),
+                 F.round(F.avg("delta"), 6).alias("mean_delta"))
+
+
+@query("labelled_quality_report")
+def q_labelled_quality(spark, sf_dir):
+    docs = corpus.pii_flags(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    labels = table(spark, sf_dir, "labels")
+    j = docs.join(labels, "doc_id", "inner")
+    return j.groupBy("quality", "toxic").agg(
+        F.count(F.lit(1)).alias("n_docs"),
+        F.count_if(F.col("has_phone") | F.col("has_email") | F.col("has_long_number")).alias("n_pii_docs"))
