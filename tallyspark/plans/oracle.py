@@ -530,3 +530,169 @@ SELECT gidx, domain, group_rank, CASE WHEN group_rank <= floor(cnt * 0.9::DOUBLE
 ORACLE["dedup_by_hash"] = """
 SELECT source, count(*) AS n_docs, count(DISTINCT sha256(text)) AS n_distinct_payloads,
   count(*) - count(DISTINCT sha256(text)) AS n_cache_hits FROM documents GROUP BY source"""
+
+
+# --- quality gates -------------------------------------------------------------------------
+
+def _first_sql(low: str, items, msg: str) -> str:
+    return "CASE " + " ".join(f"WHEN contains({low}, {q(it.lower())}) THEN {q(msg.format(it))}" for it in items) + " END"
+
+
+def _mn(x: str) -> str:
+    return count_class(x, P.MN_LETTERS)
+
+
+def _latin(x: str) -> str:
+    return count_class(x, P.LATIN_LETTERS)
+
+
+def _metric_terms(x: str) -> str:
+    return " + ".join(f"CAST(contains(lower({x}), {q(t)}) AS INTEGER)" for t in QL.V2_METRIC_TERMS)
+
+
+def v2_gate_sql() -> str:
+    a, low = "assistant", "lower(assistant)"
+    memo = "CASE " + " ".join(f"WHEN NOT contains(assistant, {q(r)}) THEN {q('credit memo missing required field: ' + r)}"
+                              for r in QL.V2_MEMO_REQUIRED) + " END"
+    rules = [
+        f"CASE WHEN NOT coalesce(domain IN ({', '.join(q(t) for t in T2.TASKS)}), false) THEN concat('missing or invalid domain: ', coalesce(domain, 'None')) END",
+        "CASE WHEN contains_pii IS DISTINCT FROM false THEN 'contains_pii must be false' END",
+        f"CASE WHEN source IS DISTINCT FROM {q(T2.SOURCE)} THEN 'unexpected source metadata' END",
+        "CAST(NULL AS VARCHAR)",
+        _first_sql(low, QL.V2_FORBIDDEN, "forbidden text found: {}"),
+        f"CASE WHEN {_latin(a)} > {_mn(a)} * {D(0.35)} THEN 'assistant output is mostly English' END",
+        f"CASE WHEN {_mn(a)} < 80 THEN 'assistant output is shorter than 80 Mongolian characters' END",
+        f"CASE WHEN NOT contains({low}, {q(QL.V2_RISK_WORD)}) AND domain IS DISTINCT FROM {q(QL.V2_RISK_EXEMPT_DOMAIN)} THEN 'risk level or risk discussion is missing' END",
+        f"CASE WHEN domain = 'credit_memo' THEN {memo} END",
+        f"CASE WHEN numeric_example IS NOT DISTINCT FROM true AND ({_metric_terms(a)}) < 1 THEN 'numeric example has no calculated metric' END",
+    ]
+    return f"""
+    WITH v AS ({v2_sql()}), c AS (SELECT idx, domain, {_mn(a)} AS mn_chars, {_metric_terms(a)} AS metric_terms,
+                                       {lst(rules)} AS viol FROM v)
+    SELECT idx, domain, mn_chars, metric_terms, viol[1] AS first_violation, CAST(len(viol) AS INTEGER) AS n_violations FROM c"""
+
+
+ORACLE["quality_v2"] = v2_gate_sql()
+
+
+def v3_gate_cte() -> str:
+    a = "assistant"
+    figs = {k: f"TRY_CAST(nullif(regexp_extract(\"user\", {q(f'(?i){label}[{P.WS}]+([0-9]+)[{P.WS}]+{unit}')}, 1), '') AS BIGINT)"
+            for k, label, unit in T3.PROMPT_FIGURES}
+    fig_cols = ", ".join(f"{v} AS f_{k}" for k, v in figs.items())
+    missing = "CASE " + " ".join(f"WHEN f_{k} IS NULL THEN {q('missing numeric field in prompt: ' + k)}"
+                                 for k, _l, _u in T3.PROMPT_FIGURES) + " END"
+    div = lambda n, d: f"CASE WHEN ({d}) <> 0 THEN ({n}) / ({d}) END"
+    metrics = {
+        "Орлого": money_sql("f_revenue", "₮"), "Зардал": money_sql("f_expense", "₮"),
+        "Тооцоолсон ашиг": money_sql("f_revenue - f_expense", "₮"),
+        "Ашгийн маржин": percent_sql(div("f_revenue - f_expense", "f_revenue")),
+        "Зардлын харьцаа": percent_sql(div("f_expense", "f_revenue")),
+        "Өр/орлогын харьцаа": percent_sql(div("f_debt", "f_revenue")),
+        "Мөнгө/өрийн харьцаа": percent_sql(div("f_cash", "f_debt")),
+        "Сарын төлбөрийн ойролцоо тооцоо": money_sql(f"coalesce({div('f_loan_amount', 'f_term_months')}, {D(0.0)})", "₮"),
+    }
+    mcols = ", ".join(f"{v} AS m{i}" for i, v in enumerate(metrics.values()))
+    labels = list(metrics)
+    matches = " + ".join(f"CAST(coalesce(contains(lower({a}), {q(lab.lower())}) AND contains({a}, m{i}), false) AS INTEGER)"
+                         for i, lab in enumerate(labels))
+    strict_mis = "CASE " + " ".join(
+        f"WHEN NOT contains({a}, m{labels.index(lab)}) THEN concat({q('metric mismatch for ' + lab + ': expected ')}, m{labels.index(lab)})"
+        for lab in T3.STRICT_METRIC_LABELS) + " END"
+    req = "CASE " + " ".join(f"WHEN NOT contains({a}, {q(f)}) THEN {q('missing required numeric field: ' + f)}"
+                             for f in T3.REQUIRED_NUMERIC_FIELDS) + " END"
+    numeric = f"domain IN ({', '.join(q(d) for d in T3.NUMERIC_DOMAINS)})"
+    strict = f"domain IN ({', '.join(q(d) for d in T3.STRICT_MEMO_DOMAINS)})"
+    rules = [
+        f"CASE WHEN NOT coalesce(domain IN ({', '.join(q(d) for d, _ in T3.DOMAIN_QUOTAS)}), false) THEN concat('unknown domain ', coalesce(domain, 'None')) END",
+        f"CASE WHEN source IS DISTINCT FROM {q(T3.SOURCE)} THEN 'unexpected source' END",
+        "CASE WHEN contains_pii IS DISTINCT FROM false THEN 'contains_pii must be false' END",
+        f"CASE WHEN regexp_matches({a}, {q(_think_tag)}) THEN 'thinking tag found' END",
+        _first_sql(f"lower({a})", T3.BAD_PHRASES, "banned phrase found: {}"),
+        f"CASE WHEN {_latin(a)} > {_mn(a)} * {D(0.25)} THEN 'output is mostly English' END",
+        f"CASE WHEN domain = 'credit_memo_numeric' AND {_mn(a)} < 250 THEN 'credit memo output shorter than 250 Mongolian characters' END",
+        f"CASE WHEN {strict} THEN {req} END",
+        f"CASE WHEN {numeric} THEN {missing} END",
+        f"CASE WHEN {numeric} AND {strict} AND ({missing}) IS NULL THEN {strict_mis} END",
+        f"CASE WHEN {numeric} AND ({missing}) IS NULL AND ({matches}) < 3 THEN 'numeric output has fewer than 3 calculated metric matches' END",
+    ]
+    return f"""
+    v AS ({v3_sql()}),
+    f AS (SELECT *, {fig_cols} FROM v),
+    g AS (SELECT *, {mcols} FROM f),
+    c AS (SELECT gidx, domain, source, {_mn(a)} AS mn_chars, {matches} AS metric_matches, {lst(rules)} AS viol,
+                 f_revenue, f_expense, f_debt, f_cash, f_loan_amount, f_term_months FROM g)"""
+
+
+ORACLE["quality_v3"] = f"""WITH {v3_gate_cte()}
+SELECT gidx, domain, mn_chars, metric_matches, viol[1] AS first_violation, CAST(len(viol) AS INTEGER) AS n_violations FROM c"""
+ORACLE["quality_v3_verdict"] = f"""WITH {v3_gate_cte()}
+SELECT count(*) AS rows, count_if(viol[1] IS NOT NULL) AS failing_rows,
+  min_by(viol[1], CASE WHEN viol[1] IS NOT NULL THEN gidx END) FILTER (WHERE viol[1] IS NOT NULL) AS first_failure,
+  count(DISTINCT domain) AS n_domains, count(DISTINCT source) AS n_sources,
+  CASE WHEN count_if(viol[1] IS NOT NULL) = 0 AND count(*) > 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM c"""
+
+_scen = v3_metrics_sql()
+ORACLE["prompt_figures_roundtrip"] = f"""WITH {v3_gate_cte()}, s AS ({_scen})
+SELECT c.gidx, f_revenue AS parsed_revenue, f_expense AS parsed_expense, f_debt AS parsed_debt, f_cash AS parsed_cash,
+  f_loan_amount AS parsed_loan_amount, f_term_months AS parsed_term_months,
+  coalesce(f_revenue = s.revenue AND f_expense = s.expense AND f_debt = s.debt AND f_cash = s.cash
+           AND f_loan_amount = s.loan_amount AND f_term_months = s.term_months, false) AS roundtrip_ok
+FROM c JOIN s ON c.gidx = s.gidx"""
+
+ORACLE["domain_coverage"] = f"""
+WITH v AS ({v2_sql()}), r AS (SELECT unnest([{', '.join(q(t) for t in T2.TASKS)}]) AS domain),
+c AS (SELECT domain, count(*) AS n FROM v GROUP BY domain)
+SELECT r.domain, coalesce(c.n, 0) AS n_rows, coalesce(c.n, 0) = 0 AS missing FROM r LEFT JOIN c ON r.domain = c.domain"""
+
+
+def _quota_expected() -> str:
+    parts, start = [], 0
+    for d, qn in T3.DOMAIN_QUOTAS:
+        parts.append(f"SELECT {q(d)} AS domain, (n // {T3.CYCLE}) * {qn} + least(greatest(n % {T3.CYCLE} - {start}, 0), {qn}) AS expected FROM n")
+        start += qn
+    return " UNION ALL ".join(parts)
+
+
+ORACLE["domain_quota"] = f"""
+WITH v AS ({v3_sql()}), n AS (SELECT count(*) AS n FROM v),
+e AS ({_quota_expected()}), a AS (SELECT domain, count(*) AS actual FROM v GROUP BY domain)
+SELECT coalesce(e.domain, a.domain) AS domain, e.expected, a.actual, e.expected IS NOT DISTINCT FROM a.actual AS matches
+FROM e FULL OUTER JOIN a ON e.domain = a.domain"""
+
+_all = "concat_ws(chr(10), id, system, \"user\", assistant, domain, source)"
+_unsafe = ["заавал батална", "баталгаатай зөвшөөрнө", "guaranteed approval", "final approval is confirmed"]
+ORACLE["dataset_invariants"] = f"""
+WITH {V1_CTE}, d AS (SELECT domain, count(*) AS c FROM v GROUP BY domain)
+SELECT * FROM (
+  SELECT count(*) AS n_rows,
+    bool_and(source = 'synthetic_lendex_datagate_v1' AND license_status = 'synthetic' AND allowed_usage = 'training_allowed'
+             AND contains_pii IS NOT DISTINCT FROM false) AS metadata_ok,
+    count_if(regexp_matches({_all}, {q(P.PHONE_RE2_EXISTS)}) OR regexp_matches({_all}, {q(P.EMAIL_RE2_EXISTS)})
+             OR regexp_matches({_all}, {q(P.REGISTER_RE2_EXISTS)})) AS n_pii_rows,
+    count_if(NOT contains(assistant, 'Та')) AS n_impolite,
+    count_if(NOT contains(lower(assistant), 'эцсийн')) AS n_no_final_review,
+    count_if({' OR '.join(f"contains(lower(assistant), {q(p)})" for p in _unsafe)}) AS n_unsafe,
+    count_if(length({py_strip_sql('system')}) = 0 OR length({py_strip_sql('"user"')}) = 0
+             OR length({py_strip_sql('assistant')}) = 0) AS n_blank_messages
+  FROM v),
+  (SELECT min(c) AS min_domain_rows, max(c) AS max_domain_rows, count(*) AS n_domains FROM d)"""
+
+
+# --- evaluation ---------------------------------------------------------------------------
+
+_off = (f"CASE WHEN coalesce(length(text), 0) = 0 THEN {D(0.5)} WHEN length({py_strip_sql('text')}) < 10 THEN {D(0.65)} "
+        f"ELSE {D(0.8)} END")
+_svc = f"CASE WHEN text IS NULL OR length({py_strip_sql('text')}) = 0 THEN {D(0.5)} ELSE {D(0.8)} END"
+ORACLE["eval_scores"] = f"SELECT item_id, {_off} AS offline_score, {_svc} AS service_score FROM benchmark"
+ORACLE["eval_summary"] = f"""
+SELECT count(*) AS n_items, coalesce(round(avg({_off}), 3), 0.0::DOUBLE) AS average_score,
+  'Qwen3-235B-A22B-Instruct-2507' AS judge_model FROM benchmark"""
+ORACLE["score_regression"] = f"""
+SELECT count(*) AS n_items, count_if(({_off}) - ({_svc}) < 0) AS n_regressed,
+  round(avg(({_off}) - ({_svc})), 6) AS mean_delta FROM benchmark"""
+ORACLE["labelled_quality_report"] = f"""
+SELECT quality, toxic, count(*) AS n_docs,
+  count_if(regexp_matches(text, {q(P.PHONE_RE2_EXISTS)}) OR regexp_matches(text, {q(P.EMAIL_RE2_EXISTS)})
+           OR regexp_matches(text, {q(P.LONG_NUMBER_RE2_EXISTS)})) AS n_pii_docs
+FROM documents JOIN labels USING (doc_id) GROUP BY quality, toxic"""
