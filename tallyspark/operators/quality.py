@@ -53,9 +53,13 @@ def role_sequence_ok(messages: Column) -> Column:
 
 def v2_violations(df: DataFrame, roles_ok: Column | None = None) -> DataFrame:
     """Q1 over flat v2 records (domain, source, contains_pii, assistant, numeric_example)."""
+    df = (df.withColumn("mn_chars", TX.mongolian_count(F.col("assistant")))
+            .withColumn("_latin", TX.latin_count(F.col("assistant")))
+            .withColumn("_low", F.lower(F.col("assistant")))
+            .withColumn("metric_terms", metric_term_count(F.col("_low"))))
     out = F.col("assistant")
-    low = F.lower(out)
-    mn = TX.mongolian_count(out)
+    low = F.col("_low")
+    mn = F.col("mn_chars")
     rules = [
         F.when(~F.coalesce(F.col("domain").isin(*T2.TASKS), F.lit(False)),
                F.concat(F.lit("missing or invalid domain: "), F.coalesce(F.col("domain"), F.lit("None")))),
@@ -64,19 +68,18 @@ def v2_violations(df: DataFrame, roles_ok: Column | None = None) -> DataFrame:
         F.when(~(roles_ok if roles_ok is not None else F.lit(True)),
                F.lit("messages must use system/user/assistant format")),
         _first_hit(low, V2_FORBIDDEN, "forbidden text found: {}"),
-        F.when(TX.mostly_english(out, 0.35), F.lit("assistant output is mostly English")),
+        F.when(F.col("_latin") > mn * F.lit(0.35), F.lit("assistant output is mostly English")),
         F.when(mn < 80, F.lit("assistant output is shorter than 80 Mongolian characters")),
         F.when(~low.contains(V2_RISK_WORD) & ~F.col("domain").eqNullSafe(V2_RISK_EXEMPT_DOMAIN),
                F.lit("risk level or risk discussion is missing")),
         F.when(F.col("domain") == "credit_memo",
                F.coalesce(*[F.when(~out.contains(F.lit(r)), F.lit(f"credit memo missing required field: {r}"))
                             for r in V2_MEMO_REQUIRED])),
-        F.when(F.col("numeric_example").eqNullSafe(True) & (metric_term_count(out) < 1),
+        F.when(F.col("numeric_example").eqNullSafe(True) & (F.col("metric_terms") < 1),
                F.lit("numeric example has no calculated metric")),
     ]
-    v = F.array_compact(F.array(*rules))
-    return (df.withColumn("mn_chars", mn).withColumn("metric_terms", metric_term_count(out))
-              .withColumn("violations", v).withColumn("first_violation", F.get(v, 0)))
+    return (df.withColumn("violations", F.array_compact(F.array(*rules)))
+              .withColumn("first_violation", F.get(F.col("violations"), 0)).drop("_latin", "_low"))
 
 
 # --- v3 -----------------------------------------------------------------------------
@@ -130,17 +133,30 @@ def metric_matches(output: Column, metrics: dict) -> Column:
 
 
 def v3_violations(df: DataFrame) -> DataFrame:
-    """Q2 over flat v3 records (domain, source, contains_pii, user, assistant)."""
+    """Q2 over flat v3 records (domain, source, contains_pii, user, assistant).
+
+    Prompt figures, expected metric texts and counts are materialised as columns
+    first, so each rule references them instead of re-deriving them."""
+    figs = prompt_figures(F.col("user"))
+    for k, v in figs.items():
+        df = df.withColumn(f"_f_{k}", v)
+    fcols = {k: F.col(f"_f_{k}") for k in figs}
+    metrics = expected_metrics(fcols)
+    labels = list(metrics)
+    for i, lab in enumerate(labels):
+        df = df.withColumn(f"_m{i}", metrics[lab])
+    mcols = {lab: F.col(f"_m{i}") for i, lab in enumerate(labels)}
     out = F.col("assistant")
+    df = (df.withColumn("mn_chars", TX.mongolian_count(out))
+            .withColumn("_latin", TX.latin_count(out))
+            .withColumn("metric_matches", metric_matches(out, mcols))
+            .withColumn("_fig_missing", missing_figure(fcols)))
     low = F.lower(out)
-    mn = TX.mongolian_count(out)
+    mn = F.col("mn_chars")
     dom = F.col("domain")
-    figs = prompt_figures(F.col("user"))
-    metrics = expected_metrics(figs)
-    matches = metric_matches(out, metrics)
     numeric = dom.isin(*T3.NUMERIC_DOMAINS)
     strict = dom.isin(*T3.STRICT_MEMO_DOMAINS)
-    fig_missing = missing_figure(figs)
+    fig_missing = F.col("_fig_missing")
     rules = [
         F.when(~F.coalesce(dom.isin(*[d for d, _ in T3.DOMAIN_QUOTAS]), F.lit(False)),
                F.concat(F.lit("unknown domain "), F.coalesce(dom, F.lit("None")))),
@@ -148,22 +164,22 @@ def v3_violations(df: DataFrame) -> DataFrame:
         F.when(~F.col("contains_pii").eqNullSafe(False), F.lit("contains_pii must be false")),
         F.when(TX.has_think_tag_regex(out), F.lit("thinking tag found")),
         _first_hit(low, T3.BAD_PHRASES, "banned phrase found: {}"),
-        F.when(TX.mostly_english(out, 0.25), F.lit("output is mostly English")),
+        F.when(F.col("_latin") > mn * F.lit(0.25), F.lit("output is mostly English")),
         F.when((dom == "credit_memo_numeric") & (mn < 250),
                F.lit("credit memo output shorter than 250 Mongolian characters")),
         F.when(strict, F.coalesce(*[F.when(~out.contains(F.lit(f)), F.lit(f"missing required numeric field: {f}"))
                                     for f in T3.REQUIRED_NUMERIC_FIELDS])),
         F.when(numeric, fig_missing),
         F.when(numeric & strict & fig_missing.isNull(),
-               F.coalesce(*[F.when(~out.contains(metrics[lab]),
-                                   F.concat(F.lit(f"metric mismatch for {lab}: expected "), metrics[lab]))
+               F.coalesce(*[F.when(~out.contains(mcols[lab]),
+                                   F.concat(F.lit(f"metric mismatch for {lab}: expected "), mcols[lab]))
                             for lab in T3.STRICT_METRIC_LABELS])),
-        F.when(numeric & fig_missing.isNull() & (matches < 3),
+        F.when(numeric & fig_missing.isNull() & (F.col("metric_matches") < 3),
                F.lit("numeric output has fewer than 3 calculated metric matches")),
     ]
-    v = F.array_compact(F.array(*rules))
-    return (df.withColumn("mn_chars", mn).withColumn("metric_matches", matches)
-              .withColumn("violations", v).withColumn("first_violation", F.get(v, 0)))
+    tmp = [c for c in df.columns if c.startswith("_f_") or c.startswith("_m")] + ["_latin", "_fig_missing"]
+    return (df.withColumn("violations", F.array_compact(F.array(*rules)))
+              .withColumn("first_violation", F.get(F.col("violations"), 0)).drop(*tmp))
 
 
 def figures_roundtrip(df: DataFrame) -> DataFrame:

@@ -696,3 +696,46 @@ SELECT quality, toxic, count(*) AS n_docs,
   count_if(regexp_matches(text, {q(P.PHONE_RE2_EXISTS)}) OR regexp_matches(text, {q(P.EMAIL_RE2_EXISTS)})
            OR regexp_matches(text, {q(P.LONG_NUMBER_RE2_EXISTS)})) AS n_pii_docs
 FROM documents JOIN labels USING (doc_id) GROUP BY quality, toxic"""
+
+
+# --- gates ---------------------------------------------------------------------------------
+
+from ..operators import gates as GTS  # noqa: E402
+from ..sources import dims as DMS  # noqa: E402
+
+_man = " UNION ALL ".join(
+    f"SELECT {i} AS mord, {q(r[0])} AS manifest_name, {q(r[2])} AS source_url, {q(r[4])} AS allowed_usage, {q(r[3])} AS m_license"
+    for i, r in enumerate(DMS.MANIFEST))
+DOC_PROV = f"""
+  man AS ({_man}),
+  dk AS (SELECT doc_id, source, text,
+           CASE WHEN regexp_extract(source, '([0-9]+)', 1) <> '' THEN CAST(CAST(regexp_extract(source, '([0-9]+)', 1) AS BIGINT) % {len(DMS.MANIFEST)} AS INTEGER) END AS mord
+         FROM documents),
+  p AS (SELECT dk.doc_id, dk.source, man.manifest_name, man.source_url, man.allowed_usage, CAST(NULL AS VARCHAR) AS retrieval_date,
+          nullif(regexp_extract(dk.text, {q(GTS.LICENSE_LINE_RE2)}, 0), '') AS license_status
+        FROM dk LEFT JOIN man ON dk.mord = man.mord)"""
+_t = lambda c: f"coalesce(CAST({c} AS VARCHAR) <> '', false)"
+ORACLE["rights_gate"] = f"""WITH {DOC_PROV}
+SELECT source, count(*) AS n_docs, count_if({_t('license_status')} AND {_t('allowed_usage')}) AS n_kept FROM p GROUP BY source"""
+ORACLE["provenance_missing"] = f"""WITH {DOC_PROV}
+SELECT source, count(*) AS n_docs, {', '.join(f"count_if(NOT {_t(f)}) AS n_missing_{f}" for f in GTS.PROVENANCE_FIELDS)},
+  count_if({' AND '.join(_t(f) for f in GTS.PROVENANCE_FIELDS)}) AS n_complete FROM p GROUP BY source"""
+ORACLE["usage_eligibility"] = f"""WITH {DOC_PROV}
+SELECT source, manifest_name, allowed_usage, count(*) AS n_docs,
+  count_if(coalesce(allowed_usage IN ({', '.join(q(u) for u in DMS.TRAINING_USAGES)}), false)) AS n_eligible
+FROM p GROUP BY 1, 2, 3"""
+ORACLE["source_manifest"] = f"""WITH {DOC_PROV}
+SELECT manifest_name, source_url, count(DISTINCT source) AS n_sources, count(*) AS n_docs FROM p GROUP BY 1, 2"""
+ORACLE["translation_pairs"] = f"""
+WITH man AS ({_man}),
+u AS (SELECT conv_id, turn, text AS source_text FROM conversations WHERE role = 'user'),
+a AS (SELECT conv_id, turn - 1 AS turn, text AS target_text FROM conversations WHERE role = 'assistant'),
+pr AS (SELECT u.conv_id, source_text, target_text, CAST(u.conv_id % {len(DMS.MANIFEST)} AS INTEGER) AS mord
+       FROM u JOIN a ON u.conv_id = a.conv_id AND u.turn = a.turn)
+SELECT source_text, target_text, m_license AS license_status, allowed_usage, source_url
+FROM pr LEFT JOIN man ON pr.mord = man.mord
+WHERE coalesce(m_license <> '', false) AND coalesce(allowed_usage <> '', false)"""
+ORACLE["teacher_records"] = f"""
+SELECT concat('teacher-', CAST(conv_id AS VARCHAR)) AS id, concat({q(__import__('tallyspark.operators.generate', fromlist=['x']).TEACHER_ANSWER_PREFIX)}, arg_min(text, turn)) AS assistant,
+  'lending' AS domain, 'mn' AS language, false AS contains_pii, true AS human_review_required
+FROM conversations WHERE role = 'user' GROUP BY conv_id"""

@@ -417,3 +417,97 @@ def q_labelled_quality(spark, sf_dir):
     return j.groupBy("quality", "toxic").agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.count_if(F.col("has_phone") | F.col("has_email") | F.col("has_long_number")).alias("n_pii_docs"))
+
+
+# --- gates, sources, reshapes, streaming -----------------------------------------------------
+
+import uuid  # noqa: E402
+
+from ..operators import gates as GT  # noqa: E402
+from ..sources import dims as DM  # noqa: E402
+from ..streaming import redaction as SR  # noqa: E402
+
+RETRIEVAL_DATE = "2025-01-01"
+
+
+def _doc_provenance(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return GT.document_provenance(docs, DM.source_manifest(spark, RETRIEVAL_DATE))
+
+
+@query("rights_gate")
+def q_rights_gate(spark, sf_dir):
+    p = _doc_provenance(spark, sf_dir)
+    return p.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"),
+                                   F.count_if(GT.rights_ok()).alias("n_kept"))
+
+
+@query("provenance_missing")
+def q_provenance_missing(spark, sf_dir):
+    p = _doc_provenance(spark, sf_dir).withColumn("missing", GT.provenance_missing())
+    aggs = [F.count(F.lit(1)).alias("n_docs")]
+    for f in GT.PROVENANCE_FIELDS:
+        aggs.append(F.count_if(F.array_contains("missing", f)).alias(f"n_missing_{f}"))
+    aggs.append(F.count_if(F.size("missing") == 0).alias("n_complete"))
+    return p.groupBy("source").agg(*aggs)
+
+
+@query("usage_eligibility")
+def q_usage_eligibility(spark, sf_dir):
+    p = _doc_provenance(spark, sf_dir)
+    return p.groupBy("source", "manifest_name", "allowed_usage").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.count_if(GT.usage_eligible()).alias("n_eligible"))
+
+
+@query("source_manifest")
+def q_source_manifest(spark, sf_dir):
+    p = _doc_provenance(spark, sf_dir)
+    return p.groupBy("manifest_name", "source_url").agg(
+        F.count_distinct("source").alias("n_sources"), F.count(F.lit(1)).alias("n_docs"))
+
+
+def _pairs(spark, sf_dir):
+    t = table(spark, sf_dir, "conversations")
+    u = t.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("source_text"))
+    a = t.filter(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"),
+                                                      F.col("text").alias("target_text"))
+    pairs = u.join(a, ["conv_id", "turn"], "inner")
+    m = DM.source_manifest(spark, RETRIEVAL_DATE).select(F.col("ord").alias("_mord"), "source_url",
+                                                          "license_status", "allowed_usage", "retrieval_date")
+    return (pairs.withColumn("_mord", F.pmod("conv_id", F.lit(len(DM.MANIFEST))).cast("int"))
+                 .join(F.broadcast(m), "_mord", "left").drop("_mord"))
+
+
+@query("translation_pairs")
+def q_translation_pairs(spark, sf_dir):
+    pairs = _pairs(spark, sf_dir)
+    shaped = G.translation_pairs(pairs.withColumn("k", F.struct("conv_id", "turn")))
+    return shaped.select(F.col("messages")[1]["content"].alias("source_text"),
+                         F.col("messages")[2]["content"].alias("target_text"),
+                         F.col("metadata.license_status").alias("license_status"),
+                         F.col("metadata.allowed_usage").alias("allowed_usage"),
+                         F.col("metadata.source_url").alias("source_url"))
+
+
+@query("teacher_records")
+def q_teacher_records(spark, sf_dir):
+    t = table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
+    seeds = t.groupBy("conv_id").agg(F.min_by("text", "turn").alias("prompt")).select(
+        F.col("conv_id").alias("id"), "prompt", F.lit(None).cast("string").alias("domain"),
+        F.lit(None).cast("string").alias("language"), F.lit(None).cast("boolean").alias("contains_pii"))
+    rec = G.teacher_records(seeds)
+    return rec.select("id", F.col("messages")[2]["content"].alias("assistant"), "domain", "language",
+                      "contains_pii", "human_review_required")
+
+
+@query("log_redaction_stream")
+def q_log_redaction_stream(spark, sf_dir):
+    src = (spark.readStream.format("parquet").schema("doc_id bigint, source string, text string")
+                .option("pathGlobFilter", "documents.parquet").option("maxFilesPerTrigger", 1).load(sf_dir))
+    name = f"log_redaction_{uuid.uuid4().hex[:12]}"
+    from ..session import shared_path
+    sink, ckpt = shared_path(spark, f"streams/{name}/data"), shared_path(spark, f"streams/{name}/ckpt")
+    q = (SR.redact_stream(src, "text").writeStream.format("parquet").option("path", sink)
+           .option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema("doc_id bigint, source string, redacted_text string").parquet(sink)
