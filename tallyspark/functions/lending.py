@@ -26,16 +26,17 @@ def _c(col) -> Column:
 
 # --- compliance -------------------------------------------------------------
 
-def compliance_hits(text, lexicon=None) -> list[tuple[Column, tuple]]:
+def compliance_hits(text, lexicon=None, low=None) -> list[tuple[Column, tuple]]:
+    """(hit, lexicon row) per phrase; pass ``low`` (a lower-cased column) to reuse one lower()."""
     rows = lexicon if lexicon is not None else V.lexicon_rows()
-    low = F.lower(_c(text))
+    low = F.lower(_c(text)) if low is None else _c(low)
     return [(low.contains(F.lit(r[2].lower())), r) for r in rows]
 
 
-def compliance_issues(text, lexicon=None) -> Column:
+def compliance_issues(text, lexicon=None, low=None) -> Column:
     """Ordered ARRAY<STRUCT> of issues: every phrase whose lower-case occurs in the lower-cased text."""
     items = []
-    for hit, (_, category, phrase, severity, alternative) in compliance_hits(text, lexicon):
+    for hit, (_, category, phrase, severity, alternative) in compliance_hits(text, lexicon, low):
         items.append(F.when(hit, F.struct(
             F.lit(category).alias("category"), F.lit(phrase).alias("phrase"),
             F.lit(severity).alias("severity"),
@@ -44,11 +45,11 @@ def compliance_issues(text, lexicon=None) -> Column:
     return F.array_compact(F.array(*items))
 
 
-def safer_text(text, lexicon=None) -> Column:
+def safer_text(text, lexicon=None, low=None) -> Column:
     """For each detected phrase in order, case-sensitive literal replace; null when no issue."""
     acc = _c(text)
     any_hit = F.lit(False)
-    for hit, (_, _cat, phrase, _sev, alternative) in compliance_hits(text, lexicon):
+    for hit, (_, _cat, phrase, _sev, alternative) in compliance_hits(text, lexicon, low):
         # replacing a phrase with itself is a no-op, so one reference to acc per step
         acc = F.replace(acc, F.lit(phrase), F.when(hit, F.lit(alternative)).otherwise(F.lit(phrase)))
         any_hit = any_hit | hit
@@ -77,8 +78,8 @@ def routing_decision(issues) -> Column:
 
 # --- glossary ---------------------------------------------------------------
 
-def _glossary_parts(text, entries):
-    low = F.lower(_c(text))
+def _glossary_parts(text, entries, low=None):
+    low = F.lower(_c(text)) if low is None else _c(low)
     used, warns = [], []
     for source, preferred in entries:
         s_hit = low.contains(F.lit(source.lower()))
@@ -90,16 +91,16 @@ def _glossary_parts(text, entries):
     return terms_used, warnings
 
 
-def glossary_check(text, glossary_id=None, glossary_ids=tuple(V.GLOSSARY_FILES)) -> tuple[Column, Column]:
+def glossary_check(text, glossary_id=None, glossary_ids=tuple(V.GLOSSARY_FILES), low=None) -> tuple[Column, Column]:
     """(terms_used, warnings). ``glossary_id`` may be a literal or a Column;
     unknown, null or empty ids use the default glossary."""
     if glossary_id is None or isinstance(glossary_id, str):
-        return _glossary_parts(text, V.merged_glossary(glossary_id))
+        return _glossary_parts(text, V.merged_glossary(glossary_id), low)
     gid = _c(glossary_id)
-    t_def, w_def = _glossary_parts(text, V.merged_glossary(None))
+    t_def, w_def = _glossary_parts(text, V.merged_glossary(None), low)
     t_out, w_out = None, None
     for g in glossary_ids:
-        t_g, w_g = _glossary_parts(text, V.merged_glossary(g))
+        t_g, w_g = _glossary_parts(text, V.merged_glossary(g), low)
         t_out = (F.when(gid == g, t_g) if t_out is None else t_out.when(gid == g, t_g))
         w_out = (F.when(gid == g, w_g) if w_out is None else w_out.when(gid == g, w_g))
     if t_out is None:
@@ -153,8 +154,8 @@ def monthly_income(text) -> Column:
     return F.when(num != "", parse_number(num, F.regexp_extract(t, P.income_java(), 2)))
 
 
-def find_term(text, terms) -> Column:
-    low = F.lower(_c(text))
+def find_term(text, terms, low=None) -> Column:
+    low = F.lower(_c(text)) if low is None else _c(low)
     return F.coalesce(*[F.when(low.contains(F.lit(k.lower())), F.lit(v)) for k, v in terms])
 
 
@@ -163,15 +164,15 @@ def phone_number(text) -> Column:
     return F.when(m != "", F.right(F.regexp_replace(m, "(?U)\\D", ""), F.lit(8)))
 
 
-def extraction_struct(text) -> Column:
+def extraction_struct(text, low=None) -> Column:
     """T11-T15 as one struct (parsers see the unredacted text)."""
     return F.struct(
         loan_amount(text).alias("loan_amount"),
         loan_term_months(text).alias("loan_term_months"),
         monthly_income(text).alias("monthly_income"),
-        find_term(text, V.EMPLOYMENT_TERMS).alias("employment_status"),
-        find_term(text, V.COLLATERAL_TERMS).alias("collateral"),
-        find_term(text, V.LOAN_TYPE_TERMS).alias("loan_type"),
+        find_term(text, V.EMPLOYMENT_TERMS, low).alias("employment_status"),
+        find_term(text, V.COLLATERAL_TERMS, low).alias("collateral"),
+        find_term(text, V.LOAN_TYPE_TERMS, low).alias("loan_type"),
         phone_number(text).alias("phone_number"),
     )
 

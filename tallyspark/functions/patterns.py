@@ -93,3 +93,18 @@ def term_re2() -> str:
 
 def income_re2() -> str:
     return f"(?i)(?:{INCOME_WORDS})[^0-9]{{0,24}}([0-9][0-9,.{WS}]*)(?:[{WS}]*({UNIT_WORDS}))?"
+
+
+def _expand(ranges) -> str:
+    """Characters of a list of (first, last) code point ranges, as one string."""
+    return "".join(chr(c) for a, b in ranges for c in range(a, b + 1))
+
+
+# The same classes as explicit character sets (for ``translate``-based counting,
+# which avoids running a regex over every character).
+WS_CHARS = _expand([(0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
+                    (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000)])
+MN_LETTER_CHARS = _expand([(0x410, 0x44F), (0x401, 0x401), (0x451, 0x451), (0x4E8, 0x4E9), (0x4AE, 0x4AF)])
+LATIN_CHARS = _expand([(0x41, 0x5A), (0x61, 0x7A)])
+MN_SHARE_CHARS = _expand([(0x410, 0x44F), (0x4E8, 0x4E9), (0x4AE, 0x4AF), (0x401, 0x401), (0x451, 0x451),
+                          (0x30, 0x39)]) + WS_CHARS + ".,!?;:'\"()%-/"

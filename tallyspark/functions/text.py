@@ -32,16 +32,22 @@ def is_blank(col) -> Column:
 
 
 def count_class(col, char_class: str) -> Column:
-    """Number of characters of ``col`` that fall in ``[char_class]``."""
+    """Number of characters of ``col`` that fall in the regex class ``[char_class]``."""
     return F.length(F.regexp_replace(_c(col), f"[^{char_class}]", ""))
 
 
+def count_chars(col, chars: str) -> Column:
+    """Number of characters of ``col`` that are in ``chars`` (code-point translate, no regex)."""
+    c = _c(col)
+    return F.length(c) - F.length(F.translate(c, chars, ""))
+
+
 def mongolian_count(col) -> Column:
-    return count_class(col, P.MN_LETTERS)
+    return count_chars(col, P.MN_LETTER_CHARS)
 
 
 def latin_count(col) -> Column:
-    return count_class(col, P.LATIN_LETTERS)
+    return count_chars(col, P.LATIN_CHARS)
 
 
 def dominant_language(col) -> Column:
@@ -57,7 +63,7 @@ def mostly_english(col, k: float) -> Column:
 def mongolian_share(col) -> Column:
     """Share of characters in the Cyrillic/digit/space/punctuation class."""
     c = _c(col)
-    return count_class(c, P.MN_SHARE_CLASS) / F.greatest(F.length(c), F.lit(1))
+    return count_chars(c, P.MN_SHARE_CHARS) / F.greatest(F.length(c), F.lit(1))
 
 
 # --- PII -------------------------------------------------------------------

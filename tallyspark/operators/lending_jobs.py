@@ -22,15 +22,17 @@ BROADCAST_MAX_PHRASES = 200_000
 def compliance_scan(df: DataFrame, text_col: str = "text", lexicon=None, sensitive=True) -> DataFrame:
     """Issues, safer text, categories, alternatives, verdict, routing decision."""
     t = F.col(text_col)
+    df = df.withColumn("_low", F.lower(t))  # one lower() per row, shared by every phrase test
+    low = F.col("_low")
     if sensitive is True:
-        issues = L.compliance_issues(t, lexicon)
-        safer = L.safer_text(t, lexicon)
+        issues = L.compliance_issues(t, lexicon, low)
+        safer = L.safer_text(t, lexicon, low)
     else:  # per-row flag: only compliance-sensitive rows are scanned
         flag = F.coalesce(F.col(sensitive), F.lit(False)) if isinstance(sensitive, str) else F.lit(False)
-        issues = F.when(flag, L.compliance_issues(t, lexicon)).otherwise(F.array().cast(f"array<{L.ISSUE_TYPE}>"))
-        safer = F.when(flag, L.safer_text(t, lexicon))
+        issues = F.when(flag, L.compliance_issues(t, lexicon, low)).otherwise(F.array().cast(f"array<{L.ISSUE_TYPE}>"))
+        safer = F.when(flag, L.safer_text(t, lexicon, low))
     return (df.withColumn("issues", issues)
-              .withColumn("safer_text", safer)
+              .withColumn("safer_text", safer).drop("_low")
               .withColumn("compliance_warnings", L.issue_categories("issues"))
               .withColumn("safer_alternatives", L.safer_alternatives("issues"))
               .withColumn("is_safe", L.is_safe("issues"))
@@ -73,8 +75,9 @@ def compliance_report(scanned: DataFrame, keys=("domain",)) -> DataFrame:
 
 def glossary_job(df: DataFrame, text_col: str = "text", glossary_id=None) -> DataFrame:
     """Terms used (sorted, distinct) and warnings (glossary order)."""
-    terms, warns = L.glossary_check(F.col(text_col), glossary_id)
-    return df.withColumn("terms_used", terms).withColumn("glossary_warnings", warns)
+    df = df.withColumn("_low", F.lower(F.col(text_col)))
+    terms, warns = L.glossary_check(F.col(text_col), glossary_id, low=F.col("_low"))
+    return df.withColumn("terms_used", terms).withColumn("glossary_warnings", warns).drop("_low")
 
 
 def glossary_overlay(file_df: DataFrame, default_terms=None) -> DataFrame:
@@ -102,7 +105,7 @@ def glossary_overlay(file_df: DataFrame, default_terms=None) -> DataFrame:
 def extraction_job(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Fields (from the unredacted text), missing fields, redacted text, confidence."""
     t = F.col(text_col)
-    out = df.withColumn("extraction", L.extraction_struct(t))
+    out = df.withColumn("_low", F.lower(t)).withColumn("extraction", L.extraction_struct(t, F.col("_low"))).drop("_low")
     out = out.withColumn("missing_fields", L.missing_fields("extraction"))
     out = out.withColumn("redacted_text", TX.redact_pii(t))
     out = out.withColumn("confidence", L.heuristic_confidence(F.col("redacted_text"), F.size("missing_fields")))
@@ -121,10 +124,11 @@ def completeness_report(extracted: DataFrame, keys=("source",)) -> DataFrame:
 def review_job(df: DataFrame, output_col: str, source_text_col: str, glossary_id=None,
                compliance_sensitive=True, require_review=False) -> DataFrame:
     """Translation review routing (glossary warnings + issues feed the confidence)."""
-    terms, warns = L.glossary_check(F.col(source_text_col), glossary_id)
-    issues = L.compliance_issues(F.col(source_text_col)) if compliance_sensitive else F.array()
+    df = df.withColumn("_low", F.lower(F.col(source_text_col)))
+    terms, warns = L.glossary_check(F.col(source_text_col), glossary_id, low=F.col("_low"))
+    issues = L.compliance_issues(F.col(source_text_col), low=F.col("_low")) if compliance_sensitive else F.array()
     out = (df.withColumn("terms_used", terms).withColumn("glossary_warnings", warns)
-             .withColumn("_n_issues", F.size(issues)))
+             .withColumn("_n_issues", F.size(issues)).drop("_low"))
     conf = L.heuristic_confidence(F.col(output_col), F.size("glossary_warnings") + F.col("_n_issues"))
     out = out.withColumn("confidence", conf)
     needs, reason = L.review_routing(F.col("confidence"), F.col("_n_issues"), require_review)

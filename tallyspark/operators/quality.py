@@ -123,9 +123,9 @@ def expected_metrics(figs: dict) -> dict:
     }
 
 
-def metric_matches(output: Column, metrics: dict) -> Column:
+def metric_matches(output: Column, metrics: dict, low: Column | None = None) -> Column:
     """Q4: labels whose lower-case occurs in the lower-cased output and whose value occurs verbatim."""
-    low = F.lower(output)
+    low = F.lower(output) if low is None else low
     total = F.lit(0)
     for label, value in metrics.items():
         total = total + F.coalesce((low.contains(F.lit(label.lower())) & output.contains(value)), F.lit(False)).cast("int")
@@ -147,11 +147,12 @@ def v3_violations(df: DataFrame) -> DataFrame:
         df = df.withColumn(f"_m{i}", metrics[lab])
     mcols = {lab: F.col(f"_m{i}") for i, lab in enumerate(labels)}
     out = F.col("assistant")
-    df = (df.withColumn("mn_chars", TX.mongolian_count(out))
+    df = (df.withColumn("_low", F.lower(out))
+            .withColumn("mn_chars", TX.mongolian_count(out))
             .withColumn("_latin", TX.latin_count(out))
-            .withColumn("metric_matches", metric_matches(out, mcols))
+            .withColumn("metric_matches", metric_matches(out, mcols, F.col("_low")))
             .withColumn("_fig_missing", missing_figure(fcols)))
-    low = F.lower(out)
+    low = F.col("_low")
     mn = F.col("mn_chars")
     dom = F.col("domain")
     numeric = dom.isin(*T3.NUMERIC_DOMAINS)
@@ -177,7 +178,7 @@ def v3_violations(df: DataFrame) -> DataFrame:
         F.when(numeric & fig_missing.isNull() & (F.col("metric_matches") < 3),
                F.lit("numeric output has fewer than 3 calculated metric matches")),
     ]
-    tmp = [c for c in df.columns if c.startswith("_f_") or c.startswith("_m")] + ["_latin", "_fig_missing"]
+    tmp = [c for c in df.columns if c.startswith("_f_") or c.startswith("_m")] + ["_latin", "_fig_missing", "_low"]
     return (df.withColumn("violations", F.array_compact(F.array(*rules)))
               .withColumn("first_violation", F.get(F.col("violations"), 0)).drop(*tmp))
 
