@@ -82,3 +82,14 @@ def document_provenance(docs: DataFrame, manifest: DataFrame) -> DataFrame:
 def usage_eligible(usage_col="allowed_usage") -> Column:
     """the source's allowed usage permits training (bank sites are benchmark-only)."""
     return F.coalesce(F.col(usage_col).isin(*dims.TRAINING_USAGES), F.lit(False))
+
+
+def preference_pair_gate(df: DataFrame, lexicon=None) -> DataFrame:
+    """P10 (documented): chosen/rejected/rationale/compliance_category present; the chosen
+    answer must be compliant and the rejected one non-compliant under the lexicon scan."""
+    from ..functions import lending as L
+    present = provenance_missing(("chosen", "rejected", "rationale", "compliance_category"))
+    return (df.withColumn("missing_fields", present)
+              .withColumn("chosen_safe", F.size(L.compliance_issues(F.col("chosen"), lexicon)) == 0)
+              .withColumn("rejected_unsafe", F.size(L.compliance_issues(F.col("rejected"), lexicon)) > 0)
+              .withColumn("pair_ok", (F.size("missing_fields") == 0) & F.col("chosen_safe") & F.col("rejected_unsafe")))

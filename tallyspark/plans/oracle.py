@@ -739,3 +739,84 @@ ORACLE["teacher_records"] = f"""
 SELECT concat('teacher-', CAST(conv_id AS VARCHAR)) AS id, concat({q(__import__('tallyspark.operators.generate', fromlist=['x']).TEACHER_ANSWER_PREFIX)}, arg_min(text, turn)) AS assistant,
   'lending' AS domain, 'mn' AS language, false AS contains_pii, true AS human_review_required
 FROM conversations WHERE role = 'user' GROUP BY conv_id"""
+
+
+# --- preparation, validation and audit jobs ---------------------------------------------------
+
+_pii3 = (f"(regexp_matches(text, {q(P.PHONE_RE2_EXISTS)}) OR regexp_matches(text, {q(P.EMAIL_RE2_EXISTS)}) "
+         f"OR regexp_matches(text, {q(P.REGISTER_RE2_EXISTS)}))")
+ORACLE["pii_exclusion"] = f"SELECT source, count(*) AS n_docs, count_if(NOT {_pii3}) AS n_kept FROM documents GROUP BY source"
+
+ORACLE["sft_prep_summary"] = f"""
+WITH c AS (
+  SELECT conv_id, bool_or({_pii3}) AS pii,
+    CASE WHEN count(*) < 2 THEN 'e' WHEN NOT (bool_or(role = 'user') AND bool_or(role = 'assistant')) THEN 'e'
+         WHEN bool_or(role IS NULL OR role NOT IN ('system', 'user', 'assistant')) THEN 'e'
+         WHEN bool_or(text IS NULL OR length({py_strip_sql('text')}) = 0) THEN 'e' END AS err
+  FROM conversations GROUP BY conv_id),
+s AS (SELECT count_if(err IS NULL AND pii) AS rejected_contains_pii, count_if(err IS NULL AND NOT pii) AS accepted,
+             count_if(err IS NOT NULL) AS quarantined FROM c),
+v AS (SELECT *, CASE WHEN accepted > 1 THEN greatest(1, CAST(floor(accepted * 0.1::DOUBLE) AS BIGINT)) ELSE 0 END AS validation FROM s)
+SELECT rejected_contains_pii, accepted, quarantined, validation,
+  CASE WHEN accepted - validation > 0 THEN accepted - validation ELSE accepted END AS train,
+  CASE WHEN accepted = 0 THEN 'error: no records accepted' WHEN accepted < 20 THEN 'error: dataset too small' ELSE 'ok' END AS guard
+FROM v"""
+
+ORACLE["field_validation"] = """
+WITH r AS (
+  SELECT unnest(list_filter([CASE WHEN NOT coalesce(role IN ('system', 'user', 'assistant'), false) THEN 'role_enum' END,
+                             CASE WHEN NOT coalesce(length(text) >= 1, false) THEN 'content_min_length' END,
+                             CASE WHEN NOT coalesce(turn >= 0, false) THEN 'turn_non_negative' END], lambda x: x IS NOT NULL)) AS rule
+  FROM conversations)
+SELECT rule, count(*) AS n FROM r GROUP BY rule
+UNION ALL SELECT 'rows_checked', count(*) FROM conversations"""
+
+ORACLE["message_accessors"] = """
+SELECT conv_id, arg_max(text, turn) AS last_content,
+  (list(text ORDER BY turn))[2] AS second_content,
+  CASE WHEN count(*) < 3 THEN '' ELSE arg_max(text, turn) END AS assistant_v2
+FROM conversations GROUP BY conv_id"""
+
+_chat_system = __import__("tallyspark.plans.registry", fromlist=["x"]).CHAT_SYSTEM
+ORACLE["chat_prompts"] = f"""
+WITH u AS (SELECT conv_id, coalesce(string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE role = 'user'), '') AS user_text
+           FROM conversations GROUP BY conv_id),
+x AS ({extraction_sql('SELECT conv_id, user_text FROM u', 'conv_id', 'user_text')}),
+m AS (SELECT conv_id, {_context_missing('x')} AS miss FROM x)
+SELECT conv_id, concat({q(_chat_system)}, CASE WHEN len(miss) > 0 THEN array_to_string(miss, ', ') ELSE 'none' END, '.') AS system_prompt FROM m"""
+
+_ww = glossary_sql('"user"', "lendex_finance")[1]
+ORACLE["rewrite_audit"] = f"""
+WITH {V1_CTE}, f AS (SELECT * FROM v WHERE domain = 'compliance_rewrite'),
+i AS ({issues_cte('SELECT * FROM f', 'idx, assistant, "user"', '"user"')})
+SELECT idx, array_to_string(cats, '|') AS compliance_warnings, CAST(len(alts) AS INTEGER) AS n_alternatives,
+  {confidence_sql('assistant', f'len({_ww}) + len(cats)')} AS confidence FROM i"""
+
+from ..operators import evaluate as EVS  # noqa: E402
+ORACLE["benchmark_coverage"] = f"""
+WITH {V1_CTE}, r AS (SELECT unnest([{', '.join(q(c) for c in EVS.REQUIRED_CATEGORIES)}]) AS task),
+c AS (SELECT domain AS task, count(*) AS n FROM v GROUP BY 1)
+SELECT r.task, coalesce(c.n, 0) AS n_items FROM r LEFT JOIN c ON r.task = c.task"""
+
+ORACLE["governance_audit"] = f"""
+WITH {V1_CTE}, i AS ({issues_cte('SELECT * FROM v', 'idx, assistant', 'assistant')}),
+c AS (SELECT idx, len(cats) = 0 AS compliance_ok, len(cats) AS n, {confidence_sql('assistant', 'len(cats)')} AS confidence FROM i)
+SELECT idx, 'mock:Qwen3-235B-A22B-Instruct-2507' AS model, 'sft_v1' AS prompt_version, 'lendex_finance' AS glossary_version,
+  compliance_ok, confidence,
+  CASE WHEN n > 0 OR confidence < {D(V.REVIEW_THRESHOLD)} THEN 'needs_review' ELSE 'auto_approved' END AS review_status FROM c"""
+
+ORACLE["benchmark_items"] = f"""
+SELECT item_id, length(text) AS input_chars,
+  {q(';'.join(sorted(f'{k}={v}' for k, v in DMS.BENCHMARK_TEMPLATE_METADATA.items())))} AS metadata FROM benchmark"""
+
+ORACLE["jsonl_roundtrip"] = f"""
+WITH v AS ({v2_sql()})
+SELECT id, 3 AS n_messages, domain, md5(assistant) AS assistant_md5 FROM v"""
+
+ORACLE["quality_v2_verdict"] = f"""
+WITH c AS ({v2_gate_sql()}), s AS ({v2_sql()})
+SELECT count(*) AS rows, count_if(first_violation IS NOT NULL) AS failing_rows,
+  min_by(first_violation, CASE WHEN first_violation IS NOT NULL THEN idx END) FILTER (WHERE first_violation IS NOT NULL) AS first_failure,
+  count(DISTINCT c.domain) AS n_domains, (SELECT count(DISTINCT source) FROM s) AS n_sources,
+  CASE WHEN count_if(first_violation IS NOT NULL) = 0 AND count(*) > 0 THEN 'PASS' ELSE 'FAIL' END AS status
+FROM c"""

@@ -511,3 +511,144 @@ def q_log_redaction_stream(spark, sf_dir):
            .option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.schema("doc_id bigint, source string, redacted_text string").parquet(sink)
+
+
+# --- preparation, validation and audit jobs ------------------------------------------------
+
+from ..functions import vocab as VO  # noqa: E402
+from ..sources import jsonl as JS  # noqa: E402
+
+
+@query("pii_exclusion")
+def q_pii_exclusion(spark, sf_dir):
+    """F3 on documents whose raw-customer-PII flag is the detected PII."""
+    d = corpus.pii_flags(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    d = d.withColumn("contains_raw_customer_pii", F.col("has_phone") | F.col("has_email") | F.col("has_register"))
+    kept = GT.pii_exclusion(d)
+    return (d.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"))
+             .join(kept.groupBy("source").agg(F.count(F.lit(1)).alias("n_kept")), "source", "left")
+             .select("source", "n_docs", F.coalesce("n_kept", F.lit(0)).alias("n_kept")))
+
+
+def _conversation_records(spark, sf_dir):
+    """Conversations as SFT records: messages (P6) + declared PII flag (T2 over the turns)."""
+    turns = table(spark, sf_dir, "conversations")
+    flagged = corpus.pii_flags(turns).withColumn("_pii", F.col("has_phone") | F.col("has_email") | F.col("has_register"))
+    return (flagged.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("messages"),
+        F.bool_or("_pii").alias("contains_pii")))
+
+
+@query("sft_prep_summary")
+def q_sft_prep_summary(spark, sf_dir):
+    """E1 as one job: F5 quarantine -> F4 PII gate -> F8 guard -> X1 sizes -> A8 summary row."""
+    recs = _conversation_records(spark, sf_dir).withColumn("error", CV.validate_messages("messages"))
+    valid = recs.filter(F.col("error").isNull())
+    accepted, _ = GT.declared_pii_gate(valid)
+    summary = valid.agg(F.count(F.lit(1)).alias("n_valid"),
+                        F.count_if(F.col("contains_pii").eqNullSafe(True)).alias("rejected_contains_pii"))
+    summary = summary.withColumn("accepted", F.col("n_valid") - F.col("rejected_contains_pii"))
+    n = F.col("accepted")
+    val = F.when(n > 1, F.greatest(F.lit(1), F.floor(n * F.lit(0.1)).cast("bigint"))).otherwise(F.lit(0))
+    quarantined = recs.agg(F.count_if(F.col("error").isNotNull()).alias("quarantined"))
+    return (_one_row_join(summary, quarantined)
+            .withColumn("validation", val)
+            .withColumn("train", F.when(n - val > 0, n - val).otherwise(n))
+            .withColumn("guard", GT.size_guard(n, allow_small=False))
+            .drop("n_valid"))
+
+
+@query("field_validation")
+def q_field_validation(spark, sf_dir):
+    """F11 on conversation turns: enum, length and range rules; violation counts by rule."""
+    t = table(spark, sf_dir, "conversations")
+    v = t.withColumn("violations", GT.field_domain_violations({
+        "role_enum": F.col("role").isin("system", "user", "assistant"),
+        "content_min_length": F.length("text") >= 1,
+        "turn_non_negative": F.col("turn") >= 0,
+    }))
+    return (v.select(F.explode("violations").alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+             .unionByName(t.agg(F.lit("rows_checked").alias("rule"), F.count(F.lit(1)).alias("n"))))
+
+
+@query("message_accessors")
+def q_message_accessors(spark, sf_dir):
+    """Last message (assistant answer) and second message (user prompt); '' under 3 messages (v2 rule)."""
+    m = CV.to_messages(table(spark, sf_dir, "conversations"))
+    return m.select("conv_id",
+                    F.element_at("messages", -1)["content"].alias("last_content"),
+                    F.try_element_at("messages", F.lit(2))["content"].alias("second_content"),
+                    F.when(F.size("messages") < 3, F.lit("")).otherwise(F.element_at("messages", -1)["content"])
+                     .alias("assistant_v2"))
+
+
+CHAT_SYSTEM = ("You are a polite borrower support assistant for Lendex and Datagate. "  # FIXED VALUE
+               "Default to Mongolian. If the user writes Mongolian, answer in Mongolian; English, answer in English; "
+               "mixed, answer in the dominant language. Use polite 'Ta' for Mongolian borrowers. "
+               "Never promise loan approval. Ask for missing loan application fields when needed. "
+               "Missing fields: ")
+
+
+@query("chat_prompts")
+def q_chat_prompts(spark, sf_dir):
+    """The chat system prompt per conversation (missing fields from the turns' context)."""
+    a = CV.chat_audit(table(spark, sf_dir, "conversations"))
+    missing = F.when(F.size("missing_application_fields") > 0,
+                     F.array_join("missing_application_fields", ", ")).otherwise(F.lit("none"))
+    return a.select("conv_id", F.concat(F.lit(CHAT_SYSTEM), missing, F.lit(".")).alias("system_prompt"))
+
+
+@query("rewrite_audit")
+def q_rewrite_audit(spark, sf_dir):
+    """T22 over the generated compliance-rewrite rows (user text -> assistant rewrite)."""
+    v1 = v1_corpus(spark, sf_dir).filter(F.col("domain") == "compliance_rewrite")
+    r = LJ.rewrite_audit(v1, "user", "assistant", "lendex_finance")
+    return r.select("idx", F.array_join("compliance_warnings", "|").alias("compliance_warnings"),
+                    F.size("safer_alternatives").alias("n_alternatives"), "confidence")
+
+
+@query("benchmark_coverage")
+def q_benchmark_coverage(spark, sf_dir):
+    """Required benchmark categories against the task mix of the generated item set."""
+    return EV.category_coverage(v1_corpus(spark, sf_dir).select(F.col("domain").alias("task")))
+
+
+@query("governance_audit")
+def q_governance_audit(spark, sf_dir):
+    """One audit row per processed record (versions, compliance result, review status)."""
+    v1 = LJ.compliance_scan(v1_corpus(spark, sf_dir), "assistant")
+    conf = L.heuristic_confidence(F.col("assistant"), F.size("compliance_warnings"))
+    needs, _ = L.review_routing(conf, F.size("issues"))
+    return v1.select("idx", F.lit("mock:Qwen3-235B-A22B-Instruct-2507").alias("model"),
+                     F.lit("sft_v1").alias("prompt_version"), F.lit("lendex_finance").alias("glossary_version"),
+                     F.col("is_safe").alias("compliance_ok"), conf.alias("confidence"),
+                     F.when(needs, "needs_review").otherwise("auto_approved").alias("review_status"))
+
+
+@query("benchmark_items")
+def q_benchmark_items(spark, sf_dir):
+    """Benchmark rows as items with the constant template metadata attached."""
+    items = DM.attach_template_metadata(table(spark, sf_dir, "benchmark"))
+    return items.select("item_id", F.length("text").alias("input_chars"),
+                        F.array_join(F.array_sort(F.transform(F.map_entries("metadata"),
+                                                              lambda e: F.concat(e["key"], F.lit("="), e["value"]))),
+                                     ";").alias("metadata"))
+
+
+@query("jsonl_roundtrip")
+def q_jsonl_roundtrip(spark, sf_dir):
+    """S4 -> S1: write the v2 set as JSONL (messages + nested metadata) and read it back with its schema."""
+    from ..session import shared_path
+    recs = G.nested_metadata(v2_corpus(spark, sf_dir).drop("idx"),
+                             keys=("domain", "source", "license_status", "allowed_usage", "contains_pii",
+                                   "numeric_example", "metrics_expected"))
+    path = shared_path(spark, f"jsonl/sft_v2_{uuid.uuid4().hex[:12]}")
+    JS.write_jsonl(recs, path)
+    back = JS.read_jsonl(spark, path, JS.SFT_NESTED)
+    return back.select("id", F.size("messages").alias("n_messages"), F.col("metadata.domain").alias("domain"),
+                       F.md5(F.element_at("messages", -1)["content"]).alias("assistant_md5"))
+
+
+@query("quality_v2_verdict")
+def q_quality_v2_verdict(spark, sf_dir):
+    return Q.verdict(Q.v2_violations(v2_corpus(spark, sf_dir)), "idx")
