@@ -1,8 +1,10 @@
 """Conversation reshapes and checks over turn rows (conv_id, turn, role, text).
 
-Turns of one conversation are grouped once (``groupBy(conv_id)``, one group per
-conversation, bounded by its turn count); every per-conversation rule is then a
-higher-order function over that small array.
+Per-conversation checks and reports are written as partially-aggregatable
+aggregates (count, bool_or, max_by, min_by), so a conversation holding a large
+share of all turns is combined map-side and never gathered into one array or one
+task. Only ``to_messages`` (P6, the record layout itself) builds the message
+array; use it to write chat records, not inside reports.
 """
 
 from __future__ import annotations
@@ -51,8 +53,45 @@ def validate_messages(messages_col: str = "messages"):
 
 
 def message_validation(turns: DataFrame, key="conv_id") -> DataFrame:
-    msgs = to_messages(turns, key)
-    return msgs.withColumn("error", validate_messages("messages"))
+    """F5 over turn rows with aggregates only (same rule order as ``validate_messages``)."""
+    g = turns.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.coalesce(F.bool_or(F.col("role") == "user"), F.lit(False)).alias("_u"),
+        F.coalesce(F.bool_or(F.col("role") == "assistant"), F.lit(False)).alias("_a"),
+        F.bool_or(~F.coalesce(F.col("role").isin(*ROLES), F.lit(False))).alias("_bad_role"),
+        F.bool_or(TX.is_blank("text")).alias("_blank"))
+    err = (F.when(F.col("_n") < 2, F.lit("messages must contain at least user and assistant entries"))
+            .when(~(F.col("_u") & F.col("_a")), F.lit("messages must include user and assistant roles"))
+            .when(F.col("_bad_role"), F.lit("invalid role"))
+            .when(F.col("_blank"), F.lit("empty message content")))
+    return g.select(key, err.alias("error"))
+
+
+def conversation_summary(turns: DataFrame, key="conv_id") -> DataFrame:
+    """P6 report without building arrays: size, first/last role, role counts, characters."""
+    return turns.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n_messages"),
+        F.min_by("role", "turn").alias("first_role"),
+        F.max_by("role", "turn").alias("last_role"),
+        F.count_if(F.col("role") == "user").alias("n_user"),
+        F.count_if(F.col("role") == "assistant").alias("n_assistant"),
+        F.count_if(F.col("role") == "system").alias("n_system"),
+        F.sum(F.length("text")).alias("total_chars"))
+
+
+def message_accessors(turns: DataFrame, key="conv_id") -> DataFrame:
+    """Last message, second message (by turn) and the v2 assistant accessor ('' under 3 messages).
+
+    The second message is found with an aggregate (first turn per conversation),
+    an equi-join back on the key (AQE splits a skewed conversation) and a second
+    aggregate, so no conversation is ever sorted or collected as a whole."""
+    first = turns.groupBy(key).agg(F.min("turn").alias("_t1"), F.count(F.lit(1)).alias("_n"),
+                                   F.max_by("text", "turn").alias("last_content"))
+    second = (turns.join(first.select(key, "_t1"), key).filter(F.col("turn") > F.col("_t1"))
+                   .groupBy(key).agg(F.min_by("text", "turn").alias("second_content")))
+    return (first.join(second, key, "left")
+                 .select(key, "last_content", "second_content",
+                         F.when(F.col("_n") < 3, F.lit("")).otherwise(F.col("last_content")).alias("assistant_v2")))
 
 
 def chat_audit(turns: DataFrame, key="conv_id", compliance_sensitive=True) -> DataFrame:
@@ -60,14 +99,12 @@ def chat_audit(turns: DataFrame, key="conv_id", compliance_sensitive=True) -> Da
     agg = turns.groupBy(key).agg(
         F.coalesce(F.max_by(F.col("text"), F.when(F.col("role") == "user", F.col("turn"))), F.lit("")).alias("latest_user"),
         F.max_by(F.col("text"), F.when(F.col("role") == "assistant", F.col("turn"))).alias("answer"),
-        F.concat_ws("\n", F.array_sort(F.collect_list(F.when(F.col("role") == "user",
-                                                             F.struct("turn", "text")))).getField("text"))
-         .alias("user_text"),
     )
     red = TX.redact_pii(F.col("latest_user"))
     issues = L.compliance_issues(F.coalesce(F.col("answer"), F.lit(""))) if compliance_sensitive \
         else F.array().cast(f"array<{L.ISSUE_TYPE}>")
-    ctx_ext = L.extraction_struct(F.col("user_text"))
+    # borrower context: fields extracted from the latest user turn
+    ctx_ext = L.extraction_struct(F.col("latest_user"))
     context = F.map_from_arrays(
         F.array(*[F.lit(k) for k in ("loan_amount", "term", "income", "employment", "collateral", "loan_type",
                                       "phone_number")]),

@@ -420,7 +420,8 @@ FROM s GROUP BY role"""
 # --- conversations ------------------------------------------------------------------------
 
 ORACLE["conversation_messages"] = """
-SELECT conv_id, CAST(count(*) AS INTEGER) AS n_messages, string_agg(role, ',' ORDER BY turn) AS role_sequence,
+SELECT conv_id, count(*) AS n_messages, arg_min(role, turn) AS first_role, arg_max(role, turn) AS last_role,
+  count_if(role = 'user') AS n_user, count_if(role = 'assistant') AS n_assistant, count_if(role = 'system') AS n_system,
   sum(length(text)) AS total_chars
 FROM conversations GROUP BY conv_id"""
 
@@ -453,7 +454,7 @@ def _context_missing(src_alias: str) -> str:
 
 
 ORACLE["context_missing_fields"] = f"""
-WITH u AS (SELECT conv_id, coalesce(string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE role = 'user'), '') AS user_text
+WITH u AS (SELECT conv_id, coalesce(arg_max(text, turn) FILTER (WHERE role = 'user'), '') AS user_text
            FROM conversations GROUP BY conv_id),
 x AS ({extraction_sql('SELECT conv_id, user_text FROM u', 'conv_id', 'user_text')})
 SELECT conv_id, array_to_string({_context_missing('x')}, ',') AS missing_application_fields FROM x"""
@@ -779,7 +780,7 @@ FROM conversations GROUP BY conv_id"""
 
 _chat_system = __import__("tallyspark.plans.registry", fromlist=["x"]).CHAT_SYSTEM
 ORACLE["chat_prompts"] = f"""
-WITH u AS (SELECT conv_id, coalesce(string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE role = 'user'), '') AS user_text
+WITH u AS (SELECT conv_id, coalesce(arg_max(text, turn) FILTER (WHERE role = 'user'), '') AS user_text
            FROM conversations GROUP BY conv_id),
 x AS ({extraction_sql('SELECT conv_id, user_text FROM u', 'conv_id', 'user_text')}),
 m AS (SELECT conv_id, {_context_missing('x')} AS miss FROM x)

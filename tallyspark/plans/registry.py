@@ -179,11 +179,7 @@ def q_strip_reasoning(spark, sf_dir):
 
 @query("conversation_messages")
 def q_conversation_messages(spark, sf_dir):
-    m = CV.to_messages(table(spark, sf_dir, "conversations"))
-    return m.select("conv_id", F.size("messages").alias("n_messages"),
-                    F.array_join(F.transform("messages", lambda x: x["role"]), ",").alias("role_sequence"),
-                    F.aggregate("messages", F.lit(0).cast("bigint"),
-                                lambda acc, x: acc + F.length(x["content"])).alias("total_chars"))
+    return CV.conversation_summary(table(spark, sf_dir, "conversations"))
 
 
 @query("latest_user_turn")
@@ -531,20 +527,18 @@ def q_pii_exclusion(spark, sf_dir):
 
 
 def _conversation_records(spark, sf_dir):
-    """Conversations as SFT records: messages (P6) + declared PII flag (T2 over the turns)."""
+    """Conversations as records: F5 error + declared PII flag (T2 over the turns), by aggregates."""
     turns = table(spark, sf_dir, "conversations")
     flagged = corpus.pii_flags(turns).withColumn("_pii", F.col("has_phone") | F.col("has_email") | F.col("has_register"))
-    return (flagged.groupBy("conv_id").agg(
-        F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("messages"),
-        F.bool_or("_pii").alias("contains_pii")))
+    pii = flagged.groupBy("conv_id").agg(F.bool_or("_pii").alias("contains_pii"))
+    return CV.message_validation(turns).join(pii, "conv_id")
 
 
 @query("sft_prep_summary")
 def q_sft_prep_summary(spark, sf_dir):
     """E1 as one job: F5 quarantine -> F4 PII gate -> F8 guard -> X1 sizes -> A8 summary row."""
-    recs = _conversation_records(spark, sf_dir).withColumn("error", CV.validate_messages("messages"))
+    recs = _conversation_records(spark, sf_dir)
     valid = recs.filter(F.col("error").isNull())
-    accepted, _ = GT.declared_pii_gate(valid)
     summary = valid.agg(F.count(F.lit(1)).alias("n_valid"),
                         F.count_if(F.col("contains_pii").eqNullSafe(True)).alias("rejected_contains_pii"))
     summary = summary.withColumn("accepted", F.col("n_valid") - F.col("rejected_contains_pii"))
@@ -574,12 +568,7 @@ def q_field_validation(spark, sf_dir):
 @query("message_accessors")
 def q_message_accessors(spark, sf_dir):
     """Last message (assistant answer) and second message (user prompt); '' under 3 messages (v2 rule)."""
-    m = CV.to_messages(table(spark, sf_dir, "conversations"))
-    return m.select("conv_id",
-                    F.element_at("messages", -1)["content"].alias("last_content"),
-                    F.try_element_at("messages", F.lit(2))["content"].alias("second_content"),
-                    F.when(F.size("messages") < 3, F.lit("")).otherwise(F.element_at("messages", -1)["content"])
-                     .alias("assistant_v2"))
+    return CV.message_accessors(table(spark, sf_dir, "conversations"))
 
 
 CHAT_SYSTEM = ("You are a polite borrower support assistant for Lendex and Datagate. "  # FIXED VALUE
