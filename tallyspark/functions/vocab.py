@@ -25,7 +25,7 @@ COMPLIANCE_LEXICON = [
 ]
 ISSUE_EXPLANATION = "Detected risky lending wording: {category}."
 
-# FIXED VALUES — default glossary (term -> preferred), then the lendex_finance file.
+# FIXED VALUES — default glossary (term -> preferred), then the finance glossary file.
 DEFAULT_GLOSSARY = [
     ("loan", "зээл"),
     ("interest rate", "хүүгийн хувь"),
@@ -88,6 +88,8 @@ CONTEXT_ALIASES = {
     "monthly_income": ["monthly_income", "income"],
     "employment_status": ["employment_status", "employment"],
 }
+FINANCE_GLOSSARY_ID = "lendex_finance"
+MOCK_TEACHER_MODEL = "mock:Qwen3-235B-A22B-Instruct-2507"
 REVIEW_REASON = "Human review recommended due to compliance sensitivity, glossary warnings, or low confidence."
 # Heuristic confidence: base, short-text penalty, per-warning penalty, cap, clamp.
 CONFIDENCE_BASE = 0.88

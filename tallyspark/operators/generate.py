@@ -15,6 +15,7 @@ from ..functions.templating import pick, render
 from . import templates_v1 as T1
 from . import templates_v2 as T2
 from . import templates_v3 as T3
+from ..functions.vocab import MOCK_TEACHER_MODEL
 
 
 def _messages(system: Column, user: Column, assistant: Column) -> Column:
@@ -226,7 +227,7 @@ def sft_v3(df: DataFrame, index_col: str = "gidx") -> DataFrame:
     task = _case(domain, {d: F.lit(T3.TASK_NAMES[d]) for d, _ in T3.DOMAIN_QUOTAS})
     return m.select(
         "gidx",
-        F.concat(F.lit("lendex-v3-"), domain, F.lit("-"), F.format_string("%05d", col("gidx"))).alias("id"),
+        F.concat(F.lit(T3.ID_PREFIX), domain, F.lit("-"), F.format_string("%05d", col("gidx"))).alias("id"),
         domain.alias("domain"),
         F.lit(T3.SYSTEM).alias("system"),
         prompt_v3(task).alias("user"),
@@ -285,7 +286,7 @@ def teacher_records(seeds: DataFrame) -> DataFrame:
         F.coalesce(F.col("language"), F.lit("mn")).alias("language"),
         F.coalesce(F.col("contains_pii").cast("boolean"), F.lit(False)).alias("contains_pii"),
         F.lit("mock_teacher_dry_run").alias("source"),
-        F.lit("mock:Qwen3-235B-A22B-Instruct-2507").alias("model"),
+        F.lit(MOCK_TEACHER_MODEL).alias("model"),
         F.lit("synthetic_seed").alias("license_status"),
         F.lit("training_allowed_after_human_review").alias("allowed_usage"),
         F.lit(True).alias("human_review_required"),

@@ -35,7 +35,7 @@ DOC_SETS = [
 EXPENSE_RATES = [0.48, 0.55, 0.62, 0.70, 0.82]
 TERM_CHOICES = [6, 9, 12, 18, 24, 30, 36]
 SOURCE = "synthetic_lendex_credit_analyst_v3"
-ID_FORMAT = "lendex-v3-{domain}-{index:05d}"
+ID_PREFIX = "lendex-v3-"  # id = prefix + domain + "-" + 5-digit global index
 SYSTEM = ("Та Lendex болон Datagate-д зориулсан монгол хэлтэй зээлийн шинжээч. "
           "Зөвхөн эцсийн хариу бич. Тооцоог өгөгдсөн тооноос гарга. Дотоод бодол бүү харуул.")
 TASK_NAMES = {

@@ -104,7 +104,7 @@ def v1_sql(index_source: str = "SELECT o_orderkey AS idx FROM orders") -> str:
         u_t, a_t = T1.TEMPLATES[d]
         users[d], assistants[d] = render_sql(u_t, fields), render_sql(a_t, fields)
     return f"""
-    SELECT idx, printf('lendex-sft-%04d', idx + 1) AS id, domain, {q(T1.SYSTEM)} AS system,
+    SELECT idx, printf({q(T1.ID_FORMAT)}, idx + 1) AS id, domain, {q(T1.SYSTEM)} AS system,
       {case_sql('domain', users)} AS "user", {case_sql('domain', assistants)} AS assistant,
       {q(T1.SOURCE)} AS source, {q(T1.LICENSE_STATUS)} AS license_status,
       {q(T1.ALLOWED_USAGE)} AS allowed_usage, false AS contains_pii
@@ -170,7 +170,7 @@ def v2_sql(index_source: str = "SELECT o_orderkey AS idx FROM orders") -> str:
     return f"""
     WITH m AS ({v2_metrics_sql(index_source)}),
     k AS (SELECT *, {pick_sql(T2.TASKS, 'idx')} AS task FROM m)
-    SELECT idx, printf('lendex-v2-%05d', idx + 1) AS id, task AS domain, {q(T2.SYSTEM)} AS system,
+    SELECT idx, printf({q(T2.ID_FORMAT)}, idx + 1) AS id, task AS domain, {q(T2.SYSTEM)} AS system,
       {case_sql('task', users)} AS "user", {case_sql('task', assistants)} AS assistant,
       {q(T2.SOURCE)} AS source, 'synthetic' AS license_status, 'training_allowed' AS allowed_usage,
       false AS contains_pii, true AS numeric_example, true AS metrics_expected
@@ -240,7 +240,7 @@ def v3_sql(index_source: str = "SELECT o_orderkey + 1 AS gidx FROM orders") -> s
     return f"""
     WITH m AS ({v3_metrics_sql(index_source)}),
     k AS (SELECT *, {v3_domain_sql('gidx')} AS domain FROM m)
-    SELECT gidx, concat('lendex-v3-', domain, '-', printf('%05d', gidx)) AS id, domain, {q(T3.SYSTEM)} AS system,
+    SELECT gidx, concat({q(T3.ID_PREFIX)}, domain, '-', printf('%05d', gidx)) AS id, domain, {q(T3.SYSTEM)} AS system,
       {prompt} AS "user", {case_sql('domain', answers)} AS assistant, {q(T3.SOURCE)} AS source,
       'synthetic' AS license_status, 'training_allowed' AS allowed_usage, false AS contains_pii,
       domain <> 'missing_documents_request' AS numeric_example
@@ -369,7 +369,7 @@ def glossary_sql(text: str, glossary_id: str | None):
     return f"list_sort(list_distinct({lst(used)}))", lst(warns)
 
 
-_gt, _gw = glossary_sql('"user"', "lendex_finance")
+_gt, _gw = glossary_sql('"user"', V.FINANCE_GLOSSARY_ID)
 ORACLE["glossary_check"] = f"""
 WITH {V1_CTE}
 SELECT idx, array_to_string({_gt}, '|') AS terms_used, array_to_string({_gw}, '|') AS glossary_warnings,
@@ -394,7 +394,7 @@ ORACLE["confidence_scores"] = f"""
 WITH {V1_CTE}, x AS ({with_missing(extraction_sql('SELECT idx, domain, "user" FROM v', 'idx, domain', '"user"'))})
 SELECT idx, domain, {confidence_sql(redact_sql('_text'), 'len(_missing)')} AS confidence FROM x"""
 
-_rt, _rw = glossary_sql('"user"', "lendex_finance")
+_rt, _rw = glossary_sql('"user"', V.FINANCE_GLOSSARY_ID)
 ORACLE["review_routing"] = f"""
 WITH {V1_CTE}, f AS (SELECT * FROM v WHERE domain = 'finance_translation'),
 i AS ({issues_cte('SELECT * FROM f', 'idx, assistant, "user"', '"user"')}),
@@ -667,7 +667,7 @@ ORACLE["dataset_invariants"] = f"""
 WITH {V1_CTE}, d AS (SELECT domain, count(*) AS c FROM v GROUP BY domain)
 SELECT * FROM (
   SELECT count(*) AS n_rows,
-    bool_and(source = 'synthetic_lendex_datagate_v1' AND license_status = 'synthetic' AND allowed_usage = 'training_allowed'
+    bool_and(source = {q(T1.SOURCE)} AND license_status = {q(T1.LICENSE_STATUS)} AND allowed_usage = {q(T1.ALLOWED_USAGE)}
              AND contains_pii IS NOT DISTINCT FROM false) AS metadata_ok,
     count_if(regexp_matches({_all}, {q(P.PHONE_RE2_EXISTS)}) OR regexp_matches({_all}, {q(P.EMAIL_RE2_EXISTS)})
              OR regexp_matches({_all}, {q(P.REGISTER_RE2_EXISTS)})) AS n_pii_rows,
@@ -688,7 +688,7 @@ _svc = f"CASE WHEN text IS NULL OR length({py_strip_sql('text')}) = 0 THEN {D(0.
 ORACLE["eval_scores"] = f"SELECT item_id, {_off} AS offline_score, {_svc} AS service_score FROM benchmark"
 ORACLE["eval_summary"] = f"""
 SELECT count(*) AS n_items, coalesce(round(avg({_off}), 3), 0.0::DOUBLE) AS average_score,
-  'Qwen3-235B-A22B-Instruct-2507' AS judge_model FROM benchmark"""
+  {q(__import__('tallyspark.operators.evaluate', fromlist=['x']).DEFAULT_JUDGE)} AS judge_model FROM benchmark"""
 ORACLE["score_regression"] = f"""
 SELECT count(*) AS n_items, count_if(({_off}) - ({_svc}) < 0) AS n_regressed,
   round(avg(({_off}) - ({_svc})), 6) AS mean_delta FROM benchmark"""
@@ -786,7 +786,7 @@ x AS ({extraction_sql('SELECT conv_id, user_text FROM u', 'conv_id', 'user_text'
 m AS (SELECT conv_id, {_context_missing('x')} AS miss FROM x)
 SELECT conv_id, concat({q(_chat_system)}, CASE WHEN len(miss) > 0 THEN array_to_string(miss, ', ') ELSE 'none' END, '.') AS system_prompt FROM m"""
 
-_ww = glossary_sql('"user"', "lendex_finance")[1]
+_ww = glossary_sql('"user"', V.FINANCE_GLOSSARY_ID)[1]
 ORACLE["rewrite_audit"] = f"""
 WITH {V1_CTE}, f AS (SELECT * FROM v WHERE domain = 'compliance_rewrite'),
 i AS ({issues_cte('SELECT * FROM f', 'idx, assistant, "user"', '"user"')})
@@ -802,7 +802,7 @@ SELECT r.task, coalesce(c.n, 0) AS n_items FROM r LEFT JOIN c ON r.task = c.task
 ORACLE["governance_audit"] = f"""
 WITH {V1_CTE}, i AS ({issues_cte('SELECT * FROM v', 'idx, assistant', 'assistant')}),
 c AS (SELECT idx, len(cats) = 0 AS compliance_ok, len(cats) AS n, {confidence_sql('assistant', 'len(cats)')} AS confidence FROM i)
-SELECT idx, 'mock:Qwen3-235B-A22B-Instruct-2507' AS model, 'sft_v1' AS prompt_version, 'lendex_finance' AS glossary_version,
+SELECT idx, {q(V.MOCK_TEACHER_MODEL)} AS model, 'sft_v1' AS prompt_version, {q(V.FINANCE_GLOSSARY_ID)} AS glossary_version,
   compliance_ok, confidence,
   CASE WHEN n > 0 OR confidence < {D(V.REVIEW_THRESHOLD)} THEN 'needs_review' ELSE 'auto_approved' END AS review_status FROM c"""
 

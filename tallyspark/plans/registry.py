@@ -93,6 +93,8 @@ from ..operators import lending_jobs as LJ  # noqa: E402
 from ..operators import quality as Q  # noqa: E402
 from ..operators import split as SP  # noqa: E402
 from ..operators import templates_v2 as T2  # noqa: E402
+from ..operators import templates_v1 as T1V  # noqa: E402
+from ..functions import vocab as VO  # noqa: E402
 
 
 def _join(col, sep="|"):
@@ -124,7 +126,7 @@ def q_compliance_report(spark, sf_dir):
 
 @query("glossary_check")
 def q_glossary_check(spark, sf_dir):
-    g = LJ.glossary_job(v1_corpus(spark, sf_dir), "user", "lendex_finance")
+    g = LJ.glossary_job(v1_corpus(spark, sf_dir), "user", VO.FINANCE_GLOSSARY_ID)
     return g.select("idx", _join(F.col("terms_used")).alias("terms_used"),
                     _join(F.col("glossary_warnings")).alias("glossary_warnings"),
                     F.size("glossary_warnings").alias("n_warnings"))
@@ -163,7 +165,7 @@ def q_confidence_scores(spark, sf_dir):
 @query("review_routing")
 def q_review_routing(spark, sf_dir):
     v1 = v1_corpus(spark, sf_dir).filter(F.col("domain") == "finance_translation")
-    r = LJ.review_job(v1, "assistant", "user", glossary_id="lendex_finance")
+    r = LJ.review_job(v1, "assistant", "user", glossary_id=VO.FINANCE_GLOSSARY_ID)
     return r.select("idx", "confidence", "requires_human_review", "reason",
                     F.size("glossary_warnings").alias("n_glossary_warnings"),
                     _join(F.col("terms_used")).alias("terms_used"))
@@ -363,8 +365,8 @@ def q_dataset_invariants(spark, sf_dir):
     low = F.lower("assistant")
     inv = v1.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.bool_and((F.col("source") == "synthetic_lendex_datagate_v1") & (F.col("license_status") == "synthetic")
-                   & (F.col("allowed_usage") == "training_allowed") & F.col("contains_pii").eqNullSafe(False))
+        F.bool_and((F.col("source") == T1V.SOURCE) & (F.col("license_status") == T1V.LICENSE_STATUS)
+                   & (F.col("allowed_usage") == T1V.ALLOWED_USAGE) & F.col("contains_pii").eqNullSafe(False))
          .alias("metadata_ok"),
         F.count_if(TX.has_phone(all_text) | TX.has_email(all_text) | TX.has_register(all_text)).alias("n_pii_rows"),
         F.count_if(~F.col("assistant").contains("Та")).alias("n_impolite"),
@@ -591,7 +593,7 @@ def q_chat_prompts(spark, sf_dir):
 def q_rewrite_audit(spark, sf_dir):
     """T22 over the generated compliance-rewrite rows (user text -> assistant rewrite)."""
     v1 = v1_corpus(spark, sf_dir).filter(F.col("domain") == "compliance_rewrite")
-    r = LJ.rewrite_audit(v1, "user", "assistant", "lendex_finance")
+    r = LJ.rewrite_audit(v1, "user", "assistant", VO.FINANCE_GLOSSARY_ID)
     return r.select("idx", F.array_join("compliance_warnings", "|").alias("compliance_warnings"),
                     F.size("safer_alternatives").alias("n_alternatives"), "confidence")
 
@@ -608,8 +610,8 @@ def q_governance_audit(spark, sf_dir):
     v1 = LJ.compliance_scan(v1_corpus(spark, sf_dir), "assistant")
     conf = L.heuristic_confidence(F.col("assistant"), F.size("compliance_warnings"))
     needs, _ = L.review_routing(conf, F.size("issues"))
-    return v1.select("idx", F.lit("mock:Qwen3-235B-A22B-Instruct-2507").alias("model"),
-                     F.lit("sft_v1").alias("prompt_version"), F.lit("lendex_finance").alias("glossary_version"),
+    return v1.select("idx", F.lit(VO.MOCK_TEACHER_MODEL).alias("model"),
+                     F.lit("sft_v1").alias("prompt_version"), F.lit(VO.FINANCE_GLOSSARY_ID).alias("glossary_version"),
                      F.col("is_safe").alias("compliance_ok"), conf.alias("confidence"),
                      F.when(needs, "needs_review").otherwise("auto_approved").alias("review_status"))
 
