@@ -40,15 +40,18 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 def read_prompt_list(spark: SparkSession, path: str) -> DataFrame:
     """A JSON list of strings, or an object with a ``prompts`` list; every item a
     non-blank string, else the job fails (``assert_true``)."""
-    raw = spark.read.option("multiLine", "true").text(path, wholetext=True)
+    from ..functions.text import is_blank
+    raw = spark.read.text(path, wholetext=True)
     as_list = F.from_json("value", "array<string>")
     as_obj = F.from_json("value", "struct<prompts:array<string>>").getField("prompts")
     prompts = raw.select(F.coalesce(as_list, as_obj).alias("prompts"))
-    checked = prompts.select(F.assert_true(F.col("prompts").isNotNull(),
-                                           "prompts must be a JSON list of non-empty strings").alias("_ok"), "prompts")
+    # the assertions are folded into the output columns so the optimizer cannot prune them
+    checked = prompts.select(F.coalesce(
+        F.assert_true(F.col("prompts").isNotNull(), "prompts must be a JSON list of non-empty strings").cast("array<string>"),
+        F.col("prompts")).alias("prompts"))
     items = checked.select(F.posexplode("prompts").alias("pos", "prompt"))
-    return items.select("pos", "prompt",
-                        F.assert_true(F.length(F.trim("prompt")) > 0, "empty prompt").alias("_ok")).drop("_ok")
+    return items.select("pos", F.coalesce(F.assert_true(~is_blank(F.col("prompt")), "empty prompt").cast("string"),
+                                          F.col("prompt")).alias("prompt"))
 
 
 def summary_row(df: DataFrame, key: str) -> DataFrame:
