@@ -50,6 +50,24 @@ def latin_count(col) -> Column:
     return count_chars(col, P.LATIN_CHARS)
 
 
+def script_counts(col) -> tuple[Column, Column]:
+    """(Mongolian letters, Latin letters) with one full pass: Latin letters are counted
+    on the string that is left once the Mongolian letters are removed."""
+    c = _c(col)
+    rest = F.translate(c, P.MN_LETTER_CHARS, "")
+    return F.length(c) - F.length(rest), F.length(rest) - F.length(F.translate(rest, P.LATIN_CHARS, ""))
+
+
+def with_script_counts(df, col, mn_name: str = "mn_chars", latin_name: str = "latin_chars"):
+    """``script_counts`` with the intermediate string materialised as a column (computed once)."""
+    c = _c(col)
+    out = df.withColumn("_rest_mn", F.translate(c, P.MN_LETTER_CHARS, ""))
+    rest = F.col("_rest_mn")
+    return (out.withColumn(mn_name, F.length(c) - F.length(rest))
+               .withColumn(latin_name, F.length(rest) - F.length(F.translate(rest, P.LATIN_CHARS, "")))
+               .drop("_rest_mn"))
+
+
 def dominant_language(col) -> Column:
     """'en' when Latin letters outnumber Cyrillic ones, else 'mn' (ties and empty too)."""
     return F.when(latin_count(col) > mongolian_count(col), F.lit("en")).otherwise(F.lit("mn"))

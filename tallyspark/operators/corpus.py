@@ -62,12 +62,8 @@ def script_profile(df: DataFrame, lang_col: str = "lang", text_col: str = "text"
 
     Returns the confusion table (declared language x detected language).
     """
-    t = F.col(text_col)
-    per_doc = df.select(
-        F.col(lang_col).alias("lang"),
-        TX.mongolian_count(t).alias("mn_chars"),
-        TX.latin_count(t).alias("latin_chars"),
-    ).withColumn("detected", F.when(F.col("latin_chars") > F.col("mn_chars"), "en").otherwise("mn"))
+    per_doc = TX.with_script_counts(df.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("_t")),
+                                    F.col("_t")).drop("_t").withColumn("detected", F.when(F.col("latin_chars") > F.col("mn_chars"), "en").otherwise("mn"))
     return per_doc.groupBy("lang", "detected").agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.sum("mn_chars").alias("mn_chars"),

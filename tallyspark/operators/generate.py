@@ -35,8 +35,8 @@ def _case(key: Column, branches: dict) -> Column:
 
 # --- G1: five-domain instruction set (v1) -------------------------------------
 
-def sft_v1(df: DataFrame, index_col: str = "idx") -> DataFrame:
-    """One record per input row; ``index_col`` is the 0-based generator index."""
+def render_v1(df: DataFrame, index_col: str = "idx") -> DataFrame:
+    """Row-wise rendering: one record per input row; ``index_col`` is the 0-based generator index."""
     i = F.col(index_col)
     domain = pick(T1.DOMAINS, i)
     users, assistants = {}, {}
@@ -110,7 +110,8 @@ def base_input_v2(s=F.col) -> Column:
                                    "term_months", "collateral", "collateral_value")})
 
 
-def sft_v2(df: DataFrame, index_col: str = "idx") -> DataFrame:
+def render_v2(df: DataFrame, index_col: str = "idx") -> DataFrame:
+    """Row-wise rendering of v2 records."""
     m = metrics_v2(scenario_v2(df, index_col))
     col = F.col
     fields = {
@@ -183,6 +184,7 @@ def scenario_v3(df: DataFrame, index_col: str = "gidx") -> DataFrame:
         (F.lit(12) + F.pmod(i, F.lit(13)) * 6).cast("bigint").alias("loan_amount"),
         pick(T3.TERM_CHOICES, i).cast("bigint").alias("term_months"),
         docs.alias("docs"),
+        *([F.col("_domain")] if "_domain" in df.columns else []),
     )
 
 
@@ -204,11 +206,12 @@ def prompt_v3(task: Column, s=F.col) -> Column:
     return render(T3.PROMPT, fields)
 
 
-def sft_v3(df: DataFrame, index_col: str = "gidx") -> DataFrame:
-    """``index_col`` is the 1-based global index; domain follows the quota cycle."""
-    m = metrics_v3(scenario_v3(df, index_col))
+def render_v3(df: DataFrame, index_col: str = "gidx", domain_col: str | None = None) -> DataFrame:
+    """Row-wise rendering of v3 records; ``index_col`` is the 1-based global index and the
+    domain follows the quota cycle unless ``domain_col`` supplies it."""
+    m = metrics_v3(scenario_v3(df.withColumnRenamed(domain_col, "_domain") if domain_col else df, index_col))
     col = F.col
-    domain = v3_domain(col("gidx"))
+    domain = col("_domain") if domain_col else v3_domain(col("gidx"))
     money3 = lambda c: C.money(c, "₮")
     docs_block = F.array_join(F.transform(col("docs"), lambda d: F.concat(F.lit("- "), d)), "\n")
     fields = {
@@ -240,6 +243,93 @@ def sft_v3(df: DataFrame, index_col: str = "gidx") -> DataFrame:
     )
 
 
+# --- content-addressed generation ----------------------------------------------------
+#
+# Every generated field depends on the index only through fixed moduli (vocabulary
+# sizes and the scenario formulas), so the content repeats with a fixed period. Each
+# distinct content is rendered once into a dimension whose size is bounded by the
+# period (not by the data) and attached to the index with a broadcast hash join; the
+# per-record work is a lookup plus the record id.
+
+import math  # noqa: E402
+
+V1_PERIOD = math.lcm(len(T1.DOMAINS), *[len(T1.VOCABS[v]) for slots in T1.SLOTS.values() for v, _m, _o in slots.values()])
+# v2 scenario moduli: revenue 11, expense rate 5, debt 9, cash 8, loan 10, terms, collaterals,
+# sectors, documents, tasks.
+V2_PERIOD = math.lcm(11, 5, 9, 8, 10, len(T2.TERM_CHOICES), len(T2.COLLATERALS), len(T2.SECTORS),
+                     len(T2.MISSING_DOCS), len(T2.TASKS))
+# v3 scenario moduli: revenue 15, expense rates, debt 12, cash 10, loan 13, terms, sectors, document sets.
+V3_PERIOD = math.lcm(15, len(T3.EXPENSE_RATES), 12, 10, 13, len(T3.TERM_CHOICES), len(T3.SECTORS), len(T3.DOC_SETS))
+CONTENT_COLS = ("domain", "system", "user", "assistant")
+
+
+def content_v1(spark) -> DataFrame:
+    """The V1_PERIOD distinct v1 contents, keyed by ``_k`` = idx mod V1_PERIOD."""
+    return render_v1(spark.range(V1_PERIOD).withColumnRenamed("id", "idx")) \
+        .select(F.col("idx").alias("_k"), *CONTENT_COLS)
+
+
+def content_v2(spark) -> DataFrame:
+    return render_v2(spark.range(V2_PERIOD).withColumnRenamed("id", "idx")) \
+        .select(F.col("idx").alias("_k"), *CONTENT_COLS)
+
+
+def content_v3(spark) -> DataFrame:
+    """Distinct v3 contents keyed by (``_k`` = gidx mod V3_PERIOD, domain): V3_PERIOD x 6 rows."""
+    base = spark.range(V3_PERIOD).select(
+        F.col("id").alias("gidx"),
+        F.explode(F.array(*[F.lit(d) for d, _ in T3.DOMAIN_QUOTAS])).alias("dom"))
+    return render_v3(base, "gidx", "dom").select(F.col("gidx").alias("_k"), *CONTENT_COLS)
+
+
+def v1_keys(df: DataFrame, index_col: str = "idx") -> DataFrame:
+    i = F.col(index_col)
+    return df.select(i.alias("idx"), F.pmod(i, F.lit(V1_PERIOD)).alias("_k"))
+
+
+def v2_keys(df: DataFrame, index_col: str = "idx") -> DataFrame:
+    i = F.col(index_col)
+    return df.select(i.alias("idx"), F.pmod(i, F.lit(V2_PERIOD)).alias("_k"))
+
+
+def v3_keys(df: DataFrame, index_col: str = "gidx") -> DataFrame:
+    i = F.col(index_col)
+    return df.select(i.alias("gidx"), F.pmod(i, F.lit(V3_PERIOD)).alias("_k"), v3_domain(i).alias("domain"))
+
+
+def attach(keys: DataFrame, content: DataFrame) -> DataFrame:
+    """Records = index keys joined to their (bounded, broadcast) content dimension."""
+    on = ["_k", "domain"] if "domain" in keys.columns else ["_k"]
+    return keys.join(F.broadcast(content), on).drop("_k")
+
+
+def sft_v1(df: DataFrame, index_col: str = "idx") -> DataFrame:
+    """G1: one v1 record per input row (0-based index)."""
+    r = attach(v1_keys(df, index_col), content_v1(df.sparkSession))
+    return r.select("idx", F.format_string(T1.ID_FORMAT, F.col("idx") + 1).alias("id"), *CONTENT_COLS,
+                    F.lit(T1.SOURCE).alias("source"), F.lit(T1.LICENSE_STATUS).alias("license_status"),
+                    F.lit(T1.ALLOWED_USAGE).alias("allowed_usage"), F.lit(False).alias("contains_pii"))
+
+
+def sft_v2(df: DataFrame, index_col: str = "idx") -> DataFrame:
+    """One v2 record per input row (0-based index)."""
+    r = attach(v2_keys(df, index_col), content_v2(df.sparkSession))
+    return r.select("idx", F.format_string(T2.ID_FORMAT, F.col("idx") + 1).alias("id"), *CONTENT_COLS,
+                    F.lit(T2.SOURCE).alias("source"), F.lit("synthetic").alias("license_status"),
+                    F.lit("training_allowed").alias("allowed_usage"), F.lit(False).alias("contains_pii"),
+                    F.lit(True).alias("numeric_example"), F.lit(True).alias("metrics_expected"))
+
+
+def sft_v3(df: DataFrame, index_col: str = "gidx") -> DataFrame:
+    """One v3 record per input row (1-based global index; domain from the quota cycle)."""
+    r = attach(v3_keys(df, index_col), content_v3(df.sparkSession))
+    return r.select("gidx",
+                    F.concat(F.lit(T3.ID_PREFIX), F.col("domain"), F.lit("-"), F.format_string("%05d", F.col("gidx"))).alias("id"),
+                    *CONTENT_COLS, F.lit(T3.SOURCE).alias("source"), F.lit("synthetic").alias("license_status"),
+                    F.lit("training_allowed").alias("allowed_usage"), F.lit(False).alias("contains_pii"),
+                    (F.col("domain") != "missing_documents_request").alias("numeric_example"))
+
+
 def nested_metadata(df: DataFrame, keys=("domain", "source", "license_status", "allowed_usage",
                                          "contains_pii", "numeric_example")) -> DataFrame:
     """Flat record -> ``messages`` + ``metadata`` struct (the v2/v3 file layout)."""

@@ -53,8 +53,7 @@ def role_sequence_ok(messages: Column) -> Column:
 
 def v2_violations(df: DataFrame, roles_ok: Column | None = None) -> DataFrame:
     """Q1 over flat v2 records (domain, source, contains_pii, assistant, numeric_example)."""
-    df = (df.withColumn("mn_chars", TX.mongolian_count(F.col("assistant")))
-            .withColumn("_latin", TX.latin_count(F.col("assistant")))
+    df = (TX.with_script_counts(df, F.col("assistant"), "mn_chars", "_latin")
             .withColumn("_low", F.lower(F.col("assistant")))
             .withColumn("metric_terms", metric_term_count(F.col("_low"))))
     out = F.col("assistant")
@@ -84,12 +83,17 @@ def v2_violations(df: DataFrame, roles_ok: Column | None = None) -> DataFrame:
 
 # --- v3 -----------------------------------------------------------------------------
 
-def prompt_figures(prompt) -> dict:
-    """The six labelled integers of a v3 prompt (null when absent)."""
+def prompt_figures(prompt, lowered: bool = False) -> dict:
+    """The six labelled integers of a v3 prompt (null when absent), matched case-insensitively.
+
+    With ``lowered=True`` the column is already lower-cased; the labels are then
+    matched case-sensitively in lower case, which finds the same first match and
+    lets the regex engine skip ahead on the literal label."""
     p = F.col(prompt) if isinstance(prompt, str) else prompt
     out = {}
     for key, label, unit in T3.PROMPT_FIGURES:
-        pat = f"(?iU){label}[{_ws()}]+(\\d+)[{_ws()}]+{unit}"
+        pat = (f"(?U){label.lower()}[{_ws()}]+(\\d+)[{_ws()}]+{unit.lower()}" if lowered
+               else f"(?iU){label}[{_ws()}]+(\\d+)[{_ws()}]+{unit}")
         s = F.regexp_extract(p, pat, 1)
         out[key] = F.when(s != "", s.try_cast("bigint"))
     return out
@@ -137,7 +141,8 @@ def v3_violations(df: DataFrame) -> DataFrame:
 
     Prompt figures, expected metric texts and counts are materialised as columns
     first, so each rule references them instead of re-deriving them."""
-    figs = prompt_figures(F.col("user"))
+    df = df.withColumn("_user_low", F.lower(F.col("user")))
+    figs = prompt_figures(F.col("_user_low"), lowered=True)
     for k, v in figs.items():
         df = df.withColumn(f"_f_{k}", v)
     fcols = {k: F.col(f"_f_{k}") for k in figs}
@@ -147,9 +152,8 @@ def v3_violations(df: DataFrame) -> DataFrame:
         df = df.withColumn(f"_m{i}", metrics[lab])
     mcols = {lab: F.col(f"_m{i}") for i, lab in enumerate(labels)}
     out = F.col("assistant")
-    df = (df.withColumn("_low", F.lower(out))
-            .withColumn("mn_chars", TX.mongolian_count(out))
-            .withColumn("_latin", TX.latin_count(out))
+    df = (TX.with_script_counts(df, out, "mn_chars", "_latin")
+            .withColumn("_low", F.lower(out))
             .withColumn("metric_matches", metric_matches(out, mcols, F.col("_low")))
             .withColumn("_fig_missing", missing_figure(fcols)))
     low = F.col("_low")
@@ -178,18 +182,18 @@ def v3_violations(df: DataFrame) -> DataFrame:
         F.when(numeric & fig_missing.isNull() & (F.col("metric_matches") < 3),
                F.lit("numeric output has fewer than 3 calculated metric matches")),
     ]
-    tmp = [c for c in df.columns if c.startswith("_f_") or c.startswith("_m")] + ["_latin", "_fig_missing", "_low"]
+    tmp = [c for c in df.columns if c.startswith("_f_") or c.startswith("_m")] + ["_latin", "_fig_missing", "_low", "_user_low"]
     return (df.withColumn("violations", F.array_compact(F.array(*rules)))
               .withColumn("first_violation", F.get(F.col("violations"), 0)).drop(*tmp))
 
 
-def figures_roundtrip(df: DataFrame) -> DataFrame:
+def figures_roundtrip(df: DataFrame, keys=("gidx",)) -> DataFrame:
     """G6 -> T23: parse the rendered prompt back and compare with the scenario figures."""
     figs = prompt_figures(F.col("user"))
     ok = F.lit(True)
     for k, _l, _u in T3.PROMPT_FIGURES:
         ok = ok & F.coalesce(figs[k] == F.col(k), F.lit(False))
-    return df.select("gidx", *[figs[k].alias(f"parsed_{k}") for k, _l, _u in T3.PROMPT_FIGURES],
+    return df.select(*keys, *[figs[k].alias(f"parsed_{k}") for k, _l, _u in T3.PROMPT_FIGURES],
                      ok.alias("roundtrip_ok"))
 
 

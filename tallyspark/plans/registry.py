@@ -67,6 +67,32 @@ def v3_corpus(spark, sf_dir):
     return G.sft_v3(table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).alias("gidx")))
 
 
+def generated(spark, sf_dir, version, fn=None):
+    """Generated records with ``fn`` applied once per distinct content.
+
+    ``fn`` runs on the content dimension (bounded by the generator's period, with the
+    constant record metadata attached); its result is broadcast-joined to the
+    order-derived index, so per-record work is a hash lookup however large the
+    index table is."""
+    orders = table(spark, sf_dir, "orders")
+    if version == "v1":
+        keys, content = G.v1_keys(orders.select(F.col("o_orderkey").alias("idx"))), G.content_v1(spark)
+        meta = [F.lit(T1V.SOURCE).alias("source"), F.lit(T1V.LICENSE_STATUS).alias("license_status"),
+                F.lit(T1V.ALLOWED_USAGE).alias("allowed_usage"), F.lit(False).alias("contains_pii")]
+    elif version == "v2":
+        keys, content = G.v2_keys(orders.select(F.col("o_orderkey").alias("idx"))), G.content_v2(spark)
+        meta = [F.lit(T2.SOURCE).alias("source"), F.lit(False).alias("contains_pii"),
+                F.lit(True).alias("numeric_example")]
+    else:
+        keys, content = G.v3_keys(orders.select((F.col("o_orderkey") + 1).alias("gidx"))), G.content_v3(spark)
+        meta = [F.lit(T3.SOURCE).alias("source"), F.lit(False).alias("contains_pii"),
+                (F.col("domain") != "missing_documents_request").alias("numeric_example")]
+    content = content.select("*", *meta)
+    if fn is not None:
+        content = fn(content)
+    return G.attach(keys, content)
+
+
 @query("sft_v1_generate")
 def q_sft_v1(spark, sf_dir):
     return v1_corpus(spark, sf_dir)
@@ -94,6 +120,7 @@ from ..operators import quality as Q  # noqa: E402
 from ..operators import split as SP  # noqa: E402
 from ..operators import templates_v2 as T2  # noqa: E402
 from ..operators import templates_v1 as T1V  # noqa: E402
+from ..operators import templates_v3 as T3  # noqa: E402
 from ..functions import vocab as VO  # noqa: E402
 
 
@@ -103,7 +130,7 @@ def _join(col, sep="|"):
 
 @query("compliance_issues")
 def q_compliance_issues(spark, sf_dir):
-    s = LJ.compliance_scan(v1_corpus(spark, sf_dir), "user")
+    s = generated(spark, sf_dir, "v1", lambda d: LJ.compliance_scan(d, "user"))
     return s.select("idx", F.size("issues").alias("n_issues"),
                     _join(F.col("compliance_warnings")).alias("categories"),
                     _join(F.transform("issues", lambda i: i["phrase"])).alias("phrases"),
@@ -112,21 +139,28 @@ def q_compliance_issues(spark, sf_dir):
 
 @query("compliance_safer_text")
 def q_compliance_safer(spark, sf_dir):
-    s = LJ.compliance_scan(v1_corpus(spark, sf_dir), "user")
+    s = generated(spark, sf_dir, "v1", lambda d: LJ.compliance_scan(d, "user"))
     return s.select("idx", "safer_text", _join(F.col("safer_alternatives")).alias("alternatives"))
 
 
 @query("compliance_report")
 def q_compliance_report(spark, sf_dir):
-    corpus_ = v1_corpus(spark, sf_dir)
-    both = corpus_.select("domain", F.col("user").alias("text")).unionByName(
-        corpus_.select("domain", F.col("assistant").alias("text")))
-    return LJ.compliance_report(LJ.compliance_scan(both, "text"), keys=("domain",))
+    # issues per distinct content (user and assistant texts), weighted by how many
+    # records carry that content: the index side is reduced to (key, count) first
+    content = G.content_v1(spark)
+    both = content.select("_k", "domain", F.col("user").alias("text")).unionByName(
+        content.select("_k", "domain", F.col("assistant").alias("text")))
+    per_content = LJ.compliance_report(LJ.compliance_scan(both, "text"), keys=("_k", "domain"))
+    counts = G.v1_keys(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("idx"))) \
+        .groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
+    return (counts.join(F.broadcast(per_content), "_k")
+                  .groupBy("domain", "category", "severity")
+                  .agg(F.sum(F.col("n_issues") * F.col("_n")).alias("n_issues")))
 
 
 @query("glossary_check")
 def q_glossary_check(spark, sf_dir):
-    g = LJ.glossary_job(v1_corpus(spark, sf_dir), "user", VO.FINANCE_GLOSSARY_ID)
+    g = generated(spark, sf_dir, "v1", lambda d: LJ.glossary_job(d, "user", VO.FINANCE_GLOSSARY_ID))
     return g.select("idx", _join(F.col("terms_used")).alias("terms_used"),
                     _join(F.col("glossary_warnings")).alias("glossary_warnings"),
                     F.size("glossary_warnings").alias("n_warnings"))
@@ -147,7 +181,7 @@ def q_loan_extraction(spark, sf_dir):
 
 @query("loan_extraction_sft")
 def q_loan_extraction_sft(spark, sf_dir):
-    return _extraction_cols(LJ.extraction_job(v1_corpus(spark, sf_dir), "user"), "idx")
+    return _extraction_cols(generated(spark, sf_dir, "v1", lambda d: LJ.extraction_job(d, "user")), "idx")
 
 
 @query("missing_fields_report")
@@ -158,14 +192,14 @@ def q_missing_fields_report(spark, sf_dir):
 
 @query("confidence_scores")
 def q_confidence_scores(spark, sf_dir):
-    e = LJ.extraction_job(v1_corpus(spark, sf_dir), "user")
+    e = generated(spark, sf_dir, "v1", lambda d: LJ.extraction_job(d, "user"))
     return e.select("idx", "domain", "confidence")
 
 
 @query("review_routing")
 def q_review_routing(spark, sf_dir):
-    v1 = v1_corpus(spark, sf_dir).filter(F.col("domain") == "finance_translation")
-    r = LJ.review_job(v1, "assistant", "user", glossary_id=VO.FINANCE_GLOSSARY_ID)
+    r = generated(spark, sf_dir, "v1", lambda d: LJ.review_job(d.filter(F.col("domain") == "finance_translation"),
+                                                                "assistant", "user", glossary_id=VO.FINANCE_GLOSSARY_ID))
     return r.select("idx", "confidence", "requires_human_review", "reason",
                     F.size("glossary_warnings").alias("n_glossary_warnings"),
                     _join(F.col("terms_used")).alias("terms_used"))
@@ -291,12 +325,13 @@ def q_seeded_split(spark, sf_dir):
 
 @query("prefix_split")
 def q_prefix_split(spark, sf_dir):
-    return SP.prefix_split(v2_corpus(spark, sf_dir).select("idx", "domain"), "idx", 0.9).select("idx", "split")
+    keys = G.v2_keys(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("idx")))
+    return SP.prefix_split(keys.select("idx"), "idx", 0.9).select("idx", "split")
 
 
 @query("sft_v3_stratified_split")
 def q_v3_split(spark, sf_dir):
-    v3 = v3_corpus(spark, sf_dir).select("gidx", "domain")
+    v3 = G.v3_keys(table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).alias("gidx"))).select("gidx", "domain")
     return SP.stratified_prefix_split(v3, "domain", "gidx", 0.9).select("gidx", "domain", "group_rank", "split")
 
 
@@ -314,33 +349,35 @@ def q_dedup_by_hash(spark, sf_dir):
 
 @query("quality_v2")
 def q_quality_v2(spark, sf_dir):
-    checked = Q.v2_violations(v2_corpus(spark, sf_dir))
+    checked = generated(spark, sf_dir, "v2", Q.v2_violations)
     return checked.select("idx", "domain", "mn_chars", "metric_terms", "first_violation",
                           F.size("violations").alias("n_violations"))
 
 
 @query("quality_v3")
 def q_quality_v3(spark, sf_dir):
-    checked = Q.v3_violations(v3_corpus(spark, sf_dir))
+    checked = generated(spark, sf_dir, "v3", Q.v3_violations)
     return checked.select("gidx", "domain", "mn_chars", "metric_matches", "first_violation",
                           F.size("violations").alias("n_violations"))
 
 
 @query("quality_v3_verdict")
 def q_quality_v3_verdict(spark, sf_dir):
-    return Q.verdict(Q.v3_violations(v3_corpus(spark, sf_dir)), "gidx")
+    return Q.verdict(generated(spark, sf_dir, "v3", Q.v3_violations), "gidx")
 
 
 @query("prompt_figures_roundtrip")
 def q_figures_roundtrip(spark, sf_dir):
-    v3 = v3_corpus(spark, sf_dir).join(
-        G.scenario_v3(table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).alias("gidx"))), "gidx")
-    return Q.figures_roundtrip(v3)
+    def roundtrip(d):
+        scen = G.scenario_v3(d.select(F.col("_k").alias("gidx")).distinct(), "gidx").withColumnRenamed("gidx", "_k")
+        return Q.figures_roundtrip(d.join(scen, "_k"), keys=("_k", "domain"))
+    r = generated(spark, sf_dir, "v3", roundtrip)
+    return r.select("gidx", *[f"parsed_{k}" for k, _l, _u in T3.PROMPT_FIGURES], "roundtrip_ok")
 
 
 @query("domain_coverage")
 def q_domain_coverage(spark, sf_dir):
-    return Q.domain_coverage(v2_corpus(spark, sf_dir), T2.TASKS)
+    return Q.domain_coverage(generated(spark, sf_dir, "v2").select("domain"), T2.TASKS)
 
 
 @query("domain_quota")
@@ -356,24 +393,36 @@ def q_domain_quota(spark, sf_dir):
 
 @query("dataset_invariants")
 def q_dataset_invariants(spark, sf_dir):
-    v1 = v1_corpus(spark, sf_dir)
-    all_text = F.concat_ws("\n", "id", "system", "user", "assistant", "domain", "source")
-    counts = v1.groupBy("domain").count()
-    per_domain = counts.agg(F.min("count").alias("min_domain_rows"), F.max("count").alias("max_domain_rows"),
-                            F.count(F.lit(1)).alias("n_domains"))
+    """Q7 over the generated v1 set. Content rules run once per distinct content; the
+    PII scan of a whole record = scan of its content OR scan of its id (no match can
+    span the id and the next field)."""
     unsafe = ["заавал батална", "баталгаатай зөвшөөрнө", "guaranteed approval", "final approval is confirmed"]
-    low = F.lower("assistant")
+
+    def flags(d):
+        text = F.concat_ws("\n", "system", "user", "assistant", "domain", "source")
+        low = F.lower("assistant")
+        return d.select("_k", "domain", "source", "license_status", "allowed_usage", "contains_pii",
+                        (TX.has_phone(text) | TX.has_email(text) | TX.has_register(text)).alias("_pii"),
+                        (~F.col("assistant").contains("Та")).alias("_impolite"),
+                        (~low.contains("эцсийн")).alias("_no_final"),
+                        F.greatest(*[low.contains(p) for p in unsafe]).alias("_unsafe"),
+                        (TX.is_blank("system") | TX.is_blank("user") | TX.is_blank("assistant")).alias("_blank"))
+    v1 = generated(spark, sf_dir, "v1", flags).withColumn("id", F.format_string(T1V.ID_FORMAT, F.col("idx") + 1))
+    id_pii = TX.has_phone(F.col("id")) | TX.has_email(F.col("id")) | TX.has_register(F.col("id"))
     inv = v1.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.bool_and((F.col("source") == T1V.SOURCE) & (F.col("license_status") == T1V.LICENSE_STATUS)
                    & (F.col("allowed_usage") == T1V.ALLOWED_USAGE) & F.col("contains_pii").eqNullSafe(False))
          .alias("metadata_ok"),
-        F.count_if(TX.has_phone(all_text) | TX.has_email(all_text) | TX.has_register(all_text)).alias("n_pii_rows"),
-        F.count_if(~F.col("assistant").contains("Та")).alias("n_impolite"),
-        F.count_if(~low.contains("эцсийн")).alias("n_no_final_review"),
-        F.count_if(F.greatest(*[low.contains(p) for p in unsafe])).alias("n_unsafe"),
-        F.count_if(TX.is_blank("system") | TX.is_blank("user") | TX.is_blank("assistant")).alias("n_blank_messages"),
+        F.count_if(F.col("_pii") | id_pii).alias("n_pii_rows"),
+        F.count_if("_impolite").alias("n_impolite"),
+        F.count_if("_no_final").alias("n_no_final_review"),
+        F.count_if("_unsafe").alias("n_unsafe"),
+        F.count_if("_blank").alias("n_blank_messages"),
     )
+    per_domain = (v1.groupBy("domain").count()
+                    .agg(F.min("count").alias("min_domain_rows"), F.max("count").alias("max_domain_rows"),
+                         F.count(F.lit(1)).alias("n_domains")))
     return _one_row_join(inv, per_domain)
 
 
@@ -592,8 +641,8 @@ def q_chat_prompts(spark, sf_dir):
 @query("rewrite_audit")
 def q_rewrite_audit(spark, sf_dir):
     """T22 over the generated compliance-rewrite rows (user text -> assistant rewrite)."""
-    v1 = v1_corpus(spark, sf_dir).filter(F.col("domain") == "compliance_rewrite")
-    r = LJ.rewrite_audit(v1, "user", "assistant", VO.FINANCE_GLOSSARY_ID)
+    r = generated(spark, sf_dir, "v1", lambda d: LJ.rewrite_audit(d.filter(F.col("domain") == "compliance_rewrite"),
+                                                                   "user", "assistant", VO.FINANCE_GLOSSARY_ID))
     return r.select("idx", F.array_join("compliance_warnings", "|").alias("compliance_warnings"),
                     F.size("safer_alternatives").alias("n_alternatives"), "confidence")
 
@@ -601,15 +650,19 @@ def q_rewrite_audit(spark, sf_dir):
 @query("benchmark_coverage")
 def q_benchmark_coverage(spark, sf_dir):
     """Required benchmark categories against the task mix of the generated item set."""
-    return EV.category_coverage(v1_corpus(spark, sf_dir).select(F.col("domain").alias("task")))
+    return EV.category_coverage(generated(spark, sf_dir, "v1").select(F.col("domain").alias("task")))
 
 
 @query("governance_audit")
 def q_governance_audit(spark, sf_dir):
     """One audit row per processed record (versions, compliance result, review status)."""
-    v1 = LJ.compliance_scan(v1_corpus(spark, sf_dir), "assistant")
-    conf = L.heuristic_confidence(F.col("assistant"), F.size("compliance_warnings"))
-    needs, _ = L.review_routing(conf, F.size("issues"))
+    def audit(d):
+        s = LJ.compliance_scan(d, "assistant")
+        conf = L.heuristic_confidence(F.col("assistant"), F.size("compliance_warnings"))
+        needs, _ = L.review_routing(conf, F.size("issues"))
+        return s.withColumn("confidence", conf).withColumn("_needs", needs)
+    v1 = generated(spark, sf_dir, "v1", audit)
+    conf, needs = F.col("confidence"), F.col("_needs")
     return v1.select("idx", F.lit(VO.MOCK_TEACHER_MODEL).alias("model"),
                      F.lit("sft_v1").alias("prompt_version"), F.lit(VO.FINANCE_GLOSSARY_ID).alias("glossary_version"),
                      F.col("is_safe").alias("compliance_ok"), conf.alias("confidence"),
@@ -642,4 +695,4 @@ def q_jsonl_roundtrip(spark, sf_dir):
 
 @query("quality_v2_verdict")
 def q_quality_v2_verdict(spark, sf_dir):
-    return Q.verdict(Q.v2_violations(v2_corpus(spark, sf_dir)), "idx")
+    return Q.verdict(generated(spark, sf_dir, "v2", Q.v2_violations), "idx")
