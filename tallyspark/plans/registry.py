@@ -687,7 +687,7 @@ def q_jsonl_roundtrip(spark, sf_dir):
                              keys=("domain", "source", "license_status", "allowed_usage", "contains_pii",
                                    "numeric_example", "metrics_expected"))
     path = shared_path(spark, f"jsonl/sft_v2_{uuid.uuid4().hex[:12]}")
-    JS.write_jsonl(recs, path)
+    JS.write_jsonl(recs, path, compression="gzip")
     back = JS.read_jsonl(spark, path, JS.SFT_NESTED)
     return back.select("id", F.size("messages").alias("n_messages"), F.col("metadata.domain").alias("domain"),
                        F.md5(F.element_at("messages", -1)["content"]).alias("assistant_md5"))

@@ -32,9 +32,13 @@ def read_jsonl(spark: SparkSession, path: str, schema: str, with_file: bool = Fa
     return df
 
 
-def write_jsonl(df: DataFrame, path: str) -> None:
-    """UTF-8 JSON lines, overwrite, parent folders created."""
-    df.write.mode("overwrite").json(path)
+def write_jsonl(df: DataFrame, path: str, compression: str | None = None) -> None:
+    """UTF-8 JSON lines, overwrite, parent folders created (optionally compressed;
+    readers detect the codec from the file extension)."""
+    w = df.write.mode("overwrite")
+    if compression:
+        w = w.option("compression", compression)
+    w.json(path)
 
 
 def read_prompt_list(spark: SparkSession, path: str) -> DataFrame:

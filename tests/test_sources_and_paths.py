@@ -87,6 +87,8 @@ def test_stream_redaction(spark):
     src = tempfile.mkdtemp(prefix="tally-src-")
     spark.createDataFrame([(1, "call 99112233 now"), (2, "mail a.b@example.com")], "id long, text string") \
         .write.mode("overwrite").parquet(src)
-    sink = SR.run_file_stream(spark, src, "id long, text string", "text", "test_stream")
+    import uuid
+    # the stream name is its identity (checkpoint + sink); a fresh one per test run
+    sink = SR.run_file_stream(spark, src, "id long, text string", "text", f"test_stream_{uuid.uuid4().hex[:8]}")
     got = {r.id: r.redacted_text for r in spark.read.parquet(sink).collect()}
     assert got == {1: "call [REDACTED_PHONE]now", 2: "mail [REDACTED_EMAIL]"}
