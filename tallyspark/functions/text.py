@@ -91,7 +91,9 @@ def has_phone(col) -> Column:
 
 
 def has_email(col) -> Column:
-    return _c(col).rlike(P.EMAIL_JAVA)
+    c = _c(col)
+    # an e-mail needs an '@': the plain substring test skips the regex for most texts
+    return F.when(c.contains("@"), c.rlike(P.EMAIL_JAVA)).otherwise(F.lit(False))
 
 
 def has_register(col) -> Column:
@@ -118,9 +120,15 @@ def redact_pii(col, order: str = "reference") -> Column:
         steps = [steps[2], steps[0], steps[1], steps[3]]
     elif order != "reference":
         raise ValueError(f"unknown redaction order {order!r}")
-    out = _c(col)
+    orig = _c(col)
+    out = orig
     for pattern, token in steps:
-        out = F.regexp_replace(out, pattern, token.replace("$", "\\$"))
+        replaced = F.regexp_replace(out, pattern, token.replace("$", "\\$"))
+        if pattern == P.EMAIL_JAVA:
+            # no step creates or removes '@', so the original text decides; only one
+            # branch is evaluated per row
+            replaced = F.when(orig.contains("@"), replaced).otherwise(out)
+        out = replaced
     return out
 
 

@@ -173,3 +173,15 @@ def test_glossary_overlay(spark):
     f = spark.createDataFrame(rows, "glossary_id string, ord int, term string, preferred string")
     got = [r.term for r in LJ.glossary_overlay(f).orderBy("ord").collect()]
     assert got == [t for t, _ in V.merged_glossary("lendex_finance")]
+
+
+def test_reordered_patterns_equal_plain_forms(spark):
+    from tallyspark.functions import patterns as P
+    cases = ["99112233", "a99112233b", "199112233", "+976 9911 2233", "+976-99112233x", "12345678901234567",
+             "1234567890", "x12345678901y", "9911 2233 4455 6677", "АБ12345678", "аб123456789", "ab 12 34 56 78 ",
+             "tel:9911-2233-", "99112233 88776655", "", "١٢٣٤٥٦٧٨"]
+    df = spark.createDataFrame([(c,) for c in cases], "t string")
+    for new, plain in ((P.PHONE_JAVA, P.PHONE_JAVA_PLAIN), (P.LONG_NUMBER_JAVA, P.LONG_NUMBER_JAVA_PLAIN)):
+        rows = df.select(F.col("t").rlike(new).alias("a"), F.col("t").rlike(plain).alias("b"),
+                         F.regexp_replace("t", new, "#").alias("c"), F.regexp_replace("t", plain, "#").alias("d")).collect()
+        assert all(r.a == r.b and r.c == r.d for r in rows)
