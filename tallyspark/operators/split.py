@@ -16,15 +16,6 @@ PREFIX_STEP = 4          # hex characters per refinement pass (<= 65,536 groups)
 FINAL_COLLECT_MAX = 50_000
 
 
-def hex_key(*parts: Column) -> Column:
-    """Order-preserving hex string for (md5 text, non-negative bigint id) keys."""
-    out = []
-    for p in parts:
-        if isinstance(p, Column):
-            out.append(p)
-    return F.concat(*out)
-
-
 def id_hex(col) -> Column:
     """Zero-padded 16-digit hex of a non-negative bigint (sorts like the number)."""
     c = F.col(col) if isinstance(col, str) else col
@@ -67,7 +58,8 @@ def seeded_split(df: DataFrame, id_col: str, seed: int = 42, val_ratio: float =
     train = the rest, or everything when the rest is empty. Adds ``split`` ('train'/'val'/'both')."""
     keyed = df.withColumn("_key", F.concat(F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string"))),
                                            id_hex(id_col)))
-    keyed = keyed.persist()
+    # no persist: each pass reads only the key column and the key is deterministic,
+    # so a recomputation (or a lost executor) gives the same threshold
     n = keyed.count()
     val_count = max(1, int(n * val_ratio)) if n > 1 else 0
     threshold = kth_key(keyed, "_key", val_count)
@@ -79,7 +71,7 @@ def seeded_split(df: DataFrame, id_col: str, seed: int = 42, val_ratio: float =
 
 def prefix_split(df: DataFrame, order_col: str, ratio: float = 0.9) -> DataFrame:
     """The first int(ratio*n) rows by ``order_col`` (non-negative bigint) are train."""
-    keyed = df.withColumn("_key", id_hex(order_col)).persist()
+    keyed = df.withColumn("_key", id_hex(order_col))
     n = keyed.count()
     cut = int(n * ratio)
     threshold = kth_key(keyed, "_key", cut)
@@ -106,7 +98,9 @@ def stratified_prefix_split(df: DataFrame, group_col: str, order_col: str, ratio
                      .drop("_n"))
     ranked = (with_b.withColumn("_in_bucket", F.row_number().over(
         Window.partitionBy(group_col, "_bucket").orderBy(o))))
-    joined = ranked.join(F.broadcast(offsets), [group_col, "_bucket"], "left")
+    # offsets has one row per (group, bucket): it grows with the data, so no broadcast
+    # hint; AQE broadcasts it at run time when it is small
+    joined = ranked.join(offsets, [group_col, "_bucket"], "left")
     rank = F.col("_before") + F.col("_in_bucket")
     cut = F.floor(F.col("_group_n") * F.lit(ratio))
     return (joined.withColumn("group_rank", rank)
