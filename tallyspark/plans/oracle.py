@@ -821,3 +821,37 @@ SELECT count(*) AS rows, count_if(first_violation IS NOT NULL) AS failing_rows,
   count(DISTINCT c.domain) AS n_domains, (SELECT count(DISTINCT source) FROM s) AS n_sources,
   CASE WHEN count_if(first_violation IS NOT NULL) = 0 AND count(*) > 0 THEN 'PASS' ELSE 'FAIL' END AS status
 FROM c"""
+
+
+# --- result types ---------------------------------------------------------------------------
+# DuckDB returns HUGEINT for count_if / sum over integers, where Spark returns BIGINT.
+# Every such aggregate here is over integers, so each is cast to BIGINT.
+
+def _cast_int_aggregates(sql_text: str) -> str:
+    import re as _re
+    out, i = [], 0
+    pat = _re.compile(r"\b(count_if|sum)\(")
+    while True:
+        m = pat.search(sql_text, i)
+        if not m:
+            out.append(sql_text[i:])
+            return "".join(out)
+        out.append(sql_text[i:m.start()])
+        depth, j = 1, m.end()
+        in_str = False
+        while depth:
+            ch = sql_text[j]
+            if ch == "'":
+                in_str = not in_str
+            elif not in_str:
+                depth += ch == "("
+                depth -= ch == ")"
+            j += 1
+        inner = _cast_int_aggregates(sql_text[m.end():j - 1])
+        out.append(f"CAST({m.group(1)}({inner}) AS BIGINT)")
+        i = j
+
+
+ORACLE.update({k: _cast_int_aggregates(v) for k, v in ORACLE.items()})
+for _name, _col in (("quality_v2", "mn_chars"), ("quality_v3", "mn_chars"), ("benchmark_items", "input_chars")):
+    ORACLE[_name] = f"SELECT * REPLACE (CAST({_col} AS INTEGER) AS {_col}) FROM ({ORACLE[_name]})"
