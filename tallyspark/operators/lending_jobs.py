@@ -87,11 +87,11 @@ def glossary_overlay(file_df: DataFrame, default_terms=None) -> DataFrame:
     when it has one; then the file's new terms in file order. Each glossary's
     entries are grouped by glossary_id (one glossary per group, bounded by its size)."""
     defaults = default_terms if default_terms is not None else V.DEFAULT_GLOSSARY
-    d_arr = F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(t).alias("term"), F.lit(p).alias("preferred"))
+    d_arr = F.array(*[F.struct(F.lit(i).cast("bigint").alias("ord"), F.lit(t).alias("term"), F.lit(p).alias("preferred"))
                       for i, (t, p) in enumerate(defaults)])
     d_terms = F.array(*[F.lit(t) for t, _ in defaults])
     per_gloss = file_df.groupBy("glossary_id").agg(
-        F.array_sort(F.collect_list(F.struct("ord", "term", "preferred"))).alias("entries"))
+        F.array_sort(F.collect_list(F.struct(F.col("ord").cast("bigint").alias("ord"), "term", "preferred"))).alias("entries"))
     fmap = F.map_from_entries(F.transform("entries", lambda e: F.struct(e["term"], e["preferred"])))
     merged = F.concat(
         F.transform(d_arr, lambda d: F.struct(d["ord"].alias("ord"), d["term"].alias("term"),

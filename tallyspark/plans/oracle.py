@@ -855,3 +855,22 @@ def _cast_int_aggregates(sql_text: str) -> str:
 ORACLE.update({k: _cast_int_aggregates(v) for k, v in ORACLE.items()})
 for _name, _col in (("quality_v2", "mn_chars"), ("quality_v3", "mn_chars"), ("benchmark_items", "input_chars")):
     ORACLE[_name] = f"SELECT * REPLACE (CAST({_col} AS INTEGER) AS {_col}) FROM ({ORACLE[_name]})"
+
+
+# --- S6 glossary overlay -------------------------------------------------------------------------
+
+_reg = __import__("tallyspark.plans.registry", fromlist=["x"])
+_defaults = " UNION ALL ".join(f"SELECT {i}::BIGINT AS ord, {q(t)} AS term, {q(p)} AS preferred"
+                               for i, (t, p) in enumerate(V.DEFAULT_GLOSSARY))
+ORACLE["glossary_overlay"] = _cast_int_aggregates(f"""
+WITH {V1_CTE},
+p AS (SELECT idx, regexp_extract("user", {q(_reg.TRANSLATION_TERM_EN)}, 1) AS term,
+             regexp_extract(assistant, {q(_reg.TRANSLATION_TERM_MN)}, 1) AS preferred
+      FROM v WHERE domain = 'finance_translation'),
+f AS (SELECT term, min(idx) AS ord, arg_min(preferred, idx) AS preferred FROM p GROUP BY term),
+d AS ({_defaults})
+SELECT 'corpus' AS glossary_id, d.ord, d.term, coalesce(f.preferred, d.preferred) AS preferred
+FROM d LEFT JOIN f ON d.term = f.term
+UNION ALL
+SELECT 'corpus', f.ord + {len(V.DEFAULT_GLOSSARY)}, f.term, f.preferred FROM f
+WHERE f.term NOT IN (SELECT term FROM d)""")

@@ -696,3 +696,24 @@ def q_jsonl_roundtrip(spark, sf_dir):
 @query("quality_v2_verdict")
 def q_quality_v2_verdict(spark, sf_dir):
     return Q.verdict(generated(spark, sf_dir, "v2", Q.v2_violations), "idx")
+
+
+# --- S6: glossary recovered from the generated translation records, overlaid on the defaults ---
+
+TRANSLATION_TERM_EN = "Please review the (.+?) for a "   # FIXED VALUE: v1 translation prompt wording
+TRANSLATION_TERM_MN = "зээлийн (.+?)-ийг хянана"          # FIXED VALUE: v1 translation answer wording
+
+
+@query("glossary_overlay")
+def q_glossary_overlay(spark, sf_dir):
+    """S6 on a glossary table derived from the data: (English term, Mongolian term) pairs read
+    back from every finance-translation record (ord = first record index), overlaid on the
+    default glossary."""
+    def terms(d):
+        return d.filter(F.col("domain") == "finance_translation").select(
+            "_k", F.regexp_extract("user", TRANSLATION_TERM_EN, 1).alias("term"),
+            F.regexp_extract("assistant", TRANSLATION_TERM_MN, 1).alias("preferred"))
+    pairs = generated(spark, sf_dir, "v1", terms)
+    file_df = (pairs.groupBy("term").agg(F.min("idx").alias("ord"), F.min_by("preferred", "idx").alias("preferred"))
+                    .select(F.lit("corpus").alias("glossary_id"), "ord", "term", "preferred"))
+    return LJ.glossary_overlay(file_df)
