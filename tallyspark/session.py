@@ -41,7 +41,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = tempfile.mkdtemp(prefix="tally-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:  # each call would otherwise create a new sub-folder
+        sc.setCheckpointDir(current)
     return current
 
 
