@@ -122,11 +122,14 @@ def completeness_report(extracted: DataFrame, keys=("source",)) -> DataFrame:
 
 
 def review_job(df: DataFrame, output_col: str, source_text_col: str, glossary_id=None,
-               compliance_sensitive=True, require_review=False) -> DataFrame:
-    """Translation review routing (glossary warnings + issues feed the confidence)."""
+               compliance_sensitive=False, require_review=False) -> DataFrame:
+    """Translation review routing (glossary warnings + issues feed the confidence).
+
+    Defaults follow the translation request: not compliance-sensitive, no forced review."""
     df = df.withColumn("_low", F.lower(F.col(source_text_col)))
     terms, warns = L.glossary_check(F.col(source_text_col), glossary_id, low=F.col("_low"))
-    issues = L.compliance_issues(F.col(source_text_col), low=F.col("_low")) if compliance_sensitive else F.array()
+    issues = (L.compliance_issues(F.col(source_text_col), low=F.col("_low")) if compliance_sensitive
+              else F.array().cast(f"array<{L.ISSUE_TYPE}>"))
     out = (df.withColumn("terms_used", terms).withColumn("glossary_warnings", warns)
              .withColumn("_n_issues", F.size(issues)).drop("_low"))
     conf = L.heuristic_confidence(F.col(output_col), F.size("glossary_warnings") + F.col("_n_issues"))

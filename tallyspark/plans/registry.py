@@ -199,7 +199,8 @@ def q_confidence_scores(spark, sf_dir):
 @query("review_routing")
 def q_review_routing(spark, sf_dir):
     r = generated(spark, sf_dir, "v1", lambda d: LJ.review_job(d.filter(F.col("domain") == "finance_translation"),
-                                                                "assistant", "user", glossary_id=VO.FINANCE_GLOSSARY_ID))
+                                                                "assistant", "user", glossary_id=VO.FINANCE_GLOSSARY_ID,
+                                                                compliance_sensitive=True))
     return r.select("idx", "confidence", "requires_human_review", "reason",
                     F.size("glossary_warnings").alias("n_glossary_warnings"),
                     _join(F.col("terms_used")).alias("terms_used"))
