@@ -396,8 +396,8 @@ SELECT idx, domain, {confidence_sql(redact_sql('_text'), 'len(_missing)')} AS co
 
 _rt, _rw = glossary_sql('"user"', V.FINANCE_GLOSSARY_ID)
 ORACLE["review_routing"] = f"""
-WITH {V1_CTE}, f AS (SELECT * FROM v WHERE domain = 'finance_translation'),
-i AS ({issues_cte('SELECT * FROM f', 'idx, assistant, "user"', '"user"')}),
+WITH {V1_CTE},
+i AS ({issues_cte('SELECT * FROM v', 'idx, assistant, "user"', '"user"')}),
 g AS (SELECT idx, len(cats) AS n_issues, CAST(len({_rw}) AS INTEGER) AS n_glossary_warnings,
              array_to_string({_rt}, '|') AS terms_used,
              {confidence_sql('assistant', f'len({_rw}) + len(cats)')} AS confidence FROM i)
@@ -788,8 +788,8 @@ SELECT conv_id, concat({q(_chat_system)}, CASE WHEN len(miss) > 0 THEN array_to_
 
 _ww = glossary_sql('"user"', V.FINANCE_GLOSSARY_ID)[1]
 ORACLE["rewrite_audit"] = f"""
-WITH {V1_CTE}, f AS (SELECT * FROM v WHERE domain = 'compliance_rewrite'),
-i AS ({issues_cte('SELECT * FROM f', 'idx, assistant, "user"', '"user"')})
+WITH {V1_CTE},
+i AS ({issues_cte('SELECT * FROM v', 'idx, assistant, "user"', '"user"')})
 SELECT idx, array_to_string(cats, '|') AS compliance_warnings, CAST(len(alts) AS INTEGER) AS n_alternatives,
   {confidence_sql('assistant', f'len({_ww}) + len(cats)')} AS confidence FROM i"""
 
@@ -866,8 +866,8 @@ ORACLE["glossary_overlay"] = _cast_int_aggregates(f"""
 WITH {V1_CTE},
 p AS (SELECT idx, regexp_extract("user", {q(_reg.TRANSLATION_TERM_EN)}, 1) AS term,
              regexp_extract(assistant, {q(_reg.TRANSLATION_TERM_MN)}, 1) AS preferred
-      FROM v WHERE domain = 'finance_translation'),
-f AS (SELECT term, min(idx) AS ord, arg_min(preferred, idx) AS preferred FROM p GROUP BY term),
+      FROM v),
+f AS (SELECT term, min(idx) AS ord, arg_min(preferred, idx) AS preferred FROM p WHERE term <> '' AND preferred <> '' GROUP BY term),
 d AS ({_defaults})
 SELECT 'corpus' AS glossary_id, d.ord, d.term, coalesce(f.preferred, d.preferred) AS preferred
 FROM d LEFT JOIN f ON d.term = f.term

@@ -198,8 +198,8 @@ def q_confidence_scores(spark, sf_dir):
 
 @query("review_routing")
 def q_review_routing(spark, sf_dir):
-    r = generated(spark, sf_dir, "v1", lambda d: LJ.review_job(d.filter(F.col("domain") == "finance_translation"),
-                                                                "assistant", "user", glossary_id=VO.FINANCE_GLOSSARY_ID,
+    # every generated record: its user text is the source, its assistant text the output
+    r = generated(spark, sf_dir, "v1", lambda d: LJ.review_job(d, "assistant", "user", glossary_id=VO.FINANCE_GLOSSARY_ID,
                                                                 compliance_sensitive=True))
     return r.select("idx", "confidence", "requires_human_review", "reason",
                     F.size("glossary_warnings").alias("n_glossary_warnings"),
@@ -642,8 +642,8 @@ def q_chat_prompts(spark, sf_dir):
 @query("rewrite_audit")
 def q_rewrite_audit(spark, sf_dir):
     """T22 over the generated compliance-rewrite rows (user text -> assistant rewrite)."""
-    r = generated(spark, sf_dir, "v1", lambda d: LJ.rewrite_audit(d.filter(F.col("domain") == "compliance_rewrite"),
-                                                                   "user", "assistant", VO.FINANCE_GLOSSARY_ID))
+    # every generated record: its user text is the input, its assistant text the rewrite
+    r = generated(spark, sf_dir, "v1", lambda d: LJ.rewrite_audit(d, "user", "assistant", VO.FINANCE_GLOSSARY_ID))
     return r.select("idx", F.array_join("compliance_warnings", "|").alias("compliance_warnings"),
                     F.size("safer_alternatives").alias("n_alternatives"), "confidence")
 
@@ -708,13 +708,13 @@ TRANSLATION_TERM_MN = "зээлийн (.+?)-ийг хянана"          # FIXE
 @query("glossary_overlay")
 def q_glossary_overlay(spark, sf_dir):
     """S6 on a glossary table derived from the data: (English term, Mongolian term) pairs read
-    back from every finance-translation record (ord = first record index), overlaid on the
-    default glossary."""
+    back from every generated record whose texts carry the translation wording (ord = first
+    record index), overlaid on the default glossary."""
     def terms(d):
-        return d.filter(F.col("domain") == "finance_translation").select(
-            "_k", F.regexp_extract("user", TRANSLATION_TERM_EN, 1).alias("term"),
-            F.regexp_extract("assistant", TRANSLATION_TERM_MN, 1).alias("preferred"))
-    pairs = generated(spark, sf_dir, "v1", terms)
+        return d.select("_k", "domain", F.regexp_extract("user", TRANSLATION_TERM_EN, 1).alias("term"),
+                        F.regexp_extract("assistant", TRANSLATION_TERM_MN, 1).alias("preferred"))
+    # records where both wordings occur (the translation records) give the pairs
+    pairs = generated(spark, sf_dir, "v1", terms).filter((F.col("term") != "") & (F.col("preferred") != ""))
     file_df = (pairs.groupBy("term").agg(F.min("idx").alias("ord"), F.min_by("preferred", "idx").alias("preferred"))
                     .select(F.lit("corpus").alias("glossary_id"), "ord", "term", "preferred"))
     return LJ.glossary_overlay(file_df)
