@@ -641,7 +641,7 @@ def q_chat_prompts(spark, sf_dir):
 
 @query("rewrite_audit")
 def q_rewrite_audit(spark, sf_dir):
-    """T22 over the generated compliance-rewrite rows (user text -> assistant rewrite)."""
+    """T22 over every generated record (user text -> assistant rewrite)."""
     # every generated record: its user text is the input, its assistant text the rewrite
     r = generated(spark, sf_dir, "v1", lambda d: LJ.rewrite_audit(d, "user", "assistant", VO.FINANCE_GLOSSARY_ID))
     return r.select("idx", F.array_join("compliance_warnings", "|").alias("compliance_warnings"),
