@@ -88,3 +88,28 @@ def test_generator_content_period(spark):
     cols = ["gidx", "id", "domain", "user", "assistant"]
     assert G.render_v3(g).select(*cols).exceptAll(G.sft_v3(g).select(*cols)).count() == 0
     assert G.sft_v3(g).count() == 6000
+
+
+def test_gates_per_content_equal_per_record(spark):
+    """Gates on the content dimension + join == gates on every rendered record."""
+    from pyspark.sql import functions as F
+    from tallyspark.operators import quality as Q
+    from tallyspark.operators import templates_v2 as T2
+    from tallyspark.operators import templates_v3 as T3
+
+    idx = spark.range(0, 4500).withColumnRenamed("id", "idx")
+    per_record = Q.v2_violations(G.render_v2(idx).withColumn("source", F.lit(T2.SOURCE))
+                                 .withColumn("contains_pii", F.lit(False)).withColumn("numeric_example", F.lit(True)))
+    content = Q.v2_violations(G.content_v2(spark).withColumn("source", F.lit(T2.SOURCE))
+                              .withColumn("contains_pii", F.lit(False)).withColumn("numeric_example", F.lit(True)))
+    joined = G.attach(G.v2_keys(idx), content)
+    cols = ["idx", "mn_chars", "metric_terms", "first_violation"]
+    assert per_record.select(*cols).exceptAll(joined.select(*cols)).count() == 0
+
+    g = spark.range(1, 6001).withColumnRenamed("id", "gidx")
+    meta = [F.lit(T3.SOURCE).alias("source"), F.lit(False).alias("contains_pii")]
+    per_record3 = Q.v3_violations(G.render_v3(g))  # rendered records already carry their metadata
+    content3 = Q.v3_violations(G.content_v3(spark).select("*", *meta))
+    joined3 = G.attach(G.v3_keys(g), content3)
+    cols3 = ["gidx", "mn_chars", "metric_matches", "first_violation"]
+    assert per_record3.select(*cols3).exceptAll(joined3.select(*cols3)).count() == 0
