@@ -73,6 +73,9 @@ from ..functions.templating import pick_sql, render_sql  # noqa: E402
 from ..operators import templates_v1 as T1  # noqa: E402
 from ..operators import templates_v2 as T2  # noqa: E402
 from ..operators import templates_v3 as T3  # noqa: E402
+from ..operators import evaluate as EVQ  # noqa: E402
+from ..operators import generate as GENQ  # noqa: E402
+from . import registry as _reg  # noqa: E402  (fixed texts that live with their queries)
 
 
 def D(x) -> str:
@@ -688,7 +691,7 @@ _svc = f"CASE WHEN text IS NULL OR length({py_strip_sql('text')}) = 0 THEN {D(0.
 ORACLE["eval_scores"] = f"SELECT item_id, {_off} AS offline_score, {_svc} AS service_score FROM benchmark"
 ORACLE["eval_summary"] = f"""
 SELECT count(*) AS n_items, coalesce(round(avg({_off}), 3), 0.0::DOUBLE) AS average_score,
-  {q(__import__('tallyspark.operators.evaluate', fromlist=['x']).DEFAULT_JUDGE)} AS judge_model FROM benchmark"""
+  {q(EVQ.DEFAULT_JUDGE)} AS judge_model FROM benchmark"""
 ORACLE["score_regression"] = f"""
 SELECT count(*) AS n_items, count_if(({_off}) - ({_svc}) < 0) AS n_regressed,
   round(avg(({_off}) - ({_svc})), 6) AS mean_delta FROM benchmark"""
@@ -737,7 +740,7 @@ SELECT source_text, target_text, m_license AS license_status, allowed_usage, sou
 FROM pr LEFT JOIN man ON pr.mord = man.mord
 WHERE coalesce(m_license <> '', false) AND coalesce(allowed_usage <> '', false)"""
 ORACLE["teacher_records"] = f"""
-SELECT concat('teacher-', CAST(conv_id AS VARCHAR)) AS id, concat({q(__import__('tallyspark.operators.generate', fromlist=['x']).TEACHER_ANSWER_PREFIX)}, arg_min(text, turn)) AS assistant,
+SELECT concat('teacher-', CAST(conv_id AS VARCHAR)) AS id, concat({q(GENQ.TEACHER_ANSWER_PREFIX)}, arg_min(text, turn)) AS assistant,
   'lending' AS domain, 'mn' AS language, false AS contains_pii, true AS human_review_required
 FROM conversations WHERE role = 'user' GROUP BY conv_id"""
 
@@ -778,7 +781,7 @@ SELECT conv_id, arg_max(text, turn) AS last_content,
   CASE WHEN count(*) < 3 THEN '' ELSE arg_max(text, turn) END AS assistant_v2
 FROM conversations GROUP BY conv_id"""
 
-_chat_system = __import__("tallyspark.plans.registry", fromlist=["x"]).CHAT_SYSTEM
+_chat_system = _reg.CHAT_SYSTEM
 ORACLE["chat_prompts"] = f"""
 WITH u AS (SELECT conv_id, coalesce(arg_max(text, turn) FILTER (WHERE role = 'user'), '') AS user_text
            FROM conversations GROUP BY conv_id),
@@ -859,7 +862,6 @@ for _name, _col in (("quality_v2", "mn_chars"), ("quality_v3", "mn_chars"), ("be
 
 # --- S6 glossary overlay -------------------------------------------------------------------------
 
-_reg = __import__("tallyspark.plans.registry", fromlist=["x"])
 _defaults = " UNION ALL ".join(f"SELECT {i}::BIGINT AS ord, {q(t)} AS term, {q(p)} AS preferred"
                                for i, (t, p) in enumerate(V.DEFAULT_GLOSSARY))
 ORACLE["glossary_overlay"] = _cast_int_aggregates(f"""
