@@ -71,3 +71,20 @@ def test_template_metadata_and_review_routing(spark):
     needs, reason = L.review_routing(F.col("c"), F.col("n"), F.col("req"))
     got = [(r.x, r.y is not None) for r in df.select(needs.alias("x"), reason.alias("y")).collect()]
     assert got == [(True, True), (True, True), (True, True), (False, False)]
+
+
+def test_compute_once_attaches_to_every_copy(spark):
+    from tallyspark.operators import split as SP
+    df = spark.createDataFrame([(1, "same"), (2, "same"), (3, "other"), (4, "same")], "id long, payload string")
+    out = SP.compute_once(df, SP.content_key("p", F.col("payload")), "payload", F.upper, "upper").collect()
+    got = {r.id: (r.cache_key, r.upper) for r in out}
+    assert len(got) == 4 and got[1] == got[2] == got[4] and got[1][1] == "SAME" and got[3][1] == "OTHER"
+    assert got[1][0].startswith("p:") and len(got[1][0]) == 2 + 64
+
+
+def test_messages_round_trip(spark):
+    from tallyspark.operators import conversation as CV
+    turns = spark.createDataFrame([(1, 1, "assistant", "b"), (1, 0, "user", "a"), (2, 0, "user", "c")],
+                                  "conv_id long, turn long, role string, text string")
+    back = {(r.conv_id, r.pos): (r.role, r.text) for r in CV.to_turns(CV.to_messages(turns)).collect()}
+    assert back == {(1, 0): ("user", "a"), (1, 1): ("assistant", "b"), (2, 0): ("user", "c")}
