@@ -83,7 +83,8 @@ def main(argv):
     from tallyspark.session import get_spark
     import __spark_entry__ as E
 
-    sf_dir = "/root/testdata/sf0.01"
+    import os
+    sf_dir = os.environ.get("HARNESS_SF_DIR", "/root/testdata/sf0.01")
     names = argv[1:] or None
     spark = get_spark(master="local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
