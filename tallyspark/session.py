@@ -36,9 +36,12 @@ def get_spark(master: str | None = None, app: str = "tallyspark", shuffle_partit
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only when unset (tests)."""
+    """Use the cluster's ``spark.checkpoint.dir``. Where it is unset, a local master gets a scratch folder (tests); on a
+    cluster that is an error, since executors don't share local folders."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tally-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     sc = spark.sparkContext
