@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, packing, token_shards
+from .common import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -55,3 +56,22 @@ def op8(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     mixed = mixing.mix_sources(spark, docs)
     return mixed.selectExpr("doc_id", "source", "text", "round(rate, 6) AS rate", "n_copies", "copy", "shuffle_key")
+
+
+def vocabulary(name: str) -> str:
+    """The path of a public tokenizer's vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op4_packing")
+def op4(spark, sf_dir):
+    return packing.pack_documents(spark, table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query("op9_token_shards")
+def op9(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = token_shards.write_and_read(spark, docs, fresh_path(spark, "token-shards"), vocabulary("byte_bpe_50k.json"))
+    return found.withColumnRenamed("key", "doc_id")
