@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import exact_dedup, mixing, packing, token_shards
+from . import exact_dedup, mixing, packing, token_shards, warc
 from .common import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,23 @@ def op9(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = token_shards.write_and_read(spark, docs, fresh_path(spark, "token-shards"), vocabulary("byte_bpe_50k.json"))
     return found.withColumnRenamed("key", "doc_id")
+
+
+@query("op1_warc", r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+g AS (SELECT html, max(page_id) AS first FROM p GROUP BY html),
+bits AS (
+  SELECT page_id, strlen(p.html) AS payload_bytes, first, sha1(p.html) AS digest FROM p JOIN g ON p.html = g.html),
+digits AS (
+  SELECT page_id, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST((CAST('0x' || substr(digest, 1 + 10 * (i // 8), 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31 AS INTEGER) + 1, 1),
+           '' ORDER BY i) AS payload_digest
+  FROM bits, range(32) AS r(i) GROUP BY page_id)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM bits JOIN digits USING (page_id)""")
+def op1(spark, sf_dir):
+    path = fresh_path(spark, "warc")
+    warc.write_warc(spark, table(spark, sf_dir, "pages"), path)
+    return warc.resolved(spark, warc.read_warc(spark, path)).drop("complete")
