@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import exact_dedup, mixing, packing, token_shards, warc
+from . import exact_dedup, mixing, packing, simhash, token_shards, warc
 from .common import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,8 @@ def op1(spark, sf_dir):
     path = fresh_path(spark, "warc")
     warc.write_warc(spark, table(spark, sf_dir, "pages"), path)
     return warc.resolved(spark, warc.read_warc(spark, path)).drop("complete")
+
+
+@query("op7_simhash")
+def op7(spark, sf_dir):
+    return simhash.near_duplicates(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
