@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import exact_dedup, mixing, packing, simhash, token_shards, warc
+from . import class_lm, exact_dedup, mixing, packing, simhash, token_shards, warc
 from .common import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,8 @@ def op1(spark, sf_dir):
 @query("op7_simhash")
 def op7(spark, sf_dir):
     return simhash.near_duplicates(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op6_class_lm")
+def op6(spark, sf_dir):
+    return class_lm.score_documents(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
