@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import class_lm, exact_dedup, mixing, packing, simhash, token_shards, warc
+from . import class_lm, exact_dedup, inner_top, mixing, packing, simhash, token_shards, warc
 from .common import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,17 @@ def op7(spark, sf_dir):
 @query("op6_class_lm")
 def op6(spark, sf_dir):
     return class_lm.score_documents(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op2_inner_top", f"""
+WITH v AS (
+  SELECT vec_id, [CAST(floor({inner_top.SCALE} * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum([p[1] * p[2] for p in list_zip(q.v, c.v)]) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % {inner_top.EVERY} = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= {inner_top.K}""")
+def op2(spark, sf_dir):
+    return inner_top.top_inner(spark, table(spark, sf_dir, "embeddings"))
