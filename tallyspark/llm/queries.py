@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import class_lm, exact_dedup, inner_top, mixing, packing, simhash, token_shards, warc
+from . import class_lm, exact_dedup, inner_top, language_id, mixing, packing, simhash, token_shards, warc
 from .common import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +120,17 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= {inner_top.K}""")
 def op2(spark, sf_dir):
     return inner_top.top_inner(spark, table(spark, sf_dir, "embeddings"))
+
+
+@query("op3_language_id")
+def op3(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(spark, docs, F.col("text"), F.col("lang"), F.col("source"), F.col("doc_id"))
+
+
+@query("language_id_pages")
+def language_id_pages(spark, sf_dir):
+    """The same over web pages, with all kinds of evidence: markup, address suffix, host and domain."""
+    pages = table(spark, sf_dir, "pages")
+    return language_id.identify(spark, pages, language_id.markup_text(F.col("html")), language_id.markup_language(F.col("html")),
+                                language_id.address_host(F.col("url")), F.col("page_id"))
