@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import class_lm, exact_dedup, inner_top, language_id, mixing, packing, simhash, token_shards, warc
+from . import class_lm, exact_dedup, inner_top, language_id, mixing, packing, simhash, surrogates, token_shards, warc
 from .common import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,8 @@ def language_id_pages(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     return language_id.identify(spark, pages, language_id.markup_text(F.col("html")), language_id.markup_language(F.col("html")),
                                 language_id.address_host(F.col("url")), F.col("page_id"))
+
+
+@query("op10_surrogates")
+def op10(spark, sf_dir):
+    return surrogates.replace_personal_data(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
