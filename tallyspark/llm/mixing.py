@@ -43,7 +43,7 @@ def source_rates(spark: SparkSession, docs: DataFrame, source_col: str, text_col
     are scaled to sum 1; a source without a weight gets none)."""
     sizes = materialise(spark, docs.groupBy(F.col(source_col).alias("src"))
                         .agg(F.sum(F.length(F.coalesce(F.col(text_col), F.lit("")))).alias("size")), "mixing-sizes")
-    if weights is None:
+    if not weights:
         weighed = sizes.withColumn("weight", F.pow(F.col("size").cast("double"), F.lit(temperature)))
     else:
         table = F.create_map(*[F.lit(x) for kv in weights.items() for x in kv])
