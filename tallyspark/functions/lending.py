@@ -91,9 +91,12 @@ def _glossary_parts(text, entries, low=None):
     return terms_used, warnings
 
 
-def glossary_check(text, glossary_id=None, glossary_ids=tuple(V.GLOSSARY_FILES), low=None) -> tuple[Column, Column]:
+def glossary_check(text, glossary_id=None, glossary_ids=tuple(V.GLOSSARY_FILES), low=None,
+                   entries=None) -> tuple[Column, Column]:
     """(terms_used, warnings). ``glossary_id`` may be a literal or a Column;
-    unknown, null or empty ids use the default glossary."""
+    unknown, null or empty ids use the default glossary. ``entries``: a caller's own (term, preferred) list."""
+    if entries is not None:
+        return _glossary_parts(text, entries, low)
     if glossary_id is None or isinstance(glossary_id, str):
         return _glossary_parts(text, V.merged_glossary(glossary_id), low)
     gid = _c(glossary_id)
@@ -108,10 +111,10 @@ def glossary_check(text, glossary_id=None, glossary_ids=tuple(V.GLOSSARY_FILES),
     return t_out.otherwise(t_def), w_out.otherwise(w_def)
 
 
-def preferred_terms(glossary_id: str | None = None) -> Column:
-    """The merged glossary as a MAP (constant per glossary)."""
+def preferred_terms(glossary_id: str | None = None, entries=None) -> Column:
+    """The merged glossary (or a caller's entries) as a MAP (constant per glossary)."""
     kv = []
-    for k, v in V.merged_glossary(glossary_id):
+    for k, v in (entries if entries is not None else V.merged_glossary(glossary_id)):
         kv += [F.lit(k), F.lit(v)]
     return F.create_map(*kv)
 

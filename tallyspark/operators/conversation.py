@@ -9,7 +9,7 @@ array; use it to write chat records, not inside reports.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lending as L
@@ -37,33 +37,38 @@ def latest_user_turn(turns: DataFrame, key="conv_id") -> DataFrame:
          .alias("latest_user"))
 
 
-def validate_messages(messages_col: str = "messages"):
-    """first failing rule in reference order, or null.
+# FIXED VALUES — error texts of message validation, in rule order
+ERR_FEW = "messages must contain at least user and assistant entries"
+ERR_ROLES = "messages must include user and assistant roles"
+ERR_ROLE = "invalid role "  # with the role's value
+ERR_CONTENT = "empty message content"
+
 
-    >= 2 messages; contains user and assistant; every role valid; every content a
-    non-blank string."""
+def validate_messages(messages_col: str = "messages"):
+    """F5 on a messages array: the first error, or null. Sizes and roles first; then message by message, role before content."""
     m = F.col(messages_col)
     roles = F.transform(m, lambda x: x["role"])
-    return (F.when(F.coalesce(F.size(m), F.lit(0)) < 2, F.lit("messages must contain at least user and assistant entries"))
-             .when(~(F.array_contains(roles, "user") & F.array_contains(roles, "assistant")),
-                   F.lit("messages must include user and assistant roles"))
-             .when(F.exists(m, lambda x: ~F.coalesce(x["role"].isin(*ROLES), F.lit(False))),
-                   F.lit("invalid role"))
-             .when(F.exists(m, lambda x: TX.is_blank(x["content"])), F.lit("empty message content")))
+    wrong = F.transform(m, lambda x: F.when(~F.coalesce(x["role"].isin(*ROLES), F.lit(False)),
+                                            F.concat(F.lit(ERR_ROLE), F.coalesce(x["role"], F.lit("None"))))
+                        .when(TX.is_blank(x["content"]), F.lit(ERR_CONTENT)))
+    return (F.when(F.coalesce(F.size(m), F.lit(0)) < 2, F.lit(ERR_FEW))
+             .when(~(F.array_contains(roles, "user") & F.array_contains(roles, "assistant")), F.lit(ERR_ROLES))
+             .otherwise(F.get(F.array_compact(wrong), 0)))
 
 
 def message_validation(turns: DataFrame, key="conv_id") -> DataFrame:
-    """F5 over turn rows with aggregates only (same rule order as ``validate_messages``)."""
-    g = turns.groupBy(key).agg(
+    """F5 over turn rows with aggregates only: the error of the earliest wrong message (role before content)."""
+    bad_role = ~F.coalesce(F.col("role").isin(*ROLES), F.lit(False))
+    wrong = (F.when(bad_role, F.concat(F.lit(ERR_ROLE), F.coalesce(F.col("role"), F.lit("None"))))
+              .when(TX.is_blank("text"), F.lit(ERR_CONTENT)))
+    t = turns.select(key, "role", "turn", wrong.alias("_wrong"))
+    g = t.groupBy(key).agg(
         F.count(F.lit(1)).alias("_n"),
         F.coalesce(F.bool_or(F.col("role") == "user"), F.lit(False)).alias("_u"),
         F.coalesce(F.bool_or(F.col("role") == "assistant"), F.lit(False)).alias("_a"),
-        F.bool_or(~F.coalesce(F.col("role").isin(*ROLES), F.lit(False))).alias("_bad_role"),
-        F.bool_or(TX.is_blank("text")).alias("_blank"))
-    err = (F.when(F.col("_n") < 2, F.lit("messages must contain at least user and assistant entries"))
-            .when(~(F.col("_u") & F.col("_a")), F.lit("messages must include user and assistant roles"))
-            .when(F.col("_bad_role"), F.lit("invalid role"))
-            .when(F.col("_blank"), F.lit("empty message content")))
+        F.min(F.when(F.col("_wrong").isNotNull(), F.struct("turn", "_wrong"))).alias("_first"))
+    err = (F.when(F.col("_n") < 2, F.lit(ERR_FEW)).when(~(F.col("_u") & F.col("_a")), F.lit(ERR_ROLES))
+            .otherwise(F.col("_first._wrong")))
     return g.select(key, err.alias("error"))
 
 
@@ -82,39 +87,49 @@ def conversation_summary(turns: DataFrame, key="conv_id") -> DataFrame:
 def message_accessors(turns: DataFrame, key="conv_id") -> DataFrame:
     """Last message, second message (by turn) and the v2 assistant accessor ('' under 3 messages).
 
-    The second message is found with an aggregate (first turn per conversation),
-    an equi-join back on the key (AQE splits a skewed conversation) and a second
-    aggregate, so no conversation is ever sorted or collected as a whole."""
-    first = turns.groupBy(key).agg(F.min("turn").alias("_t1"), F.count(F.lit(1)).alias("_n"),
-                                   F.max_by("text", "turn").alias("last_content"))
-    second = (turns.join(first.select(key, "_t1"), key).filter(F.col("turn") > F.col("_t1"))
-                   .groupBy(key).agg(F.min_by("text", "turn").alias("second_content")))
-    return (first.join(second, key, "left")
+    The first two turns and the last one are ranked windows with a limit: Spark drops the other rows of a conversation
+    in each task before the shuffle, so a hot conversation ships three rows a task. Counts are partial aggregates."""
+    up = F.row_number().over(Window.partitionBy(key).orderBy("turn"))
+    down = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("turn")))
+    second = turns.withColumn("_r", up).filter("_r <= 2").filter("_r = 2").select(key, F.col("text").alias("second_content"))
+    last = turns.withColumn("_r", down).filter("_r <= 1").select(key, F.col("text").alias("last_content"))
+    sizes = turns.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return (sizes.join(last, key).join(second, key, "left")
                  .select(key, "last_content", "second_content",
                          F.when(F.col("_n") < 3, F.lit("")).otherwise(F.col("last_content")).alias("assistant_v2")))
 
 
+CONTEXT_FIELDS = {"loan_amount": "loan_amount", "loan_term_months": "term", "monthly_income": "income",
+                  "employment_status": "employment", "collateral": "collateral", "loan_type": "loan_type",
+                  "phone_number": "phone_number"}
+
+
+def borrower_context(turns: DataFrame, key="conv_id") -> DataFrame:
+    """Per conversation, what its user turns tell: of each field the value of the latest turn that has one. Fields are
+    extracted turn by turn, so the aggregate combines short values, not texts."""
+    said = turns.filter(F.col("role") == "user").select(key, "turn", L.extraction_struct(F.col("text")).alias("_e"))
+    return said.groupBy(key).agg(*[
+        F.max(F.when(F.col(f"_e.{f}").isNotNull(), F.struct("turn", F.col(f"_e.{f}").cast("string").alias("v"))))["v"].alias(f"_c_{f}")
+        for f in CONTEXT_FIELDS])
+
+
 def chat_audit(turns: DataFrame, key="conv_id", compliance_sensitive=True) -> DataFrame:
-    """Latest user turn -> redacted -> language; last assistant answer -> issues -> confidence."""
+    """Latest user turn -> redacted -> language; last assistant answer -> issues -> confidence; fields that no user
+    turn gives."""
     agg = turns.groupBy(key).agg(
         F.coalesce(F.max_by(F.col("text"), F.when(F.col("role") == "user", F.col("turn"))), F.lit("")).alias("latest_user"),
         F.max_by(F.col("text"), F.when(F.col("role") == "assistant", F.col("turn"))).alias("answer"),
-    )
+    ).join(borrower_context(turns, key), key, "left")
     red = TX.redact_pii(F.col("latest_user"))
     issues = L.compliance_issues(F.coalesce(F.col("answer"), F.lit(""))) if compliance_sensitive \
         else F.array().cast(f"array<{L.ISSUE_TYPE}>")
-    # borrower context: fields extracted from the latest user turn
-    ctx_ext = L.extraction_struct(F.col("latest_user"))
-    context = F.map_from_arrays(
-        F.array(*[F.lit(k) for k in ("loan_amount", "term", "income", "employment", "collateral", "loan_type",
-                                      "phone_number")]),
-        F.array(*[ctx_ext[f].cast("string") for f in ("loan_amount", "loan_term_months", "monthly_income",
-                                                      "employment_status", "collateral", "loan_type",
-                                                      "phone_number")]))
+    context = F.map_from_arrays(F.array(*[F.lit(k) for k in CONTEXT_FIELDS.values()]),
+                                F.array(*[F.col(f"_c_{f}") for f in CONTEXT_FIELDS]))
     out = (agg.withColumn("redacted_user", red)
               .withColumn("language", TX.dominant_language(F.col("redacted_user")))
               .withColumn("issues", issues)
               .withColumn("compliance_warnings", L.issue_categories("issues"))
-              .withColumn("missing_application_fields", L.context_missing_fields(context)))
+              .withColumn("missing_application_fields", L.context_missing_fields(context))
+              .drop(*[f"_c_{f}" for f in CONTEXT_FIELDS]))
     return out.withColumn("confidence", L.heuristic_confidence(F.coalesce(F.col("answer"), F.lit("")),
                                                                F.size("compliance_warnings")))

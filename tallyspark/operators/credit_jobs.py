@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ..functions import credit as C
 from . import generate as G
 
-OPEN_STATUSES = ("O", "P")  # open / pending orders count as outstanding debt
+PENDING = "P"
+DEBT_SHARE = 50  # debt: one fiftieth of the value of pending orders, so that cash and debt are of one size
 
 
 def cents(col) -> F.Column:
@@ -24,7 +25,7 @@ def cents(col) -> F.Column:
 
 
 def customer_facts(customer: DataFrame, orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """revenue = sum(o_totalprice); debt = sum over open/pending orders; expense =
+    """revenue = sum(o_totalprice); debt = 1/50 of the pending orders' sum; expense =
     sum(l_extendedprice * (1 - l_discount)); cash = max(c_acctbal, 0); all in cents."""
     per_order = (lineitem.select("l_orderkey", cents(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net"))
                          .groupBy("l_orderkey").agg(F.sum("net").alias("expense_cents")))
@@ -32,7 +33,8 @@ def customer_facts(customer: DataFrame, orders: DataFrame, lineitem: DataFrame)
     joined = o.join(per_order, o.o_orderkey == per_order.l_orderkey, "left")
     per_cust = joined.groupBy("o_custkey").agg(
         F.sum("price").alias("revenue"),
-        F.sum(F.when(F.col("o_orderstatus").isin(*OPEN_STATUSES), F.col("price")).otherwise(F.lit(0))).alias("debt"),
+        F.floor(F.sum(F.when(F.col("o_orderstatus") == PENDING, F.col("price")).otherwise(F.lit(0))) / DEBT_SHARE)
+         .cast("bigint").alias("debt"),
         F.sum(F.coalesce("expense_cents", F.lit(0))).alias("expense"),
         F.count(F.lit(1)).alias("n_orders"),
     )

@@ -20,6 +20,16 @@ def truthy(col) -> Column:
     return F.coalesce(c.cast("string") != "", F.lit(False))
 
 
+def truthy_flag(df: DataFrame, name: str) -> Column:
+    """Python truthiness of a flag column of any type: booleans as they are, numbers unless 0, strings unless empty."""
+    kind = df.schema[name].dataType.simpleString()
+    if kind == "boolean":
+        return F.coalesce(F.col(name), F.lit(False))
+    if kind == "string":
+        return truthy(name)
+    return F.coalesce(F.col(name) != 0, F.lit(False))
+
+
 def rights_ok(license_col="license_status", usage_col="allowed_usage") -> Column:
     """both rights fields truthy."""
     return truthy(license_col) & truthy(usage_col)
@@ -32,10 +42,16 @@ def provenance_missing(fields=PROVENANCE_FIELDS) -> Column:
 
 def pii_exclusion(df: DataFrame) -> DataFrame:
     """drop rows with truthy ``contains_raw_customer_pii`` or ``google_translate_gold`` exactly true."""
-    raw = F.coalesce(F.col("contains_raw_customer_pii").cast("boolean"), F.lit(False)) \
-        if "contains_raw_customer_pii" in df.columns else F.lit(False)
-    gold = F.col("google_translate_gold").eqNullSafe(True) if "google_translate_gold" in df.columns else F.lit(False)
-    return df.filter(~raw & ~gold)
+    return df.filter(pii_kept(df))
+
+
+def pii_kept(df: DataFrame) -> Column:
+    """F3 as a predicate. Only a boolean true marks gold translations; other types never do."""
+    raw = truthy_flag(df, "contains_raw_customer_pii") if "contains_raw_customer_pii" in df.columns else F.lit(False)
+    gold = F.lit(False)
+    if "google_translate_gold" in df.columns and df.schema["google_translate_gold"].dataType.simpleString() == "boolean":
+        gold = F.col("google_translate_gold").eqNullSafe(True)
+    return ~raw & ~gold
 
 
 def declared_pii_gate(df: DataFrame, allow_pii: bool = False) -> tuple[DataFrame, Column]:
@@ -53,6 +69,11 @@ def size_guard(n_accepted: Column, allow_small: bool = False, minimum: int = 20)
              .otherwise(F.lit("ok")))
 
 
+def generation_guard(n: Column, minimum: int = 2000) -> Column:
+    """F8: the v2 generator refuses fewer than 2000 records."""
+    return F.when(n < minimum, F.lit("error: count must be at least 2000")).otherwise(F.lit("ok"))
+
+
 def field_domain_violations(checks: dict) -> Column:
     """``checks`` maps a rule name to a Column that is true when the value is valid."""
     return F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in checks.items()]))
@@ -73,7 +94,7 @@ def document_provenance(docs: DataFrame, manifest: DataFrame) -> DataFrame:
     k = F.regexp_extract(F.col("source"), "([0-9]+)", 1)
     keyed = docs.withColumn("_mord", F.when(k != "", F.pmod(k.cast("bigint"), F.lit(n)).cast("int")))
     m = manifest.select(F.col("ord").alias("_mord"), F.col("name").alias("manifest_name"), "source_url",
-                        "allowed_usage", F.lit(None).cast("string").alias("retrieval_date"))
+                        "allowed_usage", "retrieval_date")
     lic = F.regexp_extract(F.col("text"), LICENSE_LINE, 0)
     return (keyed.join(F.broadcast(m), "_mord", "left")
                  .withColumn("license_status", F.when(lic != "", lic)).drop("_mord"))

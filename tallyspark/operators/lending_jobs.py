@@ -2,8 +2,8 @@
 
 Each job annotates a table of texts and, where useful, reports per group. Small
 dictionaries are unrolled into the projection (no join, no shuffle); a caller
-lexicon larger than ``UNROLL_MAX`` phrases is matched with a broadcast theta join
-whose size is checked first.
+lexicon larger than ``UNROLL_MAX`` phrases, of any size, is matched by an equi-join on the
+first characters of its phrases, with the same columns as a result.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from ..functions import text as TX
 from ..functions import vocab as V
 
 UNROLL_MAX = 256
-BROADCAST_MAX_PHRASES = 200_000
+ANCHOR = 4  # leading characters of a phrase that texts are joined on
 
 
 def compliance_scan(df: DataFrame, text_col: str = "text", lexicon=None, sensitive=True) -> DataFrame:
@@ -39,31 +39,41 @@ def compliance_scan(df: DataFrame, text_col: str = "text", lexicon=None, sensiti
               .withColumn("decision", L.routing_decision("issues")))
 
 
-def compliance_scan_table(df: DataFrame, key_col: str, text_col: str, lexicon_df: DataFrame) -> DataFrame:
-    """T5 for a caller-supplied lexicon table (ord, category, phrase, severity, alternative).
-
-    Up to UNROLL_MAX phrases are collected (bounded) and unrolled; above that the
-    lexicon is broadcast after a size check and matched by a nested-loop theta join
-    on ``contains``, then issues are re-assembled per row in lexicon order."""
-    n = lexicon_df.count()
-    if n <= UNROLL_MAX:
-        rows = [tuple(r) for r in lexicon_df.select("ord", "category", "phrase", "severity", "alternative")
-                .orderBy("ord").collect()]
-        return compliance_scan(df, text_col, rows)
-    if n > BROADCAST_MAX_PHRASES:
-        raise ValueError(f"lexicon of {n} phrases exceeds the broadcast bound {BROADCAST_MAX_PHRASES}")
-    lex = F.broadcast(lexicon_df.withColumn("phrase_low", F.lower("phrase")))
-    hits = (df.select(key_col, F.lower(F.col(text_col)).alias("_low"))
-              .join(lex, F.col("_low").contains(F.col("phrase_low")))
-              .groupBy(key_col)
-              .agg(F.array_sort(F.collect_list(F.struct("ord", "category", "phrase", "severity",
-                                                       "alternative"))).alias("_hits")))
-    return (df.join(hits, key_col, "left")
-              .withColumn("issues", F.coalesce(F.transform("_hits", lambda h: F.struct(
-                  h["category"].alias("category"), h["phrase"].alias("phrase"), h["severity"].alias("severity"),
-                  F.concat(F.lit("Detected risky lending wording: "), h["category"], F.lit(".")).alias("explanation"),
-                  h["alternative"].alias("alternative"))), F.array().cast(f"array<{L.ISSUE_TYPE}>")))
-              .drop("_hits"))
+def compliance_scan_table(df: DataFrame, text_col: str, lexicon_df: DataFrame) -> DataFrame:
+    """T5-T8 and F10 for a caller-supplied lexicon table (ord, category, phrase, severity, alternative).
+
+    Up to UNROLL_MAX phrases are collected (a bounded number) and unrolled. A longer lexicon is joined: each text gives its
+    distinct character runs of the anchors' lengths, those that begin a phrase meet it by an equi-join, and the
+    phrase is then verified in the text. Rows are told apart by a hash of all columns (equal rows have equal issues)."""
+    lex = lexicon_df.select("ord", "category", "phrase", "severity", "alternative")
+    rows = lex.orderBy("ord").limit(UNROLL_MAX + 1).collect()
+    if len(rows) <= UNROLL_MAX:
+        return compliance_scan(df, text_col, [tuple(r) for r in rows])
+    lex = lex.withColumn("_low", F.lower("phrase")).filter(F.length("_low") > 0)
+    lex = lex.withColumn("_anchor", F.substring("_low", 1, ANCHOR))
+    lengths = [r[0] for r in lex.select(F.length("_anchor")).distinct().collect()]  # at most ANCHOR values
+    mark = [F.xxhash64(F.lit(i), *df.columns) for i in (1, 2)]
+    texts = df.select(mark[0].alias("_m1"), mark[1].alias("_m2"), F.lower(F.col(text_col)).alias("_text"))
+    runs = [F.transform(F.sequence(F.lit(1), F.greatest(F.length("_text") - n + 1, F.lit(1))),
+                        lambda i, n=n: F.substring(F.col("_text"), i, F.lit(n))) for n in lengths]
+    grams = texts.select("_m1", "_m2", F.explode(F.array_distinct(F.concat(*runs))).alias("_anchor"))
+    pairs = grams.join(lex, "_anchor").drop("_anchor")
+    hits = (pairs.join(texts, ["_m1", "_m2"]).filter(F.col("_text").contains(F.col("_low"))).distinct()
+                 .groupBy("_m1", "_m2").agg(F.array_sort(F.collect_list(F.struct(
+                     "ord", "category", "phrase", "severity", "alternative"))).alias("_hits")))  # one text's phrases
+    none = F.array().cast(f"array<{L.ISSUE_TYPE}>")
+    issues = F.coalesce(F.transform("_hits", lambda h: F.struct(
+        h["category"].alias("category"), h["phrase"].alias("phrase"), h["severity"].alias("severity"),
+        F.concat(F.lit("Detected risky lending wording: "), h["category"], F.lit(".")).alias("explanation"),
+        h["alternative"].alias("alternative"))), none)
+    safer = F.when(F.size("issues") > 0, F.aggregate("issues", F.col(text_col), lambda t, i: F.replace(t, i["phrase"], i["alternative"])))
+    return (df.withColumn("_m1", mark[0]).withColumn("_m2", mark[1]).join(hits, ["_m1", "_m2"], "left")
+              .withColumn("issues", issues).drop("_hits", "_m1", "_m2")
+              .withColumn("safer_text", safer)
+              .withColumn("compliance_warnings", L.issue_categories("issues"))
+              .withColumn("safer_alternatives", L.safer_alternatives("issues"))
+              .withColumn("is_safe", L.is_safe("issues"))
+              .withColumn("decision", L.routing_decision("issues")))
 
 
 def compliance_report(scanned: DataFrame, keys=("domain",)) -> DataFrame:
@@ -73,33 +83,26 @@ def compliance_report(scanned: DataFrame, keys=("domain",)) -> DataFrame:
                    .agg(F.count(F.lit(1)).alias("n_issues")))
 
 
-def glossary_job(df: DataFrame, text_col: str = "text", glossary_id=None) -> DataFrame:
-    """Terms used (sorted, distinct) and warnings (glossary order)."""
+def glossary_job(df: DataFrame, text_col: str = "text", glossary_id=None, entries=None) -> DataFrame:
+    """Terms used (sorted, distinct) and warnings (glossary order); ``entries`` is a caller's (term, preferred) list."""
     df = df.withColumn("_low", F.lower(F.col(text_col)))
-    terms, warns = L.glossary_check(F.col(text_col), glossary_id, low=F.col("_low"))
+    terms, warns = L.glossary_check(F.col(text_col), glossary_id, low=F.col("_low"), entries=entries)
     return df.withColumn("terms_used", terms).withColumn("glossary_warnings", warns).drop("_low")
 
 
 def glossary_overlay(file_df: DataFrame, default_terms=None) -> DataFrame:
     """S6 for glossary files stored as a table (glossary_id, ord, term, preferred).
 
-    Per glossary: the default terms first, in default order, with the file's value
-    when it has one; then the file's new terms in file order. Each glossary's
-    entries are grouped by glossary_id (one glossary per group, bounded by its size)."""
+    Per glossary: the default terms first, in default order, with the file's value when it has one; then the
+    file's new terms in file order. A full outer join on (glossary_id, term): no glossary is gathered in one row."""
     defaults = default_terms if default_terms is not None else V.DEFAULT_GLOSSARY
-    d_arr = F.array(*[F.struct(F.lit(i).cast("bigint").alias("ord"), F.lit(t).alias("term"), F.lit(p).alias("preferred"))
-                      for i, (t, p) in enumerate(defaults)])
-    d_terms = F.array(*[F.lit(t) for t, _ in defaults])
-    per_gloss = file_df.groupBy("glossary_id").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("ord").cast("bigint").alias("ord"), "term", "preferred"))).alias("entries"))
-    fmap = F.map_from_entries(F.transform("entries", lambda e: F.struct(e["term"], e["preferred"])))
-    merged = F.concat(
-        F.transform(d_arr, lambda d: F.struct(d["ord"].alias("ord"), d["term"].alias("term"),
-                                              F.coalesce(F.element_at(fmap, d["term"]), d["preferred"]).alias("preferred"))),
-        F.transform(F.filter("entries", lambda e: ~F.array_contains(d_terms, e["term"])),
-                    lambda e: F.struct((e["ord"] + F.lit(len(defaults))).alias("ord"), e["term"].alias("term"),
-                                       e["preferred"].alias("preferred"))))
-    return per_gloss.select("glossary_id", F.inline(merged))
+    entry = [F.struct(F.lit(i).cast("bigint").alias("d_ord"), F.lit(t).alias("term"), F.lit(p).alias("d_preferred"))
+             for i, (t, p) in enumerate(defaults)]
+    base = file_df.select("glossary_id").distinct().select("glossary_id", F.inline(F.array(*entry)))
+    joined = base.join(file_df.select("glossary_id", "term", F.col("ord").cast("bigint").alias("f_ord"), "preferred"),
+                       ["glossary_id", "term"], "full_outer")
+    return joined.select("glossary_id", F.coalesce("d_ord", F.col("f_ord") + F.lit(len(defaults))).alias("ord"), "term",
+                         F.coalesce("preferred", "d_preferred").alias("preferred"))
 
 
 def extraction_job(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -122,13 +125,13 @@ def completeness_report(extracted: DataFrame, keys=("source",)) -> DataFrame:
 
 
 def review_job(df: DataFrame, output_col: str, source_text_col: str, glossary_id=None,
-               compliance_sensitive=False, require_review=False) -> DataFrame:
+               compliance_sensitive=False, require_review=False, lexicon=None, entries=None) -> DataFrame:
     """Translation review routing (glossary warnings + issues feed the confidence).
 
     Defaults follow the translation request: not compliance-sensitive, no forced review."""
     df = df.withColumn("_low", F.lower(F.col(source_text_col)))
-    terms, warns = L.glossary_check(F.col(source_text_col), glossary_id, low=F.col("_low"))
-    issues = (L.compliance_issues(F.col(source_text_col), low=F.col("_low")) if compliance_sensitive
+    terms, warns = L.glossary_check(F.col(source_text_col), glossary_id, low=F.col("_low"), entries=entries)
+    issues = (L.compliance_issues(F.col(source_text_col), lexicon, F.col("_low")) if compliance_sensitive
               else F.array().cast(f"array<{L.ISSUE_TYPE}>"))
     out = (df.withColumn("terms_used", terms).withColumn("glossary_warnings", warns)
              .withColumn("_n_issues", F.size(issues)).drop("_low"))
@@ -138,11 +141,16 @@ def review_job(df: DataFrame, output_col: str, source_text_col: str, glossary_id
     return out.withColumn("requires_human_review", needs).withColumn("reason", reason).drop("_n_issues")
 
 
-def rewrite_audit(df: DataFrame, text_col: str, rewritten_col: str, glossary_id=None) -> DataFrame:
-    """warnings = glossary warnings + issue categories; confidence over the rewritten text."""
+def rewrite_audit(df: DataFrame, text_col: str, rewritten_col: str, glossary_id=None, lexicon=None, entries=None,
+                  compliance_sensitive=True) -> DataFrame:
+    """warnings = glossary warnings + issue categories; confidence over the rewritten text. Texts that
+    aren't compliance-sensitive are not scanned (``compliance_sensitive``: a boolean or a boolean column's name)."""
     t = F.col(text_col)
-    _terms, warns = L.glossary_check(t, glossary_id)
-    issues = L.compliance_issues(t)
+    _terms, warns = L.glossary_check(t, glossary_id, entries=entries)
+    none = F.array().cast(f"array<{L.ISSUE_TYPE}>")
+    found = L.compliance_issues(t, lexicon)
+    flag = F.col(compliance_sensitive) if isinstance(compliance_sensitive, str) else F.lit(bool(compliance_sensitive))
+    issues = found if compliance_sensitive is True else F.when(F.coalesce(flag, F.lit(False)), found).otherwise(none)
     out = (df.withColumn("compliance_warnings", L.issue_categories(issues))
              .withColumn("safer_alternatives", L.safer_alternatives(issues))
              .withColumn("_warnings", F.concat(warns, F.col("compliance_warnings"))))

@@ -164,7 +164,7 @@ def v3_violations(df: DataFrame) -> DataFrame:
     fig_missing = F.col("_fig_missing")
     rules = [
         F.when(~F.coalesce(dom.isin(*[d for d, _ in T3.DOMAIN_QUOTAS]), F.lit(False)),
-               F.concat(F.lit("unknown domain "), F.coalesce(dom, F.lit("None")))),
+               F.coalesce(F.concat(F.lit("unknown domain '"), dom, F.lit("'")), F.lit("unknown domain None"))),
         F.when(~F.col("source").eqNullSafe(T3.SOURCE), F.lit("unexpected source")),
         F.when(~F.col("contains_pii").eqNullSafe(False), F.lit("contains_pii must be false")),
         F.when(TX.has_think_tag_regex(out), F.lit("thinking tag found")),

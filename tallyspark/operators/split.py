@@ -1,9 +1,10 @@
 """Splits and content-hash memoisation.
 
-Exact-size cuts ("the first k rows by a key") never sort the whole table into one
-task: ``kth_key`` finds the k-th smallest key with a few histogram passes over
-key prefixes (each pass is a distributed aggregate returning at most 65,536
-counts), and the split itself is then a plain predicate ``key <= threshold``.
+Exact-size cuts ("the first k rows by a key") never sort the whole table into one task and never collect keys:
+``first_rows`` narrows the k-th smallest key down by histograms over 16 bits of the key at a time (distributed
+aggregates of at most 65,536 counts each). The split is then a predicate; rows that tie on the key at the cut are told
+apart by a second key, and rows that tie on both, which are interchangeable, by a rank among themselves spread over
+their partitions.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 PREFIX_STEP = 4          # hex characters per refinement pass (<= 65,536 groups)
-FINAL_COLLECT_MAX = 50_000
 
 
 def id_hex(col) -> Column:
@@ -23,60 +23,80 @@ def id_hex(col) -> Column:
 
 
 def kth_key(df: DataFrame, key_col: str, k: int):
-    """k-th smallest (1-based) value of a unique hex-string key column, or None if k < 1."""
+    """(k-th smallest value of a string key, how many of its rows are among the first k); (None, 0) if there aren't
+    k rows. Null keys come last and are never chosen. Repeated keys count as often as they occur."""
     if k < 1:
-        return None
-    prefix = ""
-    remaining = k
-    keys = df.select(F.col(key_col).alias("k"))
-    while True:
-        scope = keys.filter(F.startswith(F.col("k"), F.lit(prefix))) if prefix else keys
-        depth = len(prefix)
-        hist = (scope.groupBy(F.substring("k", depth + 1, PREFIX_STEP).alias("p"))
-                     .agg(F.count(F.lit(1)).alias("n")).collect())
-        hist.sort(key=lambda r: r["p"])
-        total = sum(r["n"] for r in hist)
-        if remaining > total:
-            return None
-        cum = 0
-        for r in hist:
-            if cum + r["n"] >= remaining:
-                chosen, size = r["p"], r["n"]
+        return None, 0
+    keys = df.select(F.col(key_col).alias("k")).filter(F.col("k").isNotNull())
+    length = keys.agg(F.max(F.length("k"))).first()[0] or 0
+    prefix, remaining = "", k
+    while len(prefix) < length:
+        hist = (keys.filter(F.startswith(F.col("k"), F.lit(prefix)))
+                    .groupBy(F.substring("k", len(prefix) + 1, PREFIX_STEP).alias("p"))
+                    .agg(F.count(F.lit(1)).alias("n")).collect())  # at most 16 ** PREFIX_STEP counts
+        for r in sorted(hist, key=lambda r: r["p"]):
+            if r["n"] >= remaining:
                 break
-            cum += r["n"]
-        remaining -= cum
-        # a key shorter than the prefix step ends inside this group: finish by collecting
-        prefix += chosen
-        if size <= FINAL_COLLECT_MAX or len(chosen) < PREFIX_STEP:
-            rows = (keys.filter(F.startswith(F.col("k"), F.lit(prefix)))
-                        .orderBy("k").limit(remaining).collect())
-            return rows[-1]["k"]
+            remaining -= r["n"]
+        else:
+            return None, 0
+        prefix += r["p"]
+        if len(r["p"]) < PREFIX_STEP or r["n"] == 1:  # the key ends here, or only one is left
+            break
+    found = keys.filter(F.startswith(F.col("k"), F.lit(prefix))).agg(F.min("k")).first()[0]
+    return found, remaining
+
+
+def first_rows(df: DataFrame, key: Column, k: int) -> Column | DataFrame:
+    """``df`` with ``_first``: true for exactly k rows with the smallest ``key`` (hex string; nulls last).
+
+    Rows with the cut's key are ranked by partition: counts by partition (a small table) give each
+    partition its share, and a window inside it the rows. With unique keys that is one row."""
+    keyed = df.withColumn("_key", key)
+    cut, share = kth_key(keyed, "_key", k)
+    if cut is None:
+        n = keyed.count() if k > 0 else 0
+        nulls = keyed.filter(F.col("_key").isNull()).count() if k > 0 else 0
+        if k < 1 or not nulls or k > n:
+            return keyed.withColumn("_first", F.lit(k > 0)).drop("_key")
+        cut, share, tie = "", k - (n - nulls), F.col("_key").isNull()
+        below = F.col("_key").isNotNull()
+    else:
+        tie, below = F.col("_key").eqNullSafe(F.lit(cut)), F.coalesce(F.col("_key") < F.lit(cut), F.lit(False))
+    ties = keyed.filter(tie).count()
+    if ties <= share:
+        return keyed.withColumn("_first", below | tie).drop("_key")
+    placed = keyed.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id())
+    counts = placed.filter(tie).groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.select("_part", before.alias("_before"))  # one row a partition
+    rank = F.row_number().over(Window.partitionBy("_part").orderBy("_at"))
+    tied = placed.filter(tie).withColumn("_rank", rank).join(counts, "_part")
+    tied = tied.withColumn("_first", F.col("_before") + F.col("_rank") <= share).drop("_part", "_at", "_before", "_rank", "_key")
+    return keyed.filter(~tie).withColumn("_first", below).drop("_key").unionByName(tied)
 
 
 def seeded_split(df: DataFrame, id_col: str, seed: int = 42, val_ratio: float = 0.1) -> DataFrame:
     """Deterministic shuffle by md5(seed:id); val = max(1, int(n*ratio)) when n > 1, else 0;
-    train = the rest, or everything when the rest is empty. Adds ``split`` ('train'/'val'/'both')."""
-    keyed = df.withColumn("_key", F.concat(F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string"))),
-                                           id_hex(id_col)))
-    # no persist: each pass reads only the key column and the key is deterministic,
-    # so a recomputation (or a lost executor) gives the same threshold
-    n = keyed.count()
+    train = the rest, or everything when the rest is empty. Adds ``split`` ('train'/'val'/'both').
+
+    Sizes are exact with repeated ids too (equal ids fall next to each other in the shuffle); null ids come last."""
+    text = F.col(id_col).cast("string")
+    key = F.concat(F.md5(F.concat(F.lit(f"{seed}:"), text)), id_hex(id_col))
+    n = df.count()
     val_count = max(1, int(n * val_ratio)) if n > 1 else 0
-    threshold = kth_key(keyed, "_key", val_count)
-    is_val = (F.col("_key") <= F.lit(threshold)) if threshold is not None else F.lit(False)
-    only_val = val_count >= n and n > 0
-    label = F.when(is_val, F.lit("both" if only_val else "val")).otherwise(F.lit("train"))
-    return keyed.withColumn("split", label).drop("_key")
+    marked = first_rows(df, key, val_count)
+    label = F.lit("both" if val_count >= n and n > 0 else "val")
+    return marked.withColumn("split", F.when(F.col("_first"), label).otherwise(F.lit("train"))).drop("_first")
 
 
 def prefix_split(df: DataFrame, order_col: str, ratio: float = 0.9) -> DataFrame:
-    """The first int(ratio*n) rows by ``order_col`` (non-negative bigint) are train."""
-    keyed = df.withColumn("_key", id_hex(order_col))
-    n = keyed.count()
-    cut = int(n * ratio)
-    threshold = kth_key(keyed, "_key", cut)
-    is_train = (F.col("_key") <= F.lit(threshold)) if threshold is not None else F.lit(False)
-    return keyed.withColumn("split", F.when(is_train, "train").otherwise("val")).drop("_key")
+    """The first int(ratio*n) rows by ``order_col`` (non-negative bigint) are train; exact with repeated and null
+    (last) values. Leading digits that every value has as zero are left out of the key, which saves passes."""
+    n, top = df.agg(F.count(F.lit(1)), F.max(order_col)).first()
+    width = max(PREFIX_STEP, -(-len(f"{top or 0:x}") // PREFIX_STEP) * PREFIX_STEP)
+    marked = first_rows(df, F.right(id_hex(order_col), F.lit(width)), int(n * ratio))
+    return marked.withColumn("split", F.when(F.col("_first"), "train").otherwise("val")).drop("_first")
 
 
 def stratified_prefix_split(df: DataFrame, group_col: str, order_col: str, ratio: float = 0.9,
@@ -115,8 +135,11 @@ def content_key(prefix: str, payload) -> Column:
 
 
 def compute_once(df: DataFrame, key: Column, payload_col: str, fn, out_col: str) -> DataFrame:
-    """Evaluate ``fn(payload)`` once per distinct key and join the result back."""
+    """Evaluate ``fn(payload)`` once per distinct key and join the result back.
+
+    The payload goes into the distinct side only (one row per key and task after the map-side combine); the rows
+    that meet the results again carry it no more, unless they are columns the caller kept in ``df``."""
     keyed = df.withColumn("_ckey", key)
-    distinct = keyed.select("_ckey", payload_col).dropDuplicates(["_ckey"])
-    computed = distinct.select("_ckey", fn(F.col(payload_col)).alias(out_col))
-    return keyed.join(computed, "_ckey", "left").withColumnRenamed("_ckey", "cache_key")
+    computed = (keyed.groupBy("_ckey").agg(F.any_value(payload_col).alias("_payload"))
+                     .select("_ckey", fn(F.col("_payload")).alias(out_col)))
+    return keyed.drop(payload_col).join(computed, "_ckey", "left").withColumnRenamed("_ckey", "cache_key")

@@ -408,6 +408,17 @@ SELECT idx, confidence, (n_issues > 0 OR confidence < {D(V.REVIEW_THRESHOLD)}) A
   CASE WHEN n_issues > 0 OR confidence < {D(V.REVIEW_THRESHOLD)} THEN {q(V.REVIEW_REASON)} END AS reason,
   n_glossary_warnings, terms_used FROM g"""
 
+_red = redact_sql("text")
+ORACLE["redact_documents"] = f"SELECT doc_id, source, {_red} AS redacted_text, {_red} <> text AS redaction_changed FROM documents"
+ORACLE["log_redaction_stream"] = f"SELECT doc_id, source, {_red} AS redacted_text FROM documents"
+_tokens = {"n_phone_tokens": P.TOKEN_PHONE, "n_email_tokens": P.TOKEN_EMAIL, "n_register_tokens": P.TOKEN_REGISTER,
+           "n_number_tokens": P.TOKEN_NUMBER}
+ORACLE["redaction_report"] = f"""
+WITH r AS (SELECT source, text, {_red} AS red FROM documents)
+SELECT source, count(*) AS n_docs, count_if(red <> text) AS n_changed,
+  {', '.join(f"sum((length(red) - length(replace(red, {q(t)}, ''))) // {len(t)}) AS {n}" for n, t in _tokens.items())}
+FROM r GROUP BY source"""
+
 _think_block = f"(?is)<think([^{P.RE2_WORD}>][^>]*)?>.*?</think>"
 _think_tag = f"(?i)</?think($|[^{P.RE2_WORD}])"
 ORACLE["strip_reasoning"] = f"""
@@ -432,12 +443,15 @@ ORACLE["latest_user_turn"] = """
 SELECT conv_id, coalesce(arg_max(text, turn) FILTER (WHERE role = 'user'), '') AS latest_user
 FROM conversations GROUP BY conv_id"""
 
+# the error of the earliest wrong message: its role is looked at before its content
+_ERR = (f"CASE WHEN coalesce(role NOT IN ('system', 'user', 'assistant'), true) THEN 'invalid role ' || coalesce(role, 'None') "
+        f"WHEN text IS NULL OR length({py_strip_sql('text')}) = 0 THEN 'empty message content' END")
+_FIRST_ERROR = f"arg_min({_ERR}, turn) FILTER (WHERE ({_ERR}) IS NOT NULL)"
 ORACLE["message_validation"] = f"""
 SELECT conv_id,
   CASE WHEN count(*) < 2 THEN 'messages must contain at least user and assistant entries'
        WHEN NOT (bool_or(role = 'user') AND bool_or(role = 'assistant')) THEN 'messages must include user and assistant roles'
-       WHEN bool_or(role IS NULL OR role NOT IN ('system', 'user', 'assistant')) THEN 'invalid role'
-       WHEN bool_or(text IS NULL OR length({py_strip_sql('text')}) = 0) THEN 'empty message content' END AS error
+       ELSE {_FIRST_ERROR} END AS error
 FROM conversations GROUP BY conv_id"""
 
 
@@ -456,12 +470,24 @@ def _context_missing(src_alias: str) -> str:
     return lst(items)
 
 
+# what all user turns of a conversation tell: of each field the value of the latest turn that has one
+_said = extraction_sql("SELECT conv_id, turn, text FROM conversations WHERE role = 'user'", "conv_id, turn", "text")
+CONTEXT = f"""SELECT c.conv_id, {', '.join(f'arg_max({f}, e.turn) FILTER (WHERE {f} IS NOT NULL) AS {f}' for f in V.EXTRACTION_FIELDS)}
+  FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN ({_said}) e ON e.conv_id = c.conv_id GROUP BY c.conv_id"""
 ORACLE["context_missing_fields"] = f"""
-WITH u AS (SELECT conv_id, coalesce(arg_max(text, turn) FILTER (WHERE role = 'user'), '') AS user_text
-           FROM conversations GROUP BY conv_id),
-x AS ({extraction_sql('SELECT conv_id, user_text FROM u', 'conv_id', 'user_text')})
+WITH x AS ({CONTEXT})
 SELECT conv_id, array_to_string({_context_missing('x')}, ',') AS missing_application_fields FROM x"""
 
+_answer = "coalesce(arg_max(text, turn) FILTER (WHERE role = 'assistant'), '')"
+_chat = f"""SELECT conv_id, {_answer} AS answer,
+  {redact_sql("coalesce(arg_max(text, turn) FILTER (WHERE role = 'user'), '')")} AS said FROM conversations GROUP BY conv_id"""
+ORACLE["chat_audit"] = f"""
+WITH a AS ({_chat}), i AS ({issues_cte('SELECT * FROM a', 'conv_id, answer, said', 'answer')}), x AS ({CONTEXT}),
+m AS (SELECT conv_id, array_to_string({_context_missing('x')}, ',') AS missing_application_fields FROM x)
+SELECT i.conv_id, CASE WHEN {count_class('said', P.LATIN_LETTERS)} > {count_class('said', P.MN_LETTERS)} THEN 'en' ELSE 'mn' END AS language,
+  {confidence_sql('answer', 'len(cats)')} AS confidence, CAST(len(cats) AS INTEGER) AS n_issues, missing_application_fields
+FROM i JOIN m ON i.conv_id = m.conv_id"""
+
 
 # --- credit ------------------------------------------------------------------------------
 
@@ -485,7 +511,7 @@ CUSTOMER_FACTS = """
   li AS (SELECT l_orderkey, sum(CAST(round((l_extendedprice * (1 - l_discount)) * 100) AS BIGINT)) AS e FROM lineitem GROUP BY 1),
   o AS (SELECT o_custkey, CAST(round(o_totalprice * 100) AS BIGINT) AS price, o_orderstatus, e
         FROM orders LEFT JOIN li ON o_orderkey = l_orderkey),
-  pc AS (SELECT o_custkey, sum(price) AS revenue, sum(CASE WHEN o_orderstatus IN ('O', 'P') THEN price ELSE 0 END) AS debt,
+  pc AS (SELECT o_custkey, sum(price) AS revenue, sum(CASE WHEN o_orderstatus = 'P' THEN price ELSE 0 END) // 50 AS debt,
                 sum(coalesce(e, 0)) AS expense FROM o GROUP BY 1),
   f AS (SELECT c_custkey, c_mktsegment, coalesce(revenue, 0) AS revenue, coalesce(expense, 0) AS expense,
                coalesce(debt, 0) AS debt, greatest(CAST(round(c_acctbal * 100) AS BIGINT), 0) AS cash
@@ -533,7 +559,9 @@ r AS (SELECT gidx, domain, row_number() OVER (PARTITION BY domain ORDER BY gidx)
 SELECT gidx, domain, group_rank, CASE WHEN group_rank <= floor(cnt * 0.9::DOUBLE) THEN 'train' ELSE 'val' END AS split FROM r"""
 ORACLE["dedup_by_hash"] = """
 SELECT source, count(*) AS n_docs, count(DISTINCT sha256(text)) AS n_distinct_payloads,
-  count(*) - count(DISTINCT sha256(text)) AS n_cache_hits FROM documents GROUP BY source"""
+  count(*) - count(DISTINCT sha256(text)) AS n_cache_hits,
+  CAST(sum(round(CONFIDENCE * 100)) AS BIGINT) AS confidence_points FROM documents GROUP BY source""".replace(
+    "CONFIDENCE", confidence_sql(redact_sql("text"), "0"))
 
 
 # --- quality gates -------------------------------------------------------------------------
@@ -608,7 +636,7 @@ def v3_gate_cte() -> str:
     numeric = f"domain IN ({', '.join(q(d) for d in T3.NUMERIC_DOMAINS)})"
     strict = f"domain IN ({', '.join(q(d) for d in T3.STRICT_MEMO_DOMAINS)})"
     rules = [
-        f"CASE WHEN NOT coalesce(domain IN ({', '.join(q(d) for d, _ in T3.DOMAIN_QUOTAS)}), false) THEN concat('unknown domain ', coalesce(domain, 'None')) END",
+        f"CASE WHEN NOT coalesce(domain IN ({', '.join(q(d) for d, _ in T3.DOMAIN_QUOTAS)}), false) THEN coalesce('unknown domain ''' || domain || '''', 'unknown domain None') END",
         f"CASE WHEN source IS DISTINCT FROM {q(T3.SOURCE)} THEN 'unexpected source' END",
         "CASE WHEN contains_pii IS DISTINCT FROM false THEN 'contains_pii must be false' END",
         f"CASE WHEN regexp_matches({a}, {q(_think_tag)}) THEN 'thinking tag found' END",
@@ -698,7 +726,7 @@ SELECT count(*) AS n_items, count_if(({_off}) - ({_svc}) < 0) AS n_regressed,
 ORACLE["labelled_quality_report"] = f"""
 SELECT quality, toxic, count(*) AS n_docs,
   count_if(regexp_matches(text, {q(P.PHONE_RE2_EXISTS)}) OR regexp_matches(text, {q(P.EMAIL_RE2_EXISTS)})
-           OR regexp_matches(text, {q(P.LONG_NUMBER_RE2_EXISTS)})) AS n_pii_docs
+           OR regexp_matches(text, {q(P.REGISTER_RE2_EXISTS)}) OR regexp_matches(text, {q(P.LONG_NUMBER_RE2_EXISTS)})) AS n_pii_docs
 FROM documents JOIN labels USING (doc_id) GROUP BY quality, toxic"""
 
 
@@ -715,7 +743,7 @@ DOC_PROV = f"""
   dk AS (SELECT doc_id, source, text,
            CASE WHEN regexp_extract(source, '([0-9]+)', 1) <> '' THEN CAST(CAST(regexp_extract(source, '([0-9]+)', 1) AS BIGINT) % {len(DMS.MANIFEST)} AS INTEGER) END AS mord
          FROM documents),
-  p AS (SELECT dk.doc_id, dk.source, man.manifest_name, man.source_url, man.allowed_usage, CAST(NULL AS VARCHAR) AS retrieval_date,
+  p AS (SELECT dk.doc_id, dk.source, man.manifest_name, man.source_url, man.allowed_usage, CASE WHEN man.mord IS NOT NULL THEN {q(_reg.RETRIEVAL_DATE)} END AS retrieval_date,
           nullif(regexp_extract(dk.text, {q(GTS.LICENSE_LINE_RE2)}, 0), '') AS license_status
         FROM dk LEFT JOIN man ON dk.mord = man.mord)"""
 _t = lambda c: f"coalesce(CAST({c} AS VARCHAR) <> '', false)"
@@ -755,8 +783,7 @@ ORACLE["sft_prep_summary"] = f"""
 WITH c AS (
   SELECT conv_id, bool_or({_pii3}) AS pii,
     CASE WHEN count(*) < 2 THEN 'e' WHEN NOT (bool_or(role = 'user') AND bool_or(role = 'assistant')) THEN 'e'
-         WHEN bool_or(role IS NULL OR role NOT IN ('system', 'user', 'assistant')) THEN 'e'
-         WHEN bool_or(text IS NULL OR length({py_strip_sql('text')}) = 0) THEN 'e' END AS err
+         ELSE {_FIRST_ERROR} END AS err
   FROM conversations GROUP BY conv_id),
 s AS (SELECT count_if(err IS NULL AND pii) AS rejected_contains_pii, count_if(err IS NULL AND NOT pii) AS accepted,
              count_if(err IS NOT NULL) AS quarantined FROM c),
@@ -783,9 +810,7 @@ FROM conversations GROUP BY conv_id"""
 
 _chat_system = _reg.CHAT_SYSTEM
 ORACLE["chat_prompts"] = f"""
-WITH u AS (SELECT conv_id, coalesce(arg_max(text, turn) FILTER (WHERE role = 'user'), '') AS user_text
-           FROM conversations GROUP BY conv_id),
-x AS ({extraction_sql('SELECT conv_id, user_text FROM u', 'conv_id', 'user_text')}),
+WITH x AS ({CONTEXT}),
 m AS (SELECT conv_id, {_context_missing('x')} AS miss FROM x)
 SELECT conv_id, concat({q(_chat_system)}, CASE WHEN len(miss) > 0 THEN array_to_string(miss, ', ') ELSE 'none' END, '.') AS system_prompt FROM m"""
 

@@ -68,12 +68,7 @@ def v3_corpus(spark, sf_dir):
 
 
 def generated(spark, sf_dir, version, fn=None):
-    """Generated records with ``fn`` applied once per distinct content.
-
-    ``fn`` runs on the content dimension (bounded by the generator's period, with the
-    constant record metadata attached); its result is broadcast-joined to the
-    order-derived index, so per-record work is a hash lookup however large the
-    index table is."""
+    """Generated records (texts by the content dimension), with ``fn``, a rule or gate, applied to every record."""
     orders = table(spark, sf_dir, "orders")
     if version == "v1":
         keys, content = G.v1_keys(orders.select(F.col("o_orderkey").alias("idx"))), G.content_v1(spark)
@@ -87,10 +82,8 @@ def generated(spark, sf_dir, version, fn=None):
         keys, content = G.v3_keys(orders.select((F.col("o_orderkey") + 1).alias("gidx"))), G.content_v3(spark)
         meta = [F.lit(T3.SOURCE).alias("source"), F.lit(False).alias("contains_pii"),
                 (F.col("domain") != "missing_documents_request").alias("numeric_example")]
-    content = content.select("*", *meta)
-    if fn is not None:
-        content = fn(content)
-    return G.attach(keys, content)
+    records = G.attach(keys, content.select("*", *meta))
+    return fn(records) if fn is not None else records
 
 
 @query("sft_v1_generate")
@@ -145,17 +138,9 @@ def q_compliance_safer(spark, sf_dir):
 
 @query("compliance_report")
 def q_compliance_report(spark, sf_dir):
-    # issues per distinct content (user and assistant texts), weighted by how many
-    # records carry that content: the index side is reduced to (key, count) first
-    content = G.content_v1(spark)
-    both = content.select("_k", "domain", F.col("user").alias("text")).unionByName(
-        content.select("_k", "domain", F.col("assistant").alias("text")))
-    per_content = LJ.compliance_report(LJ.compliance_scan(both, "text"), keys=("_k", "domain"))
-    counts = G.v1_keys(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("idx"))) \
-        .groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
-    return (counts.join(F.broadcast(per_content), "_k")
-                  .groupBy("domain", "category", "severity")
-                  .agg(F.sum(F.col("n_issues") * F.col("_n")).alias("n_issues")))
+    # the user and the assistant text of every record
+    both = generated(spark, sf_dir, "v1").select("domain", F.explode(F.array("user", "assistant")).alias("text"))
+    return LJ.compliance_report(LJ.compliance_scan(both, "text"), keys=("domain",))
 
 
 @query("glossary_check")
@@ -238,7 +223,7 @@ def q_chat_audit(spark, sf_dir):
 
 @query("context_missing_fields")
 def q_context_missing(spark, sf_dir):
-    a = CV.chat_audit(table(spark, sf_dir, "conversations"))
+    a = CV.chat_audit(table(spark, sf_dir, "conversations"))  # unused columns, texts among them, are pruned
     return a.select("conv_id", F.array_join("missing_application_fields", ",").alias("missing_application_fields"))
 
 
@@ -343,7 +328,8 @@ def q_dedup_by_hash(spark, sf_dir):
                            lambda t: L.heuristic_confidence(TX.redact_pii(t), F.lit(0)), "confidence")
     return once.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"),
                                       F.count_distinct("cache_key").alias("n_distinct_payloads"),
-                                      (F.count(F.lit(1)) - F.count_distinct("cache_key")).alias("n_cache_hits"))
+                                      (F.count(F.lit(1)) - F.count_distinct("cache_key")).alias("n_cache_hits"),
+                                      F.sum(F.round(F.col("confidence") * 100).cast("bigint")).alias("confidence_points"))
 
 
 # --- quality gates -----------------------------------------------------------------------
@@ -370,8 +356,8 @@ def q_quality_v3_verdict(spark, sf_dir):
 @query("prompt_figures_roundtrip")
 def q_figures_roundtrip(spark, sf_dir):
     def roundtrip(d):
-        scen = G.scenario_v3(d.select(F.col("_k").alias("gidx")).distinct(), "gidx").withColumnRenamed("gidx", "_k")
-        return Q.figures_roundtrip(d.join(scen, "_k"), keys=("_k", "domain"))
+        scen = G.scenario_v3(d.select("gidx"), "gidx")
+        return Q.figures_roundtrip(d.join(scen, "gidx"), keys=("gidx", "domain"))
     r = generated(spark, sf_dir, "v3", roundtrip)
     return r.select("gidx", *[f"parsed_{k}" for k, _l, _u in T3.PROMPT_FIGURES], "roundtrip_ok")
 
@@ -402,7 +388,7 @@ def q_dataset_invariants(spark, sf_dir):
     def flags(d):
         text = F.concat_ws("\n", "system", "user", "assistant", "domain", "source")
         low = F.lower("assistant")
-        return d.select("_k", "domain", "source", "license_status", "allowed_usage", "contains_pii",
+        return d.select("idx", "domain", "source", "license_status", "allowed_usage", "contains_pii",
                         (TX.has_phone(text) | TX.has_email(text) | TX.has_register(text)).alias("_pii"),
                         (~F.col("assistant").contains("Та")).alias("_impolite"),
                         (~low.contains("эцсийн")).alias("_no_final"),
@@ -410,26 +396,17 @@ def q_dataset_invariants(spark, sf_dir):
                         (TX.is_blank("system") | TX.is_blank("user") | TX.is_blank("assistant")).alias("_blank"))
     v1 = generated(spark, sf_dir, "v1", flags).withColumn("id", F.format_string(T1V.ID_FORMAT, F.col("idx") + 1))
     id_pii = TX.has_phone(F.col("id")) | TX.has_email(F.col("id")) | TX.has_register(F.col("id"))
-    inv = v1.agg(
-        F.count(F.lit(1)).alias("n_rows"),
+    by_domain = v1.groupBy("domain").agg(
+        F.count(F.lit(1)).alias("n"),
         F.bool_and((F.col("source") == T1V.SOURCE) & (F.col("license_status") == T1V.LICENSE_STATUS)
-                   & (F.col("allowed_usage") == T1V.ALLOWED_USAGE) & F.col("contains_pii").eqNullSafe(False))
-         .alias("metadata_ok"),
-        F.count_if(F.col("_pii") | id_pii).alias("n_pii_rows"),
-        F.count_if("_impolite").alias("n_impolite"),
-        F.count_if("_no_final").alias("n_no_final_review"),
-        F.count_if("_unsafe").alias("n_unsafe"),
-        F.count_if("_blank").alias("n_blank_messages"),
-    )
-    per_domain = (v1.groupBy("domain").count()
-                    .agg(F.min("count").alias("min_domain_rows"), F.max("count").alias("max_domain_rows"),
-                         F.count(F.lit(1)).alias("n_domains")))
-    return _one_row_join(inv, per_domain)
-
-
-def _one_row_join(a, b):
-    """Join two one-row aggregates (equi-join on a constant key, both sides one row)."""
-    return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")
+                   & (F.col("allowed_usage") == T1V.ALLOWED_USAGE) & F.col("contains_pii").eqNullSafe(False)).alias("ok"),
+        F.count_if(F.col("_pii") | id_pii).alias("pii"), F.count_if("_impolite").alias("impolite"),
+        F.count_if("_no_final").alias("no_final"), F.count_if("_unsafe").alias("unsafe"), F.count_if("_blank").alias("blank"))
+    return by_domain.agg(  # one row a domain
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.bool_and("ok").alias("metadata_ok"), F.sum("pii").alias("n_pii_rows"),
+        F.sum("impolite").alias("n_impolite"), F.sum("no_final").alias("n_no_final_review"), F.sum("unsafe").alias("n_unsafe"),
+        F.sum("blank").alias("n_blank_messages"), F.min("n").alias("min_domain_rows"), F.max("n").alias("max_domain_rows"),
+        F.count(F.lit(1)).alias("n_domains"))
 
 
 # --- evaluation ------------------------------------------------------------------------------
@@ -459,12 +436,12 @@ def q_score_regression(spark, sf_dir):
 
 @query("labelled_quality_report")
 def q_labelled_quality(spark, sf_dir):
-    docs = corpus.pii_flags(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    labels = table(spark, sf_dir, "labels")
-    j = docs.join(labels, "doc_id", "inner")
+    labelled = table(spark, sf_dir, "documents").select("doc_id", "text").join(table(spark, sf_dir, "labels"), "doc_id")
+    j = corpus.pii_flags(labelled)  # only labelled documents are scanned
     return j.groupBy("quality", "toxic").agg(
         F.count(F.lit(1)).alias("n_docs"),
-        F.count_if(F.col("has_phone") | F.col("has_email") | F.col("has_long_number")).alias("n_pii_docs"))
+        F.count_if(F.col("has_phone") | F.col("has_email") | F.col("has_register") | F.col("has_long_number"))
+         .alias("n_pii_docs"))
 
 
 # --- gates, sources, reshapes, streaming -----------------------------------------------------
@@ -550,14 +527,9 @@ def q_teacher_records(spark, sf_dir):
 
 @query("log_redaction_stream")
 def q_log_redaction_stream(spark, sf_dir):
-    src = (spark.readStream.format("parquet").schema("doc_id bigint, source string, text string")
-                .option("pathGlobFilter", "documents.parquet").option("maxFilesPerTrigger", 1).load(sf_dir))
-    name = f"log_redaction_{uuid.uuid4().hex[:12]}"
-    from ..session import shared_path
-    sink, ckpt = shared_path(spark, f"streams/{name}/data"), shared_path(spark, f"streams/{name}/ckpt")
-    q = (SR.redact_stream(src, "text").writeStream.format("parquet").option("path", sink)
-           .option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
+    # a fresh name: the query's result is the whole table's, not what came since an earlier call
+    sink = SR.run_file_stream(spark, f"{sf_dir.rstrip('/')}/documents.parquet", "doc_id bigint, source string, text string",
+                              "text", f"log_redaction_{uuid.uuid4().hex[:12]}")
     return spark.read.schema("doc_id bigint, source string, redacted_text string").parquet(sink)
 
 
@@ -572,10 +544,7 @@ def q_pii_exclusion(spark, sf_dir):
     """F3 on documents whose raw-customer-PII flag is the detected PII."""
     d = corpus.pii_flags(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     d = d.withColumn("contains_raw_customer_pii", F.col("has_phone") | F.col("has_email") | F.col("has_register"))
-    kept = GT.pii_exclusion(d)
-    return (d.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"))
-             .join(kept.groupBy("source").agg(F.count(F.lit(1)).alias("n_kept")), "source", "left")
-             .select("source", "n_docs", F.coalesce("n_kept", F.lit(0)).alias("n_kept")))
+    return d.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.count_if(GT.pii_kept(d)).alias("n_kept"))
 
 
 def _conversation_records(spark, sf_dir):
@@ -589,15 +558,14 @@ def _conversation_records(spark, sf_dir):
 @query("sft_prep_summary")
 def q_sft_prep_summary(spark, sf_dir):
     """E1 as one job: F5 quarantine -> F4 PII gate -> F8 guard -> X1 sizes -> A8 summary row."""
-    recs = _conversation_records(spark, sf_dir)
-    valid = recs.filter(F.col("error").isNull())
-    summary = valid.agg(F.count(F.lit(1)).alias("n_valid"),
-                        F.count_if(F.col("contains_pii").eqNullSafe(True)).alias("rejected_contains_pii"))
+    valid = F.col("error").isNull()
+    summary = _conversation_records(spark, sf_dir).agg(  # one aggregate over the records
+        F.count_if(valid).alias("n_valid"), F.count_if(~valid).alias("quarantined"),
+        F.count_if(valid & F.col("contains_pii").eqNullSafe(True)).alias("rejected_contains_pii"))
     summary = summary.withColumn("accepted", F.col("n_valid") - F.col("rejected_contains_pii"))
     n = F.col("accepted")
     val = F.when(n > 1, F.greatest(F.lit(1), F.floor(n * F.lit(0.1)).cast("bigint"))).otherwise(F.lit(0))
-    quarantined = recs.agg(F.count_if(F.col("error").isNotNull()).alias("quarantined"))
-    return (_one_row_join(summary, quarantined)
+    return (summary
             .withColumn("validation", val)
             .withColumn("train", F.when(n - val > 0, n - val).otherwise(n))
             .withColumn("guard", GT.size_guard(n, allow_small=False))
@@ -711,7 +679,7 @@ def q_glossary_overlay(spark, sf_dir):
     back from every generated record whose texts carry the translation wording (ord = first
     record index), overlaid on the default glossary."""
     def terms(d):
-        return d.select("_k", "domain", F.regexp_extract("user", TRANSLATION_TERM_EN, 1).alias("term"),
+        return d.select("idx", "domain", F.regexp_extract("user", TRANSLATION_TERM_EN, 1).alias("term"),
                         F.regexp_extract("assistant", TRANSLATION_TERM_MN, 1).alias("preferred"))
     # records where both wordings occur (the translation records) give the pairs
     pairs = generated(spark, sf_dir, "v1", terms).filter((F.col("term") != "") & (F.col("preferred") != ""))

@@ -21,15 +21,18 @@ def redact_stream(stream: DataFrame, text_col: str, out_col: str = "redacted_tex
 
 
 def run_file_stream(spark: SparkSession, source_dir: str, schema: str, text_col: str, sink_name: str,
-                    fmt: str = "parquet", max_files_per_trigger: int = 1) -> str:
-    """Redact every file of ``source_dir`` (as a stream) into a parquet sink; returns the sink path.
+                    fmt: str = "parquet", max_bytes_per_trigger: int = 64 << 30) -> str:
+    """Redact every file of ``source_dir`` (a file or a table's folder, as a stream) into a parquet sink; returns its path.
 
-    Uses the ``availableNow`` trigger: everything present is processed in bounded
-    micro-batches, then the query stops."""
+    Uses the ``availableNow`` trigger: everything present is processed in micro-batches of up to
+    ``max_bytes_per_trigger`` (all files of one run in parallel), then the query stops. ``sink_name`` is the query's
+    identity: run again with the same name it resumes from its checkpoint and takes new files only."""
     sink = shared_path(spark, f"streams/{sink_name}/data")
     ckpt = shared_path(spark, f"streams/{sink_name}/checkpoint")
+    source = source_dir.rstrip("/")
+    source = f"{source[:-1]}[{source[-1]}]"  # a pattern that matches this path only: then a single file will do, too
     src = (spark.readStream.format(fmt).schema(schema)
-                .option("maxFilesPerTrigger", max_files_per_trigger).load(source_dir))
+                .option("maxBytesPerTrigger", str(max_bytes_per_trigger)).load(source))
     q = (redact_stream(src, text_col).writeStream.format("parquet")
              .option("path", sink).option("checkpointLocation", ckpt)
              .outputMode("append").trigger(availableNow=True).start())
