@@ -218,16 +218,13 @@ def domain_coverage(df: DataFrame, required, domain_col: str = "domain") -> Data
                .withColumn("missing", F.col("n_rows") == 0))
 
 
-def expected_v3_counts(total: int) -> dict | None:
-    """Q6 as in the reference: exact counts only for 1500 / 1350 / 150 rows."""
-    q = dict(T3.DOMAIN_QUOTAS)
-    if total == T3.CYCLE:
-        return q
-    if total == sum(int(c * 0.9) for c in q.values()):
-        return {d: int(c * 0.9) for d, c in q.items()}
-    if total == sum(c - int(c * 0.9) for c in q.values()):
-        return {d: c - int(c * 0.9) for d, c in q.items()}
-    return None
+def quota_table(spark) -> DataFrame:
+    """Q6: (total, domain, expected) for a whole set, its training and its validation part; other sizes have no quota."""
+    rows = []
+    for share in (lambda n: n, lambda n: int(n * 0.9), lambda n: n - int(n * 0.9)):
+        quotas = [(d, share(n)) for d, n in T3.DOMAIN_QUOTAS]
+        rows += [(sum(n for _, n in quotas), d, n) for d, n in quotas]
+    return spark.createDataFrame(rows, "total bigint, domain string, expected bigint")
 
 
 def cycle_expected_counts(total: int) -> dict:

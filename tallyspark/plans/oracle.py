@@ -901,3 +901,6 @@ FROM d LEFT JOIN f ON d.term = f.term
 UNION ALL
 SELECT 'corpus', f.ord + {len(V.DEFAULT_GLOSSARY)}, f.term, f.preferred FROM f
 WHERE f.term NOT IN (SELECT term FROM d)""")
+
+
+from . import oracle_records as _own  # noqa: E402,F401  (adds the SQL of the queries in records)

@@ -686,3 +686,6 @@ def q_glossary_overlay(spark, sf_dir):
     file_df = (pairs.groupBy("term").agg(F.min("idx").alias("ord"), F.min_by("preferred", "idx").alias("preferred"))
                     .select(F.lit("corpus").alias("glossary_id"), "ord", "term", "preferred"))
     return LJ.glossary_overlay(file_df)
+
+
+from . import records as _records  # noqa: E402,F401  (registers its queries)

@@ -42,6 +42,7 @@ MANIFEST = [
 TRAINING_USAGES = ["research_and_training_if_license_compliant", "filter_and_review_before_training",
                    "training_allowed", "training_allowed_after_human_review"]
 BENCHMARK_TEMPLATE_METADATA = {"license": "template", "compliance_review_required": "true"}
+GENERAL_TEMPLATE_METADATA = {"license": "template", "human_review_required": "true"}
 # ---------------------------------------------------------------------------
 
 MANIFEST_SCHEMA = ("ord int, name string, category string, source_url string, license_status string, "
@@ -67,9 +68,9 @@ def glossary_table(spark: SparkSession, glossary_id: str | None = None) -> DataF
     return spark.createDataFrame(rows, "glossary_id string, ord int, term string, preferred string")
 
 
-def attach_template_metadata(items: DataFrame) -> DataFrame:
-    """Constant metadata map attached to benchmark template items."""
+def attach_template_metadata(items: DataFrame, metadata: dict = BENCHMARK_TEMPLATE_METADATA) -> DataFrame:
+    """Constant metadata map attached to benchmark template items (bank metadata unless given)."""
     kv = []
-    for k, v in BENCHMARK_TEMPLATE_METADATA.items():
+    for k, v in metadata.items():
         kv += [F.lit(k), F.lit(v)]
     return items.withColumn("metadata", F.create_map(*kv))

@@ -41,11 +41,11 @@ def write_jsonl(df: DataFrame, path: str, compression: str | None = None) -> Non
     w.json(path)
 
 
-def read_prompt_list(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON list of strings, or an object with a ``prompts`` list; every item a
+def read_prompt_list(spark: SparkSession, path: str, wholetext: bool = True) -> DataFrame:
+    """A JSON list of strings, or an object with a ``prompts`` list, per file (or per line); every item a
     non-blank string, else the job fails (``assert_true``)."""
     from ..functions.text import is_blank
-    raw = spark.read.text(path, wholetext=True)
+    raw = spark.read.text(path, wholetext=wholetext)
     as_list = F.from_json("value", "array<string>")
     as_obj = F.from_json("value", "struct<prompts:array<string>>").getField("prompts")
     prompts = raw.select(F.coalesce(as_list, as_obj).alias("prompts"))
@@ -58,8 +58,13 @@ def read_prompt_list(spark: SparkSession, path: str) -> DataFrame:
                                           F.col("prompt")).alias("prompt"))
 
 
+def write_summary(df: DataFrame, key: str, path: str) -> None:
+    """The counts by ``key``, a JSON line a value, however many values there are."""
+    write_jsonl(df.groupBy(key).agg(F.count(F.lit(1)).alias("n")), path)
+
+
 def summary_row(df: DataFrame, key: str) -> DataFrame:
-    """One-row report with a ``{value: count}`` map for ``key`` and the total."""
+    """S10 for a key of few values: one row with a ``{value: count}`` map for ``key`` and the total."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     return counts.agg(F.sum("n").alias("rows"),
                       F.map_from_entries(F.collect_list(F.struct(F.col(key).cast("string"), "n"))).alias(f"{key}_counts"))
