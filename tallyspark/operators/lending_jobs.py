@@ -54,8 +54,7 @@ def compliance_scan_table(df: DataFrame, text_col: str, lexicon_df: DataFrame) -
     lengths = [r[0] for r in lex.select(F.length("_anchor")).distinct().collect()]  # at most ANCHOR values
     mark = [F.xxhash64(F.lit(i), *df.columns) for i in (1, 2)]
     texts = df.select(mark[0].alias("_m1"), mark[1].alias("_m2"), F.lower(F.col(text_col)).alias("_text"))
-    runs = [F.transform(F.sequence(F.lit(1), F.greatest(F.length("_text") - n + 1, F.lit(1))),
-                        lambda i, n=n: F.substring(F.col("_text"), i, F.lit(n))) for n in lengths]
+    runs = [F.transform(F.sequence(F.lit(1), F.greatest(F.length("_text") - n + 1, F.lit(1))), _run_of(n)) for n in lengths]
     grams = texts.select("_m1", "_m2", F.explode(F.array_distinct(F.concat(*runs))).alias("_anchor"))
     pairs = grams.join(lex, "_anchor").drop("_anchor")
     hits = (pairs.join(texts, ["_m1", "_m2"]).filter(F.col("_text").contains(F.col("_low"))).distinct()
@@ -76,6 +75,10 @@ def compliance_scan_table(df: DataFrame, text_col: str, lexicon_df: DataFrame) -
               .withColumn("decision", L.routing_decision("issues")))
 
 
+def _run_of(n: int):
+    return lambda i: F.substring(F.col("_text"), i, F.lit(n))
+
+
 def compliance_report(scanned: DataFrame, keys=("domain",)) -> DataFrame:
     """T5 report: issue counts by category and severity per key."""
     return (scanned.select(*keys, F.explode("issues").alias("i"))

@@ -147,7 +147,7 @@ def test_splits_small(spark):
     s = SP.stratified_prefix_split(df, "g", "id", 0.9, bucket_size=64)
     got = {(r.g, r.split): r["count"] for r in s.groupBy("g", "split").count().collect()}
     assert got == {("a", "train"): 810, ("a", "val"): 90, ("b", "train"): 90, ("b", "val"): 10}
-    assert SP.kth_key(df.withColumn("k", SP.id_hex("id")), "k", 437) == SP_hex(436)
+    assert SP.kth_key(df.withColumn("k", SP.id_hex("id")), "k", 437) == (SP_hex(436), 1)
 
 
 def SP_hex(n):

@@ -50,10 +50,39 @@ def test_stratified_split_with_a_dominant_group(spark):
 
 
 def test_kth_key_multi_pass(spark):
-    # more keys than the final collect bound, so at least two histogram passes run
-    from tallyspark.operators.split import FINAL_COLLECT_MAX
-    n = FINAL_COLLECT_MAX * 2 + 17
+    n = 100_017  # more keys than one histogram tells apart
     keyed = spark.range(n).withColumn("k", F.concat(F.md5(F.col("id").cast("string")), SP.id_hex("id")))
     k = n // 3
     expect = keyed.orderBy("k").select("k").limit(k).collect()[-1]["k"]
-    assert SP.kth_key(keyed, "k", k) == expect
+    assert SP.kth_key(keyed, "k", k) == (expect, 1)
+
+
+def test_cuts_are_exact_with_repeated_and_null_keys(spark):
+    same = spark.createDataFrame([(7,)] * 10, "id long")
+    mixed = spark.createDataFrame([(1,), (1,), (1,), (2,), (None,), (None,), (3,), (2**40,), (0,), (1,)], "id long").repartition(3)
+    for df in (same, mixed):
+        for ratio in (0.1, 0.5, 0.9):
+            count = lambda split: {r.split: r["count"] for r in split.groupBy("split").count().collect()}
+            assert count(SP.prefix_split(df, "id", ratio)).get("train", 0) == int(10 * ratio)
+            assert count(SP.seeded_split(df, "id", val_ratio=ratio))["val"] == int(10 * ratio)
+    train = SP.prefix_split(mixed, "id", 0.7).filter("split = 'train'").collect()
+    assert sorted(r.id for r in train) == [0, 1, 1, 1, 1, 2, 3]
+    assert SP.prefix_split(mixed, "id", 0.9).filter("split = 'train' AND id IS NULL").count() == 1
+    assert SP.prefix_split(mixed.limit(0), "id").count() == 0 and SP.seeded_split(mixed.limit(0), "id").count() == 0
+
+
+def test_message_accessors_limit_rows_before_the_shuffle(spark):
+    df, _ = _turns(spark)
+    plan = CV.message_accessors(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2 and "collect" not in plan
+
+
+def test_compute_once_under_a_hot_payload(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(9000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('p', id) END AS payload")
+        out = SP.compute_once(df, SP.content_key("p", F.col("payload")), "payload", F.length, "size")
+        assert out.count() == 9000 and out.filter("size = 3").count() >= 3000
+        assert "payload" not in out.columns
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -54,9 +54,16 @@ def test_large_lexicon_join_matches_unrolled(spark):
     lex = spark.createDataFrame(base + extra, "ord int, category string, phrase string, severity string, alternative string")
     texts = spark.createDataFrame([(1, "Таны зээл заавал батална. No Fees! zzqx0007"), (2, "clean"), (3, "pre-approved, BLACKLISTED")],
                                   "k long, text string")
-    joined = {r.k: [i.phrase for i in r.issues] for r in LJ.compliance_scan_table(texts, "k", "text", lex).collect()}
-    unrolled = {r.k: [i.phrase for i in r.issues] for r in LJ.compliance_scan(texts, "text", base + extra).collect()}
-    assert joined == unrolled and joined[1] == ["заавал батална", "no fees", "zzqx0007"] and joined[2] == []
+    texts = texts.unionByName(spark.createDataFrame([(1, "another text of key 1: zzqx0299"), (4, None), (5, ""), (3, "pre-approved, BLACKLISTED")],
+                                                    "k long, text string"))
+    table, unrolled = LJ.compliance_scan_table(texts, "text", lex), LJ.compliance_scan(texts, "text", base + extra)
+    assert sorted(table.columns) == sorted(unrolled.columns)
+    rows = lambda df: sorted((tuple(r[c] for c in sorted(df.columns)) for r in df.collect()), key=str)
+    assert [r for r in rows(table)] == [r for r in rows(unrolled.withColumn("is_safe", F.coalesce("is_safe", F.lit(True))))]
+    by = {(r.k, r.text): [i.phrase for i in r.issues] for r in table.collect()}
+    assert by[1, "Таны зээл заавал батална. No Fees! zzqx0007"] == ["заавал батална", "no fees", "zzqx0007"] and by[2, "clean"] == []
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_fallback_and_inference_messages(spark):
@@ -92,3 +99,21 @@ def test_stream_redaction(spark):
     sink = SR.run_file_stream(spark, src, "id long, text string", "text", f"test_stream_{uuid.uuid4().hex[:8]}")
     got = {r.id: r.redacted_text for r in spark.read.parquet(sink).collect()}
     assert got == {1: "call [REDACTED_PHONE]now", 2: "mail [REDACTED_EMAIL]"}
+
+
+def test_stream_query_reads_a_table_of_several_files(spark):
+    import __spark_entry__ as E
+    d = tempfile.mkdtemp(prefix="tally-src-")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs.repartition(3).write.parquet(f"{d}/documents.parquet")
+    for path in (d, "/root/testdata/sf0.001"):
+        assert E.queries()["log_redaction_stream"](spark, path).count() == docs.count()
+
+
+def test_stream_resumes_under_its_name(spark):
+    import uuid
+    src, name = tempfile.mkdtemp(prefix="tally-src-"), f"test_stream_{uuid.uuid4().hex}"
+    for i in (1, 2):
+        spark.createDataFrame([(i, f"call 9911223{i}")], "id long, text string").coalesce(1).write.mode("append").parquet(src)
+        sink = SR.run_file_stream(spark, src, "id long, text string", "text", name)
+        assert spark.read.parquet(sink).count() == i
