@@ -62,11 +62,13 @@ _ENTITY = re.compile("|".join([
     r"(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)",
     rf"(?P<ip>(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d))",
     r"(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))",
-    r"(?P<card>(?<![\d+])\d(?:[ -]?\d){12,18}(?!\d))",
-    r"(?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]?\d{3,4}(?!\d)|\+\d{8,15}(?!\d))",
+    r"(?P<card>(?<![\d+.])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}(?:[ -]\d{1,3})?|\d{4}[ -]\d{6}[ -]\d{4,5})(?!\d))",
+    r"(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?![.-]?\d)"
+    r"|(?<![\w+])\(\d{2,4}\) ?\d{3,4}[ .-]?\d{3,4}(?![.-]?\d)|(?<![\w+.-])(?:\d{2,4}(?P<sep>[.-])\d{3,4}(?P=sep)\d{3,4}|\d{3} \d{3} \d{4})(?![\d.-]\d|\d))",
     rf"(?:\b(?P<title>{'|'.join(_TITLE)})\b\.? (?P<one>{_CAP})(?: (?P<two>{_CAP}))?)",
     rf"(?:\b(?P<given>{'|'.join(_GENDER)}) (?P<surname>{_CAP}))",
 ]))
+_KINDS = ("email", "key", "secret", "iban", "ip", "ssn", "card", "phone", "title", "given")
 _WORD = {"latin": "an ber cor dal el fin gar hol ir kel lan mor nel or pel ren sal tor ul ven wal".split(),
          "cyrillic": "ан бер вол гор дан ел зим кор лав мор нев ор пол рад сев тар ул чер".split()}
 
@@ -86,7 +88,7 @@ def entities(text: str) -> list[tuple[int, int, str, str, str]]:
         found.append((match.start(group), match.end(group), kind, value or mention, mention))
 
     for m in _ENTITY.finditer(text):
-        kind = m.lastgroup
+        kind = next(k for k in _KINDS if m[k])
         if m["title"] or m["given"]:
             first, last = (m["one"], m["two"]) if m["title"] else (m["given"], m["surname"])
             names = ("one", "two") if m["title"] else ("given", "surname")

@@ -31,10 +31,18 @@ def test_types_formats_and_coreference():
 
 
 def test_clean_texts_stay():
-    for text in ("", "The Thing of 1999, 3.5 per cent; 12 to 14.", "AND!! INER!! token of love", "Anna was here.", "v1.2.3.4.5"):
+    for text in ("", "The Thing of 1999, 3.5 per cent; 12 to 14.", "AND!! INER!! token of love", "Anna was here.", "v1.2.3.4.5", "in 1990 2000 2010 and 12 345 6789",
+                 "pages 10-20, 3.14159 and 1,234,567"):
         assert S.rewrite(text, {}) == (text, 0, "")
 
 
+def test_neighbours_are_told_apart():
+    text = "4591609523969405 77.131.226.148 (988) 555-2485 555-123-4567 +49 30 901820 4111-1111-1111-1111"
+    assert [(e[2], e[4]) for e in S.entities(text)] == [
+        ("card", "4591609523969405"), ("ip", "77.131.226.148"), ("phone", "(988) 555-2485"), ("phone", "555-123-4567"),
+        ("phone", "+49 30 901820"), ("card", "4111-1111-1111-1111")]
+
+
 def test_given_names_stay_distinct():
     for (script, gender), names in S.GIVEN.items():
         out = [S.surrogate(f"given-{script}-{gender}", n) for n in names]
@@ -57,15 +65,15 @@ def test_few_surrogates_left(spark):
 
 
 def test_documents_with_exceptions(spark, monkeypatch):
-    numbers = [f"55 555 {i:04d}" for i in range(40)]
+    numbers = [f"555 555 {i:04d}" for i in range(40)]
     rows = [(i, f"call {n} or {numbers[0]}", "x") for i, n in enumerate(numbers)] + [
         (None, None, "n"), (50, "", "e"), (50, "", "e"), (51, "nothing here " * 100_000 + numbers[3], "long")]
     df = spark.createDataFrame(rows, "doc_id long, text string, kinds string")
-    forced = spark.createDataFrame([("phone", "55555" + "0003", 2, S.surrogate("phone", "555550003", 2))],
+    forced = spark.createDataFrame([("phone", "5555550003", 2, S.surrogate("phone", "5555550003", 2))],
                                    "kind string, value string, attempt int, surrogate string")
     monkeypatch.setattr(S, "assign", lambda *a: forced)
     got = {(r.doc_id, r.text): r.n_replaced for r in S.replace_personal_data(spark, df).collect()}
-    want = [(i, *S.rewrite(t, {("phone", "555550003"): 2})[:2]) if t is not None else (i, None, 0) for i, t, _ in rows]
+    want = [(i, *S.rewrite(t, {("phone", "5555550003"): 2})[:2]) if t is not None else (i, None, 0) for i, t, _ in rows]
     assert got == {(i, t): n for i, t, n in want}
     assert S.replace_personal_data(spark, df.limit(0)).count() == 0
 
