@@ -129,21 +129,39 @@ def parse_number(num, unit) -> Column:
     return F.when(F.length(cleaned) > 0, (value * mult).try_cast("bigint"))
 
 
-def loan_amount(text) -> Column:
-    t = _c(text)
-    ctx = P.loan_context_java()
-    ctx_num = F.regexp_extract(t, ctx, 1)
-    ctx_amount = parse_number(ctx_num, F.regexp_extract(t, ctx, 2))
-    money = P.money_java()
-    nums = F.regexp_extract_all(t, F.lit(money), F.lit(1))
-    units = F.regexp_extract_all(t, F.lit(money), F.lit(2))
-    amounts = F.transform(nums, lambda n, i: parse_number(n, F.get(units, i)))
+# Each pattern scans a text once, for its whole first match; the groups are then taken from the match, which is
+# short. A pattern without look-around finds the same groups in its own match as in the text.
+
+def context_match(text) -> Column:
+    return F.regexp_extract(_c(text), P.loan_context_java(), 0)
+
+
+def term_match(text) -> Column:
+    return F.regexp_extract(_c(text), P.term_java(), 0)
+
+
+def income_match(text) -> Column:
+    return F.regexp_extract(_c(text), P.income_java(), 0)
+
+
+def money_matches(text, context=None) -> Column:
+    """All money matches; with the context match given, only for texts that have none (others don't need them)."""
+    found = F.regexp_extract_all(_c(text), F.lit(P.money_java()), F.lit(0))
+    return found if context is None else F.when(_c(context) == "", found)
+
+
+def loan_amount(text, context=None, money=None) -> Column:
+    context = context_match(text) if context is None else _c(context)
+    money = money_matches(text) if money is None else _c(money)
+    ctx, pat = P.loan_context_java(), P.money_java()
+    ctx_amount = parse_number(F.regexp_extract(context, ctx, 1), F.regexp_extract(context, ctx, 2))
+    amounts = F.transform(money, lambda m: parse_number(F.regexp_extract(m, pat, 1), F.regexp_extract(m, pat, 2)))
     fallback = F.get(F.filter(amounts, lambda a: a >= 100_000), 0)
-    return F.when(ctx_num != "", ctx_amount).otherwise(fallback)
+    return F.when(context != "", ctx_amount).otherwise(fallback)
 
 
-def loan_term_months(text) -> Column:
-    t = _c(text)
+def loan_term_months(text, match=None) -> Column:
+    t = term_match(text) if match is None else _c(match)
     num = F.regexp_extract(t, P.term_java(), 1)
     unit = F.lower(F.regexp_extract(t, P.term_java(), 2))
     n = num.try_cast("bigint")
@@ -151,8 +169,8 @@ def loan_term_months(text) -> Column:
                   .otherwise(n))
 
 
-def monthly_income(text) -> Column:
-    t = _c(text)
+def monthly_income(text, match=None) -> Column:
+    t = income_match(text) if match is None else _c(match)
     num = F.regexp_extract(t, P.income_java(), 1)
     return F.when(num != "", parse_number(num, F.regexp_extract(t, P.income_java(), 2)))
 
@@ -167,12 +185,22 @@ def phone_number(text) -> Column:
     return F.when(m != "", F.right(F.regexp_replace(m, "(?U)\\D", ""), F.lit(8)))
 
 
-def extraction_struct(text, low=None) -> Column:
+def with_extraction(df, text_col: str, out: str = "extraction"):
+    """T11-T15 as one struct column (parsers see the unredacted text). Matches are columns of their own, so that Spark
+    finds each once however often it is used."""
+    t = F.col(text_col)
+    df = df.withColumns({"_low": F.lower(t), "_ctx": context_match(t), "_term": term_match(t), "_inc": income_match(t)})
+    df = df.withColumn("_money", money_matches(t, "_ctx"))
+    return df.withColumn(out, extraction_struct(t, F.col("_low"), "_ctx", "_money", "_term", "_inc")).drop(
+        "_low", "_ctx", "_money", "_term", "_inc")
+
+
+def extraction_struct(text, low=None, context=None, money=None, term=None, income=None) -> Column:
     """T11-T15 as one struct (parsers see the unredacted text)."""
     return F.struct(
-        loan_amount(text).alias("loan_amount"),
-        loan_term_months(text).alias("loan_term_months"),
-        monthly_income(text).alias("monthly_income"),
+        loan_amount(text, context, money).alias("loan_amount"),
+        loan_term_months(text, term).alias("loan_term_months"),
+        monthly_income(text, income).alias("monthly_income"),
         find_term(text, V.EMPLOYMENT_TERMS, low).alias("employment_status"),
         find_term(text, V.COLLATERAL_TERMS, low).alias("collateral"),
         find_term(text, V.LOAN_TYPE_TERMS, low).alias("loan_type"),

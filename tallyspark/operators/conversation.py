@@ -107,7 +107,7 @@ CONTEXT_FIELDS = {"loan_amount": "loan_amount", "loan_term_months": "term", "mon
 def borrower_context(turns: DataFrame, key="conv_id") -> DataFrame:
     """Per conversation, what its user turns tell: of each field the value of the latest turn that has one. Fields are
     extracted turn by turn, so the aggregate combines short values, not texts."""
-    said = turns.filter(F.col("role") == "user").select(key, "turn", L.extraction_struct(F.col("text")).alias("_e"))
+    said = L.with_extraction(turns.filter(F.col("role") == "user").select(key, "turn", "text"), "text", "_e")
     return said.groupBy(key).agg(*[
         F.max(F.when(F.col(f"_e.{f}").isNotNull(), F.struct("turn", F.col(f"_e.{f}").cast("string").alias("v"))))["v"].alias(f"_c_{f}")
         for f in CONTEXT_FIELDS])

@@ -111,7 +111,7 @@ def glossary_overlay(file_df: DataFrame, default_terms=None) -> DataFrame:
 def extraction_job(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Fields (from the unredacted text), missing fields, redacted text, confidence."""
     t = F.col(text_col)
-    out = df.withColumn("_low", F.lower(t)).withColumn("extraction", L.extraction_struct(t, F.col("_low"))).drop("_low")
+    out = L.with_extraction(df, text_col)
     out = out.withColumn("missing_fields", L.missing_fields("extraction"))
     out = out.withColumn("redacted_text", TX.redact_pii(t))
     out = out.withColumn("confidence", L.heuristic_confidence(F.col("redacted_text"), F.size("missing_fields")))
