@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_path
 
-#: A side with at most this many (narrow) rows may be broadcast; beyond it the join is shuffled.
+#: A side with at most this many values (rows, or entries of their arrays) may be broadcast; beyond it the join is shuffled.
 BROADCAST_ROWS = 200_000
 #: Copies made of the grouped side so that the rows of one hot key spread over several tasks.
 SALTS = 8
@@ -35,10 +35,13 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
-def join_small(left: DataFrame, right: DataFrame, on, how: str = "left", limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Join with a *materialised* narrow ``right``: broadcast if its counted rows are at most ``limit``, else a
-    shuffled join whose hot keys AQE can split (both sides come from plain exchanges)."""
-    side = F.broadcast(right) if right.count() <= limit else right.hint("shuffle_merge")
+def join_small(left: DataFrame, right: DataFrame, on, how: str = "left", limit: int | None = None,
+               entries: Column | None = None) -> DataFrame:
+    """Join with a *materialised* narrow ``right``: broadcast if its rows (and the sum of ``entries``, the length of their
+    arrays) are counted to be at most ``limit`` (``BROADCAST_ROWS`` unless given), else a shuffled join whose hot keys AQE can split (both sides come
+    from plain exchanges)."""
+    rows, values = right.agg(F.count("*"), F.sum(F.lit(0) if entries is None else entries)).first()
+    side = F.broadcast(right) if max(rows, values or 0) <= (BROADCAST_ROWS if limit is None else limit) else right.hint("shuffle_merge")
     return left.join(side, on, how)
 
 

@@ -77,7 +77,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, weights: dict | None = Non
     table = materialise(spark, poisson_tables(source_rates(spark, docs, source_col, text_col, weights, temperature, epochs)),
                         "mixing-rates").toDF(src, rate, cdf)
     point = uniform(seed, _key(id_col, text_col))
-    counted = (join_small(docs, table, F.col(source_col).eqNullSafe(F.col(src)), "inner")
+    counted = (join_small(docs, table, F.col(source_col).eqNullSafe(F.col(src)), "inner", entries=F.size(F.col(cdf)))
                .withColumn(n, F.size(F.filter(F.col(cdf), lambda c: c < point))).where(F.col(n) > 0))
     copies = counted.drop(src, cdf).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n))))
     key = F.md5(F.concat_ws(":", F.lit(f"shuffle {seed}"), _key(id_col, text_col), F.col(copy)))

@@ -273,7 +273,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, id_col: str = "d
               .agg(F.collect_set(F.struct("kind", "value", "attempt")).alias("exceptions")))  # of one document's mentions
     by_row = materialise(spark, by_row, "pii-exceptions")
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), marks[0].alias("m1"), marks[1].alias("m2"))
-    rows = join_small(rows, by_row, ["m1", "m2"]).select("id", "text", "exceptions")
+    rows = join_small(rows, by_row, ["m1", "m2"], entries=F.size("exceptions")).select("id", "text", "exceptions")
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

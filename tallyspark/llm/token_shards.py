@@ -241,7 +241,7 @@ def fetch(spark: SparkSession, path: str, vocabulary: str, keys: DataFrame, key_
     wanted = keys.select(F.coalesce(F.col(key_col).cast("long"), F.lit(_NULL)).alias("key")).distinct()
     grouped = materialise(spark, wanted.mapInArrow(place, "path string, key long").groupBy("path")
                           .agg(F.collect_list("key").alias("keys")), "shard-keys")  # at most a shard's keys in each
-    asked = join_small(_files(spark, path), grouped, "path", "inner").select("content", "keys")
+    asked = join_small(_files(spark, path), grouped, "path", "inner", entries=F.size("keys")).select("content", "keys")
     return (asked.mapInArrow(take, "key long, n_tokens long, ids binary")
             .withColumn("key", F.when(F.col("key") != _NULL, F.col("key"))))
 
