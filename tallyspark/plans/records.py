@@ -27,7 +27,7 @@ from ..operators import templates_v3 as T3
 from ..session import shared_path
 from ..sources import dims as DM
 from ..sources import jsonl as JS
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from .registry import _extraction_cols, _join, generated, query
 
 # --- a caller's dictionaries --------------------------------------------------------------------------------------
@@ -44,7 +44,7 @@ LEXICON_SCHEMA = "ord int, category string, phrase string, severity string, alte
 
 
 def _docs(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def _scan_out(scanned: DataFrame, key: str) -> DataFrame:
@@ -137,7 +137,8 @@ REQUEST = """concat('Сайн байна уу. ',
 
 
 def loan_requests(spark, sf_dir):
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.expr(REQUEST).alias("text"))
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"))
+    return orders.select("o_orderkey", F.expr(REQUEST).alias("text"))
 
 
 @query("loan_extraction_orders")

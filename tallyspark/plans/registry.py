@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import corpus
-from ..sources.tables import table
+from ..sources.tables import spread, table
 
 QUERIES: dict = {}
 
@@ -26,28 +26,28 @@ def query(name):
 
 @query("pii_flags_by_source")
 def q_pii_flags_by_source(spark, sf_dir):
-    return corpus.pii_flags_by_source(table(spark, sf_dir, "documents"))
+    return corpus.pii_flags_by_source(spread(table(spark, sf_dir, "documents").select("source", "lang", "text")))
 
 
 @query("redact_documents")
 def q_redact_documents(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return corpus.redact(docs).select("doc_id", "source", "redacted_text", "redaction_changed")
 
 
 @query("redaction_report")
 def q_redaction_report(spark, sf_dir):
-    return corpus.redaction_report(table(spark, sf_dir, "documents"))
+    return corpus.redaction_report(spread(table(spark, sf_dir, "documents").select("source", "text")))
 
 
 @query("clean_text_share")
 def q_clean_text_share(spark, sf_dir):
-    return corpus.clean_text_share(table(spark, sf_dir, "documents"), keys=("lang",))
+    return corpus.clean_text_share(spread(table(spark, sf_dir, "documents").select("lang", "text")), keys=("lang",))
 
 
 @query("script_profile")
 def q_script_profile(spark, sf_dir):
-    return corpus.script_profile(table(spark, sf_dir, "documents"))
+    return corpus.script_profile(spread(table(spark, sf_dir, "documents").select("lang", "text")))
 
 
 # --- generators (indexed by orders.o_orderkey, so they grow with the table) ------
@@ -69,7 +69,7 @@ def v3_corpus(spark, sf_dir):
 
 def generated(spark, sf_dir, version, fn=None):
     """Generated records (texts by the content dimension), with ``fn``, a rule or gate, applied to every record."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey"))  # keys only: the texts are made after
     if version == "v1":
         keys, content = G.v1_keys(orders.select(F.col("o_orderkey").alias("idx"))), G.content_v1(spark)
         meta = [F.lit(T1V.SOURCE).alias("source"), F.lit(T1V.LICENSE_STATUS).alias("license_status"),
@@ -160,7 +160,7 @@ def _extraction_cols(df, key):
 
 @query("loan_extraction")
 def q_loan_extraction(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return _extraction_cols(LJ.extraction_job(docs, "text"), "doc_id")
 
 
@@ -171,7 +171,7 @@ def q_loan_extraction_sft(spark, sf_dir):
 
 @query("missing_fields_report")
 def q_missing_fields_report(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("source", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("source", "text"))
     return LJ.completeness_report(LJ.extraction_job(docs, "text"), keys=("source",))
 
 

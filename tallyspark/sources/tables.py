@@ -20,13 +20,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def documents(spark, sf_dir):
-    return table(spark, sf_dir, "documents")
-
-
-def conversations(spark, sf_dir):
-    return table(spark, sf_dir, "conversations")
-
-
-def benchmark(spark, sf_dir):
-    return table(spark, sf_dir, "benchmark")
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores: a table of fewer splits than cores (one small file) is dealt out before costly row work.
+    Select the columns needed first. Tables of more splits, as any large one, are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
