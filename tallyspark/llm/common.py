@@ -27,6 +27,18 @@ def materialise(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of an Arrow batch: two workers and the heap share an executor's memory.
+ARROW_BYTES = 16 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Set the session's Arrow batches to ``ARROW_BYTES`` where they may be larger."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    size = "".join(c for c in spark.conf.get(name) if c.isdigit())
+    if not 0 < int(size or 0) <= ARROW_BYTES:
+        spark.conf.set(name, f"{ARROW_BYTES}b")
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """``base`` with as many underscores in front as it takes not to clash with a column of ``df``."""
     taken = {c.lower() for c in df.columns}

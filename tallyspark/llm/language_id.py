@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import free_name, join_small, materialise
+from .common import free_name, join_small, materialise, small_batches
 
 BUCKETS = 1 << 16
 TEMPER = 0.1
@@ -129,15 +129,10 @@ def train(labelled: DataFrame, label: str = "label", text: str = "text", min_lab
     return Model(kept, counts[:BUCKETS])
 
 
-def _softmax(parts: list[Column]) -> list[Column]:
-    top = F.greatest(*parts) if len(parts) > 1 else parts[0]
-    each = [F.exp(p - top) for p in parts]
-    total = sum(each[1:], each[0])
-    return [e / total for e in each]
-
-
-def _text_only(model: Model) -> list[Column]:
-    return _softmax([F.col("ll")[i] * F.lit(TEMPER) for i in range(len(model.languages))])
+def _text_only(ll: np.ndarray) -> np.ndarray:
+    """The posteriors by text alone, with equal priors."""
+    odds = np.exp((ll - ll.max()) * TEMPER)
+    return odds / odds.sum()
 
 
 def _sums(rows: DataFrame, by: str, k: int) -> DataFrame:
@@ -149,6 +144,7 @@ def identify(spark: SparkSession, docs: DataFrame, text: Column, declared: Colum
              *kept: Column, model: Model | None = None, wanted: list[str] | None = None) -> DataFrame:
     """The ``kept`` columns, then declared, text_language, text_posterior, language, posterior, accepted. Without a
     ``model``, one is trained on all rows, labelled by what they declare."""
+    small_batches(spark)
     none = F.lit(None).cast("string")
     rows = docs.select(*kept, (none if declared is None else declared_language(declared)).alias("declared"),
                        (none if host is None else host).alias("host"), F.coalesce(text, F.lit("")).cast("binary").alias("text"))
@@ -162,15 +158,16 @@ def identify(spark: SparkSession, docs: DataFrame, text: Column, declared: Colum
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [model.likelihoods(t.as_py()) for t in batch.column("text")]
+            floats = pa.list_(pa.float64())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array([n for n, _ in found], pa.int64()),
-                 pa.array([x.tolist() for _, x in found], pa.list_(pa.float64()))], names=[*batch.schema.names[:-1], "n", "ll"])
+                [*batch.columns[:-1], pa.array([n for n, _ in found], pa.int64()), pa.array([x.tolist() for _, x in found], floats),
+                 pa.array([_text_only(x).tolist() for _, x in found], floats)], names=[*batch.schema.names[:-1], "n", "ll", "p"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    scored = rows.mapInArrow(run, f"{fields}, n long, ll array<double>")
+    scored = rows.mapInArrow(run, f"{fields}, n long, ll array<double>, p array<double>")
     uniform = F.col("n") * F.lit(-float(np.log(BUCKETS)))
     best = F.array_max("ll")
-    scored = (scored.withColumn("worded", (F.col("n") > 0) & (best >= uniform)).withColumn("p", F.array(*_text_only(model)))
+    scored = (scored.withColumn("worded", (F.col("n") > 0) & (best >= uniform))
               .withColumn("domain", F.regexp_extract("host", r"([^.]+\.[^.]+|[^.]+)$", 1))
               .withColumn("suffix", F.when(F.instr("host", ".") > 0, F.substring_index("host", ".", -1))))
     scored = materialise(spark, scored, "language-rows")
@@ -202,8 +199,10 @@ def identify(spark: SparkSession, docs: DataFrame, text: Column, declared: Colum
         return F.coalesce((sums + F.lit(KAPPA) * parent) / (n + F.lit(KAPPA)), parent)
 
     prior = [smoothed("host", i, smoothed("domain", i, F.lit(common[i]))) for i in tongues]
-    posterior = _softmax([e + F.log(p) for e, p in zip(evidence, prior, strict=True)])
-    ranked = joined.withColumn("post", F.array(*posterior))
+    # steps in columns of their own, so that none is written out (and compiled) more than once
+    ranked = (joined.withColumn("logs", F.array(*[e + F.log(p) for e, p in zip(evidence, prior, strict=True)]))
+              .withColumn("odds", F.transform("logs", lambda x: F.exp(x - F.array_max("logs"))))
+              .withColumn("post", F.transform("odds", lambda x: x / F.aggregate("odds", F.lit(0.0), lambda a, b: a + b))))
     tongue = F.array(*[F.lit(x) for x in model.languages])
     top = lambda c: F.element_at(tongue, F.array_position(c, F.array_max(c)).cast("int"))
     language = F.when(F.col("worded"), top("post")).otherwise(F.lit("und"))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, small_batches
 
 SEQUENCE = 2048
 END_ID = 1
@@ -129,14 +129,13 @@ def tokenise_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", te
 def pack_documents(spark: SparkSession, docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",
                    end_id: int = END_ID, capacity: int = SEQUENCE, keep_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids)."""
+    small_batches(spark)
     pieces = materialise(spark, tokenise_pieces(docs, vocabulary, id_col, text_col, end_id, capacity, keep_ids), "pieces")
     groups = max(1, -(-pieces.count() // GROUP))
     kind = pieces.schema["doc_id"].dataType.simpleString()
 
-    def run(key, group):
-        import pandas as pd  # noqa: F401  (the frame's library)
-
-        number, lengths = int(key[0]), group["length"].tolist()
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        number, lengths = key[0].as_py(), group["length"].to_pylist()
         open_ = [i for i, n in enumerate(lengths) if n < capacity]
         windows = [[i] for i, n in enumerate(lengths) if n == capacity]
         windows += [[open_[j] for j in w] for w in pack_group([lengths[i] for i in open_], capacity)]
@@ -146,10 +145,10 @@ def pack_documents(spark: SparkSession, docs: DataFrame, vocabulary: str, id_col
             for i in items:
                 window[i], offset[i] = (number << _WINDOW_BITS) + w, at
                 at += lengths[i]
-        return group.drop(columns="grp").assign(sequence_id=window, offset=offset)
+        return group.drop_columns(["grp"]).append_column("sequence_id", pa.array(window)).append_column("offset", pa.array(offset))
 
     dealt = pieces.withColumn("grp", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)))
     ids_field = ", ids binary" if keep_ids else ""
     schema = (f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long{ids_field}, "
               "sequence_id long, offset long")
-    return dealt.groupBy("grp").applyInPandas(run, schema)
+    return dealt.groupBy("grp").applyInArrow(run, schema)

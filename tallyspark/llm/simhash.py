@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import free_name, join_small, materialise
+from .common import free_name, join_small, materialise, small_batches
 from .components import components
 
 SHINGLE = 3
@@ -59,6 +59,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, text: Column, *kept: Column, shingle: int = SHINGLE) -> DataFrame:
     """The ``kept`` columns and ``fp``, the fingerprint as a signed long."""
+    small_batches(docs.sparkSession)
     rows = docs.select(*kept, F.coalesce(text, F.lit("")).cast("binary").alias("__text"))
     names = rows.columns[:-1]
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import join_small, materialise
+from .common import join_small, materialise, small_batches
 
 KEY = b"tallyspark surrogate key"  # a deployment passes its own
 
@@ -263,6 +263,7 @@ def assign(spark: SparkSession, found: DataFrame, key: bytes = KEY) -> DataFrame
 def replace_personal_data(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           key: bytes = KEY) -> DataFrame:
     """One row per document: ``id_col``, ``text_col`` with surrogates, n_replaced, kinds (types found, comma-separated)."""
+    small_batches(spark)
     text = F.col(text_col)
     whole = F.coalesce(text, F.lit(""))
     marks = [F.xxhash64(F.lit(i), F.coalesce(F.col(id_col).cast("string"), F.lit("")), whole) for i in (1, 2)]

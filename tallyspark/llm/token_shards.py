@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import join_small, materialise
+from .common import join_small, materialise, small_batches
 
 END_ID = 0
 #: Bytes of text that a shard holds about.
@@ -144,6 +144,7 @@ def id_width(vocabulary: str) -> int:
 def write_shards(spark: SparkSession, docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc_id",
                  text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> None:
     """Write the shards of ``docs`` into the new folder ``path``, keys ascending over the files and inside each."""
+    small_batches(spark)
     width = id_width(vocabulary)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL)).alias("key"), text.alias("text"))

@@ -14,8 +14,9 @@ import re
 
 import numpy as np
 
-#: Parts that a worker remembers (about 200 bytes each); a full memo is emptied.
-MEMO = 600_000
+#: Parts that a worker remembers (about 200 bytes each), in two halves: when the newer is full it becomes the older, whose
+#: parts come back as they are met.
+MEMO = 400_000
 _CODERS: dict = {}
 
 _PLAIN_END = re.compile(rb"(.*[^!-@\[-`{-~])([.,!?;:%$#&*|]+)", re.S)  # a part and the marks after it
@@ -46,7 +47,7 @@ class Coder:
         self.line = np.zeros(self.width, bool)  # the line end's id
         if not self.word_ends:
             self.line[vocab["Ċ"]] = True
-        self.size, self.memo, self.first = memo, {b"": b""}, {b"": b""}
+        self.size, self.memo, self.older, self.first = memo, {b"": b""}, {}, {b"": b""}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
@@ -93,11 +94,14 @@ class Coder:
     # --- new parts ---------------------------------------------------------------------------------------------------
 
     def _learn(self, parts: set) -> None:
-        if len(self.memo) + len(parts) > self.size:
-            self.memo = {b"": b"" if self.word_ends else None}  # with bytes, an empty part is a run of blanks
-        elif not self.word_ends:
-            self.memo[b""] = None
+        if len(self.memo) + len(parts) > self.size // 2:
+            self.older, self.memo = self.memo, {b"": b""}
+        if not self.word_ends:
+            self.memo[b""] = None  # an empty part is a run of blanks
         new = parts.difference(self.memo)
+        for p in new & self.older.keys():
+            self.memo[p] = self.older[p]
+        new -= self.memo.keys()
         if not new:
             return
         words, lines, ends, rest = set(), set(), [], []
