@@ -16,7 +16,7 @@ import numpy as np
 
 #: Parts that a worker remembers (about 200 bytes each), in two halves: when the newer is full it becomes the older, whose
 #: parts come back as they are met.
-MEMO = 400_000
+MEMO = 600_000
 _CODERS: dict = {}
 
 _PLAIN_END = re.compile(rb"(.*[^!-@\[-`{-~])([.,!?;:%$#&*|]+)", re.S)  # a part and the marks after it
