@@ -12,6 +12,10 @@
   whose surrogate is an entity of the corpus itself, draw again, until none is left. The draws beyond the first are the
   exceptions; documents that mention one carry its attempt number, all other documents are rewritten where they are read.
   Given names come from fixed lists and move on along their list; they are kept distinct among themselves only.
+* Full spaces: after each ``TRIES`` attempts an entity's surrogate gets one more character (192.168 addresses go on to 10.*,
+  addresses at last to IPv6 of the private or documentation range), so every entity comes to a space with room for it.
+* Masks: a value of a password without letter or digit and of at most two different characters (``********``, ``------>``) is
+  none, and stays; other values of symbols alone get symbols.
 
 Texts are read twice, and moved only if a great many documents mention exceptions. Distinct entities are combined before the
 shuffle, so an entity in a third of all documents costs one row a task.
@@ -26,7 +30,9 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 from collections.abc import Iterator
+from itertools import zip_longest
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +41,9 @@ from pyspark.sql import functions as F
 from .common import join_small, materialise, small_batches
 
 KEY = b"tallyspark surrogate key"  # a deployment passes its own
+#: Attempts in a space of surrogates before it is widened.
+TRIES = 4
+_SYMBOLS = "!#$%&()*+,-./:;<=>?@[]^_{|}~"
 
 # FIXED VALUES: common given names by script and gender, titles by gender
 GIVEN = {
@@ -107,11 +116,16 @@ def entities(text: str) -> list[tuple[int, int, str, str, str]]:
             plain = m[0].replace(" ", "")
             if 15 <= len(plain) <= 34:
                 add(m, kind, kind, plain)
-        else:
+        elif kind != "secret" or not _mask(m[kind]):
             add(m, kind, kind, m[kind].lower() if kind == "email" else None)
     return found
 
 
+def _mask(value: str) -> bool:
+    """A masked value, a rule or an arrow: nothing that could be kept secret."""
+    return len(set(value)) <= 2 and not any(c.isalnum() for c in value)
+
+
 class _Draw:
     """An endless keyed stream of numbers."""
 
@@ -132,7 +146,15 @@ class _Draw:
         for first, last in ("az", "AZ", "ая", "АЯ"):
             if first <= c <= last:
                 return chr(ord(first) + self.below(ord(last) - ord(first) + 1))
-        return chr(ord("a") + self.below(26)) if c.isalpha() else c
+        if c.isdecimal():
+            return chr(ord(c) - unicodedata.decimal(c) + self.below(10))
+        return chr(ord("a") + self.below(26)) if c.isalnum() else c
+
+    def digits(self, n: int) -> str:
+        return "".join(str(self.below(10)) for _ in range(n))
+
+    def letters(self, n: int) -> str:
+        return "".join(chr(ord("a") + self.below(26)) for _ in range(n))
 
 
 def _check_digit(digits: str) -> int:
@@ -151,7 +173,7 @@ def _iban(country: str, rest: str) -> str:
 
 def surrogate(kind: str, value: str, attempt: int = 0, key: bytes = KEY) -> str:
     """The canonical surrogate of an entity."""
-    draw = _Draw(key, kind, value, attempt)
+    draw, wider = _Draw(key, kind, value, attempt), attempt // TRIES
     if kind.startswith("given-"):
         names = GIVEN[tuple(kind.split("-")[1:])]
         start = 1 + _Draw(key, "given", kind, 0).below(len(names) - 1)  # the list moved on by a keyed step: one to one
@@ -165,45 +187,53 @@ def surrogate(kind: str, value: str, attempt: int = 0, key: bytes = KEY) -> str:
         user, domain = value.split("@")
         keyed = _Draw(key, "domain", domain, 0)
         *labels, top = domain.split(".")
-        return "".join(map(draw.like, user)) + "@" + ".".join("".join(map(keyed.like, x)) for x in labels) + "." + top
+        return "".join(map(draw.like, user)) + draw.letters(wider) + "@" + ".".join("".join(map(keyed.like, x)) for x in labels) + "." + top
     if kind == "ip":
         first, second, *_ = value.split(".")
         private = {"10": 1, "127": 1}.get(first) or (2 if (first, second) == ("192", "168") else 0)
-        kept = value.split(".")[:private]
+        if wider > 1:
+            groups = [f"{draw.below(1 << 16):x}" for _ in range(7 if private else 6)]
+            return ":".join([f"fd{draw.below(256):02x}"] if private else ["2001", "db8"]) + ":" + ":".join(groups)
+        kept = ["10"] if wider and private == 2 else value.split(".")[:private]
         own = [str(1 + draw.below(223))] if not private else []
         if own in (["10"], ["127"], ["192"], ["172"]):
             own = [str(int(own[0]) + 1)]
         return ".".join([*kept, *own, *[str(draw.below(256)) for _ in range(4 - len(kept) - len(own))]])
     if kind == "card":
-        body = value[0] + "".join(str(draw.below(10)) for _ in value[1:-1])
+        body = value[0] + draw.digits(len(value) - 2 + wider)
         right = _check_digit(body)
         valid = _check_digit(value[:-1]) == int(value[-1])
         return body + str(right if valid else (right + 1 + draw.below(9)) % 10)
     if kind in ("phone", "ssn"):
         digits = [str(draw.below(10)) for _ in value]
-        return "".join(c if c != "0" or v == "0" else "7" for c, v in zip(digits, value, strict=True))
+        return "".join(c if c != "0" or v == "0" else "7" for c, v in zip(digits, value, strict=True)) + draw.digits(wider)
     if kind == "iban":
-        return _iban(value[:2], "".join(map(draw.like, value[4:])))
+        return _iban(value[:2], "".join(map(draw.like, value[4:])) + draw.digits(wider))
     if kind == "key":
         kept = re.match(r"AKIA|ASIA|gh[pousr]_|sk-", value)[0]
-        return kept + "".join(map(draw.like, value[len(kept):]))
+        return kept + "".join(map(draw.like, value[len(kept):])) + draw.letters(wider)
     hexadecimal = re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value)
     if hexadecimal:
         digits = "0123456789ABCDEF" if value.upper() == value and value.lower() != value else "0123456789abcdef"
-        return "".join(digits[draw.below(16)] for _ in value)
-    return "".join(map(draw.like, value))
+        return "".join(digits[draw.below(16)] for _ in range(len(value) + wider))
+    if not any(c.isalnum() for c in value):
+        return "".join(_SYMBOLS[draw.below(len(_SYMBOLS))] for _ in range(len(value) + wider))
+    return "".join(map(draw.like, value)) + draw.letters(wider)
 
 
 def rendered(canonical: str, kind: str, mention: str) -> str:
     """The surrogate in the format of the mention."""
     if kind == "iban":
         left = iter(canonical)
-        return "".join(c if c == " " else next(left) for c in mention)
+        return "".join(c if c == " " else next(left) for c in mention) + "".join(left)
     if kind in ("card", "phone", "ssn"):
         left = iter(canonical)
-        return "".join(next(left) if "0" <= c <= "9" else c for c in mention)
+        return "".join(next(left) if "0" <= c <= "9" else c for c in mention) + "".join(left)
     if kind == "email":
-        return "".join(n.upper() if o.isupper() else n for o, n in zip(mention, canonical, strict=True))
+        user, domain = mention.split("@")
+        new_user, new_domain = canonical.split("@")
+        return "@".join("".join(n.upper() if o.isupper() else n for o, n in zip_longest(old, new, fillvalue=""))
+                        for old, new in ((user, new_user), (domain, new_domain)))
     return canonical
 
 

@@ -64,6 +64,43 @@ def test_few_surrogates_left(spark):
     assert not {r.surrogate for r in got} & {v for _, v in rows}
 
 
+MASKS = ["********", "------", "\u2022" * 8, "------>", "......"]
+
+
+@pytest.mark.parametrize("mask", MASKS)
+def test_masked_values_stay(mask):
+    text = f"Password: {mask} and so on"
+    assert S.rewrite(text, {}) == (text, 0, "")
+
+
+def test_symbols_alone_are_replaced():
+    for value in ("!@#$%^&*", "\u0661\u0662\u0663\u0664\u0665\u0666"):
+        assert value not in S.rewrite(f"pwd: {value}", {})[0]
+
+
+def test_full_spaces_end(spark):
+    rows = [("ip", f"192.168.{i}.{j}") for i in range(256) for j in range(256)]
+    rows += [("secret", c + "*****") for c in "abcdefghijklmnopqrstuvwxyz"] + [("secret", f"{i}-----") for i in range(10)]
+    rows += [("secret", f"-{a}----") for a in "ghijkl"] + [("email", f"%@{a}.com") for a in "abcdefghijklmnopqrstuvwxyz"]
+    rows += [("email", f"{a}@x.com") for a in "abcdefghijklmnopqrstuvwxyz"]
+    got = S.assign(spark, spark.createDataFrame(rows, "kind string, value string")).collect()
+    new = {(r.kind, r.surrogate) for r in got}
+    assert len(got) == len(new) == len(rows) and not new & set(rows)
+    assert all(r.surrogate.startswith("10.") for r in got if r.kind == "ip")
+    assert {r.surrogate for r in got} == {S.surrogate(r.kind, r.value, r.attempt) for r in got}
+
+
+@pytest.mark.parametrize("kind,value,mention", [
+    ("phone", "9885552485", "(988) 555-2485"), ("card", "4111111111111111", "4111 1111 1111 1111"),
+    ("iban", "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"), ("email", "an.lee@x.org", "An.Lee@X.org"),
+    ("ip", "8.8.8.8", "8.8.8.8"), ("ip", "192.168.1.1", "192.168.1.1"), ("key", "sk-" + "a" * 20, "sk-" + "a" * 20)])
+def test_wider_surrogates_are_rendered_whole(kind, value, mention):
+    seen = {S.rendered(S.surrogate(kind, value, a), kind, mention) for a in range(6 * S.TRIES)}
+    assert len(seen) == 6 * S.TRIES
+    longest = S.surrogate(kind, value, 6 * S.TRIES)
+    assert len(S.rendered(longest, kind, mention)) >= len(longest) > len(value)
+
+
 def test_documents_with_exceptions(spark, monkeypatch):
     numbers = [f"555 555 {i:04d}" for i in range(40)]
     rows = [(i, f"call {n} or {numbers[0]}", "x") for i, n in enumerate(numbers)] + [
