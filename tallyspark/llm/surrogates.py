@@ -8,6 +8,7 @@
 * Formats: digits for digits, letters for letters of the same case, separators and prefixes kept; card numbers keep length,
   first digit and validity of the check digit; IBANs keep the country and get right check digits; private and
   loopback IP ranges stay such; given names keep gender and script, surnames script and gendered ending.
+* Entities are replaced whole, however long: no mention is cut to a matched prefix.
 * Collisions: of all distinct entities of the corpus, those whose surrogate another entity also got (all but one), or
   whose surrogate is an entity of the corpus itself, draw again, until none is left. The draws beyond the first are the
   exceptions; documents that mention one carry its attempt number, all other documents are rewritten where they are read.
@@ -59,23 +60,43 @@ TITLES = {"f": "Mrs Ms Miss Frau Mme Madame Señora Sra Госпожа Г-жа".
 
 _GENDER = {name: (script, gender) for (script, gender), names in GIVEN.items() for name in names}
 _TITLE = {t: g for g, names in TITLES.items() for t in names}
-_CAP = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]+"
+
+
+def _capitals() -> str:
+    """The upper and title case letters of all scripts, as ranges of a character class."""
+    ranges: list[list[int]] = []
+    for c in range(0x20000):
+        if unicodedata.category(chr(c)) in ("Lu", "Lt"):
+            if ranges and ranges[-1][1] == c - 1:
+                ranges[-1][1] = c
+            else:
+                ranges.append([c, c])
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in ranges)
+
+
+# A surname of any letters, whole: McDonald, Smith-Jones, O'Brien, SMITH, van der Berg; without the 's of a possessive, and
+# no Roman numeral after a given name.
+_LETTERS = r"(?:[^\W\d_]|[\u0300-\u036f])++"
+_JOINED = rf"(?:[-\u2010\u2011]{_LETTERS}|['\u2019\u02bc](?!(?i:s|d|m|t|ll|ve|re)(?![^\W\d_])){_LETTERS})"
+_PARTICLES = r"(?:(?:[Vv][ao]n|[Dd](?:e[nr]?|ella?|[aiou]s?)|[Ll][ae]|[Tt]e[nr]|[Zz]u[mr]?|[Ss]t\.?|El) )*+"
+_CAP = rf"{_PARTICLES}[{_capitals()}](?:{_LETTERS}{_JOINED}*+|{_JOINED}++)"
+_LAST = rf"(?![IVX]+\b){_CAP}"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: What a text must hold to be looked at closely.
 _TRIGGER = re.compile(r"[0-9@]|(?i:password|passwd|pwd|token|secret|api[_-]?key)\s*[:=]|"
                       rf"\b(?:{'|'.join([*_TITLE, *_GENDER])})\b")
 _ENTITY = re.compile("|".join([
-    r"(?P<email>(?<![\w.%+-])[\w.%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}\b)",
-    r"(?P<key>\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\bgh[pousr]_[A-Za-z0-9]{30,60}\b|\bsk-[A-Za-z0-9]{20,60}\b)",
-    r"(?:(?i:\b(?:password|passwd|pwd|token|secret|api[_-]?key))\s{0,3}[:=]\s{0,3}[\"']?(?P<secret>[^\s\"']{6,200}))",
+    r"(?P<email>(?<![\w.%+-])[\w.%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}\b)",
+    r"(?P<key>\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\b(?:gh[pousr]_[A-Za-z0-9]{30}|sk-[A-Za-z0-9]{20})[A-Za-z0-9_-]*+)",
+    r"(?:(?i:\b(?:password|passwd|pwd|token|secret|api[_-]?key))\s{0,3}[:=]\s{0,3}[\"']?(?P<secret>[^\s\"']{6,}+))",
     r"(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)",
     rf"(?P<ip>(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d))",
     r"(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))",
     r"(?P<card>(?<![\d+.])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}(?:[ -]\d{1,3})?|\d{4}[ -]\d{6}[ -]\d{4,5})(?!\d))",
     r"(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?![.-]?\d)"
     r"|(?<![\w+])\(\d{2,4}\) ?\d{3,4}[ .-]?\d{3,4}(?![.-]?\d)|(?<![\w+.-])(?:\d{2,4}(?P<sep>[.-])\d{3,4}(?P=sep)\d{3,4}|\d{3} \d{3} \d{4})(?![\d.-]\d|\d))",
-    rf"(?:\b(?P<title>{'|'.join(_TITLE)})\b\.? (?P<one>{_CAP})(?: (?P<two>{_CAP}))?)",
-    rf"(?:\b(?P<given>{'|'.join(_GENDER)}) (?P<surname>{_CAP}))",
+    rf"(?:\b(?P<title>{'|'.join(_TITLE)})\b\.? (?P<one>{_CAP})(?: (?P<two>{_LAST}))?)",
+    rf"(?:\b(?P<given>{'|'.join(_GENDER)}) (?P<surname>{_LAST}))",
 ]))
 _KINDS = ("email", "key", "secret", "iban", "ip", "ssn", "card", "phone", "title", "given")
 _WORD = {"latin": "an ber cor dal el fin gar hol ir kel lan mor nel or pel ren sal tor ul ven wal".split(),
@@ -86,6 +107,11 @@ def script_of(word: str) -> str:
     return "cyrillic" if "\u0400" <= word[:1] <= "\u04ff" else "latin"
 
 
+def _surname(mention: str) -> str:
+    """A surname in capitals is the same one."""
+    return mention.title() if mention.isupper() else mention
+
+
 def entities(text: str) -> list[tuple[int, int, str, str, str]]:
     """(start, end, type, canonical value, mention) of a text, in order, without overlaps."""
     if not _TRIGGER.search(text):
@@ -104,10 +130,10 @@ def entities(text: str) -> list[tuple[int, int, str, str, str]]:
             if first in _GENDER:
                 add(m, names[0], f"given-{'-'.join(_GENDER[first])}")
             elif m["title"]:  # a surname stands right after the title; what follows isn't part of the name
-                add(m, names[0], f"surname-{script_of(first)}")
+                add(m, names[0], f"surname-{script_of(first)}", _surname(first))
                 last = None
             if last:
-                add(m, names[1], f"surname-{script_of(last)}")
+                add(m, names[1], f"surname-{script_of(last)}", _surname(last))
         elif kind in ("card", "phone", "ssn"):
             digits = re.sub(r"\D", "", m[0])
             if kind != "phone" or len(digits) >= 8:
@@ -229,6 +255,8 @@ def rendered(canonical: str, kind: str, mention: str) -> str:
     if kind in ("card", "phone", "ssn"):
         left = iter(canonical)
         return "".join(next(left) if "0" <= c <= "9" else c for c in mention) + "".join(left)
+    if kind.startswith("surname-") and mention.isupper():
+        return canonical.upper()
     if kind == "email":
         user, domain = mention.split("@")
         new_user, new_domain = canonical.split("@")

@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 
@@ -64,6 +65,42 @@ def test_few_surrogates_left(spark):
     assert not {r.surrogate for r in got} & {v for _, v in rows}
 
 
+NAMES = ["McDonald", "McCarthy", "Kova\u010d", "Kovac\u030c", "Smith-Jones", "O'Brien", "O\u2019Brien", "\u0160imi\u0107", "DeVito",
+         "van der Berg", "Van Dyke", "\u0141ukasz", "\u0396\u03ad\u03c1\u03b2\u03b1\u03c2", "\u0406\u0432\u0430\u043d\u0435\u043d\u043a\u043e", "D'Angelo-Rossi"]
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_surnames_are_replaced_whole(name):
+    for text in (f"Mr {name} came", f"John {name}'s car", f"(Mrs {name})"):
+        assert [(e[2][:7], e[3]) for e in S.entities(text)][-1] == ("surname", name)
+    out = S.rewrite(f"Mr {name}", {})[0]
+    assert out == S.rewrite(f"Dr {name}", {})[0].replace("Dr", "Mr") and not any(p in out for p in re.findall(r"\w{3,}", name))
+
+
+def test_surnames_stay_distinct_and_shared():
+    outs = [S.rewrite(f"Mr {n}", {})[0] for n in NAMES]
+    assert len(set(outs)) == len(outs)
+    caps, plain = S.rewrite("Mr SMITH", {})[0], S.rewrite("Mr Smith's", {})[0]
+    assert caps == "Mr " + plain[3:-2].upper() and plain.endswith("'s")
+    assert S.rewrite("Charles IV and Mark II", {})[1] == 0
+
+
+@pytest.mark.parametrize("text", ["token: " + "a1B2-_." * 143, "sk-" + "aB3" * 333, "ghp_" + "x9Y" * 333, "sk-" + "aB3" * 10 + "_c4-D5",
+                                  "u" * 300 + "@mail.com", "me@" + "a1." * 12 + "host.com"])
+def test_long_entities_are_replaced_whole(text):
+    found = S.entities(f"see {text} end")
+    assert len(found) == 1 and text.endswith(found[0][4]) and len(found[0][4]) >= len(text) - 7
+    assert S.rewrite(f"see {text} end", {})[0].endswith(" end")
+
+
+def test_long_runs_are_scanned_in_linear_time():
+    start = time.process_time()
+    for text in ("a" * 300_000 + " 1", "a." * 150_000 + "@", "x@" + "a." * 150_000 + "1", "sk-" + "a-" * 150_000, "Mr A" + "-a" * 150_000,
+                 "token=" + "*a" * 150_000, "a@" * 100_000, "Mr " + "de " * 100_000):
+        S.entities(text)
+    assert time.process_time() - start < 20
+
+
 MASKS = ["********", "------", "\u2022" * 8, "------>", "......"]
 
 
