@@ -4,7 +4,8 @@ The library takes about a second per MB. Both vocabularies split a text into pre
 inside a pre-token; so where a text is cut between pre-tokens, its ids are those of the parts. :class:`Coder` cuts texts
 at blanks and line ends, looks each part up in a memo of at most ``MEMO`` parts and has the library encode the parts
 that are new, many in one call. Texts with white space that the cuts don't cover (runs of blanks, tabs and such)
-are encoded whole by the library. ``tests/llm`` compares the results with the library's on awkward texts.
+are encoded whole by the library, and so are texts that contain an added token's name (``<|endoftext|>``), which the
+library gives one id. ``tests/llm`` compares the results with the library's on awkward texts.
 """
 
 from __future__ import annotations
@@ -30,14 +31,14 @@ def coder(path: str) -> "Coder":
 
 
 class Coder:
-    """``ids(text)``: the little-endian unsigned 32-bit ids of a UTF-8 text, special tokens' names being plain text."""
+    """``ids(text)``: the little-endian unsigned 32-bit ids of a UTF-8 text, as by ``encode(text, add_special_tokens=False)``."""
 
     def __init__(self, path: str, memo: int = MEMO):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        self.lib.encode_special_tokens = True
+        self.added = [t.content.encode() for t in self.lib.get_added_tokens_decoder().values()]
         vocab = self.lib.get_vocab()
         self.width = max(vocab.values()) + 1
         self.word_ends = self.lib.normalizer is not None  # lower case and word ends, else bytes with their blanks
@@ -55,13 +56,19 @@ class Coder:
     def ids(self, texts: list[bytes]) -> list[bytes]:
         return self._word_ids(texts) if self.word_ends else self._byte_ids(texts)
 
+    def _names(self, text: bytes) -> bool:
+        """Whether an added token's name stands in the text: inside words too, across any cut."""
+        return any(name in text for name in self.added)
+
     # --- words: white space is dropped, so each cut at a blank or line end is safe ---------------------------------
 
     def _word_ids(self, texts):
-        parts = [t.lower().replace(b"\n", b" ").split(b" ") for t in texts]  # bytes.lower() takes A-Z only
+        lows = [t.lower() for t in texts]  # bytes.lower() takes A-Z only
+        whole = {i: self.whole([texts[i].decode()])[0] for i, t in enumerate(lows) if self._names(t)}
+        parts = [[] if i in whole else t.replace(b"\n", b" ").split(b" ") for i, t in enumerate(lows)]
         self._learn(set().union(*parts) if parts else set())
         get = self.memo.__getitem__
-        return [b"".join(map(get, p)) for p in parts]
+        return [whole[i] if i in whole else b"".join(map(get, p)) for i, p in enumerate(parts)]
 
     # --- bytes: a blank belongs to the word after it; runs of white space are left to the library --------------------
 
@@ -70,7 +77,7 @@ class Coder:
         odd, plain = [], []
         for i, t in enumerate(texts):
             rough = b"  " in t or b" \n" in t or b"\n\n\n" in t or b"\n\n " in t or t.endswith((b"\n\n", b" "))
-            (odd if rough else plain).append(i)
+            (odd if rough or self._names(t) else plain).append(i)
         parts = {i: texts[i].replace(b"\n", b" \n").split(b" ") for i in plain}
         self._learn(set().union(*[p[1:] for p in parts.values()]) if parts else set())
         get = self.memo.__getitem__

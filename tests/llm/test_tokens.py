@@ -26,6 +26,20 @@ def test_coder_equals_the_library(name):
         assert own.ids([t.encode() for t in part]) == own.whole(part)
 
 
+@pytest.mark.parametrize("name", [WORD, BYTE])
+def test_coder_equals_a_fresh_tokenizer(name):
+    from tokenizers import Tokenizer
+
+    random.seed(4)
+    names = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>"]
+    texts = ["".join(random.choice(PARTS + names * 3) + random.choice(["", "", " ", "\n"]) for _ in range(random.randint(0, 9)))
+             for _ in range(3000)] + ["end<|endoftext|>next", "<|ENDOFTEXT|>", "a <|endoftext|>\n"]
+    own, lib = Coder(vocabulary(name), memo=700), Tokenizer.from_file(vocabulary(name))
+    want = [np.array(lib.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert [x for at in range(0, len(texts), 250) for x in own.ids([t.encode() for t in texts[at:at + 250]])] == want
+    assert len(own.ids([b"end<|endoftext|>next"])[0]) == 4 * 3
+
+
 def odd_docs(spark):
     rows = [(3, "some words here"), (3, "some words here"), (1, None), (2, ""), (None, "no id"), (None, None), (-5, "below zero"),
             (7, "many words " * 9000)] + [(10 + i, "text of some length " * (i % 60)) for i in range(120)]
