@@ -10,8 +10,10 @@ The footer maps keys to offsets in constant time. A minimal perfect hash sends t
 the next level; the rank of a key's bit is its slot. A slot holds a 32-bit fingerprint of its key (a foreign key
 passes with a chance of 2^-32), its first record and the count of its records; records hold their offset in ids.
 
-Shards are cut by range of key, so the directory of shards (key range, ids before it) is a few values a shard. Equal keys
-are dealt by a hash of the text, so one repeated key may fill many shards.
+Shards are cut by range of key, at sums of bytes: tasks add up the bytes of each key, make runs of neighbouring keys of a
+part of a shard each, and the driver (a few values a shard) joins runs to shards. So long documents with neighbouring keys
+fill as many shards as they need; only a single document larger than a shard makes a larger one. A key that is too heavy
+for a shard is dealt over several, row by row.
 
 Defined results. Null or empty text: the end id alone. Null key: the smallest, found like any other. Repeated keys: all of their
 records, in no given order. Empty table: no shards, empty result. Other columns are ignored.
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import join_small, materialise, small_batches
@@ -33,6 +35,8 @@ from .common import join_small, materialise, small_batches
 END_ID = 0
 #: Bytes of text that a shard holds about.
 SHARD_BYTES = 32 << 20
+#: Bytes that a row's place in the footer takes about, besides its text.
+ROW_BYTES = 32
 _MARK = b"IDSHARD1"
 _NULL = -(1 << 63)  # a null key's place; the key with this value itself shares it, and its records
 
@@ -141,6 +145,51 @@ def id_width(vocabulary: str) -> int:
     return 2 if max(Tokenizer.from_file(vocabulary).get_vocab().values()) < 1 << 16 else 4
 
 
+def _cuts(spark: SparkSession, rows: DataFrame, shard_bytes: int) -> list[tuple[int, int]]:
+    """(lowest key, number of shards that its keys are dealt over), ascending; more than one shard for a single heavy key alone."""
+    weight = F.octet_length("text").cast("long") + ROW_BYTES
+    sizes = materialise(spark, rows.groupBy("key").agg(F.sum(weight).alias("bytes")), "shard-sizes")
+    total = sizes.agg(F.sum("bytes")).first()[0] or 0
+    step = max(1, shard_bytes // 8)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, held = None, 0
+        for batch in batches:
+            out = []
+            for key, size in zip(batch.column("key").to_pylist(), batch.column("bytes").to_pylist(), strict=True):
+                if low is not None and held + size > step:
+                    out.append((low, held))
+                    low, held = None, 0
+                low, held = key if low is None else low, held + size
+            yield pa.RecordBatch.from_pydict({"low": pa.array([x[0] for x in out], pa.int64()),
+                                              "bytes": pa.array([x[1] for x in out], pa.int64())})
+        if low is not None:
+            yield pa.RecordBatch.from_pydict({"low": pa.array([low], pa.int64()), "bytes": pa.array([held], pa.int64())})
+
+    ranges = sizes.repartitionByRange(max(1, -(-total // shard_bytes)), "key").sortWithinPartitions("key")
+    cuts, held = [], shard_bytes
+    for low, size in sorted((r.low, r.bytes) for r in ranges.mapInArrow(run, "low long, bytes long").collect()):
+        if held + size > shard_bytes:
+            cuts.append((low, max(1, -(-size // shard_bytes))))
+            held = 0
+        held += size
+    return cuts or [(_NULL, 1)]
+
+
+def _placed(rows: DataFrame, cuts: list[tuple[int, int]]) -> DataFrame:
+    """``rows`` with their shard by key: a binary search among the cuts; rows of a heavy key go by a hash."""
+    lows = F.lit([low for low, _ in cuts])
+    parts = [n for _, n in cuts]
+    firsts = F.lit(np.cumsum([0, *parts[:-1]]).tolist())
+    steps = F.lit([1 << i for i in reversed(range(len(cuts).bit_length()))])
+    at = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(lows, at + step) <= F.col("key"), at + step).otherwise(at))
+    found = rows.withColumn("at", at)
+    if max(parts) == 1:
+        return found.withColumn("shard", F.col("at").cast("int"))
+    part = F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.get(F.lit(parts), F.col("at")))
+    return found.withColumn("shard", (F.get(firsts, F.col("at")) + part).cast("int"))
+
+
 def write_shards(spark: SparkSession, docs: DataFrame, path: str, vocabulary: str, id_col: str = "doc_id",
                  text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> None:
     """Write the shards of ``docs`` into the new folder ``path``, keys ascending over the files and inside each."""
@@ -148,10 +197,9 @@ def write_shards(spark: SparkSession, docs: DataFrame, path: str, vocabulary: st
     width = id_width(vocabulary)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL)).alias("key"), text.alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, -(-total // shard_bytes))
-    spread = F.xxhash64("text")
-    dealt = rows.withColumn("spread", spread).repartitionByRange(shards, "key", "spread").sortWithinPartitions("key")
+    cuts = _cuts(spark, rows, shard_bytes)
+    shards = sum(n for _, n in cuts)
+    dealt = _placed(rows, cuts).repartitionById(shards, "shard").sortWithinPartitions("key")
     rows = dealt.select("key", F.col("text").cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

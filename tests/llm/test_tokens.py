@@ -100,6 +100,37 @@ def test_shards_round_trip(spark, shard):
     assert 999 not in found
 
 
+def shard_sizes(spark, rows, shard):
+    path = fresh_path(spark, "test-shards")
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = TS.write_and_read(spark, df, path, vocabulary(BYTE), shard_bytes=shard).collect()
+    assert len(got) == len(rows)
+    at, keys = 0, []
+    for r in sorted(got, key=lambda r: r.start):
+        assert r.start == at
+        at += r.n_tokens
+        keys.append(r.key)
+    assert keys == sorted(k for k, _ in rows)
+    texts, sizes = dict(rows), {}
+    for r in got:
+        sizes[r.shard] = sizes.get(r.shard, 0) + len(texts[r.key])
+    return sizes
+
+
+def test_shards_are_cut_by_bytes(spark):
+    """Long documents with neighbouring ids, after many short ones."""
+    rows = [(i, "web page") for i in range(3000)] + [(3000 + i, "a book's words " * 400) for i in range(60)]
+    sizes = shard_sizes(spark, rows, 30_000)
+    assert max(sizes.values()) <= 30_000 and len(sizes) < 3 * sum(sizes.values()) / 30_000 + 3060 * TS.ROW_BYTES / 30_000
+
+
+def test_one_heavy_key_fills_many_shards(spark):
+    rows = [(i, "short") for i in range(50)] + [(7, "the same long text " * 100) for _ in range(200)]
+    rows = [(k, t if k != 7 else "the same long text " * 100) for k, t in rows]
+    sizes = shard_sizes(spark, rows, 30_000)
+    assert max(sizes.values()) < 3 * 30_000 and len(sizes) >= 10
+
+
 def test_empty_table(spark):
     _, df = odd_docs(spark)
     assert TS.write_and_read(spark, df.limit(0), fresh_path(spark, "test-shards"), vocabulary(BYTE)).count() == 0
