@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import class_lm, exact_dedup, inner_top, language_id, mixing, packing, simhash, surrogates, token_shards, warc
+from . import class_lm, exact_dedup, fill_middle, inner_top, language_id, mixing, packing, simhash, surrogates, token_shards, warc
 from .common import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +139,31 @@ def language_id_pages(spark, sf_dir):
 @query("op10_surrogates")
 def op10(spark, sf_dir):
     return surrogates.replace_personal_data(spark, table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op12_fill_middle", r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id) AS h,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units FROM documents),
+c AS (
+  SELECT *, CAST(len(units) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(units) + 1) AS h1,
+         CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(units) + 1) AS h2, CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 AS h3,
+         CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS h4 FROM d),
+f AS (
+  SELECT doc_id, t, n,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 90 THEN 'plain'
+              WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form,
+         array_to_string(units[1:least(h1, h2)], '') AS p, array_to_string(units[least(h1, h2) + 1:greatest(h1, h2)], '') AS m,
+         array_to_string(units[greatest(h1, h2) + 1:], '') AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM f""")
+def op12(spark, sf_dir):
+    made = fill_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    prefix, middle = fill_middle.part_lengths(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", prefix.alias("prefix_chars"), middle.alias("middle_chars"),
+                       F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                       F.sha2(fill_middle.restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"))
