@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import class_lm, exact_dedup, fill_middle, inner_top, language_id, mixing, packing, simhash, surrogates, token_shards, warc
+from . import class_lm, embedding_dedup, exact_dedup, fill_middle, inner_top, language_id, mixing, packing, simhash, surrogates, token_shards, warc
 from .common import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,3 +167,20 @@ def op12(spark, sf_dir):
     return made.select("doc_id", "n", "form", prefix.alias("prefix_chars"), middle.alias("middle_chars"),
                        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
                        F.sha2(fill_middle.restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"))
+
+
+@query("op13_embedding_dedup", f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+        AND len([x for x in embedding if x <> 0]) > 0),
+pairs AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= {embedding_dedup.THRESHOLD}),
+reach AS (SELECT a, b FROM pairs UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a), links AS (SELECT a, count(*) AS n FROM pairs GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(b, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(b, vec_id)) AS kept
+FROM embeddings LEFT JOIN links ON links.a = vec_id LEFT JOIN least ON least.a = vec_id""")
+def op13(spark, sf_dir):
+    return embedding_dedup.near_vectors(spark, table(spark, sf_dir, "embeddings"))
