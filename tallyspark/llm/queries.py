@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import class_lm, embedding_dedup, exact_dedup, fill_middle, inner_top, language_id, mixing, packing, simhash, surrogates, token_shards, warc
+from . import class_lm, embedding_dedup, exact_dedup, fill_middle, hard_negatives, inner_top, language_id, mixing, packing, simhash, surrogates, token_shards, warc
 from .common import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,3 +184,28 @@ SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(b, vec_id)) AS
 FROM embeddings LEFT JOIN links ON links.a = vec_id LEFT JOIN least ON least.a = vec_id""")
 def op13(spark, sf_dir):
     return embedding_dedup.near_vectors(spark, table(spark, sf_dir, "embeddings"))
+
+
+@query("op11_hard_negatives", f"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [CAST(floor({hard_negatives.SCALE} * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS other, a.label = c.label AS same,
+         CAST(list_sum([p[1] * p[2] for p in list_zip(a.v, c.v)]) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % {hard_negatives.EVERY} = 0 AND a.vec_id <> c.vec_id),
+p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= {hard_negatives.POSITIVES}),
+r AS (
+  SELECT p.anchor_id, positive_id, other AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+       AND {hard_negatives.LOW_PERCENT} * positive_score <= 100 * score AND score <= positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM r WHERE rank <= {hard_negatives.NEGATIVES}""")
+def op11(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(spark, table(spark, sf_dir, "embeddings"), label)
