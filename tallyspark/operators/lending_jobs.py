@@ -2,8 +2,8 @@
 
 Each job annotates a table of texts and, where useful, reports per group. Small
 dictionaries are unrolled into the projection (no join, no shuffle); a caller
-lexicon larger than ``UNROLL_MAX`` phrases, of any size, is matched by an equi-join on the
-first characters of its phrases, with the same columns as a result.
+lexicon larger than ``UNROLL_MAX`` phrases, of any size, is matched through a rare-gram index, with
+the same columns as a result.
 """
 
 from __future__ import annotations
@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from ..functions import lending as L
 from ..functions import text as TX
 from ..functions import vocab as V
+from .lexicon_index import phrase_hits
 
 UNROLL_MAX = 256
-ANCHOR = 4  # leading characters of a phrase that texts are joined on
 
 
 def compliance_scan(df: DataFrame, text_col: str = "text", lexicon=None, sensitive=True) -> DataFrame:
@@ -39,35 +39,23 @@ def compliance_scan(df: DataFrame, text_col: str = "text", lexicon=None, sensiti
               .withColumn("decision", L.routing_decision("issues")))
 
 
-def compliance_scan_table(df: DataFrame, text_col: str, lexicon_df: DataFrame) -> DataFrame:
+def compliance_scan_table(df: DataFrame, text_col: str, lexicon_df: DataFrame, unroll_max: int = UNROLL_MAX) -> DataFrame:
     """T5-T8 and F10 for a caller-supplied lexicon table (ord, category, phrase, severity, alternative).
 
-    Up to UNROLL_MAX phrases are collected (a bounded number) and unrolled. A longer lexicon is joined: each text gives its
-    distinct character runs of the anchors' lengths, those that begin a phrase meet it by an equi-join, and the
-    phrase is then verified in the text. Rows are told apart by a hash of all columns (equal rows have equal issues)."""
+    Up to ``unroll_max`` phrases are collected (a bounded number) and unrolled into the projection. A longer lexicon goes through the
+    rare-gram index of :mod:`lexicon_index`: the same columns, and no text in a join or an exchange."""
     lex = lexicon_df.select("ord", "category", "phrase", "severity", "alternative")
-    rows = lex.orderBy("ord").limit(UNROLL_MAX + 1).collect()
-    if len(rows) <= UNROLL_MAX:
+    rows = lex.orderBy("ord").limit(unroll_max + 1).collect()
+    if len(rows) <= unroll_max:
         return compliance_scan(df, text_col, [tuple(r) for r in rows])
-    lex = lex.withColumn("_low", F.lower("phrase")).filter(F.length("_low") > 0)
-    lex = lex.withColumn("_anchor", F.substring("_low", 1, ANCHOR))
-    lengths = [r[0] for r in lex.select(F.length("_anchor")).distinct().collect()]  # at most ANCHOR values
-    mark = [F.xxhash64(F.lit(i), *df.columns) for i in (1, 2)]
-    texts = df.select(mark[0].alias("_m1"), mark[1].alias("_m2"), F.lower(F.col(text_col)).alias("_text"))
-    runs = [F.transform(F.sequence(F.lit(1), F.greatest(F.length("_text") - n + 1, F.lit(1))), _run_of(n)) for n in lengths]
-    grams = texts.select("_m1", "_m2", F.explode(F.array_distinct(F.concat(*runs))).alias("_anchor"))
-    pairs = grams.join(lex, "_anchor").drop("_anchor")
-    hits = (pairs.join(texts, ["_m1", "_m2"]).filter(F.col("_text").contains(F.col("_low"))).distinct()
-                 .groupBy("_m1", "_m2").agg(F.array_sort(F.collect_list(F.struct(
-                     "ord", "category", "phrase", "severity", "alternative"))).alias("_hits")))  # one text's phrases
-    none = F.array().cast(f"array<{L.ISSUE_TYPE}>")
-    issues = F.coalesce(F.transform("_hits", lambda h: F.struct(
+    lowered = df.withColumn("_low", F.lower(F.col(text_col)))
+    found = lowered.withColumn("_hits", phrase_hits(lowered, "_low", lex)).drop("_low")
+    issues = F.transform("_hits", lambda h: F.struct(
         h["category"].alias("category"), h["phrase"].alias("phrase"), h["severity"].alias("severity"),
         F.concat(F.lit("Detected risky lending wording: "), h["category"], F.lit(".")).alias("explanation"),
-        h["alternative"].alias("alternative"))), none)
+        h["alternative"].alias("alternative")))
     safer = F.when(F.size("issues") > 0, F.aggregate("issues", F.col(text_col), lambda t, i: F.replace(t, i["phrase"], i["alternative"])))
-    return (df.withColumn("_m1", mark[0]).withColumn("_m2", mark[1]).join(hits, ["_m1", "_m2"], "left")
-              .withColumn("issues", issues).drop("_hits", "_m1", "_m2")
+    return (found.withColumn("issues", issues).drop("_hits")
               .withColumn("safer_text", safer)
               .withColumn("compliance_warnings", L.issue_categories("issues"))
               .withColumn("safer_alternatives", L.safer_alternatives("issues"))
@@ -75,10 +63,6 @@ def compliance_scan_table(df: DataFrame, text_col: str, lexicon_df: DataFrame) -
               .withColumn("decision", L.routing_decision("issues")))
 
 
-def _run_of(n: int):
-    return lambda i: F.substring(F.col("_text"), i, F.lit(n))
-
-
 def compliance_report(scanned: DataFrame, keys=("domain",)) -> DataFrame:
     """T5 report: issue counts by category and severity per key."""
     return (scanned.select(*keys, F.explode("issues").alias("i"))

@@ -227,6 +227,15 @@ def quota_table(spark) -> DataFrame:
     return spark.createDataFrame(rows, "total bigint, domain string, expected bigint")
 
 
+def quota_for_size(total: int) -> dict[str, int] | None:
+    """Q6: the domain counts that a set of ``total`` rows must have; None where no quota is set for the size."""
+    for share in (lambda n: n, lambda n: int(n * 0.9), lambda n: n - int(n * 0.9)):
+        quotas = {d: share(n) for d, n in T3.DOMAIN_QUOTAS}
+        if sum(quotas.values()) == total:
+            return quotas
+    return None
+
+
 def cycle_expected_counts(total: int) -> dict:
     """Expected per-domain counts for ``total`` consecutive global indexes 1..total."""
     full, rem = divmod(total, T3.CYCLE)
