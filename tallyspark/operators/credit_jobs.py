@@ -63,6 +63,22 @@ def risk_rollup(risk: DataFrame, keys=("c_mktsegment",)) -> DataFrame:
     )
 
 
+def risk_cube(risk: DataFrame, keys=("c_mktsegment", "risk_tier", "recommendation")) -> DataFrame:
+    """C11 with all totals: counts and sums for each combination of the keys and each subset of them; ``level`` is the grouping id (a
+    bit for each key that is summed over, the first key's the highest), which tells a total's null from a null key."""
+    return risk.cube(*keys).agg(
+        F.grouping_id().cast("int").alias("level"), F.count(F.lit(1)).alias("n_customers"), F.sum("revenue").alias("revenue_cents"),
+        F.sum("debt").alias("debt_cents"), F.count_if(F.col("debt") == 0).alias("n_zero_debt"))
+
+
+def flag_rollup(metrics: DataFrame, keys=("sector", "risk_tier")) -> DataFrame:
+    """C11 with C8: rows, loan sums and the count of each red flag by the keys, with subtotals and the grand total (``level``: grouping id)."""
+    flags = [*C.RED_FLAGS, C.RED_FLAG_NONE]
+    return metrics.rollup(*keys).agg(
+        F.grouping_id().cast("int").alias("level"), F.count(F.lit(1)).alias("n_loans"), F.sum("loan_amount").alias("loan_amount"),
+        *[F.count_if(F.array_contains("red_flags", flag)).alias(f"n_flag_{i}") for i, flag in enumerate(flags)])
+
+
 def red_flag_frequency(metrics: DataFrame) -> DataFrame:
     """C8 report: how often each flag fires."""
     return (metrics.select(F.explode("red_flags").alias("flag"))
@@ -76,4 +92,4 @@ def tier_distribution(metrics: DataFrame, tier_cols) -> DataFrame:
                    .groupBy("tier_kind", "tier").agg(F.count(F.lit(1)).alias("n")))
 
 
-__all__ = ["customer_facts", "customer_risk", "risk_rollup", "red_flag_frequency", "tier_distribution", "C"]
+__all__ = ["customer_facts", "customer_risk", "risk_rollup", "risk_cube", "flag_rollup", "red_flag_frequency", "tier_distribution", "C"]

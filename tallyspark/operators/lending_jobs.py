@@ -92,6 +92,42 @@ def glossary_overlay(file_df: DataFrame, default_terms=None) -> DataFrame:
                          F.coalesce("preferred", "d_preferred").alias("preferred"))
 
 
+#: Dictionary entries up to which glossaries are broadcast; beyond that texts and glossaries meet by a salted join.
+BROADCAST_ENTRIES = 200_000
+GLOSSARY_SALTS = 16
+
+
+def glossary_by_row(df: DataFrame, text_col: str, glossary_table: DataFrame, id_col: str = "glossary_id", default_terms=None,
+                    broadcast_entries: int = BROADCAST_ENTRIES) -> DataFrame:
+    """T9/S6 with a glossary for each row: ``terms_used`` and ``glossary_warnings`` by the dictionary that ``id_col`` names.
+
+    ``glossary_table`` (glossary_id, ord, term, preferred) holds any number of dictionaries, each laid over the default terms; null
+    and unknown ids take the defaults alone. A dictionary is one array (it is one file's entries). Dictionaries are broadcast behind a
+    count of their entries; beyond it rows of one id are dealt over ``GLOSSARY_SALTS`` copies of its dictionary."""
+    defaults = default_terms if default_terms is not None else V.DEFAULT_GLOSSARY
+    entry = F.struct("ord", "term", "preferred")
+    per = glossary_overlay(glossary_table, defaults).groupBy(F.col("glossary_id").alias("_gid")).agg(
+        F.transform(F.array_sort(F.collect_list(entry)), lambda e: F.struct(e["term"].alias("term"), e["preferred"].alias("preferred"))).alias("_entries"))
+    size = per.agg(F.sum(F.size("_entries"))).first()[0] or 0
+    if size <= broadcast_entries:
+        joined = df.join(F.broadcast(per), F.col(id_col) == F.col("_gid"), "left")
+    else:
+        salt = F.pmod(F.xxhash64(text_col, F.monotonically_increasing_id()), F.lit(GLOSSARY_SALTS)).cast("int")
+        copies = per.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(GLOSSARY_SALTS - 1))))
+        joined = df.withColumn("_salt", salt).join(copies, (F.col(id_col) == F.col("_gid")) & (F.col("_salt") == F.col("_copy")), "left").drop("_salt", "_copy")
+    base = F.array(*[F.struct(F.lit(t).alias("term"), F.lit(p).alias("preferred")) for t, p in defaults])
+    joined = joined.withColumn("_entries", F.coalesce("_entries", base)).withColumn("_low", F.lower(F.col(text_col)))
+    low = F.coalesce("_low", F.lit(""))
+    source = lambda e: F.contains(low, F.lower(e["term"]))
+    preferred = lambda e: F.contains(low, F.lower(e["preferred"]))
+    before, after = V.GLOSSARY_WARNING.split("{preferred}")
+    middle, end = after.split("{source}")
+    message = lambda e: F.concat(F.lit(before), e["preferred"], F.lit(middle), e["term"], F.lit(end))
+    used = F.array_sort(F.array_distinct(F.transform(F.filter("_entries", lambda e: source(e) | preferred(e)), lambda e: e["preferred"])))
+    warned = F.transform(F.filter("_entries", lambda e: source(e) & ~preferred(e)), message)
+    return joined.withColumn("terms_used", used).withColumn("glossary_warnings", warned).drop("_entries", "_low", "_gid")
+
+
 def extraction_job(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Fields (from the unredacted text), missing fields, redacted text, confidence."""
     t = F.col(text_col)

@@ -218,6 +218,11 @@ def domain_coverage(df: DataFrame, required, domain_col: str = "domain") -> Data
                .withColumn("missing", F.col("n_rows") == 0))
 
 
+def count_rollup(df: DataFrame, keys=("source", "domain")) -> DataFrame:
+    """A1 with totals: rows by source and domain, by source, and in all (``level``: grouping id)."""
+    return df.rollup(*keys).agg(F.grouping_id().cast("int").alias("level"), F.count(F.lit(1)).alias("n_rows"))
+
+
 def quota_table(spark) -> DataFrame:
     """Q6: (total, domain, expected) for a whole set, its training and its validation part; other sizes have no quota."""
     rows = []

@@ -7,14 +7,19 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as TX
+from ..operators import conversation as CV
+from ..operators import corpus
 from ..operators import fail_fast as FF
+from ..operators import prepare as PR
 from ..operators import quality as Q
+from ..operators import result_store as RS
 from ..session import shared_path
 from ..sources import jsonl as JS
 from ..sources import lines as LN
 from ..sources.tables import table
 from .records import gate_v3, v3_files
-from .registry import query
+from .registry import generated, query
 
 LINE_FILES = 8
 #: Splits small enough that each file of the small tables has several.
@@ -74,3 +79,68 @@ def quality_v3_first_failure(spark, sf_dir):
                            .alias("domains"), "files_read")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+# --- partitioned sets (S4), preparation (A8), results kept between runs (X4) ---------------------------------------------
+
+RERUN = "credit_memo_numeric"
+
+
+@query("jsonl_partitioned")
+def jsonl_partitioned(spark, sf_dir):
+    """S4 by split and domain: the v3 set, then a rerun for one domain's training part with other texts; all of it read back."""
+    split = F.when(F.col("gidx") % 10 == 0, "val").otherwise("train")
+    rows = generated(spark, sf_dir, "v3").select("gidx", split.alias("split"), "domain", "assistant")
+    path = fresh(spark, "partitioned")
+    JS.write_jsonl_partitioned(rows, path, ["split", "domain"])
+    again = rows.filter((F.col("domain") == RERUN) & (F.col("split") == "train") & (F.col("gidx") % 2 == 0))
+    JS.write_jsonl_partitioned(again.withColumn("assistant", F.concat(F.lit("2: "), "assistant")), path, ["split", "domain"])
+    back = JS.read_jsonl_partitioned(spark, path, "gidx long, assistant string", "split string, domain string")
+    return back.select("gidx", "split", "domain", F.md5("assistant").alias("assistant"))
+
+
+def conversation_records(spark, sf_dir) -> DataFrame:
+    """Conversations as records: messages and whether a turn holds personal data."""
+    turns = table(spark, sf_dir, "conversations")
+    flagged = corpus.pii_flags(turns).withColumn("_pii", F.col("has_phone") | F.col("has_email") | F.col("has_register"))
+    pii = flagged.groupBy("conv_id").agg(F.bool_or("_pii").alias("contains_pii"))
+    return CV.to_messages(turns).join(pii, "conv_id")
+
+
+@query("sft_prep_files")
+def sft_prep_files(spark, sf_dir):
+    """Conversations prepared into training and validation files; the members as the files hold them."""
+    path = fresh(spark, "prepared")
+    PR.prepare_sft(spark, conversation_records(spark, sf_dir), path, "conv_id")
+    schema = "conv_id long, contains_pii boolean, messages array<struct<turn:bigint,role:string,content:string>>"
+    back = JS.read_jsonl_partitioned(spark, path, schema, "split string")
+    chars = F.aggregate("messages", F.lit(0).cast("bigint"), lambda n, m: n + F.length(m["content"]))
+    return back.select("split", "conv_id", "contains_pii", F.size("messages").alias("n_messages"), chars.alias("n_chars"))
+
+
+@query("sft_prep_counts")
+def sft_prep_counts(spark, sf_dir):
+    """The summary of three runs: as it is, with personal data allowed, and a dry run of the first."""
+    records = conversation_records(spark, sf_dir)
+    out = None
+    for name, options in (("run", {}), ("allow_pii", {"allow_pii": True}), ("dry_run", {"dry_run": True})):
+        one = PR.prepare_sft(spark, records, fresh(spark, f"prepared-{name}"), "conv_id", **options).drop("train_output", "val_output")
+        one = one.withColumn("run", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("result_store_runs")
+def result_store_runs(spark, sf_dir):
+    """Three calls with one store: nine tenths of the documents, the same again, all of them. Each document's result, the call
+    that computed it, and how many keys each call had to compute."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    store = RS.ResultStore(spark, fresh(spark, "store"), "string")
+    redacted = lambda c: F.md5(TX.redact_pii(c))
+    most = docs.filter("doc_id % 10 <> 0")
+    _, first = store.get_or_compute(most, "redact", "text", redacted, "result")
+    _, second = store.get_or_compute(most, "redact", "text", redacted, "result")
+    found, third = store.get_or_compute(docs, "redact", "text", redacted, "result")
+    call = store.results().select("cache_key", (F.substring("batch", 1, 6).cast("int") * 2 + 1).alias("call"))
+    return found.join(call, "cache_key", "left").select(
+        "doc_id", "cache_key", "result", "call", F.lit(f"{first},{second},{third}").alias("computed"))

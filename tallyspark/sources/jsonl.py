@@ -41,6 +41,22 @@ def write_jsonl(df: DataFrame, path: str, compression: str | None = None) -> Non
     w.json(path)
 
 
+def write_jsonl_partitioned(df: DataFrame, path: str, by: list[str], compression: str | None = None) -> None:
+    """S4 by split, domain and such: JSON lines in a folder for each value of ``by``. A rerun replaces the folders that it has
+    rows for and leaves the others; readers that filter on ``by`` open the folders they need only.
+
+    Rows go to the files from the tasks they are in, so a value that holds most rows is written by many tasks."""
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
+    if compression:
+        w = w.option("compression", compression)
+    w.json(path)
+
+
+def read_jsonl_partitioned(spark: SparkSession, path: str, schema: str, by: str) -> DataFrame:
+    """The records of a partitioned set: ``schema`` for the lines, ``by`` (as in ``split string, domain string``) for the folders."""
+    return spark.read.schema(f"{schema}, {by}").option("mode", "FAILFAST").json(path)
+
+
 def read_prompt_list(spark: SparkSession, path: str, wholetext: bool = True) -> DataFrame:
     """A JSON list of strings, or an object with a ``prompts`` list, per file (or per line); every item a
     non-blank string, else the job fails (``assert_true``)."""
