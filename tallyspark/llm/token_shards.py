@@ -207,15 +207,13 @@ def write_shards(spark: SparkSession, docs: DataFrame, path: str, vocabulary: st
 
         from .tokens import coder
 
-        own, keys, lengths = coder(vocabulary), [], []
+        own, keys, lengths = coder(vocabulary, f"<u{width}"), [], []
         for batch in batches:
             texts = batch.column("text")
             keys.append(batch.column("key").to_numpy())
             for at in range(0, len(texts), 512):
                 found = own.ids(texts.slice(at, 512).to_pylist())
-                lengths += [len(x) // 4 + 1 for x in found]
-                if width == 2:
-                    found = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in found]
+                lengths += [len(x) // width + 1 for x in found]
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["line"])
         if lengths:
             end = footer(TaskContext.get().partitionId(), np.concatenate(keys), np.array(lengths, np.int64))

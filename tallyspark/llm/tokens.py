@@ -11,29 +11,50 @@ library gives one id. ``tests/llm`` compares the results with the library's on a
 from __future__ import annotations
 
 import os
-import re
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Parts that a worker remembers (about 200 bytes each), in two halves: when the newer is full it becomes the older, whose
 #: parts come back as they are met.
 MEMO = 600_000
 _CODERS: dict = {}
 
-_PLAIN_END = re.compile(rb"(.*[^!-@\[-`{-~])([.,!?;:%$#&*|]+)", re.S)  # a part and the marks after it
+_MARKS = b".,!?;:%$#&*|"  # a run of these after a word is a pre-token of its own
 
 
-def coder(path: str) -> "Coder":
+#: Bytes of text that are cut and looked up together.
+PIECE = 2 << 20
+
+
+def _by_size(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """Consecutive texts in groups of about ``PIECE`` bytes."""
+    held, size = [], 0
+    for t in texts:
+        held.append(t)
+        size += len(t)
+        if size >= PIECE:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def coder(path: str, kind: str = "<u4") -> "Coder":
     """The worker's coder for this vocabulary file: it stays between tasks."""
-    if path not in _CODERS:
-        _CODERS[path] = Coder(path)
-    return _CODERS[path]
+    if (path, kind) not in _CODERS:
+        _CODERS[path, kind] = Coder(path, kind=kind)
+    return _CODERS[path, kind]
 
 
 class Coder:
-    """``ids(text)``: the little-endian unsigned 32-bit ids of a UTF-8 text, as by ``encode(text, add_special_tokens=False)``."""
+    """``ids(texts)``: the ids of UTF-8 texts, as by ``encode(text, add_special_tokens=False)``, as little-endian unsigned integers
+    of 32 bits, or of 16 (``kind``) for a vocabulary that fits."""
 
-    def __init__(self, path: str, memo: int = MEMO):
+    def __init__(self, path: str, memo: int = MEMO, kind: str = "<u4"):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -41,6 +62,9 @@ class Coder:
         self.added = [t.content.encode() for t in self.lib.get_added_tokens_decoder().values()]
         vocab = self.lib.get_vocab()
         self.width = max(vocab.values()) + 1
+        self.kind = np.dtype(kind)
+        if self.width > 1 << 8 * self.kind.itemsize:
+            raise ValueError("the vocabulary's ids don't fit")
         self.word_ends = self.lib.normalizer is not None  # lower case and word ends, else bytes with their blanks
         mark = (lambda t: t.endswith("</w>")) if self.word_ends else (lambda t: t.startswith("Ġ"))
         self.edge = np.zeros(self.width, bool)  # ids that end a word, or begin one with its blank
@@ -48,13 +72,16 @@ class Coder:
         self.line = np.zeros(self.width, bool)  # the line end's id
         if not self.word_ends:
             self.line[vocab["Ċ"]] = True
-        self.size, self.memo, self.older, self.first = memo, {b"": b""}, {}, {b"": b""}
+        self.size, self.memo, self.older, self.first = memo, {b"": b"" if self.word_ends else None}, {}, {b"": b""}
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, self.kind).tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        return self._word_ids(texts) if self.word_ends else self._byte_ids(texts)
+        out: list[bytes] = []
+        for part in _by_size(texts):
+            out += self._word_ids(part) if self.word_ends else self._byte_ids(part)
+        return out
 
     def _names(self, text: bytes) -> bool:
         """Whether an added token's name stands in the text: inside words too, across any cut."""
@@ -65,10 +92,10 @@ class Coder:
     def _word_ids(self, texts):
         lows = [t.lower() for t in texts]  # bytes.lower() takes A-Z only
         whole = {i: self.whole([texts[i].decode()])[0] for i, t in enumerate(lows) if self._names(t)}
-        parts = [[] if i in whole else t.replace(b"\n", b" ").split(b" ") for i, t in enumerate(lows)]
-        self._learn(set().union(*parts) if parts else set())
-        get = self.memo.__getitem__
-        return [whole[i] if i in whole else b"".join(map(get, p)) for i, p in enumerate(parts)]
+        plain = [i for i in range(len(texts)) if i not in whole]
+        found, _, _ = self._parts_ids([lows[i] for i in plain], b" ", False)
+        whole.update(zip(plain, found, strict=True))
+        return [whole[i] for i in range(len(texts))]
 
     # --- bytes: a blank belongs to the word after it; runs of white space are left to the library --------------------
 
@@ -78,18 +105,47 @@ class Coder:
         for i, t in enumerate(texts):
             rough = b"  " in t or b" \n" in t or b"\n\n\n" in t or b"\n\n " in t or t.endswith((b"\n\n", b" "))
             (odd if rough or self._names(t) else plain).append(i)
-        parts = {i: texts[i].replace(b"\n", b" \n").split(b" ") for i in plain}
-        self._learn(set().union(*[p[1:] for p in parts.values()]) if parts else set())
-        get = self.memo.__getitem__
-        for i, p in parts.items():
-            try:
-                out[i] = self._first(p[0]) + b"".join(map(get, p[1:]))
-            except TypeError:  # a part that isn't safe on its own
+        found, firsts, sure = self._parts_ids([texts[i] for i in plain], b" \n", True)
+        for i, ids, part, safe in zip(plain, found, firsts, sure, strict=True):
+            first = self._first(part) if safe else None
+            if first is None:  # a part that isn't safe on its own
                 odd.append(i)
+            else:
+                out[i] = first + ids
         for i in odd:
             out[i] = self.whole([texts[i].decode()])[0]
         return out
 
+    def _parts_ids(self, texts: list[bytes], line: bytes, skip_first: bool) -> tuple[list[bytes], list[bytes], list[bool]]:
+        """Per text: the ids of its parts one after the other, its first part (left out of the ids with ``skip_first``), and whether the
+        other parts are all safe on their own. Cutting, telling equal parts and putting ids together are Arrow's and numpy's; Python
+        sees each distinct part once."""
+        if not texts:
+            return [], [], []
+        lists = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_binary()), b"\n", line), b" ")
+        bounds = lists.offsets.to_numpy()
+        coded = lists.flatten().dictionary_encode()
+        which, parts = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        firsts = [parts[i] for i in which[bounds[:-1]]]
+        use = np.ones(len(which), bool)
+        if skip_first:
+            use[bounds[:-1]] = False
+        wanted = np.zeros(len(parts), bool)
+        wanted[which[use]] = True
+        self._learn({p for p, w in zip(parts, wanted.tolist(), strict=True) if w})
+        known = [self.memo[p] if w else b"" for p, w in zip(parts, wanted.tolist(), strict=True)]
+        unsafe = np.array([k is None for k in known], bool)
+        sizes = np.array([0 if k is None else len(k) for k in known], np.int64) // self.kind.itemsize
+        flat = np.frombuffer(b"".join(k or b"" for k in known), self.kind)
+        starts = np.cumsum(sizes) - sizes
+        counts = np.where(use, sizes[which], 0)
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        # a part's ids lie together in ``flat``: the places of all ids in order
+        ids = flat[np.arange(ends[-1]) + np.repeat(starts[which] - ends[:-1], counts)].tobytes()
+        cuts = (ends[bounds] * self.kind.itemsize).tolist()
+        bad = np.concatenate([[0], np.cumsum(unsafe[which] & use)])[bounds]
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], firsts, (np.diff(bad) == 0).tolist()
+
     def _first(self, part: bytes) -> bytes | None:
         """Ids of a part without a blank before it; None if the part must not be cut off."""
         if part not in self.first:
@@ -101,31 +157,36 @@ class Coder:
     # --- new parts ---------------------------------------------------------------------------------------------------
 
     def _learn(self, parts: set) -> None:
-        if len(self.memo) + len(parts) > self.size // 2:
-            self.older, self.memo = self.memo, {b"": b""}
-        if not self.word_ends:
-            self.memo[b""] = None  # an empty part is a run of blanks
         new = parts.difference(self.memo)
-        for p in new & self.older.keys():
-            self.memo[p] = self.older[p]
-        new -= self.memo.keys()
         if not new:
             return
+        if len(self.memo) + len(new) > self.size // 2:  # only parts that are new take room
+            self.older, self.memo = self.memo, {b"": b""}
+            if not self.word_ends:
+                self.memo[b""] = None  # an empty part is a run of blanks
+            new = parts.difference(self.memo)
+        back = new & self.older.keys()
+        self.memo.update(zip(back, map(self.older.__getitem__, back), strict=True))
+        new -= back
         words, lines, ends, rest = set(), set(), [], []
-        for p in new:
+        simple = [p for p in new if p.isalpha()]  # ASCII letters, the most common case
+        self._learn_simple(simple)
+        for p in new.difference(simple):
             line = not self.word_ends and p[:1] == b"\n"
             word = p[1:] if line else p
             if _letters(word):
                 (lines if line else words).add(p)
-            elif (m := _PLAIN_END.fullmatch(word)) and _letters(m[1]):
-                own = b"\n" + m[1] if line else m[1]
+            elif _letters(bare := word.rstrip(_MARKS)):
+                own = b"\n" + bare if line else bare
                 (lines if line else words).add(own)
-                ends.append((p, own, m[2]))
+                ends.append((p, own, word[len(bare):]))
             elif self.word_ends or _sure(word) or p == b"\n":
                 rest.append(p)
             else:
                 self.memo[p] = None
-        self._learn_words([w for w in words if w not in self.memo], "" if self.word_ends else " ", self.edge)
+        words = [w for w in words if w not in self.memo]
+        self._learn_simple([w for w in words if w.isalpha()])
+        self._learn_words([w for w in words if not w.isalpha()], "" if self.word_ends else " ", self.edge)
         self._learn_words([w for w in lines if w not in self.memo], "", self.line)
         for p, own, marks in ends:
             if marks not in self.first:
@@ -137,6 +198,12 @@ class Coder:
             texts = [p.decode() if p[:1] == b"\n" else blank + p.decode() for p in chunk]
             self.memo.update(zip(chunk, self.whole(texts), strict=True))
 
+    def _learn_simple(self, words: list[bytes]) -> None:
+        """Words of ASCII letters: no normalisation changes them and each is one pre-token, so the library's model takes them as they are."""
+        model, kind, first = self.lib.model.tokenize, self.kind.char, "" if self.word_ends else "Ġ"
+        for w in words:
+            self.memo[w] = array(kind, [t.id for t in model(first + w.decode())]).tobytes()
+
     def _learn_words(self, words: list[bytes], blank: str, edge: np.ndarray) -> None:
         """Words of letters alone, with a blank or line end before each: encoded in one text, whose ids show where
         each begins (or, with word ends, ends)."""
@@ -144,19 +211,20 @@ class Coder:
             chunk = words[at:at + 10_000]
             texts = [blank + w.decode() for w in chunk]
             packed = self.whole([(" " if self.word_ends else "").join(texts)])[0]
-            found = np.flatnonzero(edge[np.frombuffer(packed, "<u4")])
-            cuts = [0, *(found + 1).tolist()] if self.word_ends else [*found.tolist(), len(packed) // 4]
-            if len(cuts) != len(chunk) + 1 or cuts[0] != 0 or cuts[-1] * 4 != len(packed):
+            size = self.kind.itemsize
+            found = np.flatnonzero(edge[np.frombuffer(packed, self.kind)])
+            cuts = size * np.append(0, found + 1) if self.word_ends else size * np.append(found, len(packed) // size)
+            if len(cuts) != len(chunk) + 1 or cuts[0] != 0 or cuts[-1] != len(packed):
                 self.memo.update(zip(chunk, self.whole(texts), strict=True))
                 continue
-            for w, a, b in zip(chunk, cuts, cuts[1:], strict=False):
-                self.memo[w] = packed[4 * a:4 * b]
+            cuts = cuts.tolist()
+            self.memo.update(zip(chunk, [packed[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
 
 
 def _letters(part: bytes) -> bool:
     """Letters of Latin-1 alone: one pre-token in either vocabulary, and no case mapping that adds characters."""
-    if part.isalpha():
-        return True
+    if part.isalpha() or part.isascii():
+        return part.isalpha()
     text = part.decode()
     return text.isalpha() and max(text) < "Ā"
 
