@@ -18,8 +18,8 @@ def brute(rows, k=5, every=50):
     return sorted(out)
 
 
-def got(spark, rows, **kw):
-    df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<float>, score string")
+def got(spark, rows, kind="float", **kw):
+    df = spark.createDataFrame([(*r, "x") for r in rows], f"vec_id long, embedding array<{kind}>, score string")
     return sorted(tuple(r) for r in inner_top.top_inner(spark, df, **kw).collect())
 
 
@@ -58,3 +58,25 @@ def test_pruning_keeps_results_and_saves_products():
     for r in range(50):
         want = np.lexsort((np.arange(5000), -full[r]))[:5]
         assert ids[row == r].tolist() == want.tolist() and score[row == r].tolist() == full[r][want].tolist()
+
+
+@pytest.mark.parametrize("power", [13, 21, 30])
+def test_large_components_are_exact(spark, power):
+    rnd = random.Random(power)
+    rows = [(i, [rnd.gauss(0, 1) * 2.0 ** rnd.choice([power, power - 1, 3]) for _ in range(128 if power < 30 else 12)]) for i in range(0, 150, 5)]
+    rows += [(0 + 5 * 100, [2.0 ** (power - 8)] * 4), (5 * 101, [2.0 ** (power - 8)] * 4)]
+    if power == 30:  # products near the end of a long's range
+        rows = [(i, [x / 2 ** 9 for x in v]) for i, v in rows]
+    assert got(spark, rows, "double", head=7) == brute(rows)
+
+
+def test_the_case_of_clamped_components(spark):
+    rows = [(0, [2.0 ** 21, 0.0]), (1, [2.0 ** 22, 1.0]), (2, [2.0 ** 21, 9.0]), (3, [1.0, 1.0])]
+    assert got(spark, rows, "double") == brute(rows)
+    assert got(spark, rows, "double")[0] == (0, 1, 1, 576460752303423488)
+
+
+def test_beyond_a_long_is_an_error(spark):
+    for rows in ([(0, [2.0 ** 40]), (1, [2.0 ** 40])], [(0, [1e300])]):
+        with pytest.raises(Exception, match="range of a long|too large|out of bounds|OverflowError"):
+            got(spark, rows, "double")
