@@ -232,6 +232,33 @@ def quota_table(spark) -> DataFrame:
     return spark.createDataFrame(rows, "total bigint, domain string, expected bigint")
 
 
+def domain_rules(sets: DataFrame, set_col: str, domains, spark=None) -> DataFrame:
+    """Q5 and Q6 for many sets at once: one row for each set and required domain, with its rows (``missing``: none), the set's total, and
+    whether the count is what a set of that size must have (true for sizes without a quota)."""
+    spark = spark or sets.sparkSession
+    counts = sets.groupBy(set_col, "domain").agg(F.count(F.lit(1)).alias("n"))
+    totals = counts.groupBy(set_col).agg(F.sum("n").alias("total"))
+    wanted = totals.withColumn("domain", F.explode(F.array(*[F.lit(d) for d in domains])))
+    met = wanted.join(counts, [set_col, "domain"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    quota = met.join(F.broadcast(quota_table(spark)), ["total", "domain"], "left")  # 18 rows
+    return quota.select(set_col, "domain", "total", "n", "expected", (F.col("n") == 0).alias("missing"),
+                        (F.col("expected").isNull() | (F.col("n") == F.col("expected"))).alias("matches"))
+
+
+def size_rules(sets: DataFrame, set_col: str, domains, rows: int = 500) -> DataFrame:
+    """Q7's size rules by set: exactly ``rows`` records, exactly the known domains, equally many records of each."""
+    counts = sets.groupBy(set_col, "domain").agg(F.count(F.lit(1)).alias("n"))
+    known = F.col("domain").isin(*domains)
+    each = counts.groupBy(set_col).agg(
+        F.sum("n").alias("n_rows"), F.count_if(known).alias("n_known"), F.count_if(~F.coalesce(known, F.lit(False))).alias("n_unknown"),
+        F.min("n").alias("least"), F.max("n").alias("most"))
+    share = rows // len(domains)
+    rules = {"is_size": F.col("n_rows") == rows, "domains_known": (F.col("n_known") == len(domains)) & (F.col("n_unknown") == 0),
+             "equal_shares": (F.col("least") == share) & (F.col("most") == share)}
+    out = each.withColumns(rules)
+    return out.select(set_col, "n_rows", *rules, (F.col("is_size") & F.col("domains_known") & F.col("equal_shares")).alias("passes"))
+
+
 def quota_for_size(total: int) -> dict[str, int] | None:
     """Q6: the domain counts that a set of ``total`` rows must have; None where no quota is set for the size."""
     for share in (lambda n: n, lambda n: int(n * 0.9), lambda n: n - int(n * 0.9)):

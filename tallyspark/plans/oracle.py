@@ -906,3 +906,4 @@ WHERE f.term NOT IN (SELECT term FROM d)""")
 from . import oracle_records as _own  # noqa: E402,F401  (adds the SQL of the queries in records)
 from . import oracle_files as _files  # noqa: E402,F401
 from . import oracle_jobs as _jobs  # noqa: E402,F401
+from . import oracle_said as _said  # noqa: E402,F401

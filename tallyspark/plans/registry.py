@@ -691,3 +691,4 @@ def q_glossary_overlay(spark, sf_dir):
 from . import records as _records  # noqa: E402,F401  (registers its queries)
 from . import files as _files  # noqa: E402,F401
 from . import jobs as _jobs  # noqa: E402,F401
+from . import said as _said  # noqa: E402,F401
