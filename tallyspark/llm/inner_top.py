@@ -85,9 +85,10 @@ def rotation(vectors: DataFrame, width: int) -> np.ndarray:
     return np.linalg.eigh(total.reshape(width, width))[1][:, ::-1]
 
 
-def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Exact inner products of rows of longs, pair by pair; an error where one is beyond a long."""
-    if len(q) and np.abs(q.astype(np.float64)).max(initial=0) * np.abs(c.astype(np.float64)).max(initial=0) * q.shape[1] >= 2.0 ** 62:
+def _products(q: np.ndarray, c: np.ndarray, wide: bool) -> np.ndarray:
+    """Exact inner products of rows of longs, pair by pair; in Python's integers where sums may pass a long (``wide``), and an error
+    where one is beyond it."""
+    if wide:
         return np.array([sum(map(int.__mul__, a, b)) for a, b in zip(q.tolist(), c.tolist(), strict=True)], np.int64)
     return (q * c).sum(1)
 
@@ -97,6 +98,7 @@ def search_block(q: np.ndarray, q_ids: np.ndarray, floor: np.ndarray, c: np.ndar
     """(query row, id, score): each query's best k of ``c``, but for those below its ``floor``, a k-th best score known."""
     q_whole, c_whole = q.astype(np.int64), c.astype(np.int64)
     q, c = q.astype(np.float64), c.astype(np.float64)
+    wide = np.abs(q).max(initial=0) * np.abs(c).max(initial=0) * q.shape[1] >= 2.0 ** 62
     length = np.sqrt((c * c).sum(1))
     order = np.lexsort((c_ids, -length))
     c, c_whole, c_ids, length = c[order], c_whole[order], c_ids[order], length[order]
@@ -121,7 +123,7 @@ def search_block(q: np.ndarray, q_ids: np.ndarray, floor: np.ndarray, c: np.ndar
         score = np.zeros(len(row), np.int64)
         for part in range(0, len(row), 1 << 18):  # bounded memory
             part = slice(part, part + (1 << 18))
-            score[part] = _products(q_whole[row[part]], c_whole[col[part]])
+            score[part] = _products(q_whole[row[part]], c_whole[col[part]], wide)
         keep = score + margin[row] >= least[row]
         row, col, score = row[keep], col[keep], score[keep]
         edges = np.flatnonzero(np.diff(row)) + 1  # rows ascend

@@ -7,8 +7,9 @@ bits differ in at most 3 blocks, so 3 blocks agree. Each fingerprint is keyed by
 
 Fingerprints with a common key meet in a sorted partition, and each pair's distance is verified. A set of n that
 share a key gives at most n - 1 links (each to the least of its component there), so a large group of near copies
-makes no square of pairs; beyond ``DENSE`` members, the set is split by further blocks of the bits left, which again finds
-every close pair. Links are joined into components by label propagation.
+makes no square of pairs. A key with more than ``HEAVY`` fingerprints is split before they meet, by further blocks of the bits
+left, one of which agrees in a close pair; inside a task sets of more than ``DENSE`` are split in the same way. Links are joined into
+components by label propagation.
 
 Defined results. Null or empty text: fingerprint zero, linked like any other. Null id: no candidate for a component's
 id (null if a component has no other). Repeated rows: one row each. Empty table: empty result. Other columns, whatever
@@ -18,6 +19,7 @@ their names, are ignored (or passed on by :func:`drop_near_copies`).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -33,6 +35,8 @@ DISTANCE = 3
 SEED = 42
 BLOCKS = 6
 DENSE = 1024
+#: Fingerprints with a common key beyond which they are keyed again, by a further block each, before they meet in a task.
+HEAVY = 8192
 _CHUNK = 1 << 17  # hashes counted at a time
 
 
@@ -128,32 +132,71 @@ def close_links(found: np.ndarray, free: list[int], distance: int = DISTANCE, de
     return _tree(np.concatenate(links))
 
 
-def _run_links(key: np.ndarray, mask_no: np.ndarray, found: np.ndarray, masks: list[int], distance: int) -> np.ndarray:
+def _free_bits(mask: int) -> list[int]:
+    return [b for b in range(64) if not mask >> b & 1]
+
+
+def finer_masks(mask: int, distance: int = DISTANCE) -> list[int]:
+    """The mask with each of distance + 1 blocks of its free bits: two fingerprints that agree in the mask and are close agree
+    in one of these, too."""
+    free = _free_bits(mask)
+    return [mask | sum(1 << b for b in free[i::distance + 1]) for i in range(distance + 1)]
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def _run_links(key: np.ndarray, mask: np.ndarray, found: np.ndarray, distance: int) -> np.ndarray:
     """Links of all complete runs of equal (mask, key) in sorted arrays."""
-    new = np.flatnonzero((key[1:] != key[:-1]) | (mask_no[1:] != mask_no[:-1])) + 1
+    new = np.flatnonzero((key[1:] != key[:-1]) | (mask[1:] != mask[:-1])) + 1
     starts = np.concatenate([[0], new])
     sizes = np.diff(np.concatenate([starts, [len(key)]]))
     two = starts[sizes == 2]
     near = np.bitwise_count(found[two] ^ found[two + 1]) <= distance
     links = [np.stack([found[two + 1][near], found[two][near]], 1)]
     for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
-        free = [b for b in range(64) if not masks[mask_no[start]] >> b & 1]
+        free = _free_bits(int(mask[start]) & ((1 << 64) - 1))
         links.append(close_links(found[start:start + size], free, distance))
     return np.concatenate(links)
 
 
-def near_links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
+def keyed_blocks(spark: SparkSession, distinct: DataFrame, distance: int = DISTANCE, heavy: int = HEAVY) -> DataFrame:
+    """(mask, key, fp): each fingerprint under its keys, such that every close pair shares one and no key has more than ``heavy`` of them.
+
+    Keys are counted (combined before the shuffle); the members of heavy keys get finer keys instead, until none is heavy. Counts and
+    members are written to the shared folder; heavy keys are at most one in ``heavy`` rows."""
+
+    def under(masks: dict[int, list[int]], rows: DataFrame) -> DataFrame:
+        """Rows under the masks that follow theirs."""
+        table = F.create_map(*[x for m, finer in masks.items() for x in (F.lit(_signed(m)), F.array(*[F.lit(_signed(f)) for f in finer]))])
+        each = rows.select("fp", F.explode(table[F.col("mask")]).alias("mask"))
+        return each.select("mask", F.col("mask").bitwiseAND(F.col("fp")).alias("key"), "fp")
+
+    level = {0: block_masks(distance)}
+    rows = under(level, distinct.select("fp", F.lit(0).cast("long").alias("mask")))
+    parts = []
+    while True:
+        counts = materialise(spark, rows.groupBy("mask", "key").agg(F.count("*").alias("n")).where(F.col("n") > heavy).select("mask", "key"), "simhash-heavy")
+        if counts.isEmpty():
+            return reduce(DataFrame.unionByName, [*parts, rows])
+        told = join_small(rows, counts.withColumn("heavy", F.lit(True)), ["mask", "key"])
+        parts.append(told.where("heavy IS NULL").select("mask", "key", "fp"))
+        again = materialise(spark, told.where("heavy").select("mask", "fp").distinct(), "simhash-finer")
+        masks = sorted({f for finer in level.values() for f in finer})
+        level = {m: finer_masks(m, distance) for m in masks}
+        rows = under(level, again).distinct()  # one pair of masks can lead to the same finer one
+
+
+def near_links(distinct: DataFrame, distance: int = DISTANCE, heavy: int = HEAVY) -> DataFrame:
     """(a, b) links among the distinct fingerprints ``fp``: every pair within ``distance`` bits is connected by them."""
-    masks = block_masks(distance)
-    keyed = distinct.select("fp", F.explode(F.array(*[
-        F.struct(F.lit(i).cast("short").alias("mask"), F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)).alias("key"))
-        for i, m in enumerate(masks)])).alias("k")).select(F.col("k.mask").alias("mask"), F.col("k.key").alias("key"), "fp")
+    keyed = keyed_blocks(distinct.sparkSession, distinct, distance, heavy)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []  # the last run so far may go on in the next batch
 
         def out(key, mask, fp):
-            links = _run_links(key, mask, fp.view(np.uint64), masks, distance).view(np.int64)
+            links = _run_links(key, mask, fp.view(np.uint64), distance).view(np.int64)
             return pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], names=["a", "b"])
 
         for batch in batches:

@@ -118,3 +118,18 @@ def test_components_of_a_chain(spark):
     links = spark.createDataFrame(list(zip(ids, ids[1:])), "a long, b long")
     got = components(spark, links).collect()
     assert len(got) == n and {r.root for r in got} == {min(ids)}
+
+
+def test_heavy_keys_are_split_before_they_meet(spark):
+    rng = np.random.default_rng(11)
+    base = np.uint64(0x0123456789ABCDEF)
+    near = base ^ rng.integers(0, 1 << 14, 3000).astype(np.uint64)  # all keys that cover none of these bits are one
+    far = rng.integers(0, 1 << 63, 500).astype(np.uint64)
+    fps = np.unique(np.concatenate([near, far])).view(np.int64)
+    df = spark.createDataFrame([(int(x),) for x in fps], "fp long").repartition(4)
+    keyed = simhash.keyed_blocks(spark, df, heavy=100)
+    assert keyed.groupBy("mask", "key").count().agg({"count": "max"}).first()[0] <= 100
+    links = np.array(simhash.near_links(df, heavy=100).collect(), np.int64).view(np.uint64)
+    want = simhash.close_links(fps.view(np.uint64), list(range(64)), dense=1 << 30)
+    label = lambda x: {int(a): int(b) for a, b in simhash._tree(x)}
+    assert label(links) == label(want) and len(label(links)) > 1000
