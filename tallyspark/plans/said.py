@@ -22,7 +22,7 @@ from ..sources import dims as DM
 from ..sources.tables import table
 from .registry import CHAT_SYSTEM, query
 
-#: What users say; by (conversation + 5 turns) mod their number, the last three say nothing.
+#: What users say; by (conversation + 3 turns) mod their number, the last three say nothing.
 FIELDS = ["Би 10 сая төгрөгийн хэрэглээний зээл авмаар байна.", "Хугацаа 12 сар.", "Сарын орлого 900000 төгрөг.", "Би цалинтай.", "Барьцаа машин.",
           "Утас 99112233.", "Би 5 сая төгрөгийн бизнес зээл авмаар байна. Хугацаа 2 жил. Сарын орлого 1500000 төгрөг. Би хувиараа. Барьцаа байр. Утас 88112233."]
 
@@ -31,7 +31,7 @@ def said_sql(quote) -> str:
     """The turns' texts."""
     fields = " ".join(f"WHEN {i} THEN {quote(x)}" for i, x in enumerate(FIELDS))
     phrases = " ".join(f"WHEN {i} THEN {quote(r[2])}" for i, r in enumerate(V.lexicon_rows()))
-    user = f"concat(CASE (conv_id + 5 * turn) % {len(FIELDS) + 3} {fields} ELSE '' END, CASE WHEN conv_id % 3 = 0 THEN text ELSE '' END, ' ')"
+    user = f"concat(CASE (conv_id + 3 * turn) % {len(FIELDS) + 3} {fields} ELSE '' END, CASE WHEN conv_id % 3 = 0 THEN text ELSE '' END, ' ')"
     answer = f"concat(text, ' ', CASE (3 * conv_id + turn) % {len(V.lexicon_rows()) + 9} {phrases} ELSE '' END)"
     return f"CASE role WHEN 'user' THEN {user} WHEN 'assistant' THEN {answer} ELSE text END"
 
