@@ -58,8 +58,9 @@ h AS (SELECT doc_id, count(*) AS n, string_agg(phrase, '|' ORDER BY phrase) AS p
 SELECT t.doc_id, CAST(coalesce(n, 0) AS INTEGER) AS n_issues, n IS NULL AS is_safe,
   CASE WHEN high THEN 'block' WHEN n > 0 THEN 'review' ELSE 'pass' END AS decision, coalesce(phrases, '') AS phrases
 FROM t LEFT JOIN h ON t.doc_id = h.doc_id"""
-OWN["lexicon_index_documents"] = """
-WITH w AS (SELECT DISTINCT unnest(regexp_split_to_array(lower(text), '[^a-zà-ÿ]+')) AS phrase FROM documents),
+OWN["lexicon_index_documents"] = f"""
+WITH u AS (SELECT doc_id, unnest(list_distinct(regexp_split_to_array(lower(text), '[^a-zà-ÿ]+'))) AS phrase FROM documents),
+w AS (SELECT phrase FROM u GROUP BY phrase HAVING count(*) * {R.LEXICON_SHARE} >= (SELECT count(*) FROM documents)),
 l AS (SELECT phrase, CASE length(phrase) % 3 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' ELSE 'low' END AS severity FROM w WHERE length(phrase) >= 6),
 t AS (SELECT doc_id, lower(text) AS low FROM documents),
 h AS (SELECT doc_id, count(*) AS n, string_agg(phrase, '|' ORDER BY phrase) AS phrases, bool_or(severity = 'high') AS high

@@ -81,11 +81,19 @@ def lexicon_join_documents(spark, sf_dir):
     return _word_hits(spark, sf_dir, _word_lexicon(table(spark, sf_dir, "benchmark"), 9))
 
 
+#: Share of the documents that a word of the corpus lexicon must occur in. It bounds the lexicon whatever the corpus: no more than this
+#: many words for each distinct word of an average document.
+LEXICON_SHARE = 500
+
+
 @query("lexicon_index_documents")
 def lexicon_index_documents(spark, sf_dir):
-    """T5, S7 with a lexicon that grows with the corpus: every word of six letters or more of all documents (about 50,000 at
-    sf0.01) over every document. A word counts wherever it occurs, inside longer words too."""
-    found = _word_hits(spark, sf_dir, _word_lexicon(table(spark, sf_dir, "documents"), 6))
+    """T5, S7 with a lexicon of many thousand phrases: the words of six letters or more that one document in ``LEXICON_SHARE`` has, over
+    every document. A word counts wherever it occurs, inside longer words too."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    words = docs.select(F.explode(F.array_distinct(F.split(F.lower("text"), "[^a-zà-ÿ]+"))).alias("text"))
+    often = words.filter(F.length("text") >= 6).groupBy("text").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") * LEXICON_SHARE >= docs.count())
+    found = _word_hits(spark, sf_dir, _word_lexicon(often, 6))
     return found.withColumn("phrases", F.md5("phrases"))
 
 
