@@ -3,9 +3,13 @@
 log P(language | document) = text log-likelihood (tempered) + log P(declared | language) + weight x log P(suffix | language)
 + log prior(language | host), normalised over the languages.
 
-* Text: a naive Bayes model of byte trigrams (hashed to 2^16), counted over all labelled rows. ``TEMPER`` takes back some of
-  the certainty that naive independence of trigrams feigns.
-* Declared language (of the markup, or a column): how often a language's documents declare each, by text alone.
+* Text: a naive Bayes model of byte trigrams (hashed to 2^16), counted over all labelled rows. Every label that is a language
+  code (``CODES``) is a language, however few rows have it: its counts are smoothed with ``BACKGROUND`` trigrams drawn half
+  from all languages, half evenly, so that a language of few rows expects what it hasn't seen, and one of many doesn't.
+  A labelled row's own trigrams are taken out of its language's counts, so that a label isn't its own evidence.
+  ``TEMPER`` takes back some of the certainty that naive independence of trigrams feigns.
+* Declared language (of the markup, or a column): how often a language's documents declare each, by text alone, smoothed
+  with ``KAPPA`` documents of which the share ``TRUST`` declares the language's own code.
 * Address suffix: how often a language's documents come from it, at half weight, since hosts already tell part of it.
 * Host prior: posteriors by text, summed by host, smoothed with those of its domain, and these with those of all:
   (sum + KAPPA x parent) / (number + KAPPA). A document's own share is taken out of its host's and domain's sums.
@@ -15,7 +19,8 @@ A document is accepted if its language isn't "und", its posterior reaches ``ACCE
 
 Texts are read twice (counts, likelihoods); all else works on a narrow table of likelihoods, with grouped sums combined
 before the shuffle, so that a hot host costs nothing extra. Tables by host, declared value and suffix may be long:
-they are broadcast only behind a count.
+they are broadcast only behind a count. The model has at most a column a language code. A host that is a number has no domain
+and no suffix; under country codes, the usual second labels (``co.uk``) belong to the suffix when domains are cut.
 
 Defined results. Null or empty text: "und". No declared language, host or suffix: that evidence is left out (and the
 prior is that of all documents). Null id: carried along. Repeated rows: one row each. No labelled rows: everything is
@@ -38,8 +43,17 @@ TEMPER = 0.1
 KAPPA = 10.0
 SUFFIX_WEIGHT = 0.5
 ACCEPT = 0.5
-#: A label needs so many rows to be a language.
-MIN_LABELLED = 5
+#: Trigrams and documents of prior belief, see above.
+BACKGROUND = 2000.0
+TRUST = 0.9
+#: The two-letter language codes of ISO 639-1, and three of 639-3 that web pages declare.
+CODES = """aa ab ae af ak am an ar as av ay az ba be bg bh bi bm bn bo br bs ca ce ch co cr cs cu cv cy da de dv dz ee el en
+eo es et eu fa ff fi fj fo fr fy ga gd gl gn gu gv ha he hi ho hr ht hu hy hz ia id ie ig ii ik io is it iu ja jv ka kg ki kj
+kk kl km kn ko kr ks ku kv kw ky la lb lg li ln lo lt lu lv mg mh mi mk ml mn mr ms mt my na nb nd ne ng nl nn no nr nv ny oc
+oj om or os pa pi pl ps pt qu rm rn ro ru rw sa sc sd se sg si sk sl sm sn so sq sr ss st su sv sw ta te tg th ti tk tl tn to
+tr ts tt tw ty ug uk ur uz ve vi vo wa wo xh yi yo za zh zu ceb fil yue""".split()
+#: Second labels under which country domains are given out.
+SECOND_LABELS = ("ac", "co", "com", "edu", "go", "gob", "gov", "ne", "net", "or", "org")
 _CHUNK = 1 << 20  # bytes hashed at a time
 
 _FOLD = np.full(256, 32, np.uint8)  # letters in lower case and bytes of other scripts stay, all else is a blank
@@ -81,24 +95,48 @@ def markup_text(html: Column) -> Column:
     return F.regexp_replace(bare, r"&[A-Za-z]+;", " ")
 
 
+def host_domain(host: Column) -> Column:
+    """The registered part of a host; null for numbers."""
+    second = "|".join(SECOND_LABELS)
+    named = F.regexp_extract(host, rf"([^.]+\.(?:{second})\.[a-z]{{2}}|[^.]+\.[^.]+|[^.]+)$", 1)
+    return F.when(~_numeric(host), named)
+
+
+def _numeric(host: Column) -> Column:
+    return host.rlike(r"^[0-9.]+$|^\[")
+
+
 class Model:
-    """Languages and log probabilities (buckets x languages)."""
+    """Languages, counts and log probabilities (buckets x languages)."""
 
     def __init__(self, languages: list[str], counts: np.ndarray):
         self.languages = languages
-        self.logp = np.log((counts + 0.5) / (counts.sum(0) + 0.5 * BUCKETS)) if languages else np.zeros((BUCKETS, 0))
-
-    def likelihoods(self, text: bytes) -> tuple[int, np.ndarray]:
-        """(number of trigrams, log-likelihood by language)."""
-        n, total = 0, np.zeros(len(self.languages))
+        self.at = {name: i for i, name in enumerate(languages)}
+        self.counts = counts
+        every = counts.sum(1)
+        self.prior = BACKGROUND * (every / max(every.sum(), 1) + 1 / BUCKETS) / 2
+        self.sizes = counts.sum(0)
+        self.logp = np.log((counts + self.prior[:, None]) / (self.sizes + BACKGROUND)) if languages else np.zeros((BUCKETS, 0))
+
+    def likelihoods(self, text: bytes, label: str | None = None) -> tuple[int, np.ndarray]:
+        """(number of trigrams, log-likelihood by language). ``label``: the language under which this very text was counted."""
+        n, total, i = 0, np.zeros(len(self.languages)), self.at.get(label)
+        own = None if i is None else np.zeros(BUCKETS)
         for found in trigrams(text):
             n += len(found)
             total += self.logp[found].sum(0)
+            if own is not None:
+                np.add.at(own, found, 1)
+        if n and own is not None:
+            seen = np.flatnonzero(own)
+            mine = own[seen]
+            left = np.log((self.counts[seen, i] - mine + self.prior[seen]) / (self.sizes[i] - n + BACKGROUND))
+            total[i] = (mine * left).sum()
         return n, total
 
 
-def train(labelled: DataFrame, label: str = "label", text: str = "text", min_labelled: int = MIN_LABELLED) -> Model:
-    """Counts over all rows of ``labelled`` (label, text as binary)."""
+def train(labelled: DataFrame, label: str = "label", text: str = "text") -> Model:
+    """Counts over all rows of ``labelled`` (label, text as binary) whose label is a language code."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict = {}
@@ -118,14 +156,16 @@ def train(labelled: DataFrame, label: str = "label", text: str = "text", min_lab
             yield pa.RecordBatch.from_pydict({"label": [name] * len(at), "bucket": at, "n": own[at]})
         total.clear()
 
-    rows = labelled.select(F.col(label).alias("label"), F.col(text).alias("text")).where("label IS NOT NULL")
+    rows = labelled.select(F.col(label).alias("label"), F.col(text).alias("text")).where(F.col("label").isin(CODES))
     sums = rows.mapInArrow(run, "label string, bucket long, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
     sums = materialise(labelled.sparkSession, sums, "language-counts")
-    kept = [r.label for r in sums.where((F.col("bucket") == BUCKETS) & (F.col("n") >= min_labelled)).orderBy("label").collect()]
+    kept = [r.label for r in sums.select("label").distinct().orderBy("label").collect()]
     counts = np.zeros((BUCKETS + 1, len(kept)))
-    for i, name in enumerate(kept):  # 2^16 counts a language
-        got = sums.where(F.col("label") == name).select("bucket", "n").toArrow()
-        counts[got["bucket"].to_numpy(), i] = got["n"].to_numpy()
+    for lo in range(0, len(kept), 16):  # at most 2^20 counts at a time
+        names = kept[lo:lo + 16]
+        for got in sums.where(F.col("label").isin(names)).toArrow().to_batches():
+            at = np.array([lo + names.index(x) for x in got["label"].to_pylist()], np.int64)
+            counts[got["bucket"].to_numpy(), at] = got["n"].to_numpy()
     return Model(kept, counts[:BUCKETS])
 
 
@@ -149,6 +189,7 @@ def identify(spark: SparkSession, docs: DataFrame, text: Column, declared: Colum
     rows = docs.select(*kept, (none if declared is None else declared_language(declared)).alias("declared"),
                        (none if host is None else host).alias("host"), F.coalesce(text, F.lit("")).cast("binary").alias("text"))
     names = rows.columns[:-3]
+    itself = model is None  # the rows were counted themselves
     model = model or train(rows, "declared")
     k = len(model.languages)
     if not k:
@@ -157,7 +198,8 @@ def identify(spark: SparkSession, docs: DataFrame, text: Column, declared: Colum
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.likelihoods(t.as_py()) for t in batch.column("text")]
+            own = batch.column("declared").to_pylist() if itself else [None] * batch.num_rows
+            found = [model.likelihoods(t.as_py(), x) for t, x in zip(batch.column("text"), own, strict=True)]
             floats = pa.list_(pa.float64())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array([n for n, _ in found], pa.int64()), pa.array([x.tolist() for _, x in found], floats),
@@ -168,8 +210,8 @@ def identify(spark: SparkSession, docs: DataFrame, text: Column, declared: Colum
     uniform = F.col("n") * F.lit(-float(np.log(BUCKETS)))
     best = F.array_max("ll")
     scored = (scored.withColumn("worded", (F.col("n") > 0) & (best >= uniform))
-              .withColumn("domain", F.regexp_extract("host", r"([^.]+\.[^.]+|[^.]+)$", 1))
-              .withColumn("suffix", F.when(F.instr("host", ".") > 0, F.substring_index("host", ".", -1))))
+              .withColumn("domain", host_domain(F.col("host")))
+              .withColumn("suffix", F.when((F.instr("host", ".") > 0) & ~_numeric(F.col("host")), F.substring_index("host", ".", -1))))
     scored = materialise(spark, scored, "language-rows")
     tongues = range(k)
 
@@ -182,7 +224,9 @@ def identify(spark: SparkSession, docs: DataFrame, text: Column, declared: Colum
     for by, weight in (("declared", 1.0), ("suffix", SUFFIX_WEIGHT)):
         table = materialise(spark, _sums(scored, by, k), f"language-{by}")
         values = max(table.count(), 1)
-        given = [(F.col(f"s{i}") + F.lit(1.0 / values)) / F.lit(mass[i] + 1.0) for i in tongues]
+        weight_of, own_share = (KAPPA, TRUST) if by == "declared" else (1.0, 0.0)
+        given = [(F.col(f"s{i}") + F.lit(weight_of) * (F.lit((1 - own_share) / values)
+                  + F.when(F.col(by) == model.languages[i], own_share).otherwise(0.0))) / F.lit(mass[i] + weight_of) for i in tongues]
         table = table.select(F.col(by).alias(f"{by}_value"), F.array(*[F.log(g) for g in given]).alias(f"{by}_log"))
         joined = join_small(joined, table, F.col(by) == F.col(f"{by}_value"))
         evidence = [e + F.lit(weight) * F.coalesce(F.col(f"{by}_log")[i], F.lit(0.0)) for i, e in enumerate(evidence)]
