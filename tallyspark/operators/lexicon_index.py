@@ -5,8 +5,8 @@ often however common the phrase's first letters are. Three steps:
 
 1. The lexicon's grams are counted in all texts: numpy over batches inside the tasks, (gram, count) pairs summed by a shuffle.
 2. A phrase with a gram that occurs nowhere can't occur and is left out; of the others each takes its rarest gram.
-3. The index, in pieces of at most ``PIECE`` phrases, is broadcast; texts look their grams up and compare the phrase at the place that
-   the gram's offset gives. The result is a column: texts meet no join and no exchange.
+3. The index, in pieces of at most ``PIECE`` phrases, is broadcast; texts look their grams up (a table of bits lets few others through)
+   and compare the phrases at the places that the grams' offsets give, by numpy, a character of all candidates at a time. The result is a column: texts meet no join and no exchange.
 
 Equal results to testing every phrase in every text. Grams are told apart by 64-bit hashes; a clash costs a comparison only.
 """
@@ -26,15 +26,15 @@ from ..session import shared_path
 GRAM = 4
 #: Phrases of a broadcast piece (about 200 bytes each); a longer lexicon takes several pieces, one after the other in each row.
 PIECE = 250_000
-#: Characters looked up at a time.
-CHUNK = 1 << 20
+#: Characters looked up at a time: their hashes fit a core's cache.
+CHUNK = 1 << 16
 HIT = "struct<ord:bigint,category:string,phrase:string,severity:string,alternative:string>"
 _HIT_ARROW = pa.list_(pa.struct([("ord", pa.int64()), *[(n, pa.string()) for n in ("category", "phrase", "severity", "alternative")]]))
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def code_points(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 
 
 def grams(points: np.ndarray, n: int) -> np.ndarray:
@@ -42,11 +42,34 @@ def grams(points: np.ndarray, n: int) -> np.ndarray:
     count = max(0, len(points) - n + 1)
     found = np.full(count, n, np.uint64)
     for i in range(n):
-        found = (found ^ points[i:i + count]) * _ODD
-        found ^= found >> np.uint64(29)
+        found *= _ODD
+        found += points[i:i + count]
+    found *= _ODD  # the upper bits depend on all characters
     return found
 
 
+class Grams:
+    """A sorted set of gram hashes: which runs of a text are in it, and which of them they are."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        bits = min(22, max(10, int(len(keys)).bit_length() + 4))  # about one run in sixteen, or fewer, passes by chance
+        self.shift = np.uint64(64 - bits)
+        self.known = np.zeros(1 << bits, bool)
+        self.known[keys >> self.shift] = True
+
+    def found(self, points: np.ndarray, lengths: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        """(places, numbers of the keys that start there, length of these) for ``CHUNK`` characters at a time."""
+        for n in lengths if len(self.keys) else ():
+            for at in range(0, len(points), CHUNK):
+                run = grams(points[at:at + CHUNK + n - 1], n)
+                place = np.flatnonzero(self.known[run >> self.shift])
+                run = run[place]
+                number = np.minimum(np.searchsorted(self.keys, run), len(self.keys) - 1)
+                same = self.keys[number] == run
+                yield place[same] + at, number[same], n
+
+
 def _parts(texts: list[str | None]) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
     """The texts joined in parts of about ``CHUNK`` characters: (part, first character of each text, number of each text)."""
     held, starts, numbers, size = [], [], [], 0
@@ -67,37 +90,49 @@ class Piece:
     """Phrases by their rarest grams."""
 
     def __init__(self, entries: list[tuple]):
-        entries = sorted(entries, key=lambda e: e[0])  # (gram, its offset, lower-case phrase, hit)
-        self.keys = np.array([e[0] for e in entries], np.int64).view(np.uint64) if entries else np.zeros(0, np.uint64)
-        order = np.argsort(self.keys, kind="stable")
-        self.keys = self.keys[order]
-        self.entries = [entries[i][1:] for i in order]
-        self.lengths = sorted({min(GRAM, len(e[1])) for e in self.entries})
-
-    def find(self, texts: list[str | None]) -> list[list[dict]]:
-        out: list[set] = [set() for _ in texts]
+        entries = sorted(entries, key=lambda e: (e[3]["ord"], e[3]["category"] or "", e[3]["phrase"], e[3]["severity"] or "", e[3]["alternative"] or ""))
+        self.hits = pa.array([e[3] for e in entries], _HIT_ARROW.value_type)  # (gram, its offset, lower-case phrase, hit), numbered in the order of the results
+        self.phrases = [e[2] for e in entries]
+        self.offsets = np.array([e[1] for e in entries], np.int64)
+        self.sizes = np.array([len(p) for p in self.phrases], np.int64)
+        self.points = np.concatenate([np.zeros(0, "<u4"), *map(code_points, self.phrases)])
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        keys = np.array([e[0] for e in entries], np.int64).view(np.uint64)
+        self.by_key = np.argsort(keys, kind="stable")
+        distinct, self.first, self.many = np.unique(keys[self.by_key], return_index=True, return_counts=True)
+        self.grams = Grams(distinct)
+        self.lengths = sorted({min(GRAM, len(p)) for p in self.phrases})
+
+    def find(self, texts: list[str | None]) -> pa.Array:
+        """The phrases in each text, in the order of the results: an array of numbers of phrases."""
+        pairs = [np.zeros(0, np.int64)]  # text * phrases + phrase
         for part, starts, numbers in _parts(texts):
             points = code_points(part)
-            for n in self.lengths:
-                for at in range(0, len(points), CHUNK):
-                    self._look_up(part, points[at:at + CHUNK + n - 1], at, n, starts, numbers, out)
-        key = lambda h: (h["ord"], h["category"] or "", h["phrase"], h["severity"] or "", h["alternative"] or "")
-        return [sorted((self.entries[i][2] for i in found), key=key) for found in out]
-
-    def _look_up(self, part, points, shift, n, starts, numbers, out) -> None:
-        found = grams(points, n)
-        low = np.searchsorted(self.keys, found, "left")
-        hit = np.flatnonzero(self.keys[np.minimum(low, len(self.keys) - 1)] == found)
-        low, high = low[hit], np.searchsorted(self.keys, found[hit], "right")
-        place = hit + shift
-        owner = np.searchsorted(starts, place, "right") - 1
-        for at, a, b, own in zip(place.tolist(), low.tolist(), high.tolist(), owner.tolist(), strict=True):
-            begin, end, known = starts[own], starts[own + 1], out[numbers[own]]
-            for i in range(a, b):
-                offset, phrase, _ = self.entries[i]
-                start = at - offset
-                if i not in known and start >= begin and start + len(phrase) <= end and part.startswith(phrase, start):
-                    known.add(i)
+            for place, number, _ in self.grams.found(points, self.lengths):
+                pairs.append(self._verified(points, place, number, starts, numbers))
+        pairs = np.unique(np.concatenate(pairs))
+        text, phrase = np.divmod(pairs, max(1, len(self.phrases)))
+        ends = np.searchsorted(text, np.arange(len(texts) + 1))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(phrase, pa.int64()))
+
+    def _verified(self, points, place, number, starts, numbers) -> np.ndarray:
+        """Candidates whose whole phrase stands at its place, inside one text."""
+        many = self.many[number]
+        nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        phrase = self.by_key[np.repeat(self.first[number], many) + nth]
+        start = np.repeat(place, many) - self.offsets[phrase]
+        owner = np.searchsorted(starts, np.repeat(place, many), "right") - 1
+        inside = (start >= starts[owner]) & (start + self.sizes[phrase] <= starts[owner + 1])
+        phrase, start, owner = phrase[inside], start[inside], owner[inside]
+        right, at = [np.zeros(0, np.int64)], 0
+        while len(phrase):  # one character of all candidates at a time; those that differ go
+            same = points[start + at] == self.points[self.begins[phrase] + at]
+            phrase, start, owner, at = phrase[same], start[same], owner[same], at + 1
+            done = self.sizes[phrase] == at
+            if done.any():
+                right.append(numbers[owner[done]] * len(self.phrases) + phrase[done])
+                phrase, start, owner = phrase[~done], start[~done], owner[~done]
+        return np.unique(np.concatenate(right))
 
 
 def _grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,19 +153,15 @@ def gram_counts(texts: DataFrame, low: str, wanted: np.ndarray, lengths: list[in
     known = texts.sparkSession.sparkContext.broadcast(wanted)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = known.value
-        total = np.zeros(len(keys), np.int64)
+        wanted = Grams(known.value)
+        total = np.zeros(len(wanted.keys), np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                points = code_points(text or "")
-                for n in lengths:
-                    for at in range(0, len(points), CHUNK):
-                        found = grams(points[at:at + CHUNK + n - 1], n)
-                        place = np.searchsorted(keys, found)
-                        place = place[keys[np.minimum(place, len(keys) - 1)] == found]
-                        total += np.bincount(place, minlength=len(keys))
+            for part, starts, _ in _parts(batch.column(0).to_pylist()):
+                for place, number, n in wanted.found(code_points(part), lengths):
+                    whole = place + n <= starts[np.searchsorted(starts, place, "right")]  # not over the end of a text
+                    total += np.bincount(number[whole], minlength=len(total))
         some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(keys[some].view(np.int64)), pa.array(total[some])], names=["gram", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(wanted.keys[some].view(np.int64)), pa.array(total[some])], names=["gram", "n"])
 
     return texts.select(low).mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
@@ -160,7 +191,8 @@ def rare_gram_index(texts: DataFrame, low: str, lexicon: DataFrame) -> DataFrame
 def _finder(held):
     @F.arrow_udf(f"array<{HIT}>")
     def find(texts: pa.Array) -> pa.Array:
-        return pa.array(held.value.find(texts.to_pylist()), _HIT_ARROW)
+        numbers = held.value.find(texts.to_pylist())
+        return pa.ListArray.from_arrays(numbers.offsets, held.value.hits.take(numbers.values))
 
     return find
 
