@@ -45,9 +45,10 @@ def compliance_scan_table(df: DataFrame, text_col: str, lexicon_df: DataFrame, u
     Up to ``unroll_max`` phrases are collected (a bounded number) and unrolled into the projection. A longer lexicon goes through the
     rare-gram index of :mod:`lexicon_index`: the same columns, and no text in a join or an exchange."""
     lex = lexicon_df.select("ord", "category", "phrase", "severity", "alternative")
-    rows = lex.orderBy("ord").limit(unroll_max + 1).collect()
-    if len(rows) <= unroll_max:
-        return compliance_scan(df, text_col, [tuple(r) for r in rows])
+    if unroll_max > 0:
+        rows = lex.orderBy("ord").limit(unroll_max + 1).collect()
+        if len(rows) <= unroll_max:
+            return compliance_scan(df, text_col, [tuple(r) for r in rows])
     lowered = df.withColumn("_low", F.lower(F.col(text_col)))
     found = lowered.withColumn("_hits", phrase_hits(lowered, "_low", lex)).drop("_low")
     issues = F.transform("_hits", lambda h: F.struct(

@@ -1,10 +1,11 @@
 """T5/S7 for lexicons of any length: a rare-gram index, with phrases verified where the texts are read.
 
-Each phrase is keyed by one of its runs of ``GRAM`` characters, the one that occurs least often in the texts, so that no key is met
-often however common the phrase's first letters are. Three steps:
+Each phrase is keyed by one of its runs of so many characters (the longest of ``RUNS`` that it holds), the one that occurs least often in
+the texts, so that no key is met often however common the phrase's first letters are. Three steps:
 
 1. The lexicon's grams are counted in all texts: numpy over batches inside the tasks, (gram, count) pairs summed by a shuffle.
-2. A phrase with a gram that occurs nowhere can't occur and is left out; of the others each takes its rarest gram.
+2. A phrase with a gram that occurs nowhere can't occur and is left out; of the others each takes its rarest gram, of
+   equally rare ones the last (beginnings are shared more often).
 3. The index, in pieces of at most ``PIECE`` phrases, is broadcast; texts look their grams up (a table of bits lets few others through)
    and compare the phrases at the places that the grams' offsets give, by numpy, a character of all candidates at a time. The result is a column: texts meet no join and no exchange.
 
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 
 from ..session import shared_path
 
-GRAM = 4
+#: Lengths of the keys; texts are looked up once for each length that the lexicon needs.
+RUNS = (6, 4, 3, 2, 1)
 #: Phrases of a broadcast piece (about 200 bytes each); a longer lexicon takes several pieces, one after the other in each row.
 PIECE = 250_000
 #: Characters looked up at a time: their hashes fit a core's cache.
@@ -48,6 +50,10 @@ def grams(points: np.ndarray, n: int) -> np.ndarray:
     return found
 
 
+def run_length(phrase: str) -> int:
+    return next(n for n in RUNS if n <= len(phrase))
+
+
 class Grams:
     """A sorted set of gram hashes: which runs of a text are in it, and which of them they are."""
 
@@ -86,6 +92,12 @@ def _parts(texts: list[str | None]) -> Iterator[tuple[str, np.ndarray, np.ndarra
         yield "".join(held), np.array([*starts, size]), np.array(numbers)
 
 
+def _distinct(parts: list[np.ndarray]) -> np.ndarray:
+    """The numbers of the parts (none below 0), sorted, each once."""
+    numbers = np.sort(np.concatenate(parts))
+    return numbers[np.flatnonzero(np.diff(numbers, prepend=-1))]
+
+
 class Piece:
     """Phrases by their rarest grams."""
 
@@ -101,7 +113,7 @@ class Piece:
         self.by_key = np.argsort(keys, kind="stable")
         distinct, self.first, self.many = np.unique(keys[self.by_key], return_index=True, return_counts=True)
         self.grams = Grams(distinct)
-        self.lengths = sorted({min(GRAM, len(p)) for p in self.phrases})
+        self.lengths = sorted({run_length(p) for p in self.phrases})
 
     def find(self, texts: list[str | None]) -> pa.Array:
         """The phrases in each text, in the order of the results: an array of numbers of phrases."""
@@ -110,8 +122,7 @@ class Piece:
             points = code_points(part)
             for place, number, _ in self.grams.found(points, self.lengths):
                 pairs.append(self._verified(points, place, number, starts, numbers))
-        pairs = np.unique(np.concatenate(pairs))
-        text, phrase = np.divmod(pairs, max(1, len(self.phrases)))
+        text, phrase = np.divmod(_distinct(pairs), max(1, len(self.phrases)))
         ends = np.searchsorted(text, np.arange(len(texts) + 1))
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(phrase, pa.int64()))
 
@@ -132,7 +143,7 @@ class Piece:
             if done.any():
                 right.append(numbers[owner[done]] * len(self.phrases) + phrase[done])
                 phrase, start, owner = phrase[~done], start[~done], owner[~done]
-        return np.unique(np.concatenate(right))
+        return _distinct(right)
 
 
 def _grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,7 +151,7 @@ def _grams_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         no, gram, offset = [], [], []
         for i, low in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            found = grams(code_points(low), min(GRAM, len(low))).view(np.int64)
+            found = grams(code_points(low), run_length(low)).view(np.int64)
             no += [i] * len(found)
             gram += found.tolist()
             offset += range(len(found))
@@ -179,11 +190,12 @@ def rare_gram_index(texts: DataFrame, low: str, lexicon: DataFrame) -> DataFrame
     each = spark.read.schema("no long, gram long, offset int").parquet(f"{path}/grams")
     # distinct grams of a lexicon: bounded by the runs that its alphabet's words have, 8 bytes each
     wanted = np.sort(each.select("gram").distinct().toArrow()["gram"].to_numpy().view(np.uint64))
-    lengths = [r[0] for r in phrases.select(F.least(F.length("low"), F.lit(GRAM))).distinct().collect()]
+    run = F.coalesce(*[F.when(F.length("low") >= n, F.lit(n)) for n in RUNS])
+    lengths = [r[0] for r in phrases.select(run).distinct().collect()]
     counts = gram_counts(texts, low, wanted, lengths)
     placed = each.join(counts, "gram", "left").groupBy("no").agg(
-        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "gram")).alias("rare")).filter("rare.n > 0")
-    index = placed.join(phrases, "no").select("rare.gram", "rare.offset", "low", "hit", "no")
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), (-F.col("offset")).alias("back"), "gram")).alias("rare")).filter("rare.n > 0")
+    index = placed.join(phrases, "no").select("rare.gram", (-F.col("rare.back")).alias("offset"), "low", "hit", "no")
     index.write.parquet(f"{path}/index")
     return spark.read.schema(index.schema).parquet(f"{path}/index")
 

@@ -49,3 +49,15 @@ def test_gram_hashes_differ_by_length():
     points = LI.code_points("aaaaaaaa")
     assert len({int(LI.grams(points, n)[0]) for n in (1, 2, 3, 4)}) == 4
     assert len(LI.grams(points, 4)) == 5 and not len(LI.grams(points[:2], 4)) and np.unique(LI.grams(points, 3)).size == 1
+
+
+def test_find_numbers_hits_in_lexicon_order_once_each():
+    phrases = ["abcdef", "cdefgh", "bcd", "zz", "abcdefabcdef"]
+    entries = [(int(LI.grams(LI.code_points(p), LI.run_length(p)).view(np.int64)[-1]), len(p) - LI.run_length(p), p,
+                {"ord": 9 - i, "category": None, "phrase": p, "severity": None, "alternative": None}) for i, p in enumerate(phrases)]
+    piece = LI.Piece(entries)
+    texts = ["abcdef" * 1000, None, "", "abc", "def", "xbcdefgh", "z", "zz" * 5]
+    named = [[piece.phrases[i] for i in found] for found in piece.find(texts).to_pylist()]
+    assert piece.lengths == [2, 3, 6]
+    assert named == [["abcdefabcdef", "bcd", "abcdef"], [], [], [], [], ["bcd", "cdefgh"], [], ["zz"]]  # none over the end of a text
+    assert LI.Piece([]).find(["a"]).to_pylist() == [[]]
