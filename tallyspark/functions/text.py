@@ -59,13 +59,11 @@ def script_counts(col) -> tuple[Column, Column]:
 
 
 def with_script_counts(df, col, mn_name: str = "mn_chars", latin_name: str = "latin_chars"):
-    """``script_counts`` with the intermediate string materialised as a column (computed once)."""
-    c = _c(col)
-    out = df.withColumn("_rest_mn", F.translate(c, P.MN_LETTER_CHARS, ""))
-    rest = F.col("_rest_mn")
-    return (out.withColumn(mn_name, F.length(c) - F.length(rest))
-               .withColumn(latin_name, F.length(rest) - F.length(F.translate(rest, P.LATIN_CHARS, "")))
-               .drop("_rest_mn"))
+    """``script_counts`` as columns, counted an Arrow batch at a time."""
+    from . import scan
+    out = df.withColumn("_letters", scan.letters(_c(col)))
+    return (out.withColumn(mn_name, F.col("_letters.mn").cast("int")).withColumn(latin_name, F.col("_letters.latin").cast("int"))
+               .drop("_letters"))
 
 
 def dominant_language(col) -> Column:
@@ -78,12 +76,6 @@ def mostly_english(col, k: float) -> Column:
     return latin_count(col) > mongolian_count(col) * F.lit(k)
 
 
-def mongolian_share(col) -> Column:
-    """Share of characters in the Cyrillic/digit/space/punctuation class."""
-    c = _c(col)
-    return count_chars(c, P.MN_SHARE_CHARS) / F.greatest(F.length(c), F.lit(1))
-
-
 # --- PII -------------------------------------------------------------------
 
 def has_phone(col) -> Column:

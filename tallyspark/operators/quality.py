@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import credit as C
+from ..functions import scan as SC
 from ..functions import text as TX
 from ..functions.templating import render
 from . import templates_v2 as T2
@@ -29,21 +30,20 @@ ROLE_SEQUENCE = ["system", "user", "assistant"]
 # ---------------------------------------------------------------------------
 
 
-def _first_hit(text_low: Column, items, msg) -> Column:
-    out = None
-    for it in items:
-        cond = text_low.contains(F.lit(it.lower()))
-        out = F.when(cond, F.lit(msg.format(it))) if out is None else out.when(cond, F.lit(msg.format(it)))
-    return out
+def _first_held(held, items, msg) -> Column:
+    """The message of the first phrase of ``items`` that the text holds, by ``held``: phrase -> Column."""
+    return F.coalesce(*[F.when(held(it), F.lit(msg.format(it))) for it in items])
+
 
+def _with_facts(df: DataFrame, low, verbatim, values=()) -> DataFrame:
+    """``_facts`` of the assistant's text, and its letter counts as columns of their own."""
+    df = df.withColumn("_facts", SC.facts(F.col("assistant"), low, verbatim, list(values)))
+    return df.withColumns({"mn_chars": F.col("_facts.mn").cast("int"), "_latin": F.col("_facts.latin").cast("int")})
 
-def metric_term_count(text) -> Column:
-    """How many of the 8 metric terms occur in the lower-cased text."""
-    low = F.lower(F.col(text) if isinstance(text, str) else text)
-    total = F.lit(0)
-    for t in V2_METRIC_TERMS:
-        total = total + low.contains(F.lit(t)).cast("int")
-    return total
+
+def metric_term_count(held) -> Column:
+    """How many of the 8 metric terms the lower-cased text holds, by ``held``: phrase -> Column."""
+    return sum((held(t).cast("int") for t in V2_METRIC_TERMS), F.lit(0))
 
 
 def role_sequence_ok(messages: Column) -> Column:
@@ -53,11 +53,11 @@ def role_sequence_ok(messages: Column) -> Column:
 
 def v2_violations(df: DataFrame, roles_ok: Column | None = None) -> DataFrame:
     """Q1 over flat v2 records (domain, source, contains_pii, assistant, numeric_example)."""
-    df = (TX.with_script_counts(df, F.col("assistant"), "mn_chars", "_latin")
-            .withColumn("_low", F.lower(F.col("assistant")))
-            .withColumn("metric_terms", metric_term_count(F.col("_low"))))
-    out = F.col("assistant")
-    low = F.col("_low")
+    asked = [*V2_METRIC_TERMS, *V2_FORBIDDEN, V2_RISK_WORD]
+    df = _with_facts(df, asked, V2_MEMO_REQUIRED)
+    held = lambda p: SC.bit(F.col("_facts.low"), asked.index(p))
+    df = df.withColumn("metric_terms", metric_term_count(held))
+    named = lambda p: SC.bit(F.col("_facts.verbatim"), V2_MEMO_REQUIRED.index(p))
     mn = F.col("mn_chars")
     rules = [
         F.when(~F.coalesce(F.col("domain").isin(*T2.TASKS), F.lit(False)),
@@ -66,42 +66,28 @@ def v2_violations(df: DataFrame, roles_ok: Column | None = None) -> DataFrame:
         F.when(~F.col("source").eqNullSafe(T2.SOURCE), F.lit("unexpected source metadata")),
         F.when(~(roles_ok if roles_ok is not None else F.lit(True)),
                F.lit("messages must use system/user/assistant format")),
-        _first_hit(low, V2_FORBIDDEN, "forbidden text found: {}"),
+        _first_held(held, V2_FORBIDDEN, "forbidden text found: {}"),
         F.when(F.col("_latin") > mn * F.lit(0.35), F.lit("assistant output is mostly English")),
         F.when(mn < 80, F.lit("assistant output is shorter than 80 Mongolian characters")),
-        F.when(~low.contains(V2_RISK_WORD) & ~F.col("domain").eqNullSafe(V2_RISK_EXEMPT_DOMAIN),
+        F.when(~held(V2_RISK_WORD) & ~F.col("domain").eqNullSafe(V2_RISK_EXEMPT_DOMAIN),
                F.lit("risk level or risk discussion is missing")),
         F.when(F.col("domain") == "credit_memo",
-               F.coalesce(*[F.when(~out.contains(F.lit(r)), F.lit(f"credit memo missing required field: {r}"))
+               F.coalesce(*[F.when(~named(r), F.lit(f"credit memo missing required field: {r}"))
                             for r in V2_MEMO_REQUIRED])),
         F.when(F.col("numeric_example").eqNullSafe(True) & (F.col("metric_terms") < 1),
                F.lit("numeric example has no calculated metric")),
     ]
     return (df.withColumn("violations", F.array_compact(F.array(*rules)))
-              .withColumn("first_violation", F.get(F.col("violations"), 0)).drop("_latin", "_low"))
+              .withColumn("first_violation", F.get(F.col("violations"), 0)).drop("_latin", "_facts"))
 
 
 # --- v3 -----------------------------------------------------------------------------
 
-def prompt_figures(prompt, lowered: bool = False) -> dict:
-    """The six labelled integers of a v3 prompt (null when absent), matched case-insensitively.
-
-    With ``lowered=True`` the column is already lower-cased; the labels are then
-    matched case-sensitively in lower case, which finds the same first match and
-    lets the regex engine skip ahead on the literal label."""
-    p = F.col(prompt) if isinstance(prompt, str) else prompt
-    out = {}
-    for key, label, unit in T3.PROMPT_FIGURES:
-        pat = (f"(?U){label.lower()}[{_ws()}]+(\\d+)[{_ws()}]+{unit.lower()}" if lowered
-               else f"(?iU){label}[{_ws()}]+(\\d+)[{_ws()}]+{unit}")
-        s = F.regexp_extract(p, pat, 1)
-        out[key] = F.when(s != "", s.try_cast("bigint"))
-    return out
-
-
-def _ws():
-    from ..functions.patterns import WS
-    return WS
+def with_prompt_figures(df: DataFrame, prompt: Column) -> tuple[DataFrame, dict]:
+    """The six labelled integers of a v3 prompt (null when absent), matched case-insensitively, as columns ``_f_<key>``."""
+    df = df.withColumn("_figures", SC.figures(prompt, T3.PROMPT_FIGURES))
+    df = df.withColumns({f"_f_{k}": F.col(f"_figures.{k}").try_cast("bigint") for k, _l, _u in T3.PROMPT_FIGURES}).drop("_figures")
+    return df, {k: F.col(f"_f_{k}") for k, _l, _u in T3.PROMPT_FIGURES}
 
 
 def missing_figure(figs: dict) -> Column:
@@ -127,13 +113,9 @@ def expected_metrics(figs: dict) -> dict:
     }
 
 
-def metric_matches(output: Column, metrics: dict, low: Column | None = None) -> Column:
-    """Q4: labels whose lower-case occurs in the lower-cased output and whose value occurs verbatim."""
-    low = F.lower(output) if low is None else low
-    total = F.lit(0)
-    for label, value in metrics.items():
-        total = total + F.coalesce((low.contains(F.lit(label.lower())) & output.contains(value)), F.lit(False)).cast("int")
-    return total
+def metric_matches(labels, held, shown) -> Column:
+    """Q4: labels that the lower-cased output holds (``held``) and whose value it shows verbatim (``shown``)."""
+    return sum((F.coalesce(held(lab) & shown(lab), F.lit(False)).cast("int") for lab in labels), F.lit(0))
 
 
 def v3_violations(df: DataFrame) -> DataFrame:
@@ -141,22 +123,20 @@ def v3_violations(df: DataFrame) -> DataFrame:
 
     Prompt figures, expected metric texts and counts are materialised as columns
     first, so each rule references them instead of re-deriving them."""
-    df = df.withColumn("_user_low", F.lower(F.col("user")))
-    figs = prompt_figures(F.col("_user_low"), lowered=True)
-    for k, v in figs.items():
-        df = df.withColumn(f"_f_{k}", v)
-    fcols = {k: F.col(f"_f_{k}") for k in figs}
+    df, fcols = with_prompt_figures(df, F.col("user"))
     metrics = expected_metrics(fcols)
     labels = list(metrics)
     for i, lab in enumerate(labels):
         df = df.withColumn(f"_m{i}", metrics[lab])
     mcols = {lab: F.col(f"_m{i}") for i, lab in enumerate(labels)}
     out = F.col("assistant")
-    df = (TX.with_script_counts(df, out, "mn_chars", "_latin")
-            .withColumn("_low", F.lower(out))
-            .withColumn("metric_matches", metric_matches(out, mcols, F.col("_low")))
+    asked = [*T3.BAD_PHRASES, *labels]
+    df = _with_facts(df, asked, T3.REQUIRED_NUMERIC_FIELDS, list(mcols.values()))
+    held = lambda p: SC.bit(F.col("_facts.low"), asked.index(p))
+    named = lambda f: SC.bit(F.col("_facts.verbatim"), T3.REQUIRED_NUMERIC_FIELDS.index(f))
+    shown = lambda lab: SC.bit(F.col("_facts.values"), labels.index(lab))
+    df = (df.withColumn("metric_matches", metric_matches(labels, held, shown))
             .withColumn("_fig_missing", missing_figure(fcols)))
-    low = F.col("_low")
     mn = F.col("mn_chars")
     dom = F.col("domain")
     numeric = dom.isin(*T3.NUMERIC_DOMAINS)
@@ -167,29 +147,29 @@ def v3_violations(df: DataFrame) -> DataFrame:
                F.coalesce(F.concat(F.lit("unknown domain '"), dom, F.lit("'")), F.lit("unknown domain None"))),
         F.when(~F.col("source").eqNullSafe(T3.SOURCE), F.lit("unexpected source")),
         F.when(~F.col("contains_pii").eqNullSafe(False), F.lit("contains_pii must be false")),
-        F.when(TX.has_think_tag_regex(out), F.lit("thinking tag found")),
-        _first_hit(low, T3.BAD_PHRASES, "banned phrase found: {}"),
+        F.when(out.contains("<") & TX.has_think_tag_regex(out), F.lit("thinking tag found")),
+        _first_held(held, T3.BAD_PHRASES, "banned phrase found: {}"),
         F.when(F.col("_latin") > mn * F.lit(0.25), F.lit("output is mostly English")),
         F.when((dom == "credit_memo_numeric") & (mn < 250),
                F.lit("credit memo output shorter than 250 Mongolian characters")),
-        F.when(strict, F.coalesce(*[F.when(~out.contains(F.lit(f)), F.lit(f"missing required numeric field: {f}"))
+        F.when(strict, F.coalesce(*[F.when(~named(f), F.lit(f"missing required numeric field: {f}"))
                                     for f in T3.REQUIRED_NUMERIC_FIELDS])),
         F.when(numeric, fig_missing),
         F.when(numeric & strict & fig_missing.isNull(),
-               F.coalesce(*[F.when(~out.contains(mcols[lab]),
+               F.coalesce(*[F.when(~shown(lab),
                                    F.concat(F.lit(f"metric mismatch for {lab}: expected "), mcols[lab]))
                             for lab in T3.STRICT_METRIC_LABELS])),
         F.when(numeric & fig_missing.isNull() & (F.col("metric_matches") < 3),
                F.lit("numeric output has fewer than 3 calculated metric matches")),
     ]
-    tmp = [c for c in df.columns if c.startswith("_f_") or c.startswith("_m")] + ["_latin", "_fig_missing", "_low", "_user_low"]
+    tmp = [c for c in df.columns if c.startswith("_f_") or c.startswith("_m")] + ["_latin", "_fig_missing", "_facts"]
     return (df.withColumn("violations", F.array_compact(F.array(*rules)))
               .withColumn("first_violation", F.get(F.col("violations"), 0)).drop(*tmp))
 
 
 def figures_roundtrip(df: DataFrame, keys=("gidx",)) -> DataFrame:
     """G6 -> T23: parse the rendered prompt back and compare with the scenario figures."""
-    figs = prompt_figures(F.col("user"))
+    df, figs = with_prompt_figures(df, F.col("user"))
     ok = F.lit(True)
     for k, _l, _u in T3.PROMPT_FIGURES:
         ok = ok & F.coalesce(figs[k] == F.col(k), F.lit(False))

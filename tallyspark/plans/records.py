@@ -27,7 +27,7 @@ from ..operators import templates_v3 as T3
 from ..session import shared_path
 from ..sources import dims as DM
 from ..sources import jsonl as JS
-from ..sources.tables import spread, table
+from ..sources.tables import dealt, spread, table
 from .registry import _extraction_cols, _join, generated, query
 
 # --- a caller's dictionaries --------------------------------------------------------------------------------------
@@ -161,7 +161,7 @@ REQUEST = """concat('Сайн байна уу. ',
 
 
 def loan_requests(spark, sf_dir):
-    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"))
+    orders = dealt(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"))
     return orders.select("o_orderkey", F.expr(REQUEST).alias("text"))
 
 
@@ -244,8 +244,8 @@ def v2_files(spark, sf_dir):
     return rows.withColumn("messages", F.when(F.col("idx") % 40 == REVERSED, F.reverse("messages")).otherwise(F.col("messages")))
 
 
-def v3_files(spark, sf_dir):
-    return _files(damaged(generated(spark, sf_dir, "v3"), DAMAGE_V3, "gidx"), ["numeric_example"])
+def v3_files(spark, sf_dir, lay_out=None):
+    return _files(damaged(generated(spark, sf_dir, "v3", lay_out=lay_out), DAMAGE_V3, "gidx"), ["numeric_example"])
 
 
 def gate_v2(files: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import corpus
-from ..sources.tables import spread, table
+from ..sources.tables import dealt, spread, table
 
 QUERIES: dict = {}
 
@@ -67,9 +67,12 @@ def v3_corpus(spark, sf_dir):
     return G.sft_v3(table(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).alias("gidx")))
 
 
-def generated(spark, sf_dir, version, fn=None):
-    """Generated records (texts by the content dimension), with ``fn``, a rule or gate, applied to every record."""
-    orders = spread(table(spark, sf_dir, "orders").select("o_orderkey"))  # keys only: the texts are made after
+def generated(spark, sf_dir, version, fn=None, lay_out=None):
+    """Generated records (texts by the content dimension), with ``fn``, a rule or gate, applied to every record.
+    ``lay_out``: what deals the keys to tasks, instead of even parts."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")  # keys only: the texts are made after
+    if lay_out is None:
+        orders = dealt(orders)
     if version == "v1":
         keys, content = G.v1_keys(orders.select(F.col("o_orderkey").alias("idx"))), G.content_v1(spark)
         meta = [F.lit(T1V.SOURCE).alias("source"), F.lit(T1V.LICENSE_STATUS).alias("license_status"),
@@ -82,6 +85,8 @@ def generated(spark, sf_dir, version, fn=None):
         keys, content = G.v3_keys(orders.select((F.col("o_orderkey") + 1).alias("gidx"))), G.content_v3(spark)
         meta = [F.lit(T3.SOURCE).alias("source"), F.lit(False).alias("contains_pii"),
                 (F.col("domain") != "missing_documents_request").alias("numeric_example")]
+    if lay_out is not None:
+        keys = lay_out(keys)
     records = G.attach(keys, content.select("*", *meta))
     return fn(records) if fn is not None else records
 
