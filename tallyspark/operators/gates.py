@@ -110,7 +110,9 @@ def preference_pair_gate(df: DataFrame, lexicon=None) -> DataFrame:
     answer must be compliant and the rejected one non-compliant under the lexicon scan."""
     from ..functions import lending as L
     present = provenance_missing(("chosen", "rejected", "rationale", "compliance_category"))
-    return (df.withColumn("missing_fields", present)
-              .withColumn("chosen_safe", F.size(L.compliance_issues(F.col("chosen"), lexicon)) == 0)
-              .withColumn("rejected_unsafe", F.size(L.compliance_issues(F.col("rejected"), lexicon)) > 0)
+    low = df.withColumns({"_chosen_low": F.lower("chosen"), "_rejected_low": F.lower("rejected")})  # one lower() a text for all phrases
+    return (low.withColumn("missing_fields", present)
+              .withColumn("chosen_safe", F.size(L.compliance_issues(F.col("chosen"), lexicon, F.col("_chosen_low"))) == 0)
+              .withColumn("rejected_unsafe", F.size(L.compliance_issues(F.col("rejected"), lexicon, F.col("_rejected_low"))) > 0)
+              .drop("_chosen_low", "_rejected_low")
               .withColumn("pair_ok", (F.size("missing_fields") == 0) & F.col("chosen_safe") & F.col("rejected_unsafe")))
