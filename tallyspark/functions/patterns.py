@@ -72,13 +72,14 @@ def money_java() -> str:
 
 
 def loan_context_java() -> str:
-    # (?d): '.' excludes only '\n', like Python.
-    return (f"(?idU)(\\d[\\d,.{WS}]*)(?:[{WS}]*({UNIT_WORDS}))?"
+    # (?d): '.' excludes only '\n', like Python. Where a number fails, so does every later part of it, and where a part of its run of digits and
+    # separators would do, the whole run does: no start after a digit, and the run is never given back.
+    return (f"(?idU)(?<!\\d)(\\d[\\d,.{WS}]*+)(?:[{WS}]*({UNIT_WORDS}))?"
             f"(?:[{WS}]*(?:{CURRENCY_WORDS}))?.{{0,30}}(?:{LOAN_WORDS})")
 
 
 def term_java() -> str:
-    return f"(?iU)(\\d+)[{WS}]*({TERM_UNITS})"
+    return f"(?iU)(?<!\\d)(\\d++)[{WS}]*({TERM_UNITS})"
 
 
 def income_java() -> str:
