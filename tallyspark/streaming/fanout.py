@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import text as TX
 from ..operators import lending_jobs as LJ
 from ..session import shared_path
+from ..sources.tables import dealt
 
 
 def redacted_log(messages: DataFrame, key: str, text_col: str) -> DataFrame:
@@ -43,7 +44,7 @@ def write_batch(messages: DataFrame, batch_id: int, folder: str, made: dict[str,
     spark = messages.sparkSession
     kept = f"{folder}/input/batch={batch_id}"
     messages.write.mode("overwrite").parquet(kept)
-    once = spark.read.schema(messages.schema).parquet(kept)
+    once = dealt(spark.read.schema(messages.schema).parquet(kept))  # a batch's files may be few and large
     for name, make in made.items():
         make(once).write.mode("overwrite").parquet(f"{folder}/{name}/batch={batch_id}")
 
