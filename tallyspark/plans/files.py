@@ -52,7 +52,7 @@ def jsonl_lines(spark, sf_dir):
     path = fresh(spark, "lines")
     write_lines(d.select(F.lpad((F.col("doc_id") % LINE_FILES).cast("string"), 2, "0").alias("file"), F.col("doc_id").alias("ord"),
                          with_blanks(F.to_json(F.struct("doc_id", "source", "text")), F.col("doc_id") % 5 == 0).alias("lines")), path)
-    back = LN.read_jsonl_lines(spark, path, "doc_id long, source string, text string", SPLIT)
+    back = LN.read_jsonl_lines(spark, path, "doc_id long, source string, text string", LN.split_size(spark, path, SPLIT))
     return back.select("doc_id", F.regexp_extract("file", FILE_NO, 1).alias("file"), "line", "source", F.length("text").alias("n_chars"))
 
 
@@ -64,15 +64,19 @@ FAIL_SETS = {"early": "true", "late": f"gidx % {FAIL_FILES} >= 11 OR gidx % 40 >
 @query("quality_v3_first_failure")
 def quality_v3_first_failure(spark, sf_dir):
     """Q8, S3: three sets in files, checked until the first bad row: message with file and line, and how many files were read."""
-    rows = v3_files(spark, sf_dir)
-    blank = F.col("gidx") % 5 == 0
+    file = F.lpad((F.col("gidx") % FAIL_FILES).cast("string"), 2, "0")
+    lines = with_blanks(F.lit(None).cast("string"), F.col("gidx") % 5 == 0)  # null: the record's own line
     out = None
     for name, where in FAIL_SETS.items():
         path = fresh(spark, f"failfast-{name}")
-        record = F.to_json(F.struct(*rows.columns))
-        write_lines(rows.filter(where).select(F.lpad((F.col("gidx") % FAIL_FILES).cast("string"), 2, "0").alias("file"), F.col("gidx").alias("ord"),
-                                              with_blanks(record, blank).alias("lines")), path)
-        found = FF.first_failure(spark, path, f"gidx long, {JS.SFT_NESTED}", gate_v3, Q.quota_for_size, split_bytes=4 << 20)
+        # keys are dealt to files and sorted before they have texts, and kept: texts take part in no exchange or sort, and files are compressed
+        lay_out = lambda keys: (keys.filter(where).select("*", file.alias("file"), F.posexplode(lines).alias("seq", "line"))
+                                .repartition(F.col("file")).sortWithinPartitions("file", "gidx", "seq").checkpoint())
+        rows = v3_files(spark, sf_dir, lay_out)
+        record = F.to_json(F.struct(*[c for c in rows.columns if c not in ("file", "seq", "line")]))
+        (rows.select("file", F.coalesce("line", record).alias("value"))
+             .write.partitionBy("file").option("compression", "gzip").text(path))
+        found = FF.first_failure(spark, path, f"gidx long, {JS.SFT_NESTED}", gate_v3, Q.quota_for_size, split_bytes=4 << 20, deal=True)
         message = F.regexp_replace("message", r"^FAIL .*/file=(\d+)/[^:]*:", r"FAIL $1:")
         one = found.select(F.lit(name).alias("name"), "status", message.alias("message"), F.regexp_extract("file", FILE_NO, 1).alias("file"), "line",
                            "rows", F.array_join(F.array_sort(F.transform(F.map_entries("domains"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ";")

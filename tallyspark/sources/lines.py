@@ -33,6 +33,12 @@ def _with_splits(spark: SparkSession, split_bytes: int | None) -> SparkSession:
     return own
 
 
+def split_size(spark: SparkSession, path: str, least: int, splits_a_core: int = 32) -> int:
+    """Bytes of a split for all files of ``path``: some splits a core however large the files are, and ``least`` for small ones."""
+    total = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0  # sizes only, no content is read
+    return max(least, total // (splits_a_core * spark.sparkContext.defaultParallelism))
+
+
 def numbered_lines(spark: SparkSession, path: str | list[str], split_bytes: int | None = None) -> DataFrame:
     """(file, line, value): every physical line, blank ones too, numbered from 1 in its file."""
     meta = F.col("_metadata")
