@@ -1,6 +1,8 @@
+import random
 import re
 import time
 
+import pyarrow as pa
 import pytest
 
 from tallyspark.llm import surrogates as S
@@ -162,3 +164,34 @@ def test_documents(spark, sf):
     for r in got:
         assert (r.n_replaced == 0) == (r.text == before[r.doc_id])
         assert not {v for _, _, _, v, _ in S.entities(r.text)} & originals
+
+
+def test_the_batch_filter_passes_every_trigger():
+    """Texts without a trigger are left to one pass over the batch; all with a trigger, and few others, are looked at."""
+    random.seed(3)
+    keys = ["password", "PassWd", "pwd", "token", "\u017fecret", "to\u212aen", "api_key", "AP\u0130-KEY", "ap\u0131key", "apikey"]
+    blanks = ["", " ", "\t", "\x0b", "\x1c", "\x1f", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u2029", "\u202f", "\u205f", "\u3000", "\n"]
+    texts = ["", "@", "7", "\u0661", "plain words only", "a: b"] + [k + b + s for k in keys for b in blanks for s in ":=x"]
+    for name in [*S._TITLE, *S._GENDER]:
+        texts += [a + name + b for a in ("", " ", "x", "\u00e9", "_", "\u0416", "-") for b in ("", " ", "x", "\u00e9", "_", "\u0416", ".")]
+    parts = [*keys, *blanks, *S._TITLE, "Anna", "x", "\u00e9", ":", "="]
+    texts += ["".join(random.choices(parts, k=4)) for _ in range(20_000)]
+    near = set(S._close(pa.array(texts + [None], pa.string())).tolist())
+    wanted = {i for i, t in enumerate(texts) if S._TRIGGER.search(t)}
+    assert wanted <= near and not near & {0, 3, 4, 5, len(texts)}
+
+
+def test_plain_texts_are_not_looked_at_one_by_one(monkeypatch):
+    class Docs:
+        def mapInArrow(self, run, schema):
+            texts = pa.array(["of the token and the secret of markets"] * 500 + ["Mr Smith came"], pa.string())
+            marks = pa.array([0] * len(texts), pa.int64())
+            return [r for b in run(iter([pa.RecordBatch.from_arrays([marks, marks, texts], names=["m1", "m2", "text"])])) for r in b.to_pylist()]
+
+        def __getattr__(self, name):
+            return lambda *args: self
+
+    seen, entities = [], S.entities
+    monkeypatch.setattr(S, "entities", lambda text: seen.append(text) or entities(text))
+    found = S._mentions(Docs(), Docs(), [Docs(), Docs()])
+    assert [(r["kind"], r["value"]) for r in found] == [("surname-latin", "Smith")] and len(seen) == 1
