@@ -2,8 +2,8 @@
 
 The library takes about a second per MB. Both vocabularies split a text into pre-tokens before merging, and merges stay
 inside a pre-token; so where a text is cut between pre-tokens, its ids are those of the parts. :class:`Coder` cuts texts
-at blanks and line ends, looks each part up in a memo of at most ``MEMO`` parts and has the library encode the parts
-that are new, many in one call. Texts with white space that the cuts don't cover (runs of blanks, tabs and such)
+at blanks and line ends and between a letter and a mark (so a word is one part whatever follows it), looks each part up in a
+memo of at most ``MEMO`` parts and has the library encode the parts that are new, many in one call. Texts with white space that the cuts don't cover (runs of blanks, tabs and such)
 are encoded whole by the library, and so are texts that contain an added token's name (``<|endoftext|>``), which the
 library gives one id. ``tests/llm`` compares the results with the library's on awkward texts.
 """
@@ -23,13 +23,42 @@ import pyarrow.compute as pc
 MEMO = 600_000
 _CODERS: dict = {}
 
-_MARKS = b".,!?;:%$#&*|"  # a run of these after a word is a pre-token of its own
+_MARKS = b".,!?;:%$#&*|"  # a run of these after a letter begins a pre-token of its own
+_GLUE = b"\xff"  # begins a part that was cut off a letter: no byte of UTF-8
+_KINDS = np.zeros(256, np.uint8)  # bits: a mark, an ASCII letter, the last byte of a Latin-1 letter of two bytes
+_KINDS[list(_MARKS)] = 1
+_KINDS[[*range(65, 91), *range(97, 123)]] = 2
+_KINDS[[b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)]] = 4  # without the signs of multiplication and division
 
 
 #: Bytes of text that are cut and looked up together.
 PIECE = 2 << 20
 
 
+def _spread(texts: list[bytes], line: bool) -> pa.Array:
+    """The texts with a blank and ``_GLUE`` before each mark that stands after a letter of Latin-1, and a blank before each line end (without
+    ``line``: in its place)."""
+    joined = b"".join(texts)
+    old = np.frombuffer(joined, np.uint8)
+    if len(old) and old.max() == _GLUE[0]:
+        joined.decode()  # not UTF-8: an error
+    kinds = _KINDS[old]
+    letter = kinds[:-1] == 2
+    letter[1:] |= (kinds[1:-1] == 4) & (old[:-2] == 0xC3)
+    marks = np.flatnonzero((kinds[1:] == 1) & letter) + 1
+    ends = np.flatnonzero(old == 10)
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    marks = marks[~np.isin(marks, bounds)]  # a text's first byte follows no letter of its own
+    if not line:
+        old = old.copy()
+        old[ends] = 32
+    places = np.concatenate([marks, marks, ends] if line else [marks, marks])
+    signs = np.repeat(np.array([32, _GLUE[0], 32], np.uint8), [len(marks), len(marks), len(places) - 2 * len(marks)])
+    new = np.insert(old, places, signs)
+    bounds = bounds + 2 * np.searchsorted(marks, bounds) + (np.searchsorted(ends, bounds) if line else 0)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(new)])
+
+
 def _by_size(texts: list[bytes]) -> Iterator[list[bytes]]:
     """Consecutive texts in groups of about ``PIECE`` bytes."""
     held, size = [], 0
@@ -93,7 +122,7 @@ class Coder:
         lows = [t.lower() for t in texts]  # bytes.lower() takes A-Z only
         whole = {i: self.whole([texts[i].decode()])[0] for i, t in enumerate(lows) if self._names(t)}
         plain = [i for i in range(len(texts)) if i not in whole]
-        found, _, _ = self._parts_ids([lows[i] for i in plain], b" ", False)
+        found, _, _ = self._parts_ids([lows[i] for i in plain], False)
         whole.update(zip(plain, found, strict=True))
         return [whole[i] for i in range(len(texts))]
 
@@ -105,7 +134,7 @@ class Coder:
         for i, t in enumerate(texts):
             rough = b"  " in t or b" \n" in t or b"\n\n\n" in t or b"\n\n " in t or t.endswith((b"\n\n", b" "))
             (odd if rough or self._names(t) else plain).append(i)
-        found, firsts, sure = self._parts_ids([texts[i] for i in plain], b" \n", True)
+        found, firsts, sure = self._parts_ids([texts[i] for i in plain], True)
         for i, ids, part, safe in zip(plain, found, firsts, sure, strict=True):
             first = self._first(part) if safe else None
             if first is None:  # a part that isn't safe on its own
@@ -116,13 +145,13 @@ class Coder:
             out[i] = self.whole([texts[i].decode()])[0]
         return out
 
-    def _parts_ids(self, texts: list[bytes], line: bytes, skip_first: bool) -> tuple[list[bytes], list[bytes], list[bool]]:
+    def _parts_ids(self, texts: list[bytes], skip_first: bool) -> tuple[list[bytes], list[bytes], list[bool]]:
         """Per text: the ids of its parts one after the other, its first part (left out of the ids with ``skip_first``), and whether the
         other parts are all safe on their own. Cutting, telling equal parts and putting ids together are Arrow's and numpy's; Python
         sees each distinct part once."""
         if not texts:
             return [], [], []
-        lists = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_binary()), b"\n", line), b" ")
+        lists = pc.split_pattern(_spread(texts, not self.word_ends), b" ")
         bounds = lists.offsets.to_numpy()
         coded = lists.flatten().dictionary_encode()
         which, parts = coded.indices.to_numpy(), coded.dictionary.to_pylist()
@@ -168,35 +197,24 @@ class Coder:
         back = new & self.older.keys()
         self.memo.update(zip(back, map(self.older.__getitem__, back), strict=True))
         new -= back
-        words, lines, ends, rest = set(), set(), [], []
+        words, lines, rest = [], [], []
         simple = [p for p in new if p.isalpha()]  # ASCII letters, the most common case
         self._learn_simple(simple)
         for p in new.difference(simple):
+            glued = p[:1] == _GLUE
             line = not self.word_ends and p[:1] == b"\n"
-            word = p[1:] if line else p
-            if _letters(word):
-                (lines if line else words).add(p)
-            elif _letters(bare := word.rstrip(_MARKS)):
-                own = b"\n" + bare if line else bare
-                (lines if line else words).add(own)
-                ends.append((p, own, word[len(bare):]))
+            word = p[1:] if line or glued else p
+            if not glued and _letters(word):
+                (lines if line else words).append(p)
             elif self.word_ends or _sure(word) or p == b"\n":
-                rest.append(p)
+                rest.append((p, (word if glued else p if line or self.word_ends else b" " + p).decode()))
             else:
                 self.memo[p] = None
-        words = [w for w in words if w not in self.memo]
-        self._learn_simple([w for w in words if w.isalpha()])
-        self._learn_words([w for w in words if not w.isalpha()], "" if self.word_ends else " ", self.edge)
-        self._learn_words([w for w in lines if w not in self.memo], "", self.line)
-        for p, own, marks in ends:
-            if marks not in self.first:
-                self.first[marks] = self.whole([marks.decode()])[0]
-            self.memo[p] = self.memo[own] + self.first[marks]
-        blank = "" if self.word_ends else " "
+        self._learn_words(words, "" if self.word_ends else " ", self.edge)
+        self._learn_words(lines, "", self.line)
         for at in range(0, len(rest), 10_000):
-            chunk = rest[at:at + 10_000]
-            texts = [p.decode() if p[:1] == b"\n" else blank + p.decode() for p in chunk]
-            self.memo.update(zip(chunk, self.whole(texts), strict=True))
+            chunk, texts = zip(*rest[at:at + 10_000], strict=True)
+            self.memo.update(zip(chunk, self.whole(list(texts)), strict=True))
 
     def _learn_simple(self, words: list[bytes]) -> None:
         """Words of ASCII letters: no normalisation changes them and each is one pre-token, so the library's model takes them as they are."""

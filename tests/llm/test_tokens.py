@@ -146,3 +146,20 @@ def test_perfect_hash():
     shard = TS.Shard(body, 2)
     foreign = rng.integers(-2**63, 2**63 - 1, 20_000)
     assert shard.find(foreign)[1].sum() <= 1 and (shard.find(keys)[1] == 1).all() and shard.part == 4
+
+
+@pytest.mark.parametrize("name", [WORD, BYTE])
+def test_a_word_is_learnt_once_whatever_mark_follows(name):
+    random.seed(5)
+    words = ["word", "Stra\u00dfe", "\u00e9t\u00e9", "x", "\u00d7", "\u00f7", "\u0416\u0443\u043a", "e\u0301", "\u6f22", "\U0001f600", "12", "don't", "'s", "a\u00c3", "_"]
+    marks = ["***", ",", ".", "...", "$#&", "!'s", ".b", "|x|", ";\u00e9;", "%\n", "?\n\n", "", "\n", ":\u00ff"]
+    texts = [" ".join(random.choice(words) + random.choice(marks) for _ in range(random.randint(0, 9))) for _ in range(4000)] + ["", ".", "a", "a."]
+    own = Coder(vocabulary(name), memo=500)
+    for at in range(0, len(texts), 500):
+        assert own.ids([t.encode() for t in texts[at:at + 500]]) == own.whole(texts[at:at + 500])
+    own = Coder(vocabulary(name))
+    many = [f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(3000)]
+    own.ids([" ".join(w + m for w in many).encode() for m in ("", "***", ",", "...", "$$$", "!")])
+    assert len(own.memo) < len(many) + 50
+    with pytest.raises(UnicodeDecodeError):
+        own.ids([b"a \xff."])
