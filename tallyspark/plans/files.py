@@ -96,9 +96,9 @@ def jsonl_partitioned(spark, sf_dir):
     split = F.when(F.col("gidx") % 10 == 0, "val").otherwise("train")
     rows = generated(spark, sf_dir, "v3").select("gidx", split.alias("split"), "domain", "assistant")
     path = fresh(spark, "partitioned")
-    JS.write_jsonl_partitioned(rows, path, ["split", "domain"])
+    JS.write_jsonl_partitioned(rows, path, ["split", "domain"], "gzip")  # as plain text, the set is many times the orders it is made from
     again = rows.filter((F.col("domain") == RERUN) & (F.col("split") == "train") & (F.col("gidx") % 2 == 0))
-    JS.write_jsonl_partitioned(again.withColumn("assistant", F.concat(F.lit("2: "), "assistant")), path, ["split", "domain"])
+    JS.write_jsonl_partitioned(again.withColumn("assistant", F.concat(F.lit("2: "), "assistant")), path, ["split", "domain"], "gzip")
     back = JS.read_jsonl_partitioned(spark, path, "gidx long, assistant string", "split string, domain string")
     return back.select("gidx", "split", "domain", F.md5("assistant").alias("assistant"))
 
