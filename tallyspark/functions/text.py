@@ -27,8 +27,8 @@ def collapse_ws(col) -> Column:
 
 
 def is_blank(col) -> Column:
-    """True when null, empty, or whitespace only."""
-    return F.coalesce(F.length(py_strip(col)) == 0, F.lit(True))
+    """True when null, empty, or whitespace only. The search ends at the first other character, however long the text is."""
+    return F.coalesce(~_c(col).rlike(f"[^{P.WS}]"), F.lit(True))
 
 
 def count_class(col, char_class: str) -> Column:

@@ -25,7 +25,7 @@ def first_failure(spark: SparkSession, path: str, schema: str, gate: Callable[[D
 
     ``gate`` adds ``first_violation`` (null for a good row), ``domain`` and ``source`` to the records; ``expected`` gives the domain
     counts that a set of so many rows must have, if any. Lines that aren't records of the schema fail like rows that break a rule.
-    ``deal``: records go to all tasks before the gate; for compressed files, each of which one task reads."""
+    ``deal``: lines go to all tasks before they are parsed and pass the gate; for compressed files, each of which one task reads."""
     files = sorted(spark.read.text(path).inputFiles())
     rows, domains, sources, read = 0, Counter(), Counter(), 0
 
@@ -35,9 +35,7 @@ def first_failure(spark: SparkSession, path: str, schema: str, gate: Callable[[D
     size = first_files
     while read < len(files):
         wave = files[read:read + size]
-        records = read_jsonl_lines(spark, wave, schema, split_bytes, strict=False)
-        if deal:
-            records = records.repartition(F.col("line"))
+        records = read_jsonl_lines(spark, wave, schema, split_bytes, strict=False, deal=deal)
         checked = gate(records).withColumn("_bad", F.when(F.col("malformed"), "not a JSON record of the schema").otherwise(F.col("first_violation")))
         each = checked.groupBy("domain", "source").agg(F.count(F.lit(1)).alias("n"), F.min(F.when(
             F.col("_bad").isNotNull(), F.struct("file", "line", F.col("_bad").alias("message")))).alias("first")).collect()  # a row a domain and source

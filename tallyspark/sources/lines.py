@@ -64,11 +64,14 @@ def at_line(file: Column, line: Column, message: Column) -> Column:
     return F.concat(F.lit("FAIL "), file, F.lit(":"), line.cast("string"), F.lit(": "), message)
 
 
-def read_jsonl_lines(spark: SparkSession, path: str | list[str], schema: str, split_bytes: int | None = None, strict: bool = True
-                     ) -> DataFrame:
+def read_jsonl_lines(spark: SparkSession, path: str | list[str], schema: str, split_bytes: int | None = None, strict: bool = True,
+                     deal: bool = False) -> DataFrame:
     """The records of JSON-lines files with their ``file`` and ``line`` (the columns of ``schema`` follow). Blank lines hold no record. A line that isn't
-    a JSON object of the schema is an error that names it; with ``strict=False`` it is a row of nulls with ``malformed`` true."""
+    a JSON object of the schema is an error that names it; with ``strict=False`` it is a row of nulls with ``malformed`` true.
+    ``deal``: lines go to all tasks before they are parsed; for compressed files, each of which one task reads."""
     lines = numbered_lines(spark, path, split_bytes).filter(~is_blank(F.col("value")))
+    if deal:
+        lines = lines.repartition(F.col("line"))
     parsed = F.from_json("value", f"{schema}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
     rows = lines.select("file", "line", parsed.alias("_r"))
     bad = F.col("_r").isNull() | F.col("_r._corrupt").isNotNull()
